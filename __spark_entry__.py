@@ -6,30 +6,87 @@ oracle strings are independent DuckDB SQL over the same tables.
 
 Float results are made engine-independent where summation order would
 otherwise leak in: means and sums of money use an exact fixed-point sum
-(decimal(18,2), two decimals in the data), sums of percentages use
-decimal(26,10). Nothing is rounded after the fact.
+(integer cents: two decimals in the data), sums of percentages and means
+a fixed point of 8 decimals. Both engines then compute bit-identical
+doubles; nothing is rounded after the fact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indtables.operators import reports as R
+from indtables.operators.conform import (
+    accepted,
+    label_for,
+    label_join,
+    parse_feed_a,
+    parse_feed_b,
+    rejected,
+    union_feeds,
+)
 from indtables.operators.long import gold_long
 from indtables.operators.silver import dedupe_observations
-from indtables.operators.wide import gold_wide
+from indtables.operators.wide import (
+    RECENT_WINDOW_DAYS,
+    calendar,
+    calendar_join,
+    date_bounds,
+    distinct_labels,
+    gold_wide,
+    pivot_by_day,
+    plan_inputs,
+    trim_recent,
+)
+from indtables.plans.query import GoldCatalog
+from indtables.plans.refresh import RefreshPaths
+from indtables.plans.refresh import run as refresh_run
+from indtables.schemas import FEED_A_SCHEMA, LONG_SCHEMA, SILVER_COLUMNS
+from indtables.session import ensure_checkpoint_dir
+from indtables.sinks.writers import write_bronze, write_csv, write_parquet
+from indtables.sources.bronze import read_bronze
+from indtables.sources.gold import read_csv_typed, read_gold, read_wide_csv
+from indtables.sources.shaped import (
+    as_json_text,
+    from_json_text,
+    lineitem_feed_b_docs,
+    orders_feed_a_docs,
+    orders_feed_b_docs,
+)
+from indtables.sources.synthetic import (
+    PULL_LOOKBACK_DAYS,
+    choose_fallback,
+    feed_a_fallback_docs,
+    feed_b_fallback_docs,
+    pull_start,
+)
 from indtables.sources.tables import (
-    lineitem_tie_break,
     lineitem_observations,
+    lineitem_tie_break,
+    observations,
     orders_observations,
     orders_tie_break,
     read_table,
 )
+from indtables.streaming.bronze_stream import conform_new_pulls
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 MONEY_SCALE = 2
+PCT_SCALE = 8
+# Depth of the per-customer synthetic daily pulls (the monthly ones use the
+# feed's own 400 days).
+DAILY_LOOKBACK = 30
+# Labels for the orders priorities in the lookup checks; others keep the id.
+ORDER_LABELS = {"1-URGENT": "urgent", "2-HIGH": "high"}
+LONG_SUFFIX = "WHERE indicator_label = '1-URGENT' AND obs_date >= DATE '1998-01-01' ORDER BY obs_date"
+WIDE_SUFFIX = "WHERE `2-HIGH` > 250000 ORDER BY calendar_date"
+KPI_COLUMNS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
+KPI_DATE = "2001-08-01"
 
 # The five TPC-H order priorities, the series of the orders fact.
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -37,44 +94,324 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 # ---------------------------------------------------------------- builders
 
+def _orders(spark: SparkSession, root: str) -> DataFrame:
+    return read_table(spark, root, "orders")
+
+
 def _orders_silver(spark: SparkSession, root: str) -> DataFrame:
-    return dedupe_observations(orders_observations(read_table(spark, root, "orders")), orders_tie_break())
+    return dedupe_observations(orders_observations(_orders(spark, root)), orders_tie_break())
 
 
-def _lineitem_silver(spark: SparkSession, root: str) -> DataFrame:
-    return dedupe_observations(lineitem_observations(read_table(spark, root, "lineitem")), lineitem_tie_break())
+def _lineitem_silver(spark: SparkSession, root: str, value: str = "l_extendedprice") -> DataFrame:
+    obs = lineitem_observations(read_table(spark, root, "lineitem"), value)
+    return dedupe_observations(obs, lineitem_tie_break())
 
 
-def q_silver_dedup(spark: SparkSession, root: str) -> DataFrame:
+def _orders_long(spark: SparkSession, root: str) -> DataFrame:
+    return gold_long(_orders_silver(spark, root), mean_scale=MONEY_SCALE)
+
+
+def _orders_wide(spark: SparkSession, root: str) -> DataFrame:
+    return gold_wide(_orders_silver(spark, root))
+
+
+def _scratch(spark: SparkSession, what: str) -> str:
+    """A fresh folder under the session's shared checkpoint dir."""
+    return f"{ensure_checkpoint_dir(spark)}/harness/{what}-{uuid.uuid4().hex}"
+
+
+def q_silver_dedup(spark, root):
     return _orders_silver(spark, root)
 
 
-def q_gold_long(spark: SparkSession, root: str) -> DataFrame:
-    return gold_long(_orders_silver(spark, root), mean_scale=MONEY_SCALE)
+def q_gold_long(spark, root):
+    return _orders_long(spark, root)
 
 
-def q_gold_long_lineitem(spark: SparkSession, root: str) -> DataFrame:
+def q_gold_long_lineitem(spark, root):
     return gold_long(_lineitem_silver(spark, root), mean_scale=MONEY_SCALE)
 
 
-def q_change_pct(spark: SparkSession, root: str) -> DataFrame:
-    return q_gold_long(spark, root).select("source", "indicator_id", "obs_date", "value", "change_pct")
+def q_change_pct(spark, root):
+    return _orders_long(spark, root).select("source", "indicator_id", "obs_date", "value", "change_pct")
 
 
-def q_rolling_avg_30d(spark: SparkSession, root: str) -> DataFrame:
-    return q_gold_long(spark, root).select("source", "indicator_id", "obs_date", "value", "rolling_avg_30d")
+def q_change_pct_guard(spark, root):
+    """Discount series: many zero bases, so the guard is exercised."""
+    long_ = gold_long(_lineitem_silver(spark, root, "l_discount"))
+    return long_.select("source", "indicator_id", "obs_date", "value", "change_pct")
 
 
-def q_gold_wide(spark: SparkSession, root: str) -> DataFrame:
-    return gold_wide(_orders_silver(spark, root))
+def q_rolling_avg_30d(spark, root):
+    return _orders_long(spark, root).select("source", "indicator_id", "obs_date", "value", "rolling_avg_30d")
+
+
+def q_gold_wide(spark, root):
+    return _orders_wide(spark, root)
 
 
-def q_wide_ffill(spark: SparkSession, root: str) -> DataFrame:
+def q_wide_ffill(spark, root):
     return gold_wide(_orders_silver(spark, root), recent_window_days=None)
 
 
+def q_distinct_labels(spark, root):
+    return distinct_labels(_orders_silver(spark, root))
+
+
+def q_date_bounds(spark, root):
+    return date_bounds(_orders_silver(spark, root))
+
+
+def _inputs(spark, root):
+    silver = _orders_silver(spark, root)
+    return silver, plan_inputs(silver)
+
+
+def q_calendar(spark, root):
+    _, inp = _inputs(spark, root)
+    return calendar(spark, inp.min_date, inp.max_date)
+
+
+def q_wide_pivot(spark, root):
+    silver, inp = _inputs(spark, root)
+    return pivot_by_day(silver, inp.labels)
+
+
+def q_calendar_join(spark, root):
+    silver, inp = _inputs(spark, root)
+    return calendar_join(calendar(spark, inp.min_date, inp.max_date), pivot_by_day(silver, inp.labels))
+
+
+def q_wide_trim(spark, root):
+    silver, inp = _inputs(spark, root)
+    joined = calendar_join(calendar(spark, inp.min_date, inp.max_date), pivot_by_day(silver, inp.labels))
+    return trim_recent(joined, inp.max_date, RECENT_WINDOW_DAYS)
+
+
+def q_label_lookup(spark, root):
+    obs = orders_observations(_orders(spark, root))
+    return obs.select("o_orderkey", "indicator_id", label_for(F.col("indicator_id"), ORDER_LABELS).alias("indicator_label"))
+
+
+def q_label_join(spark, root):
+    orders = _orders(spark, root)
+    obs = orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("indicator_id"))
+    cust = read_table(spark, root, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    labels = cust.select(F.col("c_custkey").cast("string").alias("indicator_id"), F.col("c_name").alias("label"))
+    return label_join(obs, labels)
+
+
+def _feed_a_candidates(spark, root):
+    docs = from_json_text(as_json_text(orders_feed_a_docs(_orders(spark, root))), "a")
+    return parse_feed_a(docs, labels=ORDER_LABELS, carry=["pull_id"])
+
+
+def _feed_b_candidates(spark, root):
+    docs = from_json_text(as_json_text(orders_feed_b_docs(_orders(spark, root))), "b")
+    return parse_feed_b(docs, carry=["pull_id"])
+
+
+def q_parse_feed_a(spark, root):
+    return accepted(_feed_a_candidates(spark, root), carry=["pull_id"])
+
+
+def q_parse_feed_b(spark, root):
+    return accepted(_feed_b_candidates(spark, root), carry=["pull_id"])
+
+
+def q_conform_rejects(spark, root):
+    return rejected(_feed_b_candidates(spark, root))
+
+
+def q_union_feeds(spark, root):
+    a = accepted(_feed_a_candidates(spark, root))
+    li = read_table(spark, root, "lineitem")
+    b = accepted(parse_feed_b(from_json_text(as_json_text(lineitem_feed_b_docs(li)), "b")))
+    return union_feeds(a, b)
+
+
+def q_bronze_scan(spark, root):
+    bronze = _scratch(spark, "bronze")
+    write_bronze(orders_feed_a_docs(_orders(spark, root)), bronze, "banxico")
+    schema = FEED_A_SCHEMA.add("pull_id", "long")
+    docs = read_bronze(spark, bronze, "banxico", schema)
+    return accepted(parse_feed_a(docs, labels=ORDER_LABELS, carry=["pull_id"]), carry=["pull_id"])
+
+
+def q_stream_intake(spark, root):
+    bronze = _scratch(spark, "bronze")
+    write_bronze(orders_feed_a_docs(_orders(spark, root)), bronze, "banxico")
+    landing = _scratch(spark, "landing")
+    conform_new_pulls(spark, bronze, "a", landing, name=landing.rsplit("/", 1)[-1], labels=ORDER_LABELS)
+    return spark.read.parquet(landing).select(*SILVER_COLUMNS)
+
+
+def q_refresh_counts(spark, root):
+    bronze = _scratch(spark, "bronze")
+    write_bronze(orders_feed_a_docs(_orders(spark, root), omit_ids=False).drop("pull_id"), bronze, "banxico")
+    li = read_table(spark, root, "lineitem")
+    write_bronze(lineitem_feed_b_docs(li).drop("pull_id"), bronze, "inegi")
+    out = _scratch(spark, "refresh")
+    refresh_run(spark, bronze, out)
+    paths = RefreshPaths(out)
+    def n(name, path):
+        return read_gold(spark, path).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count")
+    return union_feeds(n("silver", paths.silver), n("rejects", paths.rejects),
+                       n("indicators_long", paths.long), n("indicators_wide", paths.wide))
+
+
+def _pulls(spark, root, lookback):
+    """One pull per customer, ending on the customer's last order day."""
+    orders = _orders(spark, root)
+    ends = orders.groupBy(F.col("o_custkey").alias("pull_id")).agg(F.max("o_orderdate").cast("date").alias("end_date"))
+    return ends.withColumn("start_date", pull_start(F.col("end_date"), lookback))
+
+
+def _synthetic_rows(pulls):
+    docs = feed_a_fallback_docs(pulls, keep=["pull_id"])
+    return accepted(parse_feed_a(docs, carry=["pull_id"]), carry=["pull_id"])
+
+
+def q_fallback_daily(spark, root):
+    rows = _synthetic_rows(_pulls(spark, root, DAILY_LOOKBACK))
+    return rows.filter(F.col("indicator_id") == "SF43718")
+
+
+def q_fallback_monthly(spark, root):
+    rows = _synthetic_rows(_pulls(spark, root, PULL_LOOKBACK_DAYS))
+    return rows.filter(F.col("indicator_id") == "SP1")
+
+
+def q_fallback_registry(spark, root):
+    cust = read_table(spark, root, "customer")
+    docs = feed_b_fallback_docs(cust, id_col="c_custkey", label_col="c_name")
+    return accepted(parse_feed_b(docs))
+
+
+def _failed_customers(spark, root):
+    return read_table(spark, root, "customer").filter(F.col("c_acctbal") < 0).select(
+        F.col("c_custkey").alias("pull_id"))
+
+
+def q_fallback_by_source(spark, root):
+    """Each customer is a feed; feeds of customers in debt 'failed' and are
+    replaced, whole, by their synthetic pull."""
+    orders = _orders(spark, root)
+    real = observations(orders, "orders", F.col("o_orderpriority"), F.col("o_orderdate"),
+                        F.col("o_totalprice"), F.lit(False), keep=[F.col("o_custkey").alias("pull_id")])
+    failed = _failed_customers(spark, root)
+    pulls = _pulls(spark, root, DAILY_LOOKBACK).join(failed, "pull_id", "left_semi")
+    return choose_fallback(real, _synthetic_rows(pulls), failed, "pull_id")
+
+
+def q_fallback_by_indicator(spark, root):
+    orders = _orders(spark, root)
+    real = observations(orders, "inegi", F.col("o_custkey"), F.col("o_orderdate"), F.col("o_totalprice"),
+                        F.lit(False))
+    failed = _failed_customers(spark, root).select(F.col("pull_id").cast("string").alias("indicator_id"))
+    cust = read_table(spark, root, "customer").join(
+        failed.select(F.col("indicator_id").cast("long").alias("c_custkey")), "c_custkey", "left_semi")
+    synth = accepted(parse_feed_b(feed_b_fallback_docs(cust, id_col="c_custkey", label_col="c_name")))
+    return choose_fallback(real, synth, failed, "indicator_id")
+
+
+def q_sql_suffix_long(spark, root):
+    cat = GoldCatalog(spark, _orders_long(spark, root), _orders_wide(spark, root))
+    return cat.query_long(LONG_SUFFIX)
+
+
+def q_sql_suffix_wide(spark, root):
+    cat = GoldCatalog(spark, _orders_long(spark, root), _orders_wide(spark, root))
+    return cat.query_wide(WIDE_SUFFIX)
+
+
+def q_row_counts(spark, root):
+    return GoldCatalog(spark, _orders_long(spark, root), _orders_wide(spark, root)).row_counts_frame()
+
+
+def q_gold_scan_long(spark, root):
+    path = write_parquet(_orders_long(spark, root), _scratch(spark, "gold-long"))
+    return read_gold(spark, path)
+
+
+def q_gold_scan_wide(spark, root):
+    path = write_parquet(_orders_wide(spark, root), _scratch(spark, "gold-wide"))
+    return read_gold(spark, path)
+
+
+def q_csv_scan_typed(spark, root):
+    path = write_csv(_orders_long(spark, root), _scratch(spark, "csv-long"))
+    return read_csv_typed(spark, path, LONG_SCHEMA)
+
+
+def q_csv_scan_wide(spark, root):
+    path = write_csv(_orders_wide(spark, root), _scratch(spark, "csv-wide"))
+    return read_wide_csv(spark, path)
+
+
+# Reports: the orders priorities stand in for the report's indicator labels.
+def q_report_fx_spec(spark, root):
+    return R.report_fx_spec(_orders_long(spark, root), "1-URGENT")
+
+
+def q_report_fx_shipped(spark, root):
+    return R.report_fx_shipped(_orders_long(spark, root), "1-URGENT", sum_scale=PCT_SCALE)
+
+
+def q_report_inpc_spec(spark, root):
+    return R.report_inpc_spec(_orders_long(spark, root), "2-HIGH")
+
+
+def q_report_inpc_shipped(spark, root):
+    return R.report_inpc_shipped(_orders_long(spark, root), "2-HIGH", sum_scale=PCT_SCALE)
+
+
+def q_report_igae_spec(spark, root):
+    return R.report_igae_spec(_orders_long(spark, root), "3-MEDIUM", "4-NOT SPECIFIED")
+
+
+def q_report_igae_shipped(spark, root):
+    return R.report_igae_shipped(_orders_long(spark, root), "3-MEDIUM", "4-NOT SPECIFIED", sum_scale=PCT_SCALE)
+
+
+def q_report_headcount_spec(spark, root):
+    return R.report_headcount_spec(_orders_long(spark, root), "5-LOW", "orders")
+
+
+def q_report_headcount_shipped(spark, root):
+    return R.report_headcount_shipped(_orders_long(spark, root), "5-LOW", "orders", sum_scale=PCT_SCALE)
+
+
+def q_report_rate_spec(spark, root):
+    return R.report_rate_spec(_orders_long(spark, root), "4-NOT SPECIFIED", "orders")
+
+
+def q_report_rate_shipped(spark, root):
+    return R.report_rate_shipped(_orders_long(spark, root), "4-NOT SPECIFIED", "orders", sum_scale=PCT_SCALE)
+
+
+def q_kpi_latest(spark, root):
+    return R.kpi_latest(_orders_wide(spark, root), KPI_COLUMNS)
+
+
+def q_kpi_shipped(spark, root):
+    return R.kpi_shipped(_orders_wide(spark, root), KPI_COLUMNS, KPI_DATE, sum_scale=MONEY_SCALE)
+
+
+def q_fallback_callout(spark, root):
+    return R.fallback_callout(_orders_long(spark, root))
+
+
 # ------------------------------------------------------------------ oracle
 
+def _xsum(expr: str, scale: int, over: str = "") -> str:
+    """DuckDB twin of ``exact_sum``."""
+    f = 10**scale
+    win = f" OVER {over}" if over else ""
+    return f"(CAST(SUM(CAST(round(({expr}) * {f}) AS DECIMAL(38,0))){win} AS DOUBLE) / {f})"
+
+
 def _obs_orders_sql() -> str:
     return """
     SELECT 'orders' AS source, o_orderpriority AS indicator_id, o_orderpriority AS indicator_label,
@@ -96,11 +433,11 @@ def _orders_silver_sql() -> str:
     return _silver_sql(_obs_orders_sql(), "o_orderkey DESC")
 
 
-def _lineitem_silver_sql() -> str:
-    obs = """
+def _lineitem_silver_sql(value: str = "l_extendedprice") -> str:
+    obs = f"""
     SELECT 'lineitem' AS source, CAST(l_suppkey AS VARCHAR) AS indicator_id,
            CAST(l_suppkey AS VARCHAR) AS indicator_label, CAST(l_shipdate AS DATE) AS obs_date,
-           l_extendedprice AS value, l_returnflag = 'R' AS is_fallback,
+           {value} AS value, l_returnflag = 'R' AS is_fallback,
            l_orderkey, l_linenumber, l_partkey
     FROM lineitem"""
     return _silver_sql(obs, "l_orderkey DESC, l_linenumber DESC, l_partkey DESC")
@@ -111,7 +448,7 @@ def _long_sql(silver: str) -> str:
     SELECT source, indicator_id, indicator_label, obs_date, value, is_fallback,
            CASE WHEN lag(value) OVER w IS NOT NULL AND lag(value) OVER w <> 0
                 THEN (value - lag(value) OVER w) / lag(value) OVER w * 100 END AS change_pct,
-           CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER r AS DOUBLE) / COUNT(value) OVER r AS rolling_avg_30d
+           {_xsum("value", MONEY_SCALE, "r")} / COUNT(value) OVER r AS rolling_avg_30d
     FROM ({silver}) s
     WINDOW w AS (PARTITION BY source, indicator_id ORDER BY obs_date),
            r AS (PARTITION BY source, indicator_id ORDER BY obs_date
@@ -122,35 +459,213 @@ def _q(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+def _wide_parts(silver: str, labels: list[str]) -> str:
+    piv = ", ".join(f"max(CASE WHEN indicator_label = '{l}' THEN value END) AS {_q(l)}" for l in labels)
+    return f"""
+    s AS ({silver}),
+    b AS (SELECT min(obs_date) AS min_d, max(obs_date) AS max_d FROM s),
+    cal AS (SELECT CAST(unnest(generate_series(min_d, max_d, INTERVAL 1 DAY)) AS DATE) AS calendar_date FROM b),
+    piv AS (SELECT obs_date, {piv} FROM s GROUP BY obs_date),
+    j AS (SELECT cal.calendar_date, piv.* EXCLUDE (obs_date)
+          FROM cal LEFT JOIN piv ON cal.calendar_date = piv.obs_date)"""
+
+
+def _trim(window_days: int | None) -> str:
+    return "" if window_days is None else f"WHERE calendar_date >= (SELECT max_d - {window_days} FROM b)"
+
+
 def _wide_sql(silver: str, labels: list[str], window_days: int | None) -> str:
-    piv = ",\n".join(f"max(CASE WHEN indicator_label = '{l}' THEN value END) AS {_q(l)}" for l in labels)
-    fill = ",\n".join(
+    fill = ", ".join(
         f"last_value({_q(l)} IGNORE NULLS) OVER (ORDER BY calendar_date ROWS BETWEEN UNBOUNDED PRECEDING"
         f" AND CURRENT ROW) AS {_q(l)}"
         for l in labels
     )
-    trim = "" if window_days is None else f"WHERE calendar_date >= (SELECT max_d - {window_days} FROM b)"
     return f"""
-    WITH s AS ({silver}),
-    b AS (SELECT min(obs_date) AS min_d, max(obs_date) AS max_d FROM s),
-    cal AS (SELECT CAST(unnest(generate_series(min_d, max_d, INTERVAL 1 DAY)) AS DATE) AS calendar_date FROM b),
-    piv AS (SELECT obs_date, {piv} FROM s GROUP BY obs_date),
-    j AS (SELECT cal.calendar_date, piv.* EXCLUDE (obs_date) FROM cal LEFT JOIN piv ON cal.calendar_date = piv.obs_date),
+    WITH {_wide_parts(silver, labels)},
     f AS (SELECT calendar_date, {fill} FROM j)
-    SELECT * FROM f {trim}"""
+    SELECT * FROM f {_trim(window_days)}"""
+
+
+def _money(c: str) -> str:
+    return f"CAST(CAST({c} AS DECIMAL(18,2)) AS DOUBLE)"
+
+
+_FEED_A_ROWS = f"""
+    SELECT o_orderkey AS pull_id, 'banxico' AS source,
+           CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE o_orderpriority END AS indicator_id,
+           CASE o_orderpriority WHEN '5-LOW' THEN '' WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high'
+                ELSE o_orderpriority END AS indicator_label,
+           CAST(o_orderdate AS DATE) AS obs_date, {_money("o_totalprice")} AS value,
+           o_orderstatus = 'F' AS is_fallback
+    FROM orders WHERE o_orderstatus <> 'P'"""
+
+_FEED_B_ROWS = f"""
+    SELECT o_orderkey AS pull_id, 'inegi' AS source, o_orderpriority AS indicator_id,
+           CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'unknown' ELSE lower(o_orderpriority) END AS indicator_label,
+           CASE WHEN o_orderpriority IN ('5-LOW', '2-HIGH') THEN make_date(year(o_orderdate), 1, 1)
+                ELSE make_date(year(o_orderdate), month(o_orderdate), 1) END AS obs_date,
+           {_money("o_totalprice")} AS value, o_orderstatus = 'F' AS is_fallback
+    FROM orders
+    WHERE o_orderstatus <> 'P' AND NOT (o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '2-HIGH'))"""
+
+_REJECTS = """
+    SELECT 'inegi' AS source, o_orderpriority AS indicator_id,
+           CASE WHEN o_orderpriority = '1-URGENT'
+                THEN strftime(o_orderdate, '%Y') || '/Q' || CAST(quarter(o_orderdate) AS VARCHAR)
+                ELSE strftime(o_orderdate, '%Y') || '/' END AS raw_date,
+           CASE WHEN o_orderpriority = '2-HIGH'
+                THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || ' MXN'
+                ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS raw_value,
+           CASE WHEN o_orderpriority = '1-URGENT' THEN 'bad_period' ELSE 'bad_value' END AS reason
+    FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '2-HIGH')"""
+
+_SILVER_COLS = "source, indicator_id, indicator_label, obs_date, value, is_fallback"
+
+
+def _pull_ends(where: str = "") -> str:
+    return f"SELECT o_custkey AS pull_id, CAST(max(o_orderdate) AS DATE) AS end_d FROM orders {where} GROUP BY o_custkey"
+
+
+def _synthetic_days(pulls: str, lookback: int, sid: str, label: str, value: str, month_start: bool) -> str:
+    cond = "WHERE day(d) = 1" if month_start else ""
+    return f"""
+    SELECT pull_id, 'banxico' AS source, '{sid}' AS indicator_id, '{label}' AS indicator_label,
+           CAST(d AS DATE) AS obs_date, CAST({value} AS DOUBLE) AS value, true AS is_fallback
+    FROM (SELECT pull_id, unnest(generate_series(CAST(end_d - {lookback} AS TIMESTAMP), CAST(end_d AS TIMESTAMP),
+                                                 INTERVAL 1 DAY)) AS d
+          FROM ({pulls}) p) g {cond}"""
+
+
+def _registry_rows(where: str = "") -> str:
+    return f"""
+    SELECT 'inegi' AS source, CAST(c_custkey AS VARCHAR) AS indicator_id, c_name AS indicator_label,
+           make_date(2026, CAST(m AS BIGINT), 1) AS obs_date, CAST(100.0 AS DOUBLE) AS value, true AS is_fallback
+    FROM customer, (SELECT unnest(range(1, 7)) AS m) months {where}"""
 
 
 def _oracles() -> dict[str, str]:
     silver = _orders_silver_sql()
     long_ = _long_sql(silver)
+    wide = _wide_sql(silver, PRIORITIES, RECENT_WINDOW_DAYS)
+    key = "source, indicator_id, obs_date"
+    lab = lambda l, extra="": f"FROM ({long_}) l WHERE indicator_label = '{l}' {extra}"
+    x8 = lambda e: _xsum(e, PCT_SCALE)
+    fx_a = f"SELECT {_SILVER_COLS} FROM ({_FEED_A_ROWS}) a"
+    li_b = f"""
+    SELECT 'inegi' AS source, CAST(l_suppkey AS VARCHAR) AS indicator_id, 'supplier' AS indicator_label,
+           make_date(year(l_shipdate), month(l_shipdate), 1) AS obs_date, {_money("l_extendedprice")} AS value,
+           l_returnflag = 'R' AS is_fallback
+    FROM lineitem"""
+    failed = "SELECT c_custkey FROM customer WHERE c_acctbal < 0"
     return {
         "silver_dedup": silver,
         "gold_long": long_,
         "gold_long_lineitem": _long_sql(_lineitem_silver_sql()),
-        "change_pct": f"SELECT source, indicator_id, obs_date, value, change_pct FROM ({long_}) l",
-        "rolling_avg_30d": f"SELECT source, indicator_id, obs_date, value, rolling_avg_30d FROM ({long_}) l",
-        "gold_wide": _wide_sql(silver, PRIORITIES, 400),
+        "change_pct": f"SELECT {key}, value, change_pct FROM ({long_}) l",
+        "change_pct_guard": f"SELECT {key}, value, change_pct FROM ({_long_sql(_lineitem_silver_sql('l_discount'))}) l",
+        "rolling_avg_30d": f"SELECT {key}, value, rolling_avg_30d FROM ({long_}) l",
+        "gold_wide": wide,
         "wide_ffill": _wide_sql(silver, PRIORITIES, None),
+        "distinct_labels": f"SELECT DISTINCT indicator_label FROM ({silver}) s",
+        "date_bounds": f"SELECT min(obs_date) AS min_date, max(obs_date) AS max_date FROM ({silver}) s",
+        "calendar": f"WITH {_wide_parts(silver, PRIORITIES)} SELECT calendar_date FROM cal",
+        "wide_pivot": f"WITH {_wide_parts(silver, PRIORITIES)} SELECT * FROM piv",
+        "calendar_join": f"WITH {_wide_parts(silver, PRIORITIES)} SELECT * FROM j",
+        "wide_trim": f"WITH {_wide_parts(silver, PRIORITIES)} SELECT * FROM j {_trim(RECENT_WINDOW_DAYS)}",
+        "label_lookup": """
+            SELECT o_orderkey, o_orderpriority AS indicator_id,
+                   CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high'
+                        ELSE o_orderpriority END AS indicator_label
+            FROM orders""",
+        "label_join": """
+            SELECT o.o_orderkey, CAST(o.o_custkey AS VARCHAR) AS indicator_id,
+                   COALESCE(c.c_name, CAST(o.o_custkey AS VARCHAR)) AS indicator_label
+            FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c
+              ON o.o_custkey = c.c_custkey""",
+        "parse_feed_a": _FEED_A_ROWS,
+        "parse_feed_b": _FEED_B_ROWS,
+        "conform_rejects": _REJECTS,
+        "union_feeds": f"{fx_a} UNION ALL {li_b}",
+        "bronze_scan": _FEED_A_ROWS,
+        "stream_intake": fx_a,
+        "refresh_counts": f"""
+            WITH a AS (SELECT DISTINCT 'banxico' AS source, o_orderpriority AS indicator_id,
+                              CAST(o_orderdate AS DATE) AS obs_date FROM orders WHERE o_orderstatus <> 'P'),
+                 bb AS (SELECT DISTINCT 'inegi' AS source, CAST(l_suppkey AS VARCHAR) AS indicator_id,
+                               make_date(year(l_shipdate), month(l_shipdate), 1) AS obs_date FROM lineitem),
+                 s AS (SELECT * FROM a UNION ALL SELECT * FROM bb),
+                 d AS (SELECT min(obs_date) AS min_d, max(obs_date) AS max_d FROM s)
+            SELECT 'silver' AS table_name, count(*) AS row_count FROM s
+            UNION ALL SELECT 'rejects', CAST(0 AS BIGINT)
+            UNION ALL SELECT 'indicators_long', count(*) FROM s
+            UNION ALL SELECT 'indicators_wide', CAST(max_d - greatest(max_d - {RECENT_WINDOW_DAYS}, min_d) + 1 AS BIGINT)
+                      FROM d""",
+        "fallback_daily": _synthetic_days(_pull_ends(), DAILY_LOOKBACK, "SF43718", "fx_rate_usd_mxn", "17.5", False),
+        "fallback_monthly": _synthetic_days(_pull_ends(), PULL_LOOKBACK_DAYS, "SP1", "inpc_general", "130.0", True),
+        "fallback_registry": _registry_rows(),
+        "fallback_by_source": f"""
+            SELECT o_custkey AS pull_id, 'orders' AS source, o_orderpriority AS indicator_id,
+                   o_orderpriority AS indicator_label, CAST(o_orderdate AS DATE) AS obs_date,
+                   o_totalprice AS value, false AS is_fallback
+            FROM orders WHERE o_custkey NOT IN ({failed})
+            UNION ALL
+            {_synthetic_days(_pull_ends(f"WHERE o_custkey IN ({failed})"), DAILY_LOOKBACK, "SF43718",
+                             "fx_rate_usd_mxn", "17.5", False)}
+            UNION ALL
+            {_synthetic_days(_pull_ends(f"WHERE o_custkey IN ({failed})"), DAILY_LOOKBACK, "SP1",
+                             "inpc_general", "130.0", True)}""",
+        "fallback_by_indicator": f"""
+            SELECT 'inegi' AS source, CAST(o_custkey AS VARCHAR) AS indicator_id,
+                   CAST(o_custkey AS VARCHAR) AS indicator_label, CAST(o_orderdate AS DATE) AS obs_date,
+                   o_totalprice AS value, false AS is_fallback
+            FROM orders WHERE o_custkey NOT IN ({failed})
+            UNION ALL {_registry_rows("WHERE c_acctbal < 0")}""",
+        "sql_suffix_long": f"SELECT * FROM ({long_}) l {LONG_SUFFIX.replace('`', chr(34))}",
+        "sql_suffix_wide": f"SELECT * FROM ({wide}) w {WIDE_SUFFIX.replace('`', chr(34))}",
+        "row_counts": f"""
+            SELECT 'indicators_long' AS table_name, count(*) AS row_count FROM ({long_}) l
+            UNION ALL SELECT 'indicators_wide', count(*) FROM ({wide}) w""",
+        "gold_scan_long": long_,
+        "gold_scan_wide": wide,
+        "csv_scan_typed": long_,
+        "csv_scan_wide": wide,
+        "report_fx_spec": f"SELECT {key}, value, rolling_avg_30d {lab('1-URGENT')}",
+        "report_fx_shipped": f"""
+            SELECT CAST(day(obs_date) AS INTEGER) AS day_of_month, {x8("value")} AS sum_value,
+                   {x8("rolling_avg_30d")} AS sum_rolling_avg_30d
+            {lab('1-URGENT')} GROUP BY 1""",
+        "report_inpc_spec": f"SELECT {key}, change_pct {lab('2-HIGH')}",
+        "report_inpc_shipped": f"""
+            SELECT CAST(year(obs_date) AS INTEGER) AS obs_year, {x8("change_pct")} AS sum_change_pct
+            {lab('2-HIGH')} GROUP BY 1""",
+        "report_igae_spec": f"""
+            SELECT {key},
+                   CASE WHEN indicator_label = '3-MEDIUM' THEN value END AS igae_level,
+                   CASE WHEN indicator_label = '4-NOT SPECIFIED' THEN value END AS igae_yoy_pct
+            FROM ({long_}) l WHERE indicator_label IN ('3-MEDIUM', '4-NOT SPECIFIED')""",
+        "report_igae_shipped": f"""
+            SELECT CAST(year(obs_date) AS INTEGER) AS obs_year,
+                   {x8("CASE WHEN indicator_label = '3-MEDIUM' THEN value END")} AS sum_igae_level,
+                   {x8("CASE WHEN indicator_label = '4-NOT SPECIFIED' THEN value END")} AS sum_igae_yoy_pct
+            FROM ({long_}) l WHERE indicator_label IN ('3-MEDIUM', '4-NOT SPECIFIED') GROUP BY 1""",
+        "report_headcount_spec": f"SELECT {key}, value {lab('5-LOW', 'AND source = ' + chr(39) + 'orders' + chr(39))}",
+        "report_headcount_shipped": f"""
+            SELECT CAST(year(obs_date) AS INTEGER) AS obs_year, {x8("value")} AS sum_value
+            {lab('5-LOW', "AND source = 'orders'")} GROUP BY 1""",
+        "report_rate_spec": f"SELECT {key}, value {lab('4-NOT SPECIFIED', 'AND source = ' + chr(39) + 'orders' + chr(39))}",
+        "report_rate_shipped": f"""
+            SELECT CAST(year(obs_date) AS INTEGER) AS obs_year, {x8("value")} AS sum_value
+            {lab('4-NOT SPECIFIED', "AND source = 'orders'")} GROUP BY 1""",
+        "kpi_latest": f"""
+            SELECT max(calendar_date) AS calendar_date,
+                   {", ".join(f"arg_max({_q(l)}, calendar_date) AS {_q(l)}" for l in KPI_COLUMNS)}
+            FROM ({wide}) w""",
+        "kpi_shipped": f"""
+            SELECT max(calendar_date) AS max_calendar_date,
+                   {", ".join(f"{_xsum(_q(l), MONEY_SCALE)} AS {_q('sum_' + l)}" for l in KPI_COLUMNS)}
+            FROM ({wide}) w
+            HAVING max(calendar_date) BETWEEN DATE '{KPI_DATE}' AND DATE '{KPI_DATE}'""",
+        "fallback_callout": f"SELECT indicator_label, bool_or(is_fallback) AS any_fallback FROM ({long_}) l GROUP BY 1",
     }
 
 
@@ -162,16 +677,23 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "silver_dedup": q_silver_dedup,
-        "gold_long": q_gold_long,
-        "gold_long_lineitem": q_gold_long_lineitem,
-        "change_pct": q_change_pct,
-        "rolling_avg_30d": q_rolling_avg_30d,
-        "gold_wide": q_gold_wide,
-        "wide_ffill": q_wide_ffill,
-    }
+    g = globals()
+    return {name: g[f"q_{name}"] for name in QUERY_NAMES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    o = _oracles()
+    return {k: o[k] for k in QUERY_NAMES if k in o}
+
+
+QUERY_NAMES = [
+    "silver_dedup", "gold_long", "gold_long_lineitem", "change_pct", "change_pct_guard", "rolling_avg_30d",
+    "gold_wide", "wide_ffill", "distinct_labels", "date_bounds", "calendar", "wide_pivot", "calendar_join",
+    "wide_trim", "label_lookup", "label_join", "parse_feed_a", "parse_feed_b", "conform_rejects",
+    "union_feeds", "bronze_scan", "stream_intake", "refresh_counts", "fallback_daily", "fallback_monthly",
+    "fallback_registry", "fallback_by_source", "fallback_by_indicator", "sql_suffix_long", "sql_suffix_wide",
+    "row_counts", "gold_scan_long", "gold_scan_wide", "csv_scan_typed", "csv_scan_wide",
+    "report_fx_spec", "report_fx_shipped", "report_inpc_spec", "report_inpc_shipped", "report_igae_spec",
+    "report_igae_shipped", "report_headcount_spec", "report_headcount_shipped", "report_rate_spec",
+    "report_rate_shipped", "kpi_latest", "kpi_shipped", "fallback_callout",
+]

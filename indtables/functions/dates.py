@@ -19,7 +19,7 @@ def day_month_year(c: Column, strict: bool = False) -> Column:
     when ``strict`` (ANSI ``to_date``)."""
     if strict:
         return F.to_date(c, FEED_A_DATE_FORMAT)
-    return F.try_to_date(c, F.lit(FEED_A_DATE_FORMAT))
+    return F.try_to_date(c, FEED_A_DATE_FORMAT)
 
 
 def period_start(c: Column) -> Column:

@@ -26,22 +26,20 @@ def pct_change(value: Column, prev: Column) -> Column:
     return F.when(prev.isNotNull() & (prev != 0), (value - prev) / prev * 100)
 
 
-def decimal_type(scale: int) -> str:
-    """Fixed-point input type used by the exact sums: 16 integer digits."""
-    return f"decimal({min(38, 16 + scale)},{scale})"
-
-
 def exact_sum(c: Column, scale: int, window: WindowSpec | None = None) -> Column:
-    """SUM carried out in fixed point, returned as DOUBLE.
-
-    A floating sum depends on the order rows meet; a decimal sum does not,
-    so two engines (or two plans) give the identical double. Inputs are
-    rounded to ``scale`` decimals first: exact for inputs with at most that
-    many, e.g. money with two."""
-    s = F.sum(c.cast(decimal_type(scale)))
+    """SUM in fixed point with ``scale`` decimals, returned as DOUBLE.
+
+    A floating sum depends on the order rows meet; this one does not: each
+    input is scaled by ``10**scale`` and rounded half away from zero (the
+    same IEEE product and rounding in any engine), the integers are summed
+    exactly, and the total is divided back once. Exact for inputs with at
+    most ``scale`` decimals (money with 2); otherwise inputs are quantised
+    at ``10**-scale``."""
+    factor = float(10**scale)
+    s = F.sum(F.round(c * F.lit(factor)).cast("decimal(38,0)"))
     if window is not None:
         s = s.over(window)
-    return s.cast("double")
+    return s.cast("double") / F.lit(factor)
 
 
 def exact_mean(c: Column, scale: int, window: WindowSpec | None = None) -> Column:

@@ -1 +1 @@
-"""plans"""
+"""Plans: the SQL query surface and the bronze -> gold refresh."""

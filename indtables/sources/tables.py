@@ -22,7 +22,7 @@ def observations(
     value: Column,
     is_fallback: Column,
     indicator_label: Column | None = None,
-    keep: list[str] | tuple[str, ...] = (),
+    keep: list[str | Column] | tuple[str | Column, ...] = (),
 ) -> DataFrame:
     """Project a table onto the conformed observation columns (+ ``keep``)."""
     return df.select(
