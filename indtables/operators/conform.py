@@ -58,12 +58,14 @@ def _finish(df: DataFrame, strict: bool, carry: list[str]) -> DataFrame:
     cols = SILVER_COLUMNS + ["raw_date", "raw_value", "reject_reason"] + carry
     df = df.select(*cols)
     if strict:
+        # The reason column itself raises: any filter on it (as ``accepted``
+        # does) fails the job at the first bad row.
         msg = F.concat_ws(
             " ", F.lit("rejected observation:"), F.col("reject_reason"), F.col("source"),
             F.col("indicator_id"), F.col("raw_date"), F.col("raw_value"),
         )
-        guard = F.when(F.col("reject_reason").isNotNull(), F.raise_error(msg))
-        df = df.withColumn("value", F.coalesce(guard.cast("double"), F.col("value")))
+        guard = F.when(F.col("reject_reason").isNotNull(), F.raise_error(msg)).cast("string")
+        df = df.withColumn("reject_reason", guard)
     return df
 
 
