@@ -37,14 +37,11 @@ def gold_long(silver: DataFrame, rolling_days: int = ROLLING_DAYS, mean_scale: i
     engine-independent, results). Default: plain ``avg``."""
     w = series_window()
     frame = series_window(rolling_days)
-    prev = F.lag("value").over(w)
     if mean_scale is None:
         mean = F.avg("value").over(frame)
     else:
         mean = exact_mean(F.col("value"), mean_scale, frame)
-    out = silver.select(
-        *[c for c in silver.columns if c in LONG_COLUMNS],
-        pct_change(F.col("value"), prev).alias("change_pct"),
-        mean.alias("rolling_avg_30d"),
-    )
+    base = [c for c in silver.columns if c in LONG_COLUMNS]
+    out = silver.select(*base, F.lag("value").over(w).alias("_prev"), mean.alias("rolling_avg_30d"))
+    out = out.withColumn("change_pct", pct_change(F.col("value"), F.col("_prev")))
     return out.select(*LONG_COLUMNS)

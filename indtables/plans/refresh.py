@@ -28,6 +28,7 @@ from indtables.sources.gold import read_gold
 FEED_A_FOLDER = "banxico"
 FEED_B_FOLDER = "inegi"
 LINEAGE = [PULLED_AT, PULL_FILE]
+SERIES_ORDER = ["source", "indicator_id", "obs_date"]
 
 
 @dataclass
@@ -91,22 +92,27 @@ def run(
     labels: dict[str, str] | None = None,
     strict: bool = False,
     multi_line: bool = False,
+    total_order: bool = False,
 ) -> dict[str, int]:
-    """L4: the whole refresh. Returns row counts of every written table."""
+    """L4: the whole refresh. Returns row counts of every written table.
+
+    Silver and long are written sorted by (source, indicator_id, obs_date)
+    inside each file, wide by calendar_date; ``total_order`` adds a range
+    shuffle so the files also follow one another in key order."""
     paths = RefreshPaths(out_root)
     cand = conformed_candidates(spark, bronze_root, labels, strict, multi_line)
     if cand is not None:
         cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_parquet(enforce_not_null(build_silver(cand, spark)), paths.silver)
+        write_parquet(enforce_not_null(build_silver(cand, spark)), paths.silver, SERIES_ORDER, total_order)
         if cand is not None:
             write_parquet(rejected(cand), paths.rejects)
     finally:
         if cand is not None:
             cand.unpersist()
     silver = read_gold(spark, paths.silver)
-    write_parquet(gold_long(silver), paths.long)
-    write_parquet(gold_wide(silver, recent_window_days), paths.wide)
+    write_parquet(gold_long(silver), paths.long, SERIES_ORDER, total_order)
+    write_parquet(gold_wide(silver, recent_window_days), paths.wide, ["calendar_date"], total_order)
     counts = GoldCatalog(spark, paths.long, paths.wide).row_counts()
     counts["silver"] = read_gold(spark, paths.silver).count()
     return counts
