@@ -73,7 +73,7 @@ from indtables.sources.tables import (
     orders_tie_break,
     read_table,
 )
-from indtables.streaming.bronze_stream import conform_new_pulls
+from indtables.streaming.bronze_stream import conform_new_pulls, landed_rows
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 MONEY_SCALE = 2
@@ -243,7 +243,7 @@ def q_stream_intake(spark, root):
     write_bronze(orders_feed_a_docs(_orders(spark, root)), bronze, "banxico")
     landing = _scratch(spark, "landing")
     conform_new_pulls(spark, bronze, "a", landing, name=landing.rsplit("/", 1)[-1], labels=ORDER_LABELS)
-    return spark.read.parquet(landing).select(*SILVER_COLUMNS)
+    return landed_rows(spark, landing).select(*SILVER_COLUMNS)
 
 
 def q_refresh_counts(spark, root):

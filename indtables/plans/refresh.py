@@ -1,17 +1,22 @@
 """L1-L4: bronze -> silver -> gold long + gold wide, one callable.
 
 ``run(spark, bronze_root, out_root)`` can be called from any scheduler.
-Silver is written first and both gold tables are built from the *written*
-silver, which cuts the lineage: a lost executor later in the run recomputes
-from Parquet, not from the raw JSON. Every table is replaced, never
-appended, so a rerun gives the same rows.
+
+1. every bronze document is parsed once into *conformed candidates* (good
+   rows and rejects with their reason), written as a table;
+2. silver (deduped good rows) and the rejects table are read from it with
+   the reason filter pushed into the scan;
+3. both gold tables are built from the written silver.
+
+Each step reads a written table, so a lost executor recomputes from
+Parquet, never from the raw JSON, and the JSON parse runs exactly once.
+Every table is replaced, never appended, so a rerun gives the same rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +39,7 @@ SERIES_ORDER = ["source", "indicator_id", "obs_date"]
 @dataclass
 class RefreshPaths:
     root: str
+    conformed: str = field(init=False)
     silver: str = field(init=False)
     rejects: str = field(init=False)
     long: str = field(init=False)
@@ -41,6 +47,7 @@ class RefreshPaths:
 
     def __post_init__(self) -> None:
         r = self.root.rstrip("/")
+        self.conformed = f"{r}/silver/conformed"
         self.silver = f"{r}/silver/indicators"
         self.rejects = f"{r}/silver/rejects"
         self.long = f"{r}/gold/indicators_long"
@@ -101,15 +108,14 @@ def run(
     shuffle so the files also follow one another in key order."""
     paths = RefreshPaths(out_root)
     cand = conformed_candidates(spark, bronze_root, labels, strict, multi_line)
-    if cand is not None:
-        cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_parquet(enforce_not_null(build_silver(cand, spark)), paths.silver, SERIES_ORDER, total_order)
-        if cand is not None:
-            write_parquet(rejected(cand), paths.rejects)
-    finally:
-        if cand is not None:
-            cand.unpersist()
+    if cand is None:
+        write_parquet(enforce_not_null(build_silver(None, spark)), paths.silver)
+    else:
+        write_parquet(cand, paths.conformed)
+        conformed = read_gold(spark, paths.conformed)
+        silver = enforce_not_null(build_silver(conformed, spark))
+        write_parquet(silver, paths.silver, SERIES_ORDER, total_order)
+        write_parquet(rejected(conformed), paths.rejects)
     silver = read_gold(spark, paths.silver)
     write_parquet(gold_long(silver), paths.long, SERIES_ORDER, total_order)
     write_parquet(gold_wide(silver, recent_window_days), paths.wide, ["calendar_date"], total_order)

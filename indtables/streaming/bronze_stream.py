@@ -3,7 +3,8 @@
 Bronze is append-only, so instead of re-parsing every document on each run,
 a file stream picks up only the pulls landed since the last run
 (``trigger(availableNow=True)``: process what is there, then stop) and
-appends their conformed rows to a landing table. The stream's checkpoint
+appends their conformed candidates (good rows and rejects with a reason,
+the same table the batch refresh writes) to a landing table. The stream's checkpoint
 lives under the session's shared ``spark.checkpoint.dir``, so a restarted or
 re-run job resumes exactly where the last one committed.
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indtables.operators.conform import accepted, parse_feed_a, parse_feed_b
+from indtables.operators.conform import accepted, parse_feed_a, parse_feed_b, rejected
 from indtables.operators.silver import PULL_FILE, PULLED_AT, dedupe_observations
 from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA
 from indtables.session import ensure_checkpoint_dir
@@ -43,7 +44,7 @@ def conform_new_pulls(
     labels: dict[str, str] | None = None,
 ) -> int:
     """Parse the not-yet-seen documents of ``feed`` ("a" or "b", folder
-    ``banxico``/``inegi``) and append their good rows to ``landing_path``.
+    ``banxico``/``inegi``) and append their candidates to ``landing_path``.
     Returns the number of micro-batches run."""
     folder = {"a": "banxico", "b": "inegi"}[feed]
     schema = FEED_A_SCHEMA if feed == "a" else FEED_B_SCHEMA
@@ -51,8 +52,7 @@ def conform_new_pulls(
     cand = parse_feed_a(docs, labels=labels, carry=LINEAGE) if feed == "a" else parse_feed_b(docs, carry=LINEAGE)
     ckpt = f"{ensure_checkpoint_dir(spark)}/streams/{name or folder}"
     q = (
-        accepted(cand, carry=LINEAGE)
-        .writeStream.format("parquet")
+        cand.writeStream.format("parquet")
         .option("path", landing_path)
         .option("checkpointLocation", ckpt)
         .outputMode("append")
@@ -63,6 +63,16 @@ def conform_new_pulls(
     return len(q.recentProgress)
 
 
+def landed_rows(spark: SparkSession, landing_path: str) -> DataFrame:
+    """Good rows landed so far (conformed observations with lineage)."""
+    return accepted(spark.read.parquet(landing_path), carry=LINEAGE)
+
+
+def landed_rejects(spark: SparkSession, landing_path: str) -> DataFrame:
+    """Rejected rows landed so far, with their reason."""
+    return rejected(spark.read.parquet(landing_path))
+
+
 def silver_from_landing(spark: SparkSession, landing_path: str) -> DataFrame:
     """Silver over everything landed so far (batch dedupe)."""
-    return dedupe_observations(spark.read.parquet(landing_path))
+    return dedupe_observations(landed_rows(spark, landing_path))

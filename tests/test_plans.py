@@ -11,7 +11,7 @@ from indtables.plans.query import GoldCatalog
 from indtables.plans.refresh import RefreshPaths, run
 from indtables.sinks.writers import write_bronze
 from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA
-from indtables.streaming.bronze_stream import conform_new_pulls, silver_from_landing
+from indtables.streaming.bronze_stream import conform_new_pulls, landed_rejects, landed_rows, silver_from_landing
 
 
 def tiny_gold(spark, scratch):
@@ -81,6 +81,7 @@ def test_refresh_end_to_end_and_idempotent(spark, scratch):
     assert last["calendar_date"] == dt.date(2026, 6, 3) and last["fx_rate_usd_mxn"] == 17.9012
     assert last["poblacion_total_placeholder"] == 129201233.0
     assert spark.read.parquet(paths.rejects).count() == 0
+    assert spark.read.parquet(paths.conformed).count() == 2 * 7
 
 
 def test_refresh_with_only_one_feed(spark, scratch):
@@ -94,12 +95,13 @@ def test_stream_intake_only_new_pulls(spark, scratch):
     bronze, landing = os.path.join(scratch, "bronze"), os.path.join(scratch, "landing")
     land_fixtures(spark, bronze)
     conform_new_pulls(spark, bronze, "a", landing, name=os.path.basename(scratch))
-    assert spark.read.parquet(landing).count() == 4
+    assert landed_rows(spark, landing).count() == 4
     conform_new_pulls(spark, bronze, "a", landing, name=os.path.basename(scratch))
-    assert spark.read.parquet(landing).count() == 4  # nothing new landed
+    assert landed_rows(spark, landing).count() == 4  # nothing new landed
     land_fixtures(spark, bronze)
     conform_new_pulls(spark, bronze, "a", landing, name=os.path.basename(scratch))
-    assert spark.read.parquet(landing).count() == 8
+    assert landed_rows(spark, landing).count() == 8
+    assert landed_rejects(spark, landing).count() == 0
     assert silver_from_landing(spark, landing).count() == 4
 
 
