@@ -8,6 +8,8 @@ The dialect is Spark SQL.
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +76,20 @@ class GoldCatalog:
         long_path = write_csv(self.long(), f"{out}/indicators_long_csv", order_by=["source", "indicator_id", "obs_date"])
         wide_path = write_csv(self.wide(), f"{out}/indicators_wide_csv", order_by=["calendar_date"])
         return [long_path, wide_path]
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Export both gold tables of a refresh output root to CSV."""
+    p = argparse.ArgumentParser(description="Export the gold tables to CSV.")
+    p.add_argument("out_root", help="the refresh output root (holds gold/indicators_long, gold/indicators_wide)")
+    p.add_argument("export_dir")
+    args = p.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    root = args.out_root.rstrip("/")
+    cat = GoldCatalog(spark, f"{root}/gold/indicators_long", f"{root}/gold/indicators_wide")
+    paths = cat.export_csv(args.export_dir)
+    print(paths, cat.row_counts())
+
+
+if __name__ == "__main__":
+    main()

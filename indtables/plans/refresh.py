@@ -15,6 +15,7 @@ Every table is replaced, never appended, so a rerun gives the same rows.
 
 from __future__ import annotations
 
+import argparse
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -122,3 +123,22 @@ def run(
     counts = GoldCatalog(spark, paths.long, paths.wide).row_counts()
     counts["silver"] = read_gold(spark, paths.silver).count()
     return counts
+
+
+def main(argv: list[str] | None = None) -> None:
+    p = argparse.ArgumentParser(description="Refresh silver and gold from bronze.")
+    p.add_argument("bronze_root")
+    p.add_argument("out_root")
+    p.add_argument("--recent-window-days", type=int, default=RECENT_WINDOW_DAYS)
+    p.add_argument("--strict", action="store_true", help="fail on the first bad observation")
+    p.add_argument("--multi-line", action="store_true", help="bronze files hold one pretty-printed document")
+    p.add_argument("--total-order", action="store_true")
+    args = p.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    counts = run(spark, args.bronze_root, args.out_root, args.recent_window_days, strict=args.strict,
+                 multi_line=args.multi_line, total_order=args.total_order)
+    print(counts)
+
+
+if __name__ == "__main__":
+    main()

@@ -148,3 +148,32 @@ def test_queries_match_oracle_small(spark, key):
         return sorted(out)
 
     assert norm(got) == norm(want)
+
+
+def test_offline_chain_fallback_to_csv(spark, scratch):
+    """No feed reachable: synthetic pulls -> refresh -> CSV, all flagged."""
+    from indtables.plans.extract import land_fallback_pulls
+
+    bronze, out = os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
+    land_fallback_pulls(spark, bronze, dt.date(2026, 8, 28))
+    counts = run(spark, bronze, out)
+    # feed A: 401 daily FX rows + 13 month starts; feed B: 4 indicators x 6 months
+    assert counts["silver"] == 401 + 13 + 24
+    assert counts["indicators_wide"] == 401
+    paths = RefreshPaths(out)
+    long_ = spark.read.parquet(paths.long)
+    assert long_.filter("NOT is_fallback").count() == 0
+    wide = spark.read.parquet(paths.wide).orderBy("calendar_date").collect()
+    assert wide[-1]["fx_rate_usd_mxn"] == 17.5 and wide[-1]["igae_ivf"] == 100.0
+    assert wide[-1]["inpc_general"] == 130.0
+    # a later real pull of the same day wins over the synthetic one
+    real = {"is_fallback": False, "bmx": {"series": [{"idSerie": "SF43718",
+            "datos": [{"fecha": "28/08/2026", "dato": "18.25"}]}]}}
+    from conftest import docs_frame
+    write_bronze(docs_frame(spark, [real], "a"), bronze, "banxico")
+    run(spark, bronze, out)
+    row = spark.read.parquet(paths.silver).filter("indicator_id = 'SF43718' AND obs_date = DATE'2026-08-28'").collect()
+    assert len(row) == 1 and row[0]["value"] == 18.25 and row[0]["is_fallback"] is False
+    cat = GoldCatalog(spark, paths.long, paths.wide)
+    long_csv, wide_csv = cat.export_csv(os.path.join(scratch, "csv"))
+    assert spark.read.option("header", True).csv(wide_csv).count() == 401
