@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from indtables.functions.dates import day_month_year, period_start
 from indtables.functions.values import feed_a_missing, feed_b_missing
-from indtables.schemas import REJECT_SCHEMA, SILVER_COLUMNS
+from indtables.schemas import SILVER_COLUMNS
 
 # Feed A series ids and their labels; unmapped ids keep the id.
 FEED_A_LABELS = {"SF43718": "fx_rate_usd_mxn", "SP1": "inpc_general"}
@@ -26,8 +26,6 @@ FEED_A_SOURCE = "banxico"
 FEED_B_SOURCE = "inegi"
 FEED_B_DEFAULT_LABEL = "unknown"
 
-REJECT_COLUMNS = [f.name for f in REJECT_SCHEMA.fields]
-
 
 def label_for(indicator_id: Column, labels: Mapping[str, str] | None) -> Column:
     """Label lookup as a literal map: no join, id itself when unmapped."""
@@ -41,9 +39,10 @@ def label_for(indicator_id: Column, labels: Mapping[str, str] | None) -> Column:
 
 def label_join(rows: DataFrame, labels: DataFrame, id_col: str = "indicator_id", label_col: str = "label") -> DataFrame:
     """Label lookup against a label table (id, label) of any size: a left
-    join whose strategy AQE picks from measured sizes. Unmapped ids keep
-    their id as label."""
-    lab = labels.select(F.col(id_col).alias("_lab_id"), F.col(label_col).alias("_lab_label"))
+    join whose strategy AQE picks from measured sizes. An id listed twice
+    takes its smallest label (the join never multiplies rows); unmapped ids
+    keep their id as label."""
+    lab = labels.groupBy(F.col(id_col).alias("_lab_id")).agg(F.min(label_col).alias("_lab_label"))
     out = rows.join(lab, rows["indicator_id"] == lab["_lab_id"], "left")
     return out.withColumn("indicator_label", F.coalesce("_lab_label", "indicator_id")).drop("_lab_id", "_lab_label")
 

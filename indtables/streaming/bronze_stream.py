@@ -26,8 +26,11 @@ from indtables.session import ensure_checkpoint_dir
 LINEAGE = [PULLED_AT, PULL_FILE]
 
 
-def _stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    df = spark.readStream.schema(schema).option("mode", "FAILFAST").json(path)
+def _stream(spark: SparkSession, path: str, schema, max_files: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    df = reader.json(path)
     return df.select(
         "*",
         F.col("_metadata.file_modification_time").alias(PULLED_AT),
@@ -42,13 +45,16 @@ def conform_new_pulls(
     landing_path: str,
     name: str | None = None,
     labels: dict[str, str] | None = None,
+    max_files_per_batch: int | None = None,
 ) -> int:
     """Parse the not-yet-seen documents of ``feed`` ("a" or "b", folder
     ``banxico``/``inegi``) and append their candidates to ``landing_path``.
+    ``max_files_per_batch`` bounds each micro-batch, so a large backlog is
+    taken in several committed steps (``availableNow`` still drains it all).
     Returns the number of micro-batches run."""
     folder = {"a": "banxico", "b": "inegi"}[feed]
     schema = FEED_A_SCHEMA if feed == "a" else FEED_B_SCHEMA
-    docs = _stream(spark, f"{bronze_root.rstrip('/')}/{folder}", schema)
+    docs = _stream(spark, f"{bronze_root.rstrip('/')}/{folder}", schema, max_files_per_batch)
     cand = parse_feed_a(docs, labels=labels, carry=LINEAGE) if feed == "a" else parse_feed_b(docs, carry=LINEAGE)
     ckpt = f"{ensure_checkpoint_dir(spark)}/streams/{name or folder}"
     q = (

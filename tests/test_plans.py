@@ -105,6 +105,15 @@ def test_stream_intake_only_new_pulls(spark, scratch):
     assert silver_from_landing(spark, landing).count() == 4
 
 
+def test_stream_intake_bounded_batches(spark, scratch):
+    bronze, landing = os.path.join(scratch, "bronze"), os.path.join(scratch, "landing")
+    land_fixtures(spark, bronze, times=3)
+    batches = conform_new_pulls(spark, bronze, "b", landing, name=os.path.basename(scratch) + "b",
+                                max_files_per_batch=1)
+    assert batches >= 3
+    assert landed_rows(spark, landing).count() == 9
+
+
 def test_driver_contract(spark):
     import __spark_entry__ as E
 
