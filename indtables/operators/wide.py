@@ -73,6 +73,9 @@ def plan_inputs(silver: DataFrame, max_labels: int = MAX_LABELS) -> WidePlanInpu
         raise ValueError(f"more than {max_labels} indicator labels; raise max_labels to pivot them all")
     if not rows:
         return WidePlanInputs([], None, None, False)
+    unusable = [r[LABEL] for r in rows if r[LABEL] in ("", "calendar_date")]
+    if unusable:
+        raise ValueError(f"labels {unusable!r} cannot name a wide column; map them to other labels first")
     return WidePlanInputs(
         labels=sorted(r[LABEL] for r in rows),
         min_date=min(r["min_date"] for r in rows),
