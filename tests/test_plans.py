@@ -186,3 +186,21 @@ def test_offline_chain_fallback_to_csv(spark, scratch):
     cat = GoldCatalog(spark, paths.long, paths.wide)
     long_csv, wide_csv = cat.export_csv(os.path.join(scratch, "csv"))
     assert spark.read.option("header", True).csv(wide_csv).count() == 401
+
+
+def test_command_line_chain(scratch):
+    """extract -> refresh -> export as three separate processes."""
+    import subprocess
+    import sys
+
+    env = dict(os.environ, PYTHONPATH=str(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    bronze, out, csv = (os.path.join(scratch, x) for x in ("bronze", "out", "csv"))
+
+    def run_cli(*args):
+        r = subprocess.run([sys.executable, "-m", *args], env=env, capture_output=True, text=True, timeout=300)
+        assert r.returncode == 0, r.stderr[-2000:]
+        return r.stdout
+
+    run_cli("indtables.plans.extract", bronze, "--end-date", "2026-08-28")
+    assert "'indicators_wide': 401" in run_cli("indtables.plans.refresh", bronze, out)
+    assert "'indicators_long': 438" in run_cli("indtables.plans.query", out, csv)
