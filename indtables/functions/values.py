@@ -42,6 +42,14 @@ def exact_sum(c: Column, scale: int, window: WindowSpec | None = None) -> Column
     return s.cast("double") / F.lit(factor)
 
 
+def exact_sum_sql(expr: str, scale: int, over: str | None = None) -> str:
+    """``exact_sum`` as SQL text, for windows the DataFrame API cannot
+    spell (RANGE frames with INTERVAL bounds)."""
+    factor = float(10**scale)
+    win = f" OVER ({over})" if over else ""
+    return f"(CAST(sum(CAST(round(({expr}) * {factor}) AS DECIMAL(38,0))){win} AS DOUBLE) / {factor})"
+
+
 def exact_mean(c: Column, scale: int, window: WindowSpec | None = None) -> Column:
     """AVG as the exact fixed-point SUM over COUNT (see ``exact_sum``)."""
     n = F.count(c) if window is None else F.count(c).over(window)
