@@ -47,9 +47,11 @@ def dedupe_observations(obs: DataFrame, tie_break: Sequence[Column] | None = Non
 
 def enforce_not_null(df: DataFrame, columns: Sequence[str] = tuple(SILVER_COLUMNS)) -> DataFrame:
     """Not-null contract checked while the rows stream by (no extra scan):
-    a NULL in any listed column fails the job that materialises ``df``."""
-    out = df
-    for c in columns:
-        guard = F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in not-null column {c}")))
-        out = out.withColumn(c, F.coalesce(guard.cast(df.schema[c].dataType), F.col(c)))
-    return out
+    a NULL in any listed column fails the job that materialises ``df``.
+
+    Written as a filter that is true for good rows and raises otherwise, so
+    the columns and the plan's row order are left untouched."""
+    cond = F.lit(True)
+    for c in reversed(list(columns)):
+        cond = F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in not-null column {c}")).cast("boolean")).otherwise(cond)
+    return df.filter(cond)
