@@ -219,6 +219,27 @@ def q_parse_feed_b(spark, root):
     return accepted(_feed_b_candidates(spark, root), carry=["pull_id"])
 
 
+def q_parse_defaults(spark, root):
+    """P5: what absent fields become (flag, ids, labels), over both feeds."""
+    cols = ["pull_id", "source", "indicator_id", "indicator_label", "is_fallback"]
+    a = accepted(_feed_a_candidates(spark, root), carry=["pull_id"]).select(*cols)
+    b = accepted(_feed_b_candidates(spark, root), carry=["pull_id"]).select(*cols)
+    return union_feeds(a, b)
+
+
+def q_value_cast(spark, root):
+    """Every non-missing feed B value text, its number and its verdict."""
+    return _feed_b_candidates(spark, root).select("pull_id", "raw_value", "value", "reject_reason")
+
+
+def q_silver(spark, root):
+    """L1: both feeds' documents (from orders) -> conformed -> deduped silver;
+    the newest pull (highest pull id) wins among equally real rows."""
+    a = accepted(_feed_a_candidates(spark, root), carry=["pull_id"])
+    b = accepted(_feed_b_candidates(spark, root), carry=["pull_id"])
+    return dedupe_observations(union_feeds(a, b), [F.col("pull_id").desc()])
+
+
 def q_conform_rejects(spark, root):
     return rejected(_feed_b_candidates(spark, root))
 
@@ -585,6 +606,27 @@ def _oracles() -> dict[str, str]:
         "parse_feed_a": _FEED_A_ROWS,
         "parse_feed_b": _FEED_B_ROWS,
         "conform_rejects": _REJECTS,
+        "parse_defaults": f"""
+            SELECT pull_id, source, indicator_id, indicator_label, is_fallback FROM ({_FEED_A_ROWS}) a
+            UNION ALL
+            SELECT pull_id, source, indicator_id, indicator_label, is_fallback FROM ({_FEED_B_ROWS}) b""",
+        "value_cast": f"""
+            SELECT o_orderkey AS pull_id,
+                   CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'O'
+                        THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || ' MXN'
+                        ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS raw_value,
+                   CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'O' THEN NULL
+                        ELSE {_money("o_totalprice")} END AS value,
+                   CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' THEN 'bad_period'
+                        WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'O' THEN 'bad_value' END AS reject_reason
+            FROM orders WHERE o_orderstatus <> 'P'""",
+        "silver": f"""
+            SELECT {_SILVER_COLS} FROM (
+              SELECT *, row_number() OVER (PARTITION BY source, indicator_id, obs_date
+                                           ORDER BY is_fallback ASC, pull_id DESC, value DESC,
+                                                    indicator_label ASC) AS rn
+              FROM (SELECT * FROM ({_FEED_A_ROWS}) a UNION ALL SELECT * FROM ({_FEED_B_ROWS}) b) u) t
+            WHERE rn = 1""",
         "union_feeds": f"{fx_a} UNION ALL {li_b}",
         "bronze_scan": _FEED_A_ROWS,
         "stream_intake": fx_a,
@@ -689,7 +731,8 @@ def oracle_sql() -> dict[str, str]:
 QUERY_NAMES = [
     "silver_dedup", "gold_long", "gold_long_lineitem", "change_pct", "change_pct_guard", "rolling_avg_30d",
     "gold_wide", "wide_ffill", "distinct_labels", "date_bounds", "calendar", "wide_pivot", "calendar_join",
-    "wide_trim", "label_lookup", "label_join", "parse_feed_a", "parse_feed_b", "conform_rejects",
+    "wide_trim", "label_lookup", "label_join", "parse_feed_a", "parse_feed_b", "parse_defaults", "value_cast",
+    "conform_rejects", "silver",
     "union_feeds", "bronze_scan", "stream_intake", "refresh_counts", "fallback_daily", "fallback_monthly",
     "fallback_registry", "fallback_by_source", "fallback_by_indicator", "sql_suffix_long", "sql_suffix_wide",
     "row_counts", "gold_scan_long", "gold_scan_wide", "csv_scan_typed", "csv_scan_wide",
