@@ -47,13 +47,14 @@ class GoldCatalog:
         self.wide().createOrReplaceTempView(WIDE_VIEW)
 
     def query_long(self, sql_suffix: str = "") -> DataFrame:
-        """Q1: ``SELECT * FROM indicators_long <sql_suffix>``."""
-        self.long().createOrReplaceTempView(LONG_VIEW)
+        """Q1: ``SELECT * FROM indicators_long <sql_suffix>``. Both tables are
+        registered, so the tail may name either."""
+        self.register()
         return self.spark.sql(f"SELECT * FROM {LONG_VIEW} {sql_suffix}")
 
     def query_wide(self, sql_suffix: str = "") -> DataFrame:
         """Q2: ``SELECT * FROM indicators_wide <sql_suffix>``."""
-        self.wide().createOrReplaceTempView(WIDE_VIEW)
+        self.register()
         return self.spark.sql(f"SELECT * FROM {WIDE_VIEW} {sql_suffix}")
 
     def row_counts_frame(self) -> DataFrame:

@@ -36,6 +36,8 @@ def test_query_suffix_columns_and_counts(spark, scratch):
     assert cat.row_counts() == {"indicators_long": 2, "indicators_wide": 2}
     got = cat.query_long("WHERE obs_date > DATE '2026-06-01'").collect()
     assert len(got) == 1 and got[0]["change_pct"] == 0.28
+    joined = cat.query_long("JOIN indicators_wide w ON w.calendar_date = obs_date WHERE w.fx_rate_usd_mxn > 17.86")
+    assert joined.count() == 1
 
 
 def test_suffix_filter_reaches_the_scan(spark, scratch):
