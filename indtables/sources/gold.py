@@ -13,6 +13,10 @@ from indtables.schemas import LONG_SCHEMA
 _MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
+def _is_missing(e: AnalysisException) -> bool:
+    return (e.getCondition() or "") in _MISSING or "Unable to infer schema" in str(e)
+
+
 def _missing(path: str) -> FileNotFoundError:
     return FileNotFoundError(
         f"No gold table at {path}: run the refresh (indtables.plans.refresh.run) to build it first."
@@ -26,7 +30,7 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if (e.getCondition() or "") in _MISSING:
+        if _is_missing(e):
             raise _missing(path) from e
         raise
 
@@ -44,7 +48,7 @@ def read_csv_typed(spark: SparkSession, path: str, schema: StructType = LONG_SCH
             .csv(path)
         )
     except AnalysisException as e:
-        if (e.getCondition() or "") in _MISSING:
+        if _is_missing(e):
             raise _missing(path) from e
         raise
 

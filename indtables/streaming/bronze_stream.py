@@ -69,6 +69,46 @@ def conform_new_pulls(
     return len(q.recentProgress)
 
 
+def _ensure_dir(spark: SparkSession, path: str) -> None:
+    """A file stream needs its folder to exist; create it (any Hadoop URI)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def conform_new_pulls_all(
+    spark: SparkSession,
+    bronze_root: str,
+    landing_path: str,
+    name: str,
+    labels: dict[str, str] | None = None,
+    max_files_per_batch: int | None = None,
+) -> int:
+    """Both feeds in one stream (a union of the two file sources): one
+    sink, one checkpoint, so the landing table is committed atomically per
+    micro-batch. Returns the number of micro-batches run."""
+    root = bronze_root.rstrip("/")
+    parts = []
+    for folder, schema, parse in (
+        ("banxico", FEED_A_SCHEMA, lambda d: parse_feed_a(d, labels=labels, carry=LINEAGE)),
+        ("inegi", FEED_B_SCHEMA, lambda d: parse_feed_b(d, carry=LINEAGE)),
+    ):
+        _ensure_dir(spark, f"{root}/{folder}")
+        parts.append(parse(_stream(spark, f"{root}/{folder}", schema, max_files_per_batch)))
+    cand = parts[0].unionByName(parts[1])
+    ckpt = f"{ensure_checkpoint_dir(spark)}/streams/{name}"
+    q = (
+        cand.writeStream.format("parquet")
+        .option("path", landing_path)
+        .option("checkpointLocation", ckpt)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return len(q.recentProgress)
+
+
 def landed_rows(spark: SparkSession, landing_path: str) -> DataFrame:
     """Good rows landed so far (conformed observations with lineage)."""
     return accepted(spark.read.parquet(landing_path), carry=LINEAGE)

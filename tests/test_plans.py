@@ -206,3 +206,27 @@ def test_command_line_chain(scratch):
     run_cli("indtables.plans.extract", bronze, "--end-date", "2026-08-28")
     assert "'indicators_wide': 401" in run_cli("indtables.plans.refresh", bronze, out)
     assert "'indicators_long': 438" in run_cli("indtables.plans.query", out, csv)
+
+
+def test_incremental_refresh_matches_full(spark, scratch):
+    """Incremental runs after each landing == one full run over all pulls."""
+    from conftest import docs_frame
+    from indtables.plans.extract import land_fallback_pulls
+
+    bronze, inc, full = (os.path.join(scratch, x) for x in ("bronze", "inc", "full"))
+    assert run(spark, bronze, inc, incremental=True)["silver"] == 0  # nothing landed yet
+    land_fixtures(spark, bronze)
+    first = run(spark, bronze, inc, incremental=True)
+    assert first["silver"] == 7
+    revised = {"is_fallback": False, "bmx": {"series": [{"idSerie": "SF43718", "datos": [
+        {"fecha": "01/06/2026", "dato": "17.9"}, {"fecha": "04/06/2026", "dato": "18.1"}]}]}}
+    write_bronze(docs_frame(spark, [revised], "a"), bronze, "banxico")
+    land_fallback_pulls(spark, bronze, dt.date(2026, 6, 4), lookback_days=10)
+    assert run(spark, bronze, inc, incremental=True) == run(spark, bronze, full)
+    pi, pf = RefreshPaths(inc), RefreshPaths(full)
+    for t in ("silver", "long", "wide", "rejects"):
+        a = sorted(spark.read.parquet(getattr(pi, t)).collect())
+        b = sorted(spark.read.parquet(getattr(pf, t)).collect())
+        assert a == b, t
+    fx = spark.read.parquet(pi.silver).filter("indicator_id = 'SF43718' AND obs_date = DATE'2026-06-01'").collect()
+    assert fx[0]["value"] == 17.9  # the newer real pull revised the day
