@@ -69,11 +69,10 @@ def conform_new_pulls(
     return len(q.recentProgress)
 
 
-def _ensure_dir(spark: SparkSession, path: str) -> None:
-    """A file stream needs its folder to exist; create it (any Hadoop URI)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+def _ensure_dir(spark: SparkSession, path: str, schema) -> None:
+    """A file stream needs its folder to exist: appending an empty frame
+    creates it (with no documents) on any filesystem."""
+    spark.createDataFrame([], schema).write.mode("append").json(path)
 
 
 def conform_new_pulls_all(
@@ -93,7 +92,7 @@ def conform_new_pulls_all(
         ("banxico", FEED_A_SCHEMA, lambda d: parse_feed_a(d, labels=labels, carry=LINEAGE)),
         ("inegi", FEED_B_SCHEMA, lambda d: parse_feed_b(d, carry=LINEAGE)),
     ):
-        _ensure_dir(spark, f"{root}/{folder}")
+        _ensure_dir(spark, f"{root}/{folder}", schema)
         parts.append(parse(_stream(spark, f"{root}/{folder}", schema, max_files_per_batch)))
     cand = parts[0].unionByName(parts[1])
     ckpt = f"{ensure_checkpoint_dir(spark)}/streams/{name}"
