@@ -35,14 +35,20 @@ def default_tie_break(df: DataFrame) -> list[Column]:
     return order
 
 
-def dedupe_observations(obs: DataFrame, tie_break: Sequence[Column] | None = None) -> DataFrame:
+def dedupe_observations(
+    obs: DataFrame, tie_break: Sequence[Column] | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
     """Keep rank 1 per key: ``is_fallback`` ascending, then ``tie_break``,
-    then value descending and label ascending. Returns the silver columns."""
+    then value descending and label ascending. Returns the silver columns
+    (plus ``carry``, e.g. the pull lineage, so a later run can merge new
+    rows into this result: the pick is a maximum under a total order, so
+    ``dedupe(previous result + new rows) == dedupe(all rows)``)."""
     order = [F.col("is_fallback").asc()]
     order += list(default_tie_break(obs) if tie_break is None else tie_break)
     order += [F.col("value").desc(), F.col("indicator_label").asc()]
     w = Window.partitionBy(*SILVER_KEY).orderBy(*order)
-    return obs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).select(*SILVER_COLUMNS)
+    out = obs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    return out.select(*SILVER_COLUMNS, *carry)
 
 
 def enforce_not_null(df: DataFrame, columns: Sequence[str] = tuple(SILVER_COLUMNS)) -> DataFrame:

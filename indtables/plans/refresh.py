@@ -17,17 +17,19 @@ from __future__ import annotations
 
 import argparse
 import hashlib
+import time
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from indtables.operators.conform import accepted, parse_feed_a, parse_feed_b, rejected, union_feeds
 from indtables.operators.long import gold_long
 from indtables.operators.silver import PULL_FILE, PULLED_AT, dedupe_observations, enforce_not_null
 from indtables.operators.wide import RECENT_WINDOW_DAYS, gold_wide
 from indtables.plans.query import GoldCatalog
-from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA, SILVER_SCHEMA
+from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
 from indtables.sinks.writers import write_parquet
 from indtables.sources.bronze import read_bronze
 from indtables.sources.gold import read_gold
@@ -42,14 +44,21 @@ SERIES_ORDER = ["source", "indicator_id", "obs_date"]
 class RefreshPaths:
     root: str
     conformed: str = field(init=False)
+    state: str = field(init=False)
     silver: str = field(init=False)
     rejects: str = field(init=False)
     long: str = field(init=False)
     wide: str = field(init=False)
 
+    def slot(self, name: str) -> str:
+        """Silver with pull lineage, kept for the incremental merge (two
+        slots used in turn: a run never overwrites what it reads)."""
+        return f"{self.root.rstrip('/')}/silver/_merged_{name}"
+
     def __post_init__(self) -> None:
         r = self.root.rstrip("/")
         self.conformed = f"{r}/silver/conformed"
+        self.state = f"{r}/silver/_state"
         self.silver = f"{r}/silver/indicators"
         self.rejects = f"{r}/silver/rejects"
         self.long = f"{r}/gold/indicators_long"
@@ -111,35 +120,34 @@ def run(
     shuffle so the files also follow one another in key order.
 
     ``incremental``: parse only the pulls landed since the last run (a file
-    stream with its checkpoint under ``spark.checkpoint.dir``) and append
-    them to the conformed table; silver and gold are then rebuilt from that
-    columnar table. Same results as a full run, but the JSON parse is paid
-    once per pull. Use one mode per ``out_root``: a full run replaces the
-    conformed table the incremental mode appends to."""
+    stream with its checkpoint under ``spark.checkpoint.dir``), append them
+    to the conformed table, and merge their good rows into the previous
+    silver (kept with its pull lineage). The dedupe picks a maximum under a
+    total order, so merging gives exactly the full run's silver while a run
+    costs O(silver + new pulls) instead of O(every pull ever landed). A
+    tiny state table (current slot, last merged ingest id) is written only
+    after the new silver is complete, so a failure anywhere just redoes
+    the merge. Use one mode per ``out_root``."""
     paths = RefreshPaths(out_root)
     if incremental:
         if strict or multi_line:
             raise ValueError("incremental refresh reads JSON-lines bronze and keeps rejects; "
                              "strict / multi_line need a full run")
-        from indtables.streaming.bronze_stream import conform_new_pulls_all
-
-        name = "refresh-" + hashlib.sha1(paths.root.rstrip("/").encode()).hexdigest()[:16]
-        conform_new_pulls_all(spark, bronze_root, paths.conformed, name, labels=labels)
-        try:
-            cand = read_gold(spark, paths.conformed)
-        except FileNotFoundError:  # nothing has landed yet
-            cand = None
-    else:
-        cand = conformed_candidates(spark, bronze_root, labels, strict, multi_line)
+        _merge_new_pulls(spark, bronze_root, paths, labels)
+        return _gold(spark, paths, recent_window_days, total_order)
+    cand = conformed_candidates(spark, bronze_root, labels, strict, multi_line)
     if cand is None:
         write_parquet(enforce_not_null(build_silver(None, spark)), paths.silver)
     else:
-        if not incremental:
-            write_parquet(cand, paths.conformed)
+        write_parquet(cand, paths.conformed)
         conformed = read_gold(spark, paths.conformed)
         silver = enforce_not_null(build_silver(conformed, spark))
         write_parquet(silver, paths.silver, SERIES_ORDER, total_order)
         write_parquet(rejected(conformed), paths.rejects)
+    return _gold(spark, paths, recent_window_days, total_order)
+
+
+def _gold(spark: SparkSession, paths: RefreshPaths, recent_window_days, total_order: bool) -> dict[str, int]:
     silver = read_gold(spark, paths.silver)
     write_parquet(gold_long(silver), paths.long, SERIES_ORDER, total_order)
     write_parquet(gold_wide(silver, recent_window_days), paths.wide, ["calendar_date"], total_order)
@@ -148,6 +156,43 @@ def run(
     return counts
 
 
+# ------------------------------------------------------------ incremental
+
+def _read_state(spark: SparkSession, paths: RefreshPaths) -> tuple[str | None, int]:
+    """(current slot, last merged ingest id); none yet -> (None, -1)."""
+    try:
+        row = read_gold(spark, paths.state).first()
+    except FileNotFoundError:
+        return None, -1
+    return (row["slot"], row["merged_through"]) if row else (None, -1)
+
+
+def _merge_new_pulls(spark: SparkSession, bronze_root: str, paths: RefreshPaths, labels) -> None:
+    """Land the new pulls, merge their good rows into the previous silver."""
+    from indtables.streaming.bronze_stream import INGEST_ID, conform_new_pulls_all
+
+    slot, merged_through = _read_state(spark, paths)
+    ingest_id = max(int(time.time() * 1000), merged_through + 1)
+    name = "refresh-" + hashlib.sha1(paths.root.rstrip("/").encode()).hexdigest()[:16]
+    conform_new_pulls_all(spark, bronze_root, paths.conformed, name, labels=labels, ingest_id=ingest_id)
+    try:
+        conformed = read_gold(spark, paths.conformed)
+    except FileNotFoundError:  # nothing has landed yet
+        write_parquet(spark.createDataFrame([], SILVER_SCHEMA), paths.silver)
+        return
+    # Only rows landed after the last merge (older files skip by their
+    # row-group statistics on the ingest id).
+    new = accepted(conformed.filter(F.col(INGEST_ID) > merged_through), carry=LINEAGE)
+    rows = new if slot is None else new.unionByName(read_gold(spark, paths.slot(slot)))
+    target = "b" if slot == "a" else "a"
+    write_parquet(dedupe_observations(rows, carry=LINEAGE), paths.slot(target), SERIES_ORDER)
+    state = spark.createDataFrame([(target, ingest_id)], "slot string, merged_through long")
+    write_parquet(state.coalesce(1), paths.state)  # one row; written only after the slot is complete
+    silver = read_gold(spark, paths.slot(target)).select(*SILVER_COLUMNS)
+    write_parquet(enforce_not_null(silver), paths.silver, SERIES_ORDER)
+    write_parquet(rejected(conformed), paths.rejects)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Refresh silver and gold from bronze.")
     p.add_argument("bronze_root")

@@ -24,6 +24,7 @@ from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA
 from indtables.session import ensure_checkpoint_dir
 
 LINEAGE = [PULLED_AT, PULL_FILE]
+INGEST_ID = "_ingest_id"
 
 
 def _stream(spark: SparkSession, path: str, schema, max_files: int | None) -> DataFrame:
@@ -82,10 +83,13 @@ def conform_new_pulls_all(
     name: str,
     labels: dict[str, str] | None = None,
     max_files_per_batch: int | None = None,
+    ingest_id: int | None = None,
 ) -> int:
     """Both feeds in one stream (a union of the two file sources): one
     sink, one checkpoint, so the landing table is committed atomically per
-    micro-batch. Returns the number of micro-batches run."""
+    micro-batch. ``ingest_id`` tags every row landed by this call (column
+    ``_ingest_id``), so a later step can pick out what is new. Returns the
+    number of micro-batches run."""
     root = bronze_root.rstrip("/")
     parts = []
     for folder, schema, parse in (
@@ -95,6 +99,8 @@ def conform_new_pulls_all(
         _ensure_dir(spark, f"{root}/{folder}", schema)
         parts.append(parse(_stream(spark, f"{root}/{folder}", schema, max_files_per_batch)))
     cand = parts[0].unionByName(parts[1])
+    if ingest_id is not None:
+        cand = cand.withColumn(INGEST_ID, F.lit(ingest_id).cast("long"))
     ckpt = f"{ensure_checkpoint_dir(spark)}/streams/{name}"
     q = (
         cand.writeStream.format("parquet")

@@ -230,3 +230,42 @@ def test_incremental_refresh_matches_full(spark, scratch):
         assert a == b, t
     fx = spark.read.parquet(pi.silver).filter("indicator_id = 'SF43718' AND obs_date = DATE'2026-06-01'").collect()
     assert fx[0]["value"] == 17.9  # the newer real pull revised the day
+
+
+def test_incremental_merge_over_several_runs_and_a_lost_state_write(spark, scratch):
+    from conftest import docs_frame
+    from indtables.plans.extract import land_fallback_pulls
+
+    bronze, inc = os.path.join(scratch, "bronze"), os.path.join(scratch, "inc")
+    paths = RefreshPaths(inc)
+
+    def pull(day_values, fallback=False):
+        doc = {"is_fallback": fallback, "bmx": {"series": [{"idSerie": "SF43718", "datos": [
+            {"fecha": d, "dato": v} for d, v in day_values]}]}}
+        write_bronze(docs_frame(spark, [doc], "a"), bronze, "banxico")
+
+    def same_as_full(tag):
+        full = os.path.join(scratch, "full-" + tag)
+        assert run(spark, bronze, inc, incremental=True) == run(spark, bronze, full)
+        for t in ("silver", "long", "wide"):
+            a = sorted(spark.read.parquet(getattr(paths, t)).collect())
+            b = sorted(spark.read.parquet(getattr(RefreshPaths(full), t)).collect())
+            assert a == b, (tag, t)
+
+    pull([("01/06/2026", "17.0"), ("02/06/2026", "17.1")])
+    same_as_full("1")
+    pull([("02/06/2026", "99.0"), ("03/06/2026", "17.3")], fallback=True)  # synthetic never beats real
+    land_fallback_pulls(spark, bronze, dt.date(2026, 6, 5), lookback_days=6)
+    same_as_full("2")
+    same_as_full("3")  # nothing new
+    saved = spark.read.parquet(paths.state).collect()
+    pull([("03/06/2026", "17.25")])  # a real figure for a day that was synthetic
+    run(spark, bronze, inc, incremental=True)
+    # Lose the last state write: the next run must redo the merge and agree.
+    spark.createDataFrame(saved, "slot string, merged_through long").write.mode("overwrite").parquet(paths.state)
+    pull([("01/06/2026", "17.05")])  # a revision of a real figure
+    same_as_full("4")
+    got = {str(r["obs_date"]): (r["value"], r["is_fallback"]) for r in spark.read.parquet(paths.silver)
+           .filter("indicator_id = 'SF43718'").collect()}
+    assert got["2026-06-01"] == (17.05, False) and got["2026-06-02"] == (17.1, False)
+    assert got["2026-06-03"] == (17.25, False)
