@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indtables.functions.values import exact_sum
+from indtables.functions.names import named
 
 # The labels and source each sheet filters on.
 FX_LABEL = "fx_rate_usd_mxn"
@@ -148,7 +149,7 @@ def kpi_latest(wide: DataFrame, labels: Sequence[str] = KPI_LABELS) -> DataFrame
     One hash aggregate (``max_by``), no sort of the table."""
     return wide.agg(
         F.max("calendar_date").alias("calendar_date"),
-        *[F.max_by(F.col(f"`{l}`"), "calendar_date").alias(l) for l in labels],
+        *[F.max_by(named(l), "calendar_date").alias(l) for l in labels],
     )
 
 
@@ -162,7 +163,7 @@ def kpi_shipped(
     when MAX(calendar_date) is the frozen date (one row, or none)."""
     agg = wide.agg(
         F.max("calendar_date").alias("max_calendar_date"),
-        *[_sum(F.col(f"`{l}`"), sum_scale).alias(f"sum_{l}") for l in labels],
+        *[_sum(named(l), sum_scale).alias(f"sum_{l}") for l in labels],
     )
     d = F.to_date(F.lit(frozen_date))
     return agg.filter(F.col("max_calendar_date").between(d, d))

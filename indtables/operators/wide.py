@@ -32,6 +32,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from indtables.functions.names import named
+
 RECENT_WINDOW_DAYS = 400
 # Guard on the width of the pivot: more labels raise instead of building a
 # table with that many columns.
@@ -168,7 +170,7 @@ def gold_wide(
         "value",
     )
     wide = days.groupBy("calendar_date").pivot(LABEL, inputs.labels).agg(F.first("value"))
-    return wide.select("calendar_date", *[F.col(f"`{l}`") for l in inputs.labels])
+    return wide.select("calendar_date", *[named(l) for l in inputs.labels])
 
 
 def ffill_single_window(joined: DataFrame, labels: list[str]) -> DataFrame:
@@ -177,7 +179,7 @@ def ffill_single_window(joined: DataFrame, labels: list[str]) -> DataFrame:
     ``gold_wide`` against and to measure the difference."""
     w = Window.orderBy("calendar_date").rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
-        "calendar_date", *[F.last(F.col(f"`{l}`"), ignorenulls=True).over(w).alias(l) for l in labels]
+        "calendar_date", *[F.last(named(l), ignorenulls=True).over(w).alias(l) for l in labels]
     )
 
 

@@ -133,7 +133,7 @@ def run(
         if strict or multi_line:
             raise ValueError("incremental refresh reads JSON-lines bronze and keeps rejects; "
                              "strict / multi_line need a full run")
-        _merge_new_pulls(spark, bronze_root, paths, labels)
+        _merge_new_pulls(spark, bronze_root, paths, labels, total_order)
         return _gold(spark, paths, recent_window_days, total_order)
     cand = conformed_candidates(spark, bronze_root, labels, strict, multi_line)
     if cand is None:
@@ -167,7 +167,9 @@ def _read_state(spark: SparkSession, paths: RefreshPaths) -> tuple[str | None, i
     return (row["slot"], row["merged_through"]) if row else (None, -1)
 
 
-def _merge_new_pulls(spark: SparkSession, bronze_root: str, paths: RefreshPaths, labels) -> None:
+def _merge_new_pulls(
+    spark: SparkSession, bronze_root: str, paths: RefreshPaths, labels, total_order: bool = False
+) -> None:
     """Land the new pulls, merge their good rows into the previous silver."""
     from indtables.streaming.bronze_stream import INGEST_ID, conform_new_pulls_all
 
@@ -189,7 +191,7 @@ def _merge_new_pulls(spark: SparkSession, bronze_root: str, paths: RefreshPaths,
     state = spark.createDataFrame([(target, ingest_id)], "slot string, merged_through long")
     write_parquet(state.coalesce(1), paths.state)  # one row; written only after the slot is complete
     silver = read_gold(spark, paths.slot(target)).select(*SILVER_COLUMNS)
-    write_parquet(enforce_not_null(silver), paths.silver, SERIES_ORDER)
+    write_parquet(enforce_not_null(silver), paths.silver, SERIES_ORDER, total_order)
     write_parquet(rejected(conformed), paths.rejects)
 
 

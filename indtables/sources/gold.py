@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from indtables.schemas import LONG_SCHEMA
+from indtables.functions.names import named
 
 _MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -58,5 +59,5 @@ def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
     names them; ``calendar_date`` is a DATE, every other column a DOUBLE."""
     raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
     cols = [F.col("calendar_date").cast("date").alias("calendar_date")]
-    cols += [F.col(f"`{c}`").cast("double").alias(c) for c in raw.columns if c != "calendar_date"]
+    cols += [named(c).cast("double").alias(c) for c in raw.columns if c != "calendar_date"]
     return raw.select(*cols)
