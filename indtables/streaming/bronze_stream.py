@@ -4,17 +4,20 @@ Bronze is append-only, so instead of re-parsing every document on each run,
 a file stream picks up only the pulls landed since the last run
 (``trigger(availableNow=True)``: process what is there, then stop) and
 appends their conformed candidates (good rows and rejects with a reason,
-the same table the batch refresh writes) to a landing table. The stream's checkpoint
-lives under the session's shared ``spark.checkpoint.dir``, so a restarted or
-re-run job resumes exactly where the last one committed.
+the same table the batch refresh writes) to a landing table. The stream's
+checkpoint lives under the session's shared ``spark.checkpoint.dir``, so a
+restarted or re-run job resumes exactly where the last one committed.
 
 The parse is the batch parse: every step is a stateless column expression,
-valid on a streaming DataFrame. Silver is then the dedupe over the whole
-landing table, identical to the batch result.
+valid on a streaming DataFrame. ``silver_from_landing`` dedupes the whole
+landing table; the incremental refresh instead merges only the newly landed
+rows into the previous silver (``plans.refresh``). Both equal the batch
+result.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,9 +74,14 @@ def conform_new_pulls(
 
 
 def _ensure_dir(spark: SparkSession, path: str, schema) -> None:
-    """A file stream needs its folder to exist: appending an empty frame
-    creates it (with no documents) on any filesystem."""
-    spark.createDataFrame([], schema).write.mode("append").json(path)
+    """A file stream needs its folder to exist. When it is missing, writing
+    an empty frame creates it (no documents) on any filesystem."""
+    try:
+        spark.read.schema(schema).json(path)
+    except AnalysisException as e:
+        if (e.getCondition() or "") != "PATH_NOT_FOUND":
+            raise
+        spark.createDataFrame([], schema).write.mode("append").json(path)
 
 
 def conform_new_pulls_all(
