@@ -126,3 +126,13 @@ def test_wide_csv_round_trip(spark, scratch):
     back = read_wide_csv(spark, write_csv(wide, os.path.join(scratch, "w")))
     assert back.columns == ["calendar_date", "a b", "c"]
     assert sorted(back.collect()) == sorted(wide.collect())
+
+
+def test_gold_scan_other_errors_pass_through(spark, scratch):
+    bad = os.path.join(scratch, "corrupt")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "wb") as f:
+        f.write(b"not a parquet file at all")
+    with pytest.raises(Exception) as info:
+        read_gold(spark, bad).collect()
+    assert not isinstance(info.value, FileNotFoundError)
