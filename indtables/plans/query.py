@@ -79,6 +79,27 @@ class GoldCatalog:
         return [long_path, wide_path]
 
 
+def catalog(spark: SparkSession, out_root: str) -> GoldCatalog:
+    """The gold tables a refresh wrote under ``out_root``."""
+    root = out_root.rstrip("/")
+    return GoldCatalog(spark, f"{root}/gold/indicators_long", f"{root}/gold/indicators_wide")
+
+
+def query_long(spark: SparkSession, out_root: str, sql_suffix: str = "") -> DataFrame:
+    """``SELECT * FROM indicators_long <sql_suffix>`` over a refresh output."""
+    return catalog(spark, out_root).query_long(sql_suffix)
+
+
+def query_wide(spark: SparkSession, out_root: str, sql_suffix: str = "") -> DataFrame:
+    """``SELECT * FROM indicators_wide <sql_suffix>`` over a refresh output."""
+    return catalog(spark, out_root).query_wide(sql_suffix)
+
+
+def row_counts(spark: SparkSession, out_root: str) -> dict[str, int]:
+    """``{"indicators_long": n, "indicators_wide": m}`` of a refresh output."""
+    return catalog(spark, out_root).row_counts()
+
+
 def main(argv: list[str] | None = None) -> None:
     """Export both gold tables of a refresh output root to CSV."""
     p = argparse.ArgumentParser(description="Export the gold tables to CSV.")
@@ -86,8 +107,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("export_dir")
     args = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    root = args.out_root.rstrip("/")
-    cat = GoldCatalog(spark, f"{root}/gold/indicators_long", f"{root}/gold/indicators_wide")
+    cat = catalog(spark, args.out_root)
     paths = cat.export_csv(args.export_dir)
     print(paths, cat.row_counts())
 

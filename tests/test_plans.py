@@ -76,6 +76,11 @@ def test_refresh_end_to_end_and_idempotent(spark, scratch):
     # latest day 2026-06-03, window 400 days back, 1990 value carried as seed
     assert counts["indicators_wide"] == 401
     assert run(spark, bronze, out) == counts
+    from indtables.plans.query import query_long, query_wide, row_counts
+
+    assert row_counts(spark, out) == {"indicators_long": 7, "indicators_wide": 401}
+    assert query_long(spark, out, "WHERE source = 'inegi'").count() == 3
+    assert query_wide(spark, out, "WHERE fx_rate_usd_mxn IS NOT NULL").count() == 3
     paths = RefreshPaths(out)
     wide = spark.read.parquet(paths.wide)
     assert wide.columns == ["calendar_date", "fx_rate_usd_mxn", "inpc_general", "poblacion_total_placeholder"]
