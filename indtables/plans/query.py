@@ -71,11 +71,15 @@ class GoldCatalog:
         reach the driver, no rows)."""
         return {r["table_name"]: r["row_count"] for r in self.row_counts_frame().collect()}
 
-    def export_csv(self, out_dir: str) -> list[str]:
-        """Both tables as CSV folders under ``out_dir``; returns paths."""
+    def export_csv(self, out_dir: str, single_file: bool = False) -> list[str]:
+        """Both tables as CSV folders under ``out_dir``; returns paths.
+        ``single_file`` puts each table in one part file (small tables only,
+        see ``write_csv``)."""
         out = out_dir.rstrip("/")
-        long_path = write_csv(self.long(), f"{out}/indicators_long_csv", order_by=["source", "indicator_id", "obs_date"])
-        wide_path = write_csv(self.wide(), f"{out}/indicators_wide_csv", order_by=["calendar_date"])
+        long_path = write_csv(self.long(), f"{out}/indicators_long_csv",
+                              order_by=["source", "indicator_id", "obs_date"], single_file=single_file)
+        wide_path = write_csv(self.wide(), f"{out}/indicators_wide_csv", order_by=["calendar_date"],
+                              single_file=single_file)
         return [long_path, wide_path]
 
 
@@ -105,10 +109,11 @@ def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Export the gold tables to CSV.")
     p.add_argument("out_root", help="the refresh output root (holds gold/indicators_long, gold/indicators_wide)")
     p.add_argument("export_dir")
+    p.add_argument("--single-file", action="store_true", help="one CSV file per table (small tables only)")
     args = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     cat = catalog(spark, args.out_root)
-    paths = cat.export_csv(args.export_dir)
+    paths = cat.export_csv(args.export_dir, single_file=args.single_file)
     print(paths, cat.row_counts())
 
 

@@ -44,10 +44,31 @@ def write_parquet(
     return path
 
 
-def write_csv(df: DataFrame, path: str, order_by: Sequence[str] | None = None, total: bool = True) -> str:
+# Largest table ``write_csv(single_file=True)`` accepts: one task writes it.
+SINGLE_FILE_MAX_ROWS = 5_000_000
+
+
+def write_csv(
+    df: DataFrame,
+    path: str,
+    order_by: Sequence[str] | None = None,
+    total: bool = True,
+    single_file: bool = False,
+) -> str:
     """K4: header row, comma, UTF-8; NULL becomes an empty field, booleans
     ``true``/``false``, dates ISO. Replaced in place on rerun. A folder of
-    part files; the header is repeated in each part."""
+    part files; the header is repeated in each part.
+
+    ``single_file``: one part file, for tools that open exactly one file.
+    One task writes it, so it is refused above ``SINGLE_FILE_MAX_ROWS`` rows
+    (checked with a count first)."""
+    if single_file:
+        n = df.count()
+        if n > SINGLE_FILE_MAX_ROWS:
+            raise ValueError(f"{n} rows is too many for one CSV file (max {SINGLE_FILE_MAX_ROWS}); "
+                             "export the folder of parts instead")
+        df = df.coalesce(1)
+        total = False
     (
         _ordered(df, order_by, total)
         .write.mode("overwrite")

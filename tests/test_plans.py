@@ -58,6 +58,12 @@ def test_csv_export(spark, scratch):
     long_csv, wide_csv = cat.export_csv(os.path.join(scratch, "csv"))
     assert cat.export_csv(os.path.join(scratch, "csv")) == [long_csv, wide_csv]  # rerun replaces
     assert spark.read.option("header", True).csv(long_csv).count() == 2
+    long_csv, wide_csv = cat.export_csv(os.path.join(scratch, "csv1"), single_file=True)
+    parts = [f for f in os.listdir(long_csv) if f.endswith(".csv")]
+    assert len(parts) == 1
+    lines = open(os.path.join(long_csv, parts[0])).read().splitlines()
+    assert lines[0].startswith("source,indicator_id") and len(lines) == 3
+    assert [ln.split(",")[3] for ln in lines[1:]] == ["2026-06-01", "2026-06-02"]  # ordered
 
 
 def land_fixtures(spark, bronze, times=1):
