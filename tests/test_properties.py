@@ -83,3 +83,46 @@ def test_long_matches_brute_force(spark):
             if c is not None:
                 assert abs(gc - c) <= 1e-9 * max(1.0, abs(c)), k
             assert abs(gm - m) <= 1e-9 * max(1.0, abs(m)), k
+
+
+def brute_wide(rows, window):
+    """rows: (label, date, value), one per (label, date). Latest value at or
+    before each day, for every day of the trimmed calendar."""
+    dates = [d for _, d, _ in rows]
+    lo, hi = min(dates), max(dates)
+    start = lo if window is None else max(lo, hi - dt.timedelta(days=window))
+    labels = sorted({l for l, _, _ in rows})
+    out = []
+    day = start
+    while day <= hi:
+        vals = []
+        for l in labels:
+            past = [(d, v) for ll, d, v in rows if ll == l and d <= day]
+            vals.append(max(past)[1] if past else None)
+        out.append((day, *vals))
+        day += dt.timedelta(days=1)
+    return labels, out
+
+
+SERIES = st.dictionaries(
+    st.sampled_from(["a", "b", "c"]),
+    st.dictionaries(st.integers(0, 120), st.integers(-50, 50), min_size=1, max_size=8),
+    min_size=1,
+)
+
+
+@settings(max_examples=12, deadline=None)
+@given(SERIES, st.sampled_from([None, 0, 3, 30, 400]))
+def test_wide_matches_brute_force(spark, series, window):
+    from indtables.operators.wide import gold_wide
+
+    base = dt.date(2024, 1, 1)
+    rows = [(l, base + dt.timedelta(days=o), float(v)) for l, pts in series.items() for o, v in pts.items()]
+    df = spark.createDataFrame(
+        [("s", l, l, d, v, False) for l, d, v in rows],
+        "source string, indicator_id string, indicator_label string, obs_date date, value double, is_fallback boolean",
+    )
+    labels, want = brute_wide(rows, window)
+    got = gold_wide(df, window)
+    assert got.columns == ["calendar_date", *labels]
+    assert sorted(tuple(r) for r in got.collect()) == want
