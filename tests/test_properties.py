@@ -126,3 +126,40 @@ def test_wide_matches_brute_force(spark, series, window):
     got = gold_wide(df, window)
     assert got.columns == ["calendar_date", *labels]
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+OBS = st.lists(
+    st.tuples(
+        st.sampled_from(["x", "y"]),          # indicator
+        st.integers(0, 3),                    # day offset
+        st.integers(-3, 3),                   # value
+        st.booleans(),                        # is_fallback
+        st.integers(0, 4),                    # pull time (hours)
+        st.sampled_from(["f1", "f2", "f3"]),  # pull file
+        st.sampled_from(["L", "M"]),          # label
+    ),
+    min_size=1,
+    max_size=30,
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(OBS)
+def test_dedupe_matches_brute_force(spark, obs):
+    from indtables.operators.silver import dedupe_observations
+
+    base = dt.datetime(2026, 1, 1)
+    rows = [("s", i, lab, dt.date(2026, 1, 1) + dt.timedelta(days=d), float(v), fb,
+             base + dt.timedelta(hours=h), f) for i, d, v, fb, h, f, lab in obs]
+    df = spark.createDataFrame(rows, "source string, indicator_id string, indicator_label string, obs_date date, "
+                                     "value double, is_fallback boolean, _pulled_at timestamp, _pull_file string")
+    best = {}
+    for r in rows:
+        key = (r[0], r[1], r[3])
+        # real first, newest pull, then file name, then larger value, then smaller label
+        rank = (r[5], -r[6].timestamp(), [-ord(c) for c in r[7]], -r[4], r[2])
+        if key not in best or rank < best[key][0]:
+            best[key] = (rank, r)
+    want = sorted((r[0], r[1], r[2], r[3], r[4], r[5]) for _, r in best.values())
+    got = sorted(tuple(x) for x in dedupe_observations(df).collect())
+    assert got == want
