@@ -112,6 +112,7 @@ def run(
     multi_line: bool = False,
     total_order: bool = False,
     incremental: bool = False,
+    max_files_per_batch: int | None = None,
 ) -> dict[str, int]:
     """L4: the whole refresh. Returns row counts of every written table.
 
@@ -127,13 +128,14 @@ def run(
     costs O(silver + new pulls) instead of O(every pull ever landed). A
     tiny state table (current slot, last merged ingest id) is written only
     after the new silver is complete, so a failure anywhere just redoes
-    the merge. Use one mode per ``out_root``."""
+    the merge. ``max_files_per_batch`` drains a large backlog of pulls in
+    several committed micro-batches. Use one mode per ``out_root``."""
     paths = RefreshPaths(out_root)
     if incremental:
         if strict or multi_line:
             raise ValueError("incremental refresh reads JSON-lines bronze and keeps rejects; "
                              "strict / multi_line need a full run")
-        _merge_new_pulls(spark, bronze_root, paths, labels, total_order)
+        _merge_new_pulls(spark, bronze_root, paths, labels, total_order, max_files_per_batch)
         return _gold(spark, paths, recent_window_days, total_order)
     cand = conformed_candidates(spark, bronze_root, labels, strict, multi_line)
     if cand is None:
@@ -168,7 +170,12 @@ def _read_state(spark: SparkSession, paths: RefreshPaths) -> tuple[str | None, i
 
 
 def _merge_new_pulls(
-    spark: SparkSession, bronze_root: str, paths: RefreshPaths, labels, total_order: bool = False
+    spark: SparkSession,
+    bronze_root: str,
+    paths: RefreshPaths,
+    labels,
+    total_order: bool = False,
+    max_files_per_batch: int | None = None,
 ) -> None:
     """Land the new pulls, merge their good rows into the previous silver."""
     from indtables.streaming.bronze_stream import INGEST_ID, conform_new_pulls_all
@@ -176,7 +183,8 @@ def _merge_new_pulls(
     slot, merged_through = _read_state(spark, paths)
     ingest_id = max(int(time.time() * 1000), merged_through + 1)
     name = "refresh-" + hashlib.sha1(paths.root.rstrip("/").encode()).hexdigest()[:16]
-    conform_new_pulls_all(spark, bronze_root, paths.conformed, name, labels=labels, ingest_id=ingest_id)
+    conform_new_pulls_all(spark, bronze_root, paths.conformed, name, labels=labels,
+                          max_files_per_batch=max_files_per_batch, ingest_id=ingest_id)
     try:
         conformed = read_gold(spark, paths.conformed)
     except FileNotFoundError:  # nothing has landed yet
@@ -204,10 +212,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--multi-line", action="store_true", help="bronze files hold one pretty-printed document")
     p.add_argument("--total-order", action="store_true")
     p.add_argument("--incremental", action="store_true", help="parse only pulls landed since the last run")
+    p.add_argument("--max-files-per-batch", type=int, default=None, help="incremental: bound each micro-batch")
     args = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     counts = run(spark, args.bronze_root, args.out_root, args.recent_window_days, strict=args.strict,
-                 multi_line=args.multi_line, total_order=args.total_order, incremental=args.incremental)
+                 multi_line=args.multi_line, total_order=args.total_order, incremental=args.incremental,
+                 max_files_per_batch=args.max_files_per_batch)
     print(counts)
 
 

@@ -264,6 +264,9 @@ def test_incremental_merge_over_several_runs_and_a_lost_state_write(spark, scrat
             assert a == b, (tag, t)
 
     pull([("01/06/2026", "17.0"), ("02/06/2026", "17.1")])
+    pull([("02/06/2026", "17.1")])
+    # a backlog of pulls, drained one file per micro-batch
+    assert run(spark, bronze, inc, incremental=True, max_files_per_batch=1)["silver"] == 2
     same_as_full("1")
     pull([("02/06/2026", "99.0"), ("03/06/2026", "17.3")], fallback=True)  # synthetic never beats real
     land_fallback_pulls(spark, bronze, dt.date(2026, 6, 5), lookback_days=6)
