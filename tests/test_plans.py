@@ -130,7 +130,7 @@ def test_stream_intake_bounded_batches(spark, scratch):
 def test_driver_contract(spark):
     import __spark_entry__ as E
 
-    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(E.oracle_sql()) == set(E.queries())  # every query has its SQL twin
     df = E.entry(spark)
     assert df.columns[-2:] == ["change_pct", "rolling_avg_30d"]
     assert df.count() > 0
