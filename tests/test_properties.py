@@ -163,3 +163,38 @@ def test_dedupe_matches_brute_force(spark, obs):
     want = sorted((r[0], r[1], r[2], r[3], r[4], r[5]) for _, r in best.values())
     got = sorted(tuple(x) for x in dedupe_observations(df).collect())
     assert got == want
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False), min_size=1, max_size=40))
+def test_exact_sum_column_and_sql_forms_agree(spark, xs):
+    from indtables.functions.values import exact_sum, exact_sum_sql
+
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    a = df.agg(exact_sum(F.col("x"), 8).alias("s")).first()["s"]
+    b = df.agg(F.expr(exact_sum_sql("x", 8)).alias("s")).first()["s"]
+    c = df.repartition(7).agg(exact_sum(F.col("x"), 8).alias("s")).first()["s"]
+    assert a == b == c  # and independent of how rows are partitioned
+
+
+DAY_TEXT = st.one_of(
+    st.builds(lambda d, m, y: f"{d}/{m}/{y}", st.integers(0, 33), st.integers(0, 13), st.integers(1999, 2031)),
+    st.builds(lambda d, m, y: f"{d:02d}/{m:02d}/{y}", st.integers(0, 33), st.integers(0, 13), st.integers(1999, 2031)),
+    st.text(alphabet="0123456789/", max_size=10),
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(DAY_TEXT, min_size=1, max_size=40))
+def test_day_month_year_matches_python(spark, texts):
+    from indtables.functions.dates import day_month_year
+
+    def py(t):
+        try:
+            return dt.datetime.strptime(t, "%d/%m/%Y").date()
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["d"] for r in df.select(day_month_year(F.col("t")).alias("d")).collect()]
+    assert got == [py(t) for t in texts]

@@ -136,3 +136,14 @@ def test_gold_scan_other_errors_pass_through(spark, scratch):
     with pytest.raises(Exception) as info:
         read_gold(spark, bad).collect()
     assert not isinstance(info.value, FileNotFoundError)
+
+
+def test_single_file_csv_refuses_large_tables(spark, scratch, monkeypatch):
+    from indtables.sinks import writers
+
+    monkeypatch.setattr(writers, "SINGLE_FILE_MAX_ROWS", 5)
+    df = spark.range(10).withColumnRenamed("id", "n")
+    with pytest.raises(ValueError, match="too many for one CSV file"):
+        writers.write_csv(df, os.path.join(scratch, "big"), single_file=True)
+    writers.write_csv(df.limit(5), os.path.join(scratch, "small"), single_file=True)
+    assert len([f for f in os.listdir(os.path.join(scratch, "small")) if f.endswith(".csv")]) == 1
