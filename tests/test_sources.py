@@ -147,3 +147,8 @@ def test_single_file_csv_refuses_large_tables(spark, scratch, monkeypatch):
         writers.write_csv(df, os.path.join(scratch, "big"), single_file=True)
     writers.write_csv(df.limit(5), os.path.join(scratch, "small"), single_file=True)
     assert len([f for f in os.listdir(os.path.join(scratch, "small")) if f.endswith(".csv")]) == 1
+
+
+def test_csv_scan_missing_path_is_clear(spark, scratch):
+    with pytest.raises(FileNotFoundError, match="refresh"):
+        read_csv_typed(spark, os.path.join(scratch, "no-csv"))
