@@ -34,13 +34,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     A cluster names it; we only pick our own when it is unset (local tests),
-    and then under a fresh scratch folder."""
+    and then under a fresh scratch folder. Works on classic and Spark Connect
+    sessions (the latter have no SparkContext)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="indtables-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
