@@ -305,3 +305,12 @@ def test_refresh_total_order(spark, scratch):
         tbl = pq.read_table(f, columns=["source", "indicator_id", "obs_date"])
         rows += list(zip(*(tbl.column(c).to_pylist() for c in ("source", "indicator_id", "obs_date"))))
     assert rows == sorted(rows) and len(rows) == spark.read.parquet(pb.long).count()
+
+
+def test_incremental_intake_fails_loudly_on_malformed_json(spark, scratch):
+    bronze, inc = os.path.join(scratch, "bronze"), os.path.join(scratch, "inc")
+    os.makedirs(os.path.join(bronze, "banxico"))
+    with open(os.path.join(bronze, "banxico", "broken.json"), "w") as f:
+        f.write('{"bmx": {"series": [ this is not json\n')
+    with pytest.raises(Exception):
+        run(spark, bronze, inc, incremental=True)
