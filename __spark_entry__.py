@@ -190,7 +190,8 @@ def q_wide_trim(spark, root):
 
 def q_label_lookup(spark, root):
     obs = orders_observations(_orders(spark, root))
-    return obs.select("o_orderkey", "indicator_id", label_for(F.col("indicator_id"), ORDER_LABELS).alias("indicator_label"))
+    label = label_for(F.col("indicator_id"), ORDER_LABELS).alias("indicator_label")
+    return obs.select("o_orderkey", "indicator_id", label)
 
 
 def q_label_join(spark, root):
@@ -564,7 +565,10 @@ _SILVER_COLS = "source, indicator_id, indicator_label, obs_date, value, is_fallb
 
 
 def _pull_ends(where: str = "") -> str:
-    return f"SELECT o_custkey AS pull_id, CAST(max(o_orderdate) AS DATE) AS end_d FROM orders {where} GROUP BY o_custkey"
+    return (
+        f"SELECT o_custkey AS pull_id, CAST(max(o_orderdate) AS DATE) AS end_d "
+        f"FROM orders {where} GROUP BY o_custkey"
+    )
 
 
 def _synthetic_days(pulls: str, lookback: int, sid: str, label: str, value: str, month_start: bool) -> str:
@@ -598,12 +602,15 @@ def _oracles() -> dict[str, str]:
            l_returnflag = 'R' AS is_fallback
     FROM lineitem"""
     failed = "SELECT c_custkey FROM customer WHERE c_acctbal < 0"
+    orders_only = "AND source = 'orders'"
     out = {
         "silver_dedup": silver,
         "gold_long": long_,
         "gold_long_lineitem": _long_sql(_lineitem_silver_sql()),
         "change_pct": f"SELECT {key}, value, change_pct FROM ({long_}) l",
-        "change_pct_guard": f"SELECT {key}, value, change_pct FROM ({_long_sql(_lineitem_silver_sql('l_discount'))}) l",
+        "change_pct_guard": (
+            f"SELECT {key}, value, change_pct FROM ({_long_sql(_lineitem_silver_sql('l_discount'))}) l"
+        ),
         "rolling_avg_30d": f"SELECT {key}, value, rolling_avg_30d FROM ({long_}) l",
         "gold_wide": wide,
         "wide_ffill": _wide_sql(silver, PRIORITIES, None),
@@ -660,7 +667,8 @@ def _oracles() -> dict[str, str]:
             SELECT 'silver' AS table_name, count(*) AS row_count FROM s
             UNION ALL SELECT 'rejects', CAST(0 AS BIGINT)
             UNION ALL SELECT 'indicators_long', count(*) FROM s
-            UNION ALL SELECT 'indicators_wide', CAST(max_d - greatest(max_d - {RECENT_WINDOW_DAYS}, min_d) + 1 AS BIGINT)
+            UNION ALL SELECT 'indicators_wide',
+                             CAST(max_d - greatest(max_d - {RECENT_WINDOW_DAYS}, min_d) + 1 AS BIGINT)
                       FROM d""",
         "fallback_daily": _synthetic_days(_pull_ends(), DAILY_LOOKBACK, "SF43718", "fx_rate_usd_mxn", "17.5", False),
         "fallback_monthly": _synthetic_days(_pull_ends(), PULL_LOOKBACK_DAYS, "SP1", "inpc_general", "130.0", True),
@@ -710,11 +718,11 @@ def _oracles() -> dict[str, str]:
                    {x8("CASE WHEN indicator_label = '3-MEDIUM' THEN value END")} AS sum_igae_level,
                    {x8("CASE WHEN indicator_label = '4-NOT SPECIFIED' THEN value END")} AS sum_igae_yoy_pct
             FROM ({long_}) l WHERE indicator_label IN ('3-MEDIUM', '4-NOT SPECIFIED') GROUP BY 1""",
-        "report_headcount_spec": f"SELECT {key}, value {lab('5-LOW', 'AND source = ' + chr(39) + 'orders' + chr(39))}",
+        "report_headcount_spec": f"SELECT {key}, value {lab('5-LOW', orders_only)}",
         "report_headcount_shipped": f"""
             SELECT CAST(year(obs_date) AS INTEGER) AS obs_year, {x8("value")} AS sum_value
             {lab('5-LOW', "AND source = 'orders'")} GROUP BY 1""",
-        "report_rate_spec": f"SELECT {key}, value {lab('4-NOT SPECIFIED', 'AND source = ' + chr(39) + 'orders' + chr(39))}",
+        "report_rate_spec": f"SELECT {key}, value {lab('4-NOT SPECIFIED', orders_only)}",
         "report_rate_shipped": f"""
             SELECT CAST(year(obs_date) AS INTEGER) AS obs_year, {x8("value")} AS sum_value
             {lab('4-NOT SPECIFIED', "AND source = 'orders'")} GROUP BY 1""",

@@ -59,5 +59,6 @@ def enforce_not_null(df: DataFrame, columns: Sequence[str] = tuple(SILVER_COLUMN
     the columns and the plan's row order are left untouched."""
     cond = F.lit(True)
     for c in reversed(list(columns)):
-        cond = F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in not-null column {c}")).cast("boolean")).otherwise(cond)
+        fail = F.raise_error(F.lit(f"NULL in not-null column {c}")).cast("boolean")
+        cond = F.when(F.col(c).isNull(), fail).otherwise(cond)
     return df.filter(cond)

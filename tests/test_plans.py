@@ -299,7 +299,8 @@ def test_refresh_total_order(spark, scratch):
     assert run(spark, bronze, a) == run(spark, bronze, b, total_order=True)
     pa, pb = RefreshPaths(a), RefreshPaths(b)
     for t in ("silver", "long", "wide"):
-        assert sorted(spark.read.parquet(getattr(pa, t)).collect()) == sorted(spark.read.parquet(getattr(pb, t)).collect())
+        got, want = (sorted(spark.read.parquet(getattr(x, t)).collect()) for x in (pb, pa))
+        assert got == want, t
     rows = []
     for f in sorted(glob.glob(os.path.join(pb.long, "part-*.parquet"))):
         tbl = pq.read_table(f, columns=["source", "indicator_id", "obs_date"])
