@@ -75,6 +75,17 @@ from indtables.sources.tables import (
 )
 from indtables.streaming.bronze_stream import conform_new_pulls, landed_rows
 
+# The training-data operators are optional: without their subpackage or the
+# pipeline module the other queries stay as they are.
+LLM_MODULES = ("indtables.llm", "indtables.llm.queries", "corpus_pipeline")
+try:
+    import corpus_pipeline as _pipeline
+    from indtables.llm import queries as _llm
+except ModuleNotFoundError as e:
+    if e.name not in LLM_MODULES:
+        raise
+    _llm = _pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 MONEY_SCALE = 2
 PCT_SCALE = 8
@@ -751,12 +762,20 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     g = globals()
-    return {name: g[f"q_{name}"] for name in QUERY_NAMES}
+    found = {name: g[f"q_{name}"] for name in QUERY_NAMES}
+    if _llm is not None:
+        found |= _llm.queries() | {"pipeline": _pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     o = _oracles()
-    return {k: o[k] for k in QUERY_NAMES if k in o}
+    found = {k: o[k] for k in QUERY_NAMES if k in o}
+    if _llm is not None:
+        found |= _llm.oracle_sql()
+        if _pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = _pipeline.ORACLE_SQL
+    return found
 
 
 QUERY_NAMES = [

@@ -4,6 +4,7 @@ checkpoint folder of whatever session the caller hands us."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,13 +32,12 @@ def local_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
-
-    A cluster names it; we only pick our own when it is unset (local tests),
-    and then under a fresh scratch folder. Works on classic and Spark Connect
-    sessions (the latter have no SparkContext)."""
+    """The shared folder for intermediate tables, stream checkpoints and
+    scratch output: the one the session names in ``spark.checkpoint.dir`` (or
+    an earlier ``setCheckpointDir``). Where neither is set, a session in
+    ``local`` mode gets a scratch folder of its own; on a cluster that would
+    be one machine's disk, so the missing setting is an error there."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext on the client
@@ -45,8 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getCheckpointDir()
     if not configured:
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="indtables-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
