@@ -6,7 +6,10 @@ input, whatever they are called, neither clash nor travel."""
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,6 +19,24 @@ from pyspark.sql import functions as F
 from indtables.session import ensure_checkpoint_dir
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per application;
+    they then need no path of their own to it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = pathlib.Path(__file__).resolve().parent.parent
+    path = pathlib.Path(tempfile.mkdtemp(prefix=f"{package.name}-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in package.rglob("*.py"):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -42,6 +63,7 @@ def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.Re
 
 
 def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 

@@ -5,10 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from indtables.llm import bpe, decontaminate, token_counts
+from indtables.llm import bpe, decontaminate, quality, simhash, token_counts
 from indtables.llm.common import table
 
 
+def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -24,7 +32,9 @@ def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op4_simhash": q_simhash,
         "op7_token_counts": q_tokens,
+        "op8_quality": q_quality,
         "op9_bpe": q_bpe,
         "op10_decontaminate": q_decontaminate,
     }
