@@ -5,10 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from indtables.llm import bpe, decontaminate, quality, simhash, token_counts
+from indtables.llm import bpe, decontaminate, quality, secret_scan, simhash, token_counts, url_filter
 from indtables.llm.common import table
 
 
+# Fixed values of the url query's contract.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.findings(table(spark, sf_dir, "documents"))
+
+
+def q_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
@@ -32,6 +44,8 @@ def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op2_secret_scan": q_secrets,
+        "op3_url_filter": q_urls,
         "op4_simhash": q_simhash,
         "op7_token_counts": q_tokens,
         "op8_quality": q_quality,
