@@ -5,10 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from indtables.llm import bpe, decontaminate, quality, secret_scan, simhash, token_counts, url_filter
+from indtables.llm import bpe, decontaminate, embedding_dedup, license_scan, quality, secret_scan, simhash, token_counts, url_filter
 from indtables.llm.common import table
 
 
+def q_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), min_cosine=0.9)
+
+
+def q_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
 # Fixed values of the url query's contract.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -44,9 +52,11 @@ def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_embedding_dedup": q_embeddings,
         "op2_secret_scan": q_secrets,
         "op3_url_filter": q_urls,
         "op4_simhash": q_simhash,
+        "op6_license_scan": q_licenses,
         "op7_token_counts": q_tokens,
         "op8_quality": q_quality,
         "op9_bpe": q_bpe,
