@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from indtables.llm import bpe, decontaminate, embedding_dedup, license_scan, quality, secret_scan, simhash, token_counts, url_filter
+from indtables.llm import bpe, decontaminate, embedding_dedup, license_scan, quality, secret_scan, simhash, suffix_dedup, token_counts, url_filter
 from indtables.llm.common import table
 
 
@@ -13,6 +13,10 @@ def q_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), min_cosine=0.9)
 
 
+def q_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.duplicate_spans(table(spark, sf_dir, "documents"), width=50))
+
+
 def q_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licenses(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def queries() -> dict:
         "op2_secret_scan": q_secrets,
         "op3_url_filter": q_urls,
         "op4_simhash": q_simhash,
+        "op5_suffix_dedup": q_suffixes,
         "op6_license_scan": q_licenses,
         "op7_token_counts": q_tokens,
         "op8_quality": q_quality,
