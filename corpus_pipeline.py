@@ -2,23 +2,64 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet in the session's shared folder and read back as the next one's
-documents."""
+documents. All but the last return the columns of documents.
+
+1. Quality classifier: documents outside the Gumbel top-k go; k follows from
+   the calibrated threshold, so clean documents stay.
+2. SimHash near-dedup: of each group one document stays, the smallest id
+   (3-word shingles, at most 2 differing bits; rows that repeat an id are one
+   document). Documents without an id stay, nothing else names them.
+3. Benchmark decontamination: documents with a hit go.
+4. Secret scan: each secret is replaced by a mask.
+5. BPE: token ids of what is left, and their count."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from indtables.llm import bpe
+from indtables.llm import bpe, decontaminate, quality, secret_scan, simhash
 from indtables.llm.common import cut, table
 
+SHINGLE, MAX_BITS = 3, 2
+
+
+def _recount(docs: DataFrame) -> DataFrame:
+    """``n_chars`` follows a changed text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.kept(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(docs, shingle=SHINGLE, max_bits=MAX_BITS)
+    rest = cut(groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "pipeline-copies")
+    return docs.join(rest, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _recount(secret_scan.redact(docs))
+
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept texts as token ids."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    ids = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return ids.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
-STAGES = [("bpe encoding", encode)]
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("simhash near-dedup", keep_one),
+    ("benchmark decontamination", drop_leaks),
+    ("secret scan", mask_secrets),
+    ("bpe encoding", encode),
+]
 
 # No stage's decisions can be stated in SQL; tests compare with brute force.
 ORACLE_SQL = None

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from indtables.session import ensure_checkpoint_dir
 
@@ -50,7 +51,7 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = 512) -> DataFrame:
+def map_batches(df: DataFrame, schema: str | StructType, fn: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = 512) -> DataFrame:
     """``fn`` over Arrow batches of at most ``rows`` rows, so the memory of a
     task follows the batch and not the partition."""
 
@@ -67,6 +68,23 @@ def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
+def with_row(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, row): ``row`` holds the other columns, so names that an
+    operator adds cannot clash with them."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    ship(docs.sparkSession)
+    return docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(*others).alias("row")
+    )
+
+
+def without_row(df: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return df.select(*[
+        F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns
+    ])
+
+
 def connected_components(edges: DataFrame, what: str, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``, component being
     the smallest node reachable.

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indtables.llm.common import cut, id_text, map_batches
+from indtables.llm.common import cut, id_text, map_batches, with_row, without_row
 
 BLOCK_BYTES = 8 * 1024 * 1024
 WINDOW_WORDS = 10
@@ -40,6 +40,7 @@ _TABLE = bytes(
 )
 _WORD = re.compile(rb"[^ ]+")
 SPAN = "struct<start: int, end: int>"
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
 def words(text: str | None) -> list[bytes]:
@@ -110,36 +111,24 @@ def char_spans(text: str, runs: list[tuple[int, int]]) -> list[dict[str, int]]:
 _automata: dict[str, object] = {}
 
 
-def contaminated(
-    docs: DataFrame,
-    items: DataFrame,
-    n: int = WINDOW_WORDS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-    block_bytes: int = BLOCK_BYTES,
-    with_text: bool = False,
+def _scanned(
+    rows: DataFrame, items: DataFrame, n: int, item_col: str, item_text_col: str, block_bytes: int
 ) -> DataFrame:
-    """One row per document: id, n_words, n_hit, items (sorted ids), spans
-    (character offsets of the hit runs), and the text where asked for."""
-    sc = docs.sparkSession.sparkContext
+    """Adds n_words, runs (of words) and items to rows with a ``text``."""
+    sc = rows.sparkSession.sparkContext
     items = items.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
         F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("words"),
     )
     total = items.agg(F.sum(F.octet_length("words") + F.octet_length("item"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    rows = id_text(docs, id_col, text_col)
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, text string, n_words long, runs array<{SPAN}>, items array<string>"
     rows = rows.withColumns(
         {"n_words": F.lit(0).cast("long"), "runs": F.expr(f"cast(array() as array<{SPAN}>)"),
          "items": F.expr("cast(array() as array<string>)")}
     )
     for block in range(blocks):
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == block)
-        held = sc.broadcast([(r["item"], r["words"]) for r in part.collect()])
+        held = sc.broadcast([(r["item"], r["words"]) for r in part.collect()])  # at most about block_bytes
         key = hashlib.sha1(repr((n, sorted(held.value))).encode()).hexdigest()
 
         def fn(batch: pa.RecordBatch, held=held, key=key) -> pa.RecordBatch:
@@ -153,27 +142,59 @@ def contaminated(
                 new = merge_runs(new + [(r["start"], r["end"]) for r in old_runs]) if old_runs else new
                 runs.append([{"start": a, "end": b} for a, b in new])
                 found.append(sorted(ids.union(old_items)))
-            arrays = [batch.column("id"), batch.column("text"), pa.array(n_words, pa.int64()),
-                      pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                      pa.array(found, pa.list_(pa.string()))]
-            return pa.record_batch(arrays, names=["id", "text", "n_words", "runs", "items"])
+            new = {"n_words": pa.array(n_words, pa.int64()), "runs": pa.array(runs, SPANS),
+                   "items": pa.array(found, pa.list_(pa.string()))}
+            names = batch.schema.names
+            return pa.record_batch([new.get(c, batch.column(c)) for c in names], names=names)
 
-        rows = map_batches(rows, schema, fn)
+        rows = map_batches(rows, rows.schema, fn)
         if block + 1 < blocks:
             rows = cut(rows, "decontaminate")  # one automaton in memory at a time
+    return rows
+
+
+def contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    n: int = WINDOW_WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """One row per document: id, n_words, n_hit, items (sorted ids), spans
+    (character offsets of the hit runs)."""
+    rows = _scanned(id_text(docs, id_col, text_col), items, n, item_col, item_text_col, block_bytes)
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
         spans = [
             char_spans(t, [(r["start"], r["end"]) for r in runs]) if runs else []
             for t, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist())
         ]
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        return pa.record_batch([*batch.columns, pa.array(spans, kind)], names=[*batch.schema.names, "spans"])
+        keep = ["id", "n_words", "runs", "items"]
+        return pa.record_batch([*(batch.column(c) for c in keep), pa.array(spans, SPANS)], names=[*keep, "spans"])
 
-    hit = F.coalesce(F.aggregate("runs", F.lit(0), lambda a, r: a + r["end"] - r["start"]), F.lit(0)).cast("long")
-    out = map_batches(rows, f"{schema}, spans array<{SPAN}>", finish)
-    keep = ["text"] if with_text else []
-    return out.select(F.col("id").alias(id_col), "n_words", hit.alias("n_hit"), "items", "spans", *keep)
+    schema = rows.select("id", "n_words", "runs", "items", F.col("runs").alias("spans")).schema
+    hit = F.aggregate("runs", F.lit(0), lambda a, r: a + r["end"] - r["start"]).cast("long")
+    return map_batches(rows, schema, finish).select(
+        F.col("id").alias(id_col), "n_words", hit.alias("n_hit"), "items", "spans"
+    )
+
+
+def clean(
+    docs: DataFrame,
+    items: DataFrame,
+    n: int = WINDOW_WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The documents without a hit, same columns."""
+    rows = _scanned(with_row(docs, id_col, text_col), items, n, item_col, item_text_col, block_bytes)
+    return without_row(rows.filter(F.size("runs") == 0), docs, text_col)
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -34,13 +34,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from indtables.llm.common import cut, id_text
+from indtables.llm.common import cut, id_text, map_batches, with_row, without_row
 
 BUCKETS = 1 << 16
 MAX_LABELS = 50_000
 SEED = 42
 PIECE_BYTES = 1 << 20
+# A model's number is a whole multiple of 1 / UNIT.
+UNIT = float(1 << 20)
 # Target occurrences of prior belief, per bucket, that the bucket is as common
 # in the target as in raw text: n-grams seen a few times say little.
 PRIOR = 5.0
@@ -221,6 +224,40 @@ def kth_largest(keys: DataFrame, k: int, bins: int = 4096) -> float:
     return low
 
 
+def _scored(rows: DataFrame, model, seed: int) -> DataFrame:
+    """Adds n_ngrams, log_ratio and key to rows with ``id`` and ``text``. The
+    model's numbers are whole (of ``UNIT``), so sums do not depend on order."""
+
+    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+        total, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+        for row, bucket in features(batch.column("text").to_pylist()):
+            total += np.bincount(row, weights=model.value[bucket], minlength=batch.num_rows)
+            n += np.bincount(row, minlength=batch.num_rows)
+        keep = [c for c in batch.schema.names if c != "text" or "row" in batch.schema.names]
+        return pa.record_batch([*(batch.column(c) for c in keep), pa.array(n), pa.array(total / UNIT)],
+                               names=[*keep, "n_ngrams", "log_ratio"])
+
+    carried = rows if "row" in rows.columns else rows.drop("text")
+    schema = StructType(list(carried.schema.fields)).add("n_ngrams", "long").add("log_ratio", "double")
+    uniform = (F.pmod(F.xxhash64("id", F.lit(seed), F.lit("gumbel")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    return map_batches(rows, schema, score).withColumn("key", F.col("log_ratio") - F.log(-F.log(uniform)))
+
+
+def _fit(docs, labels, k, id_col, text_col, label_col, max_labels, seed):
+    """(model, scored, cutoff key)."""
+    sc = docs.sparkSession.sparkContext
+    rows = id_text(docs, id_col, text_col)
+    sample = cut(label_sample(labels, max_labels, id_col, label_col), "quality-labels")
+    # bounded by max_labels
+    good = {r["id"] for r in sample.filter(F.col("good") & (F.col("fold") != 0)).select("id").collect()}
+    ratios = log_ratios(ngram_counts(rows, sc.broadcast(good)))
+    model = sc.broadcast(np.rint(ratios * UNIT))
+    scored = cut(_scored(rows, model, seed), "quality-scores")
+    if k is None:
+        k = scored.filter(F.col("log_ratio") >= threshold(scored, sample)).count()
+    return model, scored, kth_largest(scored, k)
+
+
 def resample(
     docs: DataFrame,
     labels: DataFrame,
@@ -232,36 +269,25 @@ def resample(
     seed: int = SEED,
 ) -> DataFrame:
     """(id, n_ngrams, log_ratio, gumbel_key, kept) for every row."""
-    spark = docs.sparkSession
-    rows = id_text(docs, id_col, text_col)
-    sample = cut(label_sample(labels, max_labels, id_col, label_col), "quality-labels")
-    # bounded by max_labels
-    good = {r["id"] for r in sample.filter(F.col("good") & (F.col("fold") != 0)).select("id").collect()}
-    model = spark.sparkContext.broadcast(log_ratios(ngram_counts(rows, spark.sparkContext.broadcast(good))))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                total, n = np.zeros(part.num_rows), np.zeros(part.num_rows, np.int64)
-                for row, bucket in features(part.column("text").to_pylist()):
-                    total += np.bincount(row, weights=model.value[bucket], minlength=part.num_rows)
-                    n += np.bincount(row, minlength=part.num_rows)
-                yield pa.record_batch([part.column("id"), pa.array(n), pa.array(total)],
-                                      names=["id", "n_ngrams", "log_ratio"])
-
-    kind = rows.schema["id"].dataType.simpleString()
-    uniform = (F.pmod(F.xxhash64("id", F.lit(seed), F.lit("gumbel")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    scored = cut(
-        rows.mapInArrow(score, f"id {kind}, n_ngrams long, log_ratio double")
-        .withColumn("key", F.col("log_ratio") - F.log(-F.log(uniform))),
-        "quality-scores",
-    )
-    if k is None:
-        limit = threshold(scored, sample)
-        k = scored.filter(F.col("log_ratio") >= limit).count()
-    cutoff = kth_largest(scored, k)
+    _, scored, cutoff = _fit(docs, labels, k, id_col, text_col, label_col, max_labels, seed)
     return scored.select(
         F.col("id").alias(id_col), "n_ngrams", "log_ratio", F.col("key").alias("gumbel_key"),
         (F.col("key") >= F.lit(cutoff)).alias("kept"),
     )
+
+
+def kept(
+    docs: DataFrame,
+    labels: DataFrame,
+    k: int | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    max_labels: int = MAX_LABELS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The documents that ``resample`` keeps, same columns. They are scored
+    once more on the way, which is cheaper than a shuffle of all texts."""
+    model, _, cutoff = _fit(docs, labels, k, id_col, text_col, label_col, max_labels, seed)
+    rows = _scored(with_row(docs, id_col, text_col), model, seed)
+    return without_row(rows.filter(F.col("key") >= F.lit(cutoff)), docs, text_col)
