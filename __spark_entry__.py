@@ -19,6 +19,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from indtables.operators import reports as R
 from indtables.operators.conform import (
@@ -35,18 +36,20 @@ from indtables.operators.silver import dedupe_observations
 from indtables.operators.wide import (
     RECENT_WINDOW_DAYS,
     calendar,
+    bounds,
     calendar_join,
     date_bounds,
+    dense_daily,
     distinct_labels,
     gold_wide,
     pivot_by_day,
-    plan_inputs,
     trim_recent,
+    wide_labels,
 )
 from indtables.plans.query import GoldCatalog
 from indtables.plans.refresh import RefreshPaths
 from indtables.plans.refresh import run as refresh_run
-from indtables.schemas import FEED_A_SCHEMA, LONG_SCHEMA, SILVER_COLUMNS
+from indtables.schemas import FEED_A_SCHEMA, LONG_SCHEMA, SILVER_COLUMNS, with_field
 from indtables.session import ensure_checkpoint_dir
 from indtables.sinks.writers import write_bronze, write_csv, write_parquet
 from indtables.sources.bronze import read_bronze
@@ -89,9 +92,6 @@ except ModuleNotFoundError as e:
 SMOKE_DIR = "/root/testdata/sf0.001"
 MONEY_SCALE = 2
 PCT_SCALE = 8
-# Depth of the per-customer synthetic daily pulls (the monthly ones use the
-# feed's own 400 days).
-DAILY_LOOKBACK = 30
 # Labels for the orders priorities in the lookup checks; others keep the id.
 ORDER_LABELS = {"1-URGENT": "urgent", "2-HIGH": "high"}
 LONG_SUFFIX = "WHERE indicator_label = '1-URGENT' AND obs_date >= DATE '1998-01-01' ORDER BY obs_date"
@@ -123,7 +123,32 @@ def _orders_long(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _orders_wide(spark: SparkSession, root: str) -> DataFrame:
-    return gold_wide(_orders_silver(spark, root))
+    return gold_wide(_written_silver(spark, root))
+
+
+_written: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, root: str, what: str, build):
+    """``build()`` once per application and input: what it wrote is kept."""
+    key = (spark.sparkContext.applicationId, root, what)
+    if key not in _written:
+        _written[key] = build()
+    return _written[key]
+
+
+def _written_long(spark: SparkSession, root: str) -> DataFrame:
+    """The long table as a user has it: written, so that a report's filter
+    reaches the scan."""
+    order = ["source", "indicator_id", "obs_date"]
+    path = _once(spark, root, "long",
+                 lambda: write_parquet(_orders_long(spark, root), _scratch(spark, "long"), order))
+    return read_gold(spark, path)
+
+
+def _written_silver(spark: SparkSession, root: str) -> DataFrame:
+    path = _once(spark, root, "silver", lambda: write_parquet(_orders_silver(spark, root), _scratch(spark, "silver")))
+    return read_gold(spark, path)
 
 
 def _scratch(spark: SparkSession, what: str) -> str:
@@ -162,7 +187,34 @@ def q_gold_wide(spark, root):
 
 
 def q_wide_ffill(spark, root):
-    return gold_wide(_orders_silver(spark, root), recent_window_days=None)
+    return gold_wide(_written_silver(spark, root), recent_window_days=None)
+
+
+def _written_lineitem(spark: SparkSession, root: str) -> DataFrame:
+    path = _once(spark, root, "lineitem", lambda: write_parquet(_lineitem_silver(spark, root), _scratch(spark, "li")))
+    return read_gold(spark, path)
+
+
+def q_wide_dense_lineitem(spark, root):
+    """The tall dense table: any number of series, no label list."""
+    return dense_daily(_written_lineitem(spark, root))
+
+
+def q_gold_wide_lineitem(spark, root):
+    return gold_wide(_written_lineitem(spark, root))
+
+
+def q_rolling_avg_plain(spark, root):
+    """The default mean (plain ``avg``) over whole values, where it is exact."""
+    long_ = gold_long(_lineitem_silver(spark, root, "l_quantity"))
+    return long_.select("source", "indicator_id", "obs_date", "value", "rolling_avg_30d")
+
+
+def q_report_sum_plain(spark, root):
+    """A report's default SUM over whole values, every series in turn a label."""
+    long_ = gold_long(_lineitem_silver(spark, root, "l_quantity"))
+    all_one = long_.withColumn("indicator_label", F.lit("quantity"))
+    return R.report_series_shipped(all_one, "quantity", "lineitem")
 
 
 def q_distinct_labels(spark, root):
@@ -174,8 +226,8 @@ def q_date_bounds(spark, root):
 
 
 def _inputs(spark, root):
-    silver = _orders_silver(spark, root)
-    return silver, plan_inputs(silver)
+    silver = _written_silver(spark, root)
+    return silver, bounds(silver)
 
 
 def q_calendar(spark, root):
@@ -184,18 +236,18 @@ def q_calendar(spark, root):
 
 
 def q_wide_pivot(spark, root):
-    silver, inp = _inputs(spark, root)
-    return pivot_by_day(silver, inp.labels)
+    silver = _written_silver(spark, root)
+    return pivot_by_day(silver, wide_labels(silver))
 
 
 def q_calendar_join(spark, root):
     silver, inp = _inputs(spark, root)
-    return calendar_join(calendar(spark, inp.min_date, inp.max_date), pivot_by_day(silver, inp.labels))
+    return calendar_join(calendar(spark, inp.min_date, inp.max_date), pivot_by_day(silver, wide_labels(silver)))
 
 
 def q_wide_trim(spark, root):
     silver, inp = _inputs(spark, root)
-    joined = calendar_join(calendar(spark, inp.min_date, inp.max_date), pivot_by_day(silver, inp.labels))
+    joined = calendar_join(calendar(spark, inp.min_date, inp.max_date), pivot_by_day(silver, wide_labels(silver)))
     return trim_recent(joined, inp.max_date, RECENT_WINDOW_DAYS)
 
 
@@ -206,11 +258,13 @@ def q_label_lookup(spark, root):
 
 
 def q_label_join(spark, root):
-    orders = _orders(spark, root)
-    obs = orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("indicator_id"))
-    cust = read_table(spark, root, "customer").filter(F.col("c_mktsegment") == "BUILDING")
-    labels = cust.select(F.col("c_custkey").cast("string").alias("indicator_id"), F.col("c_name").alias("label"))
-    return label_join(obs, labels)
+    """Every customer, labelled by the first priority of its orders; customers
+    without orders keep their id."""
+    cust = read_table(spark, root, "customer")
+    rows = cust.select("c_custkey", F.col("c_custkey").cast("string").alias("indicator_id"))
+    labels = _orders(spark, root).select(F.col("o_custkey").cast("string").alias("indicator_id"),
+                                         F.col("o_orderpriority").alias("label"))
+    return label_join(rows, labels)
 
 
 def _feed_a_candidates(spark, root):
@@ -253,7 +307,11 @@ def q_silver(spark, root):
 
 
 def q_conform_rejects(spark, root):
-    return rejected(_feed_b_candidates(spark, root))
+    return rejected(_feed_b_candidates(spark, root), carry=["pull_id"])
+
+
+def q_conform_rejects_a(spark, root):
+    return rejected(_feed_a_candidates(spark, root), carry=["pull_id"])
 
 
 def q_union_feeds(spark, root):
@@ -266,7 +324,7 @@ def q_union_feeds(spark, root):
 def q_bronze_scan(spark, root):
     bronze = _scratch(spark, "bronze")
     write_bronze(orders_feed_a_docs(_orders(spark, root)), bronze, "banxico")
-    schema = FEED_A_SCHEMA.add("pull_id", "long")
+    schema = with_field(FEED_A_SCHEMA, "pull_id", LongType())
     docs = read_bronze(spark, bronze, "banxico", schema)
     return accepted(parse_feed_a(docs, labels=ORDER_LABELS, carry=["pull_id"]), carry=["pull_id"])
 
@@ -275,18 +333,54 @@ def q_stream_intake(spark, root):
     bronze = _scratch(spark, "bronze")
     write_bronze(orders_feed_a_docs(_orders(spark, root)), bronze, "banxico")
     landing = _scratch(spark, "landing")
-    conform_new_pulls(spark, bronze, "a", landing, name=landing.rsplit("/", 1)[-1], labels=ORDER_LABELS)
+    conform_new_pulls(spark, bronze, landing, f"{landing}-checkpoint", feeds=["a"], labels=ORDER_LABELS)
     return landed_rows(spark, landing).select(*SILVER_COLUMNS)
 
 
-def q_refresh_counts(spark, root):
-    bronze = _scratch(spark, "bronze")
-    write_bronze(orders_feed_a_docs(_orders(spark, root), omit_ids=False).drop("pull_id"), bronze, "banxico")
-    li = read_table(spark, root, "lineitem")
-    write_bronze(lineitem_feed_b_docs(li).drop("pull_id"), bronze, "inegi")
-    out = _scratch(spark, "refresh")
-    refresh_run(spark, bronze, out)
-    paths = RefreshPaths(out)
+def _land_orders(spark, root, bronze, extra=None, prefix="0"):
+    """Orders as feed A pulls with whole values (a plain mean is then exact);
+    ``extra`` is added to the value."""
+    price = F.floor("o_totalprice")
+    value = (price if extra is None else price + extra).cast("string")
+    write_bronze(orders_feed_a_docs(_orders(spark, root), value, prefix).drop("pull_id"), bronze, "banxico")
+
+
+def _land_lineitem(spark, root, bronze):
+    value = F.col("l_quantity").cast("long").cast("string")
+    write_bronze(lineitem_feed_b_docs(read_table(spark, root, "lineitem"), value).drop("pull_id"), bronze, "inegi")
+
+
+# Whole units that the second, overlapping pull adds to open orders.
+REVISED = 7
+
+
+def _full_refresh(spark, root) -> RefreshPaths:
+    def build():
+        bronze, out = _scratch(spark, "bronze"), _scratch(spark, "refresh")
+        _land_orders(spark, root, bronze)
+        _land_lineitem(spark, root, bronze)
+        refresh_run(spark, bronze, out)
+        return RefreshPaths(out)
+
+    return _once(spark, root, "refresh", build)
+
+
+def _incremental_refresh(spark, root) -> RefreshPaths:
+    """The orders land and are refreshed; then the line items and a second pull
+    of every order, open ones revised, land and are merged."""
+    def build():
+        bronze, out = _scratch(spark, "bronze"), _scratch(spark, "refresh-inc")
+        _land_orders(spark, root, bronze)
+        refresh_run(spark, bronze, out, incremental=True)
+        _land_lineitem(spark, root, bronze)
+        _land_orders(spark, root, bronze, F.when(F.col("o_orderstatus") == "O", REVISED).otherwise(0), prefix="1")
+        refresh_run(spark, bronze, out, incremental=True)
+        return RefreshPaths(out)
+
+    return _once(spark, root, "refresh-inc", build)
+
+
+def _refresh_counts(spark, paths):
     def n(name, path):
         return read_gold(spark, path).agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count")
@@ -294,24 +388,50 @@ def q_refresh_counts(spark, root):
                        n("indicators_long", paths.long), n("indicators_wide", paths.wide))
 
 
+def _refresh_rejects(spark, paths):
+    """The rejects with the pull they came from."""
+    return read_gold(spark, paths.rejects).select("source", "indicator_id", "raw_date", "raw_value", "reason",
+                                                  F.col("_pull_stamp").alias("pull_stamp"))
+
+
+def q_refresh_counts(spark, root):
+    return _refresh_counts(spark, _full_refresh(spark, root))
+
+
+def q_refresh_silver(spark, root):
+    return read_gold(spark, _full_refresh(spark, root).silver)
+
+
+def q_refresh_long(spark, root):
+    return read_gold(spark, _full_refresh(spark, root).long)
+
+
+def q_refresh_wide(spark, root):
+    return read_gold(spark, _full_refresh(spark, root).wide)
+
+
+def q_refresh_rejects(spark, root):
+    return _refresh_rejects(spark, _full_refresh(spark, root))
+
+
 def q_refresh_incremental_counts(spark, root):
-    """The same refresh in incremental mode: orders pulls land first, the
-    lineitem pulls later; two incremental runs must give the full run's
-    tables."""
-    bronze = _scratch(spark, "bronze")
-    out = _scratch(spark, "refresh-inc")
-    write_bronze(orders_feed_a_docs(_orders(spark, root), omit_ids=False).drop("pull_id"), bronze, "banxico")
-    refresh_run(spark, bronze, out, incremental=True)
-    li = read_table(spark, root, "lineitem")
-    write_bronze(lineitem_feed_b_docs(li).drop("pull_id"), bronze, "inegi")
-    refresh_run(spark, bronze, out, incremental=True)
-    paths = RefreshPaths(out)
+    return _refresh_counts(spark, _incremental_refresh(spark, root))
 
-    def n(name, path):
-        return read_gold(spark, path).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count")
-    return union_feeds(n("silver", paths.silver), n("rejects", paths.rejects),
-                       n("indicators_long", paths.long), n("indicators_wide", paths.wide))
+
+def q_refresh_incremental_silver(spark, root):
+    return read_gold(spark, _incremental_refresh(spark, root).silver)
+
+
+def q_refresh_incremental_long(spark, root):
+    return read_gold(spark, _incremental_refresh(spark, root).long)
+
+
+def q_refresh_incremental_wide(spark, root):
+    return read_gold(spark, _incremental_refresh(spark, root).wide)
+
+
+def q_refresh_incremental_rejects(spark, root):
+    return _refresh_rejects(spark, _incremental_refresh(spark, root))
 
 
 def _pulls(spark, root, lookback):
@@ -327,7 +447,7 @@ def _synthetic_rows(pulls):
 
 
 def q_fallback_daily(spark, root):
-    rows = _synthetic_rows(_pulls(spark, root, DAILY_LOOKBACK))
+    rows = _synthetic_rows(_pulls(spark, root, PULL_LOOKBACK_DAYS))
     return rows.filter(F.col("indicator_id") == "SF43718")
 
 
@@ -354,8 +474,7 @@ def q_fallback_by_source(spark, root):
     real = observations(orders, "orders", F.col("o_orderpriority"), F.col("o_orderdate"),
                         F.col("o_totalprice"), F.lit(False), keep=[F.col("o_custkey").alias("pull_id")])
     failed = _failed_customers(spark, root)
-    pulls = _pulls(spark, root, DAILY_LOOKBACK).join(failed, "pull_id", "left_semi")
-    return choose_fallback(real, _synthetic_rows(pulls), failed, "pull_id")
+    return choose_fallback(real, _synthetic_rows(_pulls(spark, root, PULL_LOOKBACK_DAYS)), failed, "pull_id")
 
 
 def q_fallback_by_indicator(spark, root):
@@ -363,24 +482,26 @@ def q_fallback_by_indicator(spark, root):
     real = observations(orders, "inegi", F.col("o_custkey"), F.col("o_orderdate"), F.col("o_totalprice"),
                         F.lit(False))
     failed = _failed_customers(spark, root).select(F.col("pull_id").cast("string").alias("indicator_id"))
-    cust = read_table(spark, root, "customer").join(
-        failed.select(F.col("indicator_id").cast("long").alias("c_custkey")), "c_custkey", "left_semi")
+    cust = read_table(spark, root, "customer")
     synth = accepted(parse_feed_b(feed_b_fallback_docs(cust, id_col="c_custkey", label_col="c_name")))
     return choose_fallback(real, synth, failed, "indicator_id")
 
 
+def _catalog(spark, root) -> GoldCatalog:
+    wide = _once(spark, root, "wide", lambda: write_parquet(_orders_wide(spark, root), _scratch(spark, "wide")))
+    return GoldCatalog(spark, _written_long(spark, root), wide)
+
+
 def q_sql_suffix_long(spark, root):
-    cat = GoldCatalog(spark, _orders_long(spark, root), _orders_wide(spark, root))
-    return cat.query_long(LONG_SUFFIX)
+    return _catalog(spark, root).query_long(LONG_SUFFIX)
 
 
 def q_sql_suffix_wide(spark, root):
-    cat = GoldCatalog(spark, _orders_long(spark, root), _orders_wide(spark, root))
-    return cat.query_wide(WIDE_SUFFIX)
+    return _catalog(spark, root).query_wide(WIDE_SUFFIX)
 
 
 def q_row_counts(spark, root):
-    return GoldCatalog(spark, _orders_long(spark, root), _orders_wide(spark, root)).row_counts_frame()
+    return _catalog(spark, root).row_counts_frame()
 
 
 def q_gold_scan_long(spark, root):
@@ -405,43 +526,43 @@ def q_csv_scan_wide(spark, root):
 
 # Reports: the orders priorities stand in for the report's indicator labels.
 def q_report_fx_spec(spark, root):
-    return R.report_fx_spec(_orders_long(spark, root), "1-URGENT")
+    return R.report_fx_spec(_written_long(spark, root), "1-URGENT")
 
 
 def q_report_fx_shipped(spark, root):
-    return R.report_fx_shipped(_orders_long(spark, root), "1-URGENT", sum_scale=PCT_SCALE)
+    return R.report_fx_shipped(_written_long(spark, root), "1-URGENT", sum_scale=PCT_SCALE)
 
 
 def q_report_inpc_spec(spark, root):
-    return R.report_inpc_spec(_orders_long(spark, root), "2-HIGH")
+    return R.report_inpc_spec(_written_long(spark, root), "2-HIGH")
 
 
 def q_report_inpc_shipped(spark, root):
-    return R.report_inpc_shipped(_orders_long(spark, root), "2-HIGH", sum_scale=PCT_SCALE)
+    return R.report_inpc_shipped(_written_long(spark, root), "2-HIGH", sum_scale=PCT_SCALE)
 
 
 def q_report_igae_spec(spark, root):
-    return R.report_igae_spec(_orders_long(spark, root), "3-MEDIUM", "4-NOT SPECIFIED")
+    return R.report_igae_spec(_written_long(spark, root), "3-MEDIUM", "4-NOT SPECIFIED")
 
 
 def q_report_igae_shipped(spark, root):
-    return R.report_igae_shipped(_orders_long(spark, root), "3-MEDIUM", "4-NOT SPECIFIED", sum_scale=PCT_SCALE)
+    return R.report_igae_shipped(_written_long(spark, root), "3-MEDIUM", "4-NOT SPECIFIED", sum_scale=PCT_SCALE)
 
 
 def q_report_headcount_spec(spark, root):
-    return R.report_headcount_spec(_orders_long(spark, root), "5-LOW", "orders")
+    return R.report_headcount_spec(_written_long(spark, root), "5-LOW", "orders")
 
 
 def q_report_headcount_shipped(spark, root):
-    return R.report_headcount_shipped(_orders_long(spark, root), "5-LOW", "orders", sum_scale=PCT_SCALE)
+    return R.report_headcount_shipped(_written_long(spark, root), "5-LOW", "orders", sum_scale=PCT_SCALE)
 
 
 def q_report_rate_spec(spark, root):
-    return R.report_rate_spec(_orders_long(spark, root), "4-NOT SPECIFIED", "orders")
+    return R.report_rate_spec(_written_long(spark, root), "4-NOT SPECIFIED", "orders")
 
 
 def q_report_rate_shipped(spark, root):
-    return R.report_rate_shipped(_orders_long(spark, root), "4-NOT SPECIFIED", "orders", sum_scale=PCT_SCALE)
+    return R.report_rate_shipped(_written_long(spark, root), "4-NOT SPECIFIED", "orders", sum_scale=PCT_SCALE)
 
 
 def q_kpi_latest(spark, root):
@@ -453,7 +574,7 @@ def q_kpi_shipped(spark, root):
 
 
 def q_fallback_callout(spark, root):
-    return R.fallback_callout(_orders_long(spark, root))
+    return R.fallback_callout(_written_long(spark, root))
 
 
 # ------------------------------------------------------------------ oracle
@@ -512,8 +633,9 @@ def _q(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
-def _wide_parts(silver: str, labels: list[str]) -> str:
-    piv = ", ".join(f"max(CASE WHEN indicator_label = '{l}' THEN value END) AS {_q(l)}" for l in labels)
+def _wide_parts(silver: str, labels: list[str], names: dict[str, str] | None = None) -> str:
+    n = names or {}
+    piv = ", ".join(f"max(CASE WHEN indicator_label = '{l}' THEN value END) AS {_q(n.get(l, l))}" for l in labels)
     return f"""
     s AS ({silver}),
     b AS (SELECT min(obs_date) AS min_d, max(obs_date) AS max_d FROM s),
@@ -527,14 +649,15 @@ def _trim(window_days: int | None) -> str:
     return "" if window_days is None else f"WHERE calendar_date >= (SELECT max_d - {window_days} FROM b)"
 
 
-def _wide_sql(silver: str, labels: list[str], window_days: int | None) -> str:
+def _wide_sql(silver: str, labels: list[str], window_days: int | None, names: dict[str, str] | None = None) -> str:
+    n = names or {}
     fill = ", ".join(
-        f"last_value({_q(l)} IGNORE NULLS) OVER (ORDER BY calendar_date ROWS BETWEEN UNBOUNDED PRECEDING"
-        f" AND CURRENT ROW) AS {_q(l)}"
+        f"last_value({_q(n.get(l, l))} IGNORE NULLS) OVER (ORDER BY calendar_date ROWS BETWEEN UNBOUNDED PRECEDING"
+        f" AND CURRENT ROW) AS {_q(n.get(l, l))}"
         for l in labels
     )
     return f"""
-    WITH {_wide_parts(silver, labels)},
+    WITH {_wide_parts(silver, labels, names)},
     f AS (SELECT calendar_date, {fill} FROM j)
     SELECT * FROM f {_trim(window_days)}"""
 
@@ -543,14 +666,41 @@ def _money(c: str) -> str:
     return f"CAST(CAST({c} AS DECIMAL(18,2)) AS DOUBLE)"
 
 
-_FEED_A_ROWS = f"""
+# Orders whose feed A document is malformed (see sources.shaped).
+_A_BAD = """(o_orderstatus = 'O' AND (o_orderpriority = '4-NOT SPECIFIED'
+              OR (o_orderpriority = '2-HIGH' AND month(o_orderdate) = 12)
+              OR (o_orderpriority = '1-URGENT' AND month(o_orderdate) IN (11, 12))))"""
+
+
+def _feed_a_rows(value: str, low_label: str = "''", labels: bool = True) -> str:
+    named = "WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high'" if labels else ""
+    return f"""
     SELECT o_orderkey AS pull_id, 'banxico' AS source,
            CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE o_orderpriority END AS indicator_id,
-           CASE o_orderpriority WHEN '5-LOW' THEN '' WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high'
+           CASE o_orderpriority WHEN '5-LOW' THEN {low_label} {named}
                 ELSE o_orderpriority END AS indicator_label,
-           CAST(o_orderdate AS DATE) AS obs_date, {_money("o_totalprice")} AS value,
+           CAST(o_orderdate AS DATE) AS obs_date, {value} AS value,
            o_orderstatus = 'F' AS is_fallback
-    FROM orders WHERE o_orderstatus <> 'P'"""
+    FROM orders WHERE o_orderstatus <> 'P' AND NOT {_A_BAD}"""
+
+
+def _feed_a_rejects(text: str, key: str = "o_orderkey AS pull_id") -> str:
+    """``text``: SQL for a good value's text."""
+    return f"""
+    SELECT 'banxico' AS source, o_orderpriority AS indicator_id,
+           CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%d')
+                ELSE strftime(o_orderdate, '%d/%m/%Y') END AS raw_date,
+           CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN {text}
+                WHEN o_orderpriority = '2-HIGH' THEN 'NaN'
+                WHEN month(o_orderdate) = 12 THEN {text} || 'd' ELSE '1e400' END AS raw_value,
+           CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'bad_date'
+                WHEN o_orderpriority = '2-HIGH' THEN 'not_a_number'
+                WHEN month(o_orderdate) = 12 THEN 'bad_value' ELSE 'not_finite' END AS reason, {key}
+    FROM orders WHERE {_A_BAD}"""
+
+
+_PRICE_TEXT = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"
+_FEED_A_ROWS = _feed_a_rows(_money("o_totalprice"))
 
 _FEED_B_ROWS = f"""
     SELECT o_orderkey AS pull_id, 'inegi' AS source, o_orderpriority AS indicator_id,
@@ -569,7 +719,8 @@ _REJECTS = """
            CASE WHEN o_orderpriority = '2-HIGH'
                 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || ' MXN'
                 ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS raw_value,
-           CASE WHEN o_orderpriority = '1-URGENT' THEN 'bad_period' ELSE 'bad_value' END AS reason
+           CASE WHEN o_orderpriority = '1-URGENT' THEN 'bad_period' ELSE 'bad_value' END AS reason,
+           o_orderkey AS pull_id
     FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '2-HIGH')"""
 
 _SILVER_COLS = "source, indicator_id, indicator_label, obs_date, value, is_fallback"
@@ -599,6 +750,54 @@ def _registry_rows(where: str = "") -> str:
     FROM customer, (SELECT unnest(range(1, 7)) AS m) months {where}"""
 
 
+def _stamp_sql(prefix: str) -> str:
+    return f"'{prefix}' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0')"
+
+
+def _refresh_tables(revised: bool) -> dict[str, str]:
+    """Silver, long, wide, rejects and counts of the refresh queries. With
+    ``revised`` a second pull of all orders has come, open ones changed."""
+    whole = f"floor(o_totalprice){f' + CASE WHEN o_orderstatus = {chr(39)}O{chr(39)} THEN {REVISED} ELSE 0 END' if revised else ''}"
+    # the second pull holds every order again, so its rows win over the first's
+    a = _feed_a_rows(f"CAST({whole} AS DOUBLE)", labels=False)
+    b = """
+    SELECT l_orderkey * 8 + l_linenumber AS pull_id, 'inegi' AS source, CAST(l_suppkey AS VARCHAR) AS indicator_id,
+           'supplier' AS indicator_label, make_date(year(l_shipdate), month(l_shipdate), 1) AS obs_date,
+           CAST(l_quantity AS DOUBLE) AS value, l_returnflag = 'R' AS is_fallback
+    FROM lineitem"""
+    silver = _silver_sql(f"SELECT * FROM ({a}) a UNION ALL SELECT * FROM ({b}) b", "pull_id DESC")
+    long_ = _long_sql(silver).replace(_xsum("value", MONEY_SCALE, "r") + " / COUNT(value) OVER r", "avg(value) OVER r")
+    # a label fed by several series takes the lowest one of the day
+    one = f"""
+    SELECT indicator_label, obs_date, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY indicator_label, obs_date ORDER BY source, indicator_id) AS k
+      FROM ({silver}) z) y WHERE k = 1"""
+    labels = ["", "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "supplier"]
+    wide = _wide_sql(one, labels, RECENT_WINDOW_DAYS, {"": "unlabelled"})
+    texts = [("0", "floor(o_totalprice)")] + ([("1", whole)] if revised else [])
+    rejects = " UNION ALL ".join(
+        f"SELECT * FROM ({_feed_a_rejects(f'CAST(CAST({v} AS BIGINT) AS VARCHAR)', _stamp_sql(p) + ' AS pull_stamp')}) r{p}"
+        for p, v in texts
+    )
+    counts = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({sql}) {name}"
+        for name, sql in (("silver", silver), ("rejects", rejects), ("indicators_long", long_), ("indicators_wide", wide))
+    )
+    return {"silver": silver, "long": long_, "wide": wide, "rejects": rejects, "counts": counts}
+
+
+def _dense_sql(silver: str) -> str:
+    """Every day and label, filled forward, without leading gaps."""
+    return f"""
+    WITH s AS MATERIALIZED ({silver}),
+    b AS (SELECT min(obs_date) AS min_d, max(obs_date) AS max_d FROM s),
+    cal AS (SELECT CAST(unnest(generate_series(greatest(max_d - {RECENT_WINDOW_DAYS}, min_d), max_d,
+                                               INTERVAL 1 DAY)) AS DATE) AS calendar_date FROM b),
+    x AS (SELECT calendar_date, indicator_label FROM cal, (SELECT DISTINCT indicator_label FROM s) l)
+    SELECT x.calendar_date, x.indicator_label, s.value
+    FROM x ASOF JOIN s ON x.indicator_label = s.indicator_label AND x.calendar_date >= s.obs_date"""
+
+
 def _oracles() -> dict[str, str]:
     silver = _orders_silver_sql()
     long_ = _long_sql(silver)
@@ -637,13 +836,26 @@ def _oracles() -> dict[str, str]:
                         ELSE o_orderpriority END AS indicator_label
             FROM orders""",
         "label_join": """
-            SELECT o.o_orderkey, CAST(o.o_custkey AS VARCHAR) AS indicator_id,
-                   COALESCE(c.c_name, CAST(o.o_custkey AS VARCHAR)) AS indicator_label
-            FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c
+            SELECT c.c_custkey, CAST(c.c_custkey AS VARCHAR) AS indicator_id,
+                   COALESCE(o.priority, CAST(c.c_custkey AS VARCHAR)) AS indicator_label
+            FROM customer c LEFT JOIN (SELECT o_custkey, min(o_orderpriority) AS priority FROM orders GROUP BY o_custkey) o
               ON o.o_custkey = c.c_custkey""",
         "parse_feed_a": _FEED_A_ROWS,
         "parse_feed_b": _FEED_B_ROWS,
         "conform_rejects": _REJECTS,
+        "conform_rejects_a": _feed_a_rejects(_PRICE_TEXT),
+        "wide_dense_lineitem": _dense_sql(_lineitem_silver_sql()),
+        "gold_wide_lineitem": f"""
+            SELECT * FROM (PIVOT ({_dense_sql(_lineitem_silver_sql())}) ON indicator_label USING max(value)
+                           GROUP BY calendar_date)""",
+        "rolling_avg_plain": f"""
+            SELECT {key}, value, avg(value) OVER (
+                     PARTITION BY source, indicator_id ORDER BY obs_date
+                     RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW) AS rolling_avg_30d
+            FROM ({_lineitem_silver_sql('l_quantity')}) s""",
+        "report_sum_plain": f"""
+            SELECT CAST(year(obs_date) AS INTEGER) AS obs_year, sum(value) AS sum_value
+            FROM ({_lineitem_silver_sql('l_quantity')}) s GROUP BY 1""",
         "parse_defaults": f"""
             SELECT pull_id, source, indicator_id, indicator_label, is_fallback FROM ({_FEED_A_ROWS}) a
             UNION ALL
@@ -668,20 +880,7 @@ def _oracles() -> dict[str, str]:
         "union_feeds": f"{fx_a} UNION ALL {li_b}",
         "bronze_scan": _FEED_A_ROWS,
         "stream_intake": fx_a,
-        "refresh_counts": f"""
-            WITH a AS (SELECT DISTINCT 'banxico' AS source, o_orderpriority AS indicator_id,
-                              CAST(o_orderdate AS DATE) AS obs_date FROM orders WHERE o_orderstatus <> 'P'),
-                 bb AS (SELECT DISTINCT 'inegi' AS source, CAST(l_suppkey AS VARCHAR) AS indicator_id,
-                               make_date(year(l_shipdate), month(l_shipdate), 1) AS obs_date FROM lineitem),
-                 s AS (SELECT * FROM a UNION ALL SELECT * FROM bb),
-                 d AS (SELECT min(obs_date) AS min_d, max(obs_date) AS max_d FROM s)
-            SELECT 'silver' AS table_name, count(*) AS row_count FROM s
-            UNION ALL SELECT 'rejects', CAST(0 AS BIGINT)
-            UNION ALL SELECT 'indicators_long', count(*) FROM s
-            UNION ALL SELECT 'indicators_wide',
-                             CAST(max_d - greatest(max_d - {RECENT_WINDOW_DAYS}, min_d) + 1 AS BIGINT)
-                      FROM d""",
-        "fallback_daily": _synthetic_days(_pull_ends(), DAILY_LOOKBACK, "SF43718", "fx_rate_usd_mxn", "17.5", False),
+        "fallback_daily": _synthetic_days(_pull_ends(), PULL_LOOKBACK_DAYS, "SF43718", "fx_rate_usd_mxn", "17.5", False),
         "fallback_monthly": _synthetic_days(_pull_ends(), PULL_LOOKBACK_DAYS, "SP1", "inpc_general", "130.0", True),
         "fallback_registry": _registry_rows(),
         "fallback_by_source": f"""
@@ -690,10 +889,10 @@ def _oracles() -> dict[str, str]:
                    o_totalprice AS value, false AS is_fallback
             FROM orders WHERE o_custkey NOT IN ({failed})
             UNION ALL
-            {_synthetic_days(_pull_ends(f"WHERE o_custkey IN ({failed})"), DAILY_LOOKBACK, "SF43718",
+            {_synthetic_days(_pull_ends(f"WHERE o_custkey IN ({failed})"), PULL_LOOKBACK_DAYS, "SF43718",
                              "fx_rate_usd_mxn", "17.5", False)}
             UNION ALL
-            {_synthetic_days(_pull_ends(f"WHERE o_custkey IN ({failed})"), DAILY_LOOKBACK, "SP1",
+            {_synthetic_days(_pull_ends(f"WHERE o_custkey IN ({failed})"), PULL_LOOKBACK_DAYS, "SP1",
                              "inpc_general", "130.0", True)}""",
         "fallback_by_indicator": f"""
             SELECT 'inegi' AS source, CAST(o_custkey AS VARCHAR) AS indicator_id,
@@ -748,8 +947,8 @@ def _oracles() -> dict[str, str]:
             HAVING max(calendar_date) BETWEEN DATE '{KPI_DATE}' AND DATE '{KPI_DATE}'""",
         "fallback_callout": f"SELECT indicator_label, bool_or(is_fallback) AS any_fallback FROM ({long_}) l GROUP BY 1",
     }
-    # The incremental refresh must produce exactly the full refresh's tables.
-    out["refresh_incremental_counts"] = out["refresh_counts"]
+    for prefix, revised in (("refresh", False), ("refresh_incremental", True)):
+        out |= {f"{prefix}_{name}": sql for name, sql in _refresh_tables(revised).items()}
     return out
 
 
@@ -782,8 +981,11 @@ QUERY_NAMES = [
     "silver_dedup", "gold_long", "gold_long_lineitem", "change_pct", "change_pct_guard", "rolling_avg_30d",
     "gold_wide", "wide_ffill", "distinct_labels", "date_bounds", "calendar", "wide_pivot", "calendar_join",
     "wide_trim", "label_lookup", "label_join", "parse_feed_a", "parse_feed_b", "parse_defaults", "value_cast",
-    "conform_rejects", "silver", "union_feeds", "bronze_scan", "stream_intake", "refresh_counts",
-    "refresh_incremental_counts", "fallback_daily", "fallback_monthly", "fallback_registry",
+    "conform_rejects", "conform_rejects_a", "silver", "union_feeds", "bronze_scan", "stream_intake", "refresh_counts",
+    "refresh_silver", "refresh_long", "refresh_wide", "refresh_rejects", "refresh_incremental_counts",
+    "refresh_incremental_silver", "refresh_incremental_long", "refresh_incremental_wide",
+    "refresh_incremental_rejects", "wide_dense_lineitem", "gold_wide_lineitem", "rolling_avg_plain",
+    "report_sum_plain", "fallback_daily", "fallback_monthly", "fallback_registry",
     "fallback_by_source", "fallback_by_indicator", "sql_suffix_long", "sql_suffix_wide", "row_counts",
     "gold_scan_long", "gold_scan_wide", "csv_scan_typed", "csv_scan_wide", "report_fx_spec",
     "report_fx_shipped", "report_inpc_spec", "report_inpc_shipped", "report_igae_spec", "report_igae_shipped",

@@ -47,10 +47,21 @@ def label_join(rows: DataFrame, labels: DataFrame, id_col: str = "indicator_id",
     return out.withColumn("indicator_label", F.coalesce("_lab_label", "indicator_id")).drop("_lab_id", "_lab_label")
 
 
+# A plain decimal number; Spark's cast alone also takes Java's 1.5d and 2f.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def _value(raw: Column) -> tuple[Column, Column]:
+    """(value, reason): NaN and infinities (also by overflow) are rejects, they
+    would spoil every mean that covers them."""
     v = raw.try_cast("double")
-    bad = F.when(v.isNull(), F.lit("bad_value")).when(F.isnan(v), F.lit("not_a_number"))
-    return v, bad
+    inf = F.lit(float("inf"))
+    bad = (
+        F.when(F.isnan(v), F.lit("not_a_number"))
+        .when((v == inf) | (v == -inf), F.lit("not_finite"))
+        .when(v.isNull() | ~raw.rlike(NUMBER), F.lit("bad_value"))
+    )
+    return F.when(bad.isNull(), v), bad
 
 
 def _finish(df: DataFrame, strict: bool, carry: list[str]) -> DataFrame:
@@ -166,14 +177,16 @@ def accepted(candidates: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
     return candidates.filter(F.col("reject_reason").isNull()).select(*SILVER_COLUMNS, *carry)
 
 
-def rejected(candidates: DataFrame) -> DataFrame:
-    """Bad candidate rows with the raw text and the reason."""
+def rejected(candidates: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
+    """Bad candidate rows with the raw text and the reason, plus ``carry``
+    (e.g. the pull lineage, to find the bad pull)."""
     return candidates.filter(F.col("reject_reason").isNotNull()).select(
         "source",
         "indicator_id",
         "raw_date",
         "raw_value",
         F.col("reject_reason").alias("reason"),
+        *carry,
     )
 
 

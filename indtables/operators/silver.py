@@ -22,12 +22,17 @@ from indtables.schemas import SILVER_COLUMNS
 
 SILVER_KEY = ["source", "indicator_id", "obs_date"]
 # Lineage columns written by the bronze scan; newest pull wins a tie.
+PULL_STAMP = "_pull_stamp"
 PULLED_AT = "_pulled_at"
 PULL_FILE = "_pull_file"
 
 
 def default_tie_break(df: DataFrame) -> list[Column]:
+    """Newest pull first: by the stamp in the document or its name, which
+    survives copies and restores; then by file time and file name."""
     order = []
+    if PULL_STAMP in df.columns:
+        order.append(F.col(PULL_STAMP).desc_nulls_last())
     if PULLED_AT in df.columns:
         order.append(F.col(PULLED_AT).desc())
     if PULL_FILE in df.columns:

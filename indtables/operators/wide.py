@@ -1,49 +1,54 @@
 """Gold wide: one row per calendar day, one forward-filled column per
-indicator label, kept to a recent window.
+indicator label, kept to a recent window; and the tall table it is turned
+from, one row per (day, label).
 
 A day's cell holds the latest value of that label observed on or before the
 day (an as-of lookup); days before a label's first observation stay NULL.
 The window runs from ``max(obs_date) - recent_window_days`` to the latest
 observed date, both ends included, and never before the first observation.
 
-Parallel plan (``gold_wide``), instead of one unpartitioned window over the
-whole history:
+Parallel plan, instead of one unpartitioned window over the whole history:
 
-1. one small aggregate job: per label, first/last date and how many
-   (source, indicator_id) feed it; labels are sorted and their count is
-   checked before they become pivot columns;
+1. one small aggregate job: date bounds, and whether any label is fed by more
+   than one series (one row);
 2. history before the window collapses, per label, to its last value
    (``max_by``: a hash aggregate with map-side partial combine), placed on
    the cutoff day as the seed;
 3. seed + in-window rows get ``valid_to = next obs_date - 1`` (``lead`` per
    label, at most window+2 rows each); each row expands to the days it
-   stays current with ``explode(sequence(...))``;
-4. pivot by day. Every day of the window is covered by the label that
-   starts earliest, so no calendar join is needed.
-
-Only hash exchanges on label or day; old history is never expanded.
-"""
+   stays current with ``explode(sequence(...))``: the tall table
+   (``dense_daily``), of any number of labels;
+4. for the wide table, the labels become columns (``wide_columns``) and the
+   narrow rows are shuffled by day before the pivot, so what moves does not
+   depend on the number of tasks. Over ``PIVOT_GROUP`` labels the tall table
+   is written once, each group of labels is pivoted on its own, and the groups
+   are joined on the day.
+
+Only hash exchanges on label or day; old history is never expanded. The wide
+table's label list is on the driver because its columns are; series counts
+that make no sensible columns use the tall table."""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from indtables.functions.names import named
+from indtables.functions.names import unique_names
+from indtables.session import ensure_checkpoint_dir
 
 RECENT_WINDOW_DAYS = 400
-# Guard on the width of the pivot: more labels raise instead of building a
-# table with that many columns.
-MAX_LABELS = 2000
+# Labels pivoted at once: the width of one aggregate, not a limit.
+PIVOT_GROUP = 1000
 LABEL = "indicator_label"
+DAY = "calendar_date"
 
 
 @dataclass(frozen=True)
-class WidePlanInputs:
-    labels: list[str]
+class WideBounds:
     min_date: dt.date | None
     max_date: dt.date | None
     shared_labels: bool  # some label is fed by more than one (source, indicator_id)
@@ -59,31 +64,27 @@ def date_bounds(silver: DataFrame) -> DataFrame:
     return silver.agg(F.min("obs_date").alias("min_date"), F.max("obs_date").alias("max_date"))
 
 
-def label_summary(silver: DataFrame) -> DataFrame:
-    """Per label: first/last date and the number of feeding series."""
-    return silver.groupBy(LABEL).agg(
-        F.min("obs_date").alias("min_date"),
-        F.max("obs_date").alias("max_date"),
-        F.count_distinct("source", "indicator_id").alias("n_series"),
+def bounds(silver: DataFrame) -> WideBounds:
+    """Date bounds and label sharing, one row to the driver."""
+    series = F.struct("source", "indicator_id")
+    per_label = silver.groupBy(LABEL).agg(
+        F.min("obs_date").alias("low"), F.max("obs_date").alias("high"),
+        (F.min(series) != F.max(series)).alias("shared"),
     )
+    row = per_label.agg(F.min("low"), F.max("high"), F.max("shared")).first()
+    return WideBounds(row[0], row[1], bool(row[2]))
 
 
-def plan_inputs(silver: DataFrame, max_labels: int = MAX_LABELS) -> WidePlanInputs:
-    """The only driver round trip: at most ``max_labels + 1`` summary rows."""
-    rows = label_summary(silver).limit(max_labels + 1).collect()
-    if len(rows) > max_labels:
-        raise ValueError(f"more than {max_labels} indicator labels; raise max_labels to pivot them all")
-    if not rows:
-        return WidePlanInputs([], None, None, False)
-    unusable = [r[LABEL] for r in rows if r[LABEL] in ("", "calendar_date")]
-    if unusable:
-        raise ValueError(f"labels {unusable!r} cannot name a wide column; map them to other labels first")
-    return WidePlanInputs(
-        labels=sorted(r[LABEL] for r in rows),
-        min_date=min(r["min_date"] for r in rows),
-        max_date=max(r["max_date"] for r in rows),
-        shared_labels=any(r["n_series"] > 1 for r in rows),
-    )
+def wide_labels(silver: DataFrame) -> list[str]:
+    """The labels in column order. They are the wide table's columns, so this
+    list is the one thing that has to reach the driver."""
+    return sorted(r[0] for r in distinct_labels(silver).collect())
+
+
+def wide_columns(labels: list[str]) -> dict[str, str]:
+    """Label -> column name. Names are unique without regard to case and never
+    the day's; a label is its own column where it can be (see ``unique_names``)."""
+    return dict(zip(labels, unique_names(labels, taken=(DAY,))))
 
 
 def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
@@ -117,7 +118,7 @@ def calendar_join(cal: DataFrame, pivoted: DataFrame) -> DataFrame:
     return cal.join(pivoted, cal["calendar_date"] == pivoted["obs_date"], "left").drop("obs_date")
 
 
-def window_cutoff(inputs: WidePlanInputs, recent_window_days: int | None) -> dt.date:
+def window_cutoff(inputs: WideBounds, recent_window_days: int | None) -> dt.date:
     if recent_window_days is None:
         return inputs.min_date
     return max(inputs.min_date, inputs.max_date - dt.timedelta(days=recent_window_days))
@@ -128,28 +129,21 @@ def trim_recent(wide: DataFrame, max_date: dt.date, recent_window_days: int) ->
     return wide.filter(F.col("calendar_date") >= F.date_sub(F.lit(max_date), recent_window_days))
 
 
-def _empty(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "calendar_date date")
-
-
-def _label_day_obs(silver: DataFrame, inputs: WidePlanInputs) -> DataFrame:
+def _label_day_obs(silver: DataFrame, inputs: WideBounds) -> DataFrame:
     if inputs.shared_labels:
         return one_per_label_day(silver)
     return silver.select(LABEL, "obs_date", "value")
 
 
-def gold_wide(
-    silver: DataFrame,
-    recent_window_days: int | None = RECENT_WINDOW_DAYS,
-    max_labels: int = MAX_LABELS,
-    inputs: WidePlanInputs | None = None,
+def dense_daily(
+    silver: DataFrame, recent_window_days: int | None = RECENT_WINDOW_DAYS, inputs: WideBounds | None = None
 ) -> DataFrame:
-    """Wide table by interval expansion (see module doc). ``None`` as the
+    """The tall table (calendar_date, indicator_label, value): every day of
+    the window from a label's first value on, filled forward. ``None`` as the
     window keeps the whole history."""
-    spark = silver.sparkSession
-    inputs = inputs or plan_inputs(silver, max_labels)
-    if not inputs.labels:
-        return _empty(spark)
+    inputs = inputs or bounds(silver)
+    if inputs.max_date is None:
+        return silver.sparkSession.createDataFrame([], f"{DAY} date, {LABEL} string, value double")
     cutoff = window_cutoff(inputs, recent_window_days)
     obs = _label_day_obs(silver, inputs)
 
@@ -164,40 +158,42 @@ def gold_wide(
     w = Window.partitionBy(LABEL).orderBy("obs_date", "_seed")
     valid_to = F.coalesce(F.date_sub(F.lead("obs_date").over(w), 1), F.lit(inputs.max_date))
     spans = spans.withColumn("_to", valid_to).filter(F.col("_to") >= F.col("obs_date"))
-    days = spans.select(
-        LABEL,
-        F.explode(F.sequence("obs_date", "_to", F.expr("INTERVAL 1 DAY"))).alias("calendar_date"),
-        "value",
-    )
-    wide = days.groupBy("calendar_date").pivot(LABEL, inputs.labels).agg(F.first("value"))
-    return wide.select("calendar_date", *[named(l) for l in inputs.labels])
+    return spans.select(F.explode(F.sequence("obs_date", "_to", F.expr("INTERVAL 1 DAY"))).alias(DAY), LABEL, "value")
 
 
-def ffill_single_window(joined: DataFrame, labels: list[str]) -> DataFrame:
-    """W4 written as one unpartitioned running window (``last`` ignoring
-    NULLs). All days pass through a single task: kept only to check
-    ``gold_wide`` against and to measure the difference."""
-    w = Window.orderBy("calendar_date").rowsBetween(Window.unboundedPreceding, 0)
-    return joined.select(
-        "calendar_date", *[F.last(named(l), ignorenulls=True).over(w).alias(l) for l in labels]
-    )
+def _pivot(dense: DataFrame, labels: list[str], columns: dict[str, str]) -> DataFrame:
+    narrow = dense.repartition(DAY)
+    return narrow.groupBy(DAY).pivot(LABEL, labels).agg(F.first("value")).toDF(DAY, *[columns[x] for x in labels])
+
 
+def pivot_dense(dense: DataFrame, labels: list[str], first: dt.date, last: dt.date, group: int = PIVOT_GROUP) -> DataFrame:
+    """Tall to wide, one column per label of ``labels``, days ``first``..``last``."""
+    columns = wide_columns(labels)
+    if len(labels) <= group:
+        return _pivot(dense, labels, columns)
+    spark = dense.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/wide/dense-{uuid.uuid4().hex}"
+    dense.write.parquet(path)
+    dense = spark.read.parquet(path)
+    out = calendar(spark, first, last)
+    for i in range(0, len(labels), group):
+        some = labels[i : i + group]
+        out = out.join(_pivot(dense.filter(F.col(LABEL).isin(some)), some, columns), DAY, "left")
+    return out
 
-def gold_wide_by_window(
+
+def gold_wide(
     silver: DataFrame,
     recent_window_days: int | None = RECENT_WINDOW_DAYS,
-    max_labels: int = MAX_LABELS,
+    inputs: WideBounds | None = None,
+    labels: list[str] | None = None,
+    group: int = PIVOT_GROUP,
 ) -> DataFrame:
-    """Same result as ``gold_wide`` the slow way: full calendar, pivot,
-    left join, single-window fill, then trim."""
-    spark = silver.sparkSession
-    inputs = plan_inputs(silver, max_labels)
-    if not inputs.labels:
-        return _empty(spark)
-    obs = _label_day_obs(silver, inputs)
-    cal = calendar(spark, inputs.min_date, inputs.max_date)
-    joined = calendar_join(cal, pivot_by_day(obs, inputs.labels))
-    filled = ffill_single_window(joined, inputs.labels)
-    if recent_window_days is None:
-        return filled
-    return trim_recent(filled, inputs.max_date, recent_window_days)
+    """Wide table by interval expansion (see module doc). ``None`` as the
+    window keeps the whole history."""
+    inputs = inputs or bounds(silver)
+    if inputs.max_date is None:
+        return silver.sparkSession.createDataFrame([], f"{DAY} date")
+    labels = wide_labels(silver) if labels is None else labels
+    dense = dense_daily(silver, recent_window_days, inputs)
+    return pivot_dense(dense, labels, window_cutoff(inputs, recent_window_days), inputs.max_date, group)

@@ -16,34 +16,36 @@ Every table is replaced, never appended, so a rerun gives the same rows.
 from __future__ import annotations
 
 import argparse
-import hashlib
 import time
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from indtables.operators.conform import accepted, parse_feed_a, parse_feed_b, rejected, union_feeds
 from indtables.operators.long import gold_long
-from indtables.operators.silver import PULL_FILE, PULLED_AT, dedupe_observations, enforce_not_null
+from indtables.operators.silver import PULL_FILE, PULL_STAMP, PULLED_AT, dedupe_observations, enforce_not_null
 from indtables.operators.wide import RECENT_WINDOW_DAYS, gold_wide
 from indtables.plans.query import GoldCatalog
-from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
+from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA, SILVER_COLUMNS
+from indtables.session import path_exists
 from indtables.sinks.writers import write_parquet
 from indtables.sources.bronze import read_bronze
 from indtables.sources.gold import read_gold
 
 FEED_A_FOLDER = "banxico"
 FEED_B_FOLDER = "inegi"
-LINEAGE = [PULLED_AT, PULL_FILE]
+LINEAGE = [PULL_STAMP, PULLED_AT, PULL_FILE]
 SERIES_ORDER = ["source", "indicator_id", "obs_date"]
+STATE = "mode string, slot string, merged_through long"
 
 
 @dataclass
 class RefreshPaths:
     root: str
     conformed: str = field(init=False)
+    checkpoint: str = field(init=False)
     state: str = field(init=False)
     silver: str = field(init=False)
     rejects: str = field(init=False)
@@ -58,6 +60,7 @@ class RefreshPaths:
     def __post_init__(self) -> None:
         r = self.root.rstrip("/")
         self.conformed = f"{r}/silver/conformed"
+        self.checkpoint = f"{r}/silver/_checkpoint"
         self.state = f"{r}/silver/_state"
         self.silver = f"{r}/silver/indicators"
         self.rejects = f"{r}/silver/rejects"
@@ -65,13 +68,17 @@ class RefreshPaths:
         self.wide = f"{r}/gold/indicators_wide"
 
 
-def _docs(spark: SparkSession, root: str, folder: str, schema, multi_line: bool) -> DataFrame | None:
+def _docs(spark: SparkSession, root: str, folder: str, schema, multi_line: bool) -> DataFrame:
+    """A feed's documents; a feed with no folder yet has none."""
     try:
         return read_bronze(spark, root, folder, schema, multi_line)
     except AnalysisException as e:
-        if (e.getCondition() or "") == "PATH_NOT_FOUND":
-            return None
-        raise
+        if (e.getCondition() or "") != "PATH_NOT_FOUND":
+            raise
+    empty = spark.createDataFrame([], schema)
+    none = F.lit(None)
+    return empty.select("*", none.cast("string").alias(PULL_STAMP), none.cast("timestamp").alias(PULLED_AT),
+                        none.cast("string").alias(PULL_FILE))
 
 
 def conformed_candidates(
@@ -82,23 +89,17 @@ def conformed_candidates(
     multi_line: bool = False,
 ) -> DataFrame:
     """L1, first half: every document of both feeds to candidate rows with
-    pull lineage. A feed with no folder yet contributes nothing."""
-    parts = []
+    pull lineage."""
     a = _docs(spark, bronze_root, FEED_A_FOLDER, FEED_A_SCHEMA, multi_line)
-    if a is not None:
-        parts.append(parse_feed_a(a, labels=labels, strict=strict, carry=LINEAGE))
     b = _docs(spark, bronze_root, FEED_B_FOLDER, FEED_B_SCHEMA, multi_line)
-    if b is not None:
-        parts.append(parse_feed_b(b, strict=strict, carry=LINEAGE))
-    if not parts:
-        return None
-    return union_feeds(*parts)
+    return union_feeds(
+        parse_feed_a(a, labels=labels, strict=strict, carry=LINEAGE),
+        parse_feed_b(b, strict=strict, carry=LINEAGE),
+    )
 
 
-def build_silver(candidates: DataFrame | None, spark: SparkSession) -> DataFrame:
+def build_silver(candidates: DataFrame) -> DataFrame:
     """L1, second half: accepted rows, deduped (real first, newest pull)."""
-    if candidates is None:
-        return spark.createDataFrame([], SILVER_SCHEMA)
     return dedupe_observations(accepted(candidates, carry=LINEAGE))
 
 
@@ -121,32 +122,40 @@ def run(
     shuffle so the files also follow one another in key order.
 
     ``incremental``: parse only the pulls landed since the last run (a file
-    stream with its checkpoint under ``spark.checkpoint.dir``), append them
-    to the conformed table, and merge their good rows into the previous
-    silver (kept with its pull lineage). The dedupe picks a maximum under a
-    total order, so merging gives exactly the full run's silver while a run
-    costs O(silver + new pulls) instead of O(every pull ever landed). A
-    tiny state table (current slot, last merged ingest id) is written only
-    after the new silver is complete, so a failure anywhere just redoes
-    the merge. ``max_files_per_batch`` drains a large backlog of pulls in
-    several committed micro-batches. Use one mode per ``out_root``."""
+    stream), append them to the conformed table, and merge their good rows
+    into the previous silver (kept with its pull lineage). The dedupe picks a
+    maximum under a total order, so merging gives the full run's silver from
+    (previous silver + new pulls) alone. A one-row state table (mode, current
+    slot, last merged ingest id) is written only after the new silver is
+    complete, so a failure anywhere just redoes the merge.
+    ``max_files_per_batch`` drains a large backlog of pulls in several
+    committed micro-batches.
+
+    Nothing is replaced unless the run can go on from what is there: the
+    stream's checkpoint lives under ``out_root`` beside its table, a root
+    belongs to one mode (recorded in the state), and a missing bronze root, or
+    a missing half of checkpoint and table, is an error."""
     paths = RefreshPaths(out_root)
+    if incremental and (strict or multi_line):
+        raise ValueError("incremental refresh reads JSON-lines bronze and keeps rejects; "
+                         "strict / multi_line need a full run")
+    root = bronze_root.rstrip("/")
+    if not any(path_exists(spark, f"{root}/{f}") for f in (FEED_A_FOLDER, FEED_B_FOLDER)):
+        raise FileNotFoundError(f"no bronze folder {FEED_A_FOLDER} or {FEED_B_FOLDER} under {bronze_root}")
+    mode = "incremental" if incremental else "full"
+    state = _read_state(spark, paths)
+    if state is not None and state["mode"] != mode:
+        raise ValueError(f"{out_root} was written by a {state['mode']} refresh; a {mode} one needs a root of its own")
     if incremental:
-        if strict or multi_line:
-            raise ValueError("incremental refresh reads JSON-lines bronze and keeps rejects; "
-                             "strict / multi_line need a full run")
-        _merge_new_pulls(spark, bronze_root, paths, labels, total_order, max_files_per_batch)
+        _merge_new_pulls(spark, bronze_root, paths, state, labels, total_order, max_files_per_batch)
         return _gold(spark, paths, recent_window_days, total_order)
-    cand = conformed_candidates(spark, bronze_root, labels, strict, multi_line)
-    if cand is None:
-        write_parquet(enforce_not_null(build_silver(None, spark)), paths.silver)
-    else:
-        write_parquet(cand, paths.conformed)
-        conformed = read_gold(spark, paths.conformed)
-        silver = enforce_not_null(build_silver(conformed, spark))
-        write_parquet(silver, paths.silver, SERIES_ORDER, total_order)
-        write_parquet(rejected(conformed), paths.rejects)
-    return _gold(spark, paths, recent_window_days, total_order)
+    write_parquet(conformed_candidates(spark, bronze_root, labels, strict, multi_line), paths.conformed)
+    conformed = read_gold(spark, paths.conformed)
+    write_parquet(enforce_not_null(build_silver(conformed)), paths.silver, SERIES_ORDER, total_order)
+    write_parquet(rejected(conformed, carry=LINEAGE), paths.rejects)
+    counts = _gold(spark, paths, recent_window_days, total_order)
+    _write_state(spark, paths, mode, None, -1)
+    return counts
 
 
 def _gold(spark: SparkSession, paths: RefreshPaths, recent_window_days, total_order: bool) -> dict[str, int]:
@@ -160,47 +169,67 @@ def _gold(spark: SparkSession, paths: RefreshPaths, recent_window_days, total_or
 
 # ------------------------------------------------------------ incremental
 
-def _read_state(spark: SparkSession, paths: RefreshPaths) -> tuple[str | None, int]:
-    """(current slot, last merged ingest id); none yet -> (None, -1)."""
-    try:
-        row = read_gold(spark, paths.state).first()
-    except FileNotFoundError:
-        return None, -1
-    return (row["slot"], row["merged_through"]) if row else (None, -1)
+def _read_state(spark: SparkSession, paths: RefreshPaths) -> Row | None:
+    """(mode, slot, merged_through) of the last complete run."""
+    return spark.read.parquet(paths.state).first() if path_exists(spark, paths.state) else None
+
+
+def _write_state(spark: SparkSession, paths: RefreshPaths, mode: str, slot: str | None, merged_through: int) -> None:
+    state = spark.createDataFrame([(mode, slot, merged_through)], STATE)
+    write_parquet(state.coalesce(1), paths.state)  # one row
+
+
+def _check_intake(spark: SparkSession, paths: RefreshPaths, state: Row | None) -> None:
+    """The checkpoint says which pulls are in the conformed table: going on
+    with only one of the two would lose or repeat pulls."""
+    table = path_exists(spark, f"{paths.conformed}/_spark_metadata")
+    checkpoint = path_exists(spark, f"{paths.checkpoint}/metadata")
+    committed = path_exists(spark, f"{paths.checkpoint}/commits/0")
+    if table and not checkpoint:
+        raise RuntimeError(f"{paths.conformed} has lost its checkpoint {paths.checkpoint}: refresh into a new root")
+    if committed and not table or state is not None and state["slot"] and not (table and checkpoint):
+        raise RuntimeError(f"{paths.checkpoint} has lost its table {paths.conformed}: refresh into a new root")
+    if state is None and not checkpoint and any(
+        path_exists(spark, p) for p in (paths.conformed, paths.silver, paths.long, paths.wide)
+    ):
+        raise RuntimeError(f"{paths.root} holds tables of an unknown run: refresh into a new root")
 
 
 def _merge_new_pulls(
     spark: SparkSession,
     bronze_root: str,
     paths: RefreshPaths,
+    state: Row | None,
     labels,
     total_order: bool = False,
     max_files_per_batch: int | None = None,
 ) -> None:
     """Land the new pulls, merge their good rows into the previous silver."""
-    from indtables.streaming.bronze_stream import INGEST_ID, conform_new_pulls_all
+    from indtables.streaming.bronze_stream import INGEST_ID, conform_new_pulls
 
-    slot, merged_through = _read_state(spark, paths)
+    _check_intake(spark, paths, state)
+    slot, merged_through = (state["slot"], state["merged_through"]) if state is not None else (None, -1)
     ingest_id = max(int(time.time() * 1000), merged_through + 1)
-    name = "refresh-" + hashlib.sha1(paths.root.rstrip("/").encode()).hexdigest()[:16]
-    conform_new_pulls_all(spark, bronze_root, paths.conformed, name, labels=labels,
-                          max_files_per_batch=max_files_per_batch, ingest_id=ingest_id)
-    try:
+    conform_new_pulls(spark, bronze_root, paths.conformed, paths.checkpoint, labels=labels,
+                      max_files_per_batch=max_files_per_batch, ingest_id=ingest_id)
+    if path_exists(spark, f"{paths.conformed}/_spark_metadata"):
         conformed = read_gold(spark, paths.conformed)
-    except FileNotFoundError:  # nothing has landed yet
-        write_parquet(spark.createDataFrame([], SILVER_SCHEMA), paths.silver)
-        return
+    else:  # both folders are there, but no pull has landed yet
+        conformed = conformed_candidates(spark, bronze_root).limit(0).withColumn(INGEST_ID, F.lit(0).cast("long"))
     # Only rows landed after the last merge (older files skip by their
     # row-group statistics on the ingest id).
-    new = accepted(conformed.filter(F.col(INGEST_ID) > merged_through), carry=LINEAGE)
+    landed = conformed.filter(F.col(INGEST_ID) > merged_through)
+    new = accepted(landed, carry=LINEAGE)
     rows = new if slot is None else new.unionByName(read_gold(spark, paths.slot(slot)))
     target = "b" if slot == "a" else "a"
     write_parquet(dedupe_observations(rows, carry=LINEAGE), paths.slot(target), SERIES_ORDER)
-    state = spark.createDataFrame([(target, ingest_id)], "slot string, merged_through long")
-    write_parquet(state.coalesce(1), paths.state)  # one row; written only after the slot is complete
     silver = read_gold(spark, paths.slot(target)).select(*SILVER_COLUMNS)
     write_parquet(enforce_not_null(silver), paths.silver, SERIES_ORDER, total_order)
-    write_parquet(rejected(conformed), paths.rejects)
+    # All rejects again only when there are new ones; good files skip by their statistics.
+    if not path_exists(spark, paths.rejects) or not rejected(landed).isEmpty():
+        write_parquet(rejected(conformed, carry=LINEAGE), paths.rejects)
+    if path_exists(spark, f"{paths.conformed}/_spark_metadata"):
+        _write_state(spark, paths, "incremental", target, ingest_id)
 
 
 def main(argv: list[str] | None = None) -> None:

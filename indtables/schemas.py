@@ -12,6 +12,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# The field names of both feeds and the columns of the tables.
+# ``pulled_at`` (optional) is the UTC stamp of the pull, as sortable text.
 # Feed A document: {is_fallback, bmx: {series: [{idSerie, titulo, datos: [{fecha, dato}]}]}}
 FEED_A_POINT = StructType([StructField("fecha", StringType()), StructField("dato", StringType())])
 FEED_A_SERIES = StructType(
@@ -24,6 +26,7 @@ FEED_A_SERIES = StructType(
 FEED_A_SCHEMA = StructType(
     [
         StructField("is_fallback", BooleanType()),
+        StructField("pulled_at", StringType()),
         StructField("bmx", StructType([StructField("series", ArrayType(FEED_A_SERIES))])),
     ]
 )
@@ -36,6 +39,7 @@ FEED_B_SERIES = StructType(
 FEED_B_SCHEMA = StructType(
     [
         StructField("is_fallback", BooleanType()),
+        StructField("pulled_at", StringType()),
         StructField("label", StringType()),
         StructField("Series", ArrayType(FEED_B_SERIES)),
     ]
@@ -69,3 +73,8 @@ REJECT_SCHEMA = StructType(
         StructField("reason", StringType()),
     ]
 )
+
+
+def with_field(schema: StructType, name: str, kind) -> StructType:
+    """A copy of ``schema`` with one more field."""
+    return StructType([*schema.fields, StructField(name, kind)])

@@ -51,3 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever filesystem it names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

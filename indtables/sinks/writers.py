@@ -44,10 +44,6 @@ def write_parquet(
     return path
 
 
-# Largest table ``write_csv(single_file=True)`` accepts: one task writes it.
-SINGLE_FILE_MAX_ROWS = 5_000_000
-
-
 def write_csv(
     df: DataFrame,
     path: str,
@@ -59,15 +55,10 @@ def write_csv(
     ``true``/``false``, dates ISO. Replaced in place on rerun. A folder of
     part files; the header is repeated in each part.
 
-    ``single_file``: one part file, for tools that open exactly one file.
-    One task writes it, so it is refused above ``SINGLE_FILE_MAX_ROWS`` rows
-    (checked with a count first)."""
+    ``single_file``: one part file, for tools that open exactly one file. The
+    plan runs spread out as ever; its result then goes to one writing task."""
     if single_file:
-        n = df.count()
-        if n > SINGLE_FILE_MAX_ROWS:
-            raise ValueError(f"{n} rows is too many for one CSV file (max {SINGLE_FILE_MAX_ROWS}); "
-                             "export the folder of parts instead")
-        df = df.coalesce(1)
+        df = df.repartition(1)
         total = False
     (
         _ordered(df, order_by, total)

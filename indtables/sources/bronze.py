@@ -12,13 +12,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from indtables.operators.silver import PULL_FILE, PULLED_AT
+from indtables.operators.silver import PULL_FILE, PULL_STAMP, PULLED_AT
+
+# A UTC stamp in an object's name, as in 20260601T120000Z.
+NAME_STAMP = r"(\d{8}T\d{6})"
 
 
 def bronze_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/{source}"
 
 
+def with_lineage(docs: DataFrame) -> DataFrame:
+    """Adds where each document came from: the pull's stamp (from the document,
+    else from the file's name, else NULL), file time and file name."""
+    name = F.col("_metadata.file_name")
+    stamp = F.nullif(F.regexp_extract(name, NAME_STAMP, 1), F.lit(""))
+    if "pulled_at" in docs.columns:
+        stamp = F.coalesce("pulled_at", stamp)
+    return docs.select(
+        "*",
+        stamp.alias(PULL_STAMP),
+        F.col("_metadata.file_modification_time").alias(PULLED_AT),
+        name.alias(PULL_FILE),
+    )
+
+
 def read_bronze(
     spark: SparkSession, root: str, source: str, schema: StructType, multi_line: bool = False
 ) -> DataFrame:
@@ -33,8 +51,4 @@ def read_bronze(
         .option("multiLine", multi_line)
         .json(bronze_path(root, source))
     )
-    return df.select(
-        "*",
-        F.col("_metadata.file_modification_time").alias(PULLED_AT),
-        F.col("_metadata.file_name").alias(PULL_FILE),
-    )
+    return with_lineage(df)

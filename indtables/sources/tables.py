@@ -54,13 +54,15 @@ def orders_tie_break() -> list[Column]:
     return [F.col("o_orderkey").desc()]
 
 
-def lineitem_observations(lineitem: DataFrame, value: str = "l_extendedprice") -> DataFrame:
-    """lineitem: one series per supplier, dated by ship date; returned lines
+def lineitem_observations(
+    lineitem: DataFrame, value: str = "l_extendedprice", series: str = "l_suppkey"
+) -> DataFrame:
+    """lineitem: one series per supplier (or part), dated by ship date; returned lines
     ('R') stand for synthetic rows."""
     return observations(
         lineitem,
         "lineitem",
-        F.col("l_suppkey"),
+        F.col(series),
         F.col("l_shipdate"),
         F.col(value),
         F.col("l_returnflag") == "R",

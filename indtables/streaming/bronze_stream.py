@@ -4,9 +4,13 @@ Bronze is append-only, so instead of re-parsing every document on each run,
 a file stream picks up only the pulls landed since the last run
 (``trigger(availableNow=True)``: process what is there, then stop) and
 appends their conformed candidates (good rows and rejects with a reason,
-the same table the batch refresh writes) to a landing table. The stream's
-checkpoint lives under the session's shared ``spark.checkpoint.dir``, so a
-restarted or re-run job resumes exactly where the last one committed.
+the same table the batch refresh writes) to a landing table.
+
+The stream's checkpoint is the caller's to place: next to the landing table it
+belongs to, because a checkpoint and a landing table that do not match lose or
+repeat pulls. The age of a file decides nothing: Spark's file source ignores
+files much older than the newest one it has seen, so that limit is set beyond
+any history, and a restored or backfilled pull is taken like any other.
 
 The parse is the batch parse: every step is a stateless column expression,
 valid on a streaming DataFrame. ``silver_from_landing`` dedupes the whole
@@ -17,60 +21,23 @@ result.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indtables.operators.conform import accepted, parse_feed_a, parse_feed_b, rejected
-from indtables.operators.silver import PULL_FILE, PULLED_AT, dedupe_observations
+from indtables.operators.conform import accepted, parse_feed_a, parse_feed_b, rejected, union_feeds
+from indtables.operators.silver import PULL_FILE, PULL_STAMP, PULLED_AT, dedupe_observations
 from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA
-from indtables.session import ensure_checkpoint_dir
+from indtables.sources.bronze import with_lineage
 
-LINEAGE = [PULLED_AT, PULL_FILE]
+LINEAGE = [PULL_STAMP, PULLED_AT, PULL_FILE]
 INGEST_ID = "_ingest_id"
-
-
-def _stream(spark: SparkSession, path: str, schema, max_files: int | None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    df = reader.json(path)
-    return df.select(
-        "*",
-        F.col("_metadata.file_modification_time").alias(PULLED_AT),
-        F.col("_metadata.file_name").alias(PULL_FILE),
-    )
-
-
-def conform_new_pulls(
-    spark: SparkSession,
-    bronze_root: str,
-    feed: str,
-    landing_path: str,
-    name: str | None = None,
-    labels: dict[str, str] | None = None,
-    max_files_per_batch: int | None = None,
-) -> int:
-    """Parse the not-yet-seen documents of ``feed`` ("a" or "b", folder
-    ``banxico``/``inegi``) and append their candidates to ``landing_path``.
-    ``max_files_per_batch`` bounds each micro-batch, so a large backlog is
-    taken in several committed steps (``availableNow`` still drains it all).
-    Returns the number of micro-batches run."""
-    folder = {"a": "banxico", "b": "inegi"}[feed]
-    schema = FEED_A_SCHEMA if feed == "a" else FEED_B_SCHEMA
-    docs = _stream(spark, f"{bronze_root.rstrip('/')}/{folder}", schema, max_files_per_batch)
-    cand = parse_feed_a(docs, labels=labels, carry=LINEAGE) if feed == "a" else parse_feed_b(docs, carry=LINEAGE)
-    ckpt = f"{ensure_checkpoint_dir(spark)}/streams/{name or folder}"
-    q = (
-        cand.writeStream.format("parquet")
-        .option("path", landing_path)
-        .option("checkpointLocation", ckpt)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return len(q.recentProgress)
+# Longer than any history: see the module doc.
+ANY_AGE = "100000d"
+# The folders of the two feeds.
+FOLDERS = {"a": "banxico", "b": "inegi"}
 
 
 def _ensure_dir(spark: SparkSession, path: str, schema) -> None:
@@ -84,42 +51,48 @@ def _ensure_dir(spark: SparkSession, path: str, schema) -> None:
         spark.createDataFrame([], schema).write.mode("append").json(path)
 
 
-def conform_new_pulls_all(
+def conform_new_pulls(
     spark: SparkSession,
     bronze_root: str,
     landing_path: str,
-    name: str,
+    checkpoint: str,
+    feeds: Sequence[str] = ("a", "b"),
     labels: dict[str, str] | None = None,
     max_files_per_batch: int | None = None,
     ingest_id: int | None = None,
-) -> int:
-    """Both feeds in one stream (a union of the two file sources): one
-    sink, one checkpoint, so the landing table is committed atomically per
-    micro-batch. ``ingest_id`` tags every row landed by this call (column
-    ``_ingest_id``), so a later step can pick out what is new. Returns the
-    number of micro-batches run."""
-    root = bronze_root.rstrip("/")
+) -> None:
+    """Parse the not-yet-seen documents of the feeds and append their
+    candidates to ``landing_path``, in one stream: one sink, one checkpoint,
+    so the landing table is committed atomically per micro-batch.
+    ``max_files_per_batch`` bounds each micro-batch, so a large backlog is
+    taken in several committed steps (``availableNow`` still drains it all).
+    ``ingest_id`` tags every row landed by this call, so a later step can pick
+    out what is new."""
     parts = []
-    for folder, schema, parse in (
-        ("banxico", FEED_A_SCHEMA, lambda d: parse_feed_a(d, labels=labels, carry=LINEAGE)),
-        ("inegi", FEED_B_SCHEMA, lambda d: parse_feed_b(d, carry=LINEAGE)),
-    ):
-        _ensure_dir(spark, f"{root}/{folder}", schema)
-        parts.append(parse(_stream(spark, f"{root}/{folder}", schema, max_files_per_batch)))
-    cand = parts[0].unionByName(parts[1])
+    for feed in feeds:
+        schema = FEED_A_SCHEMA if feed == "a" else FEED_B_SCHEMA
+        path = f"{bronze_root.rstrip('/')}/{FOLDERS[feed]}"
+        _ensure_dir(spark, path, schema)
+        reader = spark.readStream.schema(schema).option("mode", "FAILFAST").option("maxFileAge", ANY_AGE)
+        if max_files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+        docs = with_lineage(reader.json(path))
+        if feed == "a":
+            parts.append(parse_feed_a(docs, labels=labels, carry=LINEAGE))
+        else:
+            parts.append(parse_feed_b(docs, carry=LINEAGE))
+    cand = union_feeds(*parts)
     if ingest_id is not None:
         cand = cand.withColumn(INGEST_ID, F.lit(ingest_id).cast("long"))
-    ckpt = f"{ensure_checkpoint_dir(spark)}/streams/{name}"
-    q = (
+    (
         cand.writeStream.format("parquet")
         .option("path", landing_path)
-        .option("checkpointLocation", ckpt)
+        .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
+        .awaitTermination()
     )
-    q.awaitTermination()
-    return len(q.recentProgress)
 
 
 def landed_rows(spark: SparkSession, landing_path: str) -> DataFrame:
@@ -128,8 +101,8 @@ def landed_rows(spark: SparkSession, landing_path: str) -> DataFrame:
 
 
 def landed_rejects(spark: SparkSession, landing_path: str) -> DataFrame:
-    """Rejected rows landed so far, with their reason."""
-    return rejected(spark.read.parquet(landing_path))
+    """Rejected rows landed so far, with their reason and pull."""
+    return rejected(spark.read.parquet(landing_path), carry=LINEAGE)
 
 
 def silver_from_landing(spark: SparkSession, landing_path: str) -> DataFrame:

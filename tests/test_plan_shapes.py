@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from indtables.operators.long import gold_long
 from indtables.operators.silver import dedupe_observations
-from indtables.operators.wide import gold_wide, gold_wide_by_window
+from indtables.operators.wide import gold_wide
+from window_fill import gold_wide_by_window
 from indtables.sinks.writers import write_parquet
 
 

@@ -6,38 +6,35 @@ import os
 import duckdb
 import pytest
 
-from conftest import FIXTURES
+from conftest import FIXTURES, docs_frame
 from indtables.plans.query import GoldCatalog
 from indtables.plans.refresh import RefreshPaths, run
 from indtables.sinks.writers import write_bronze
-from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA
+from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA, LONG_SCHEMA
 from indtables.streaming.bronze_stream import conform_new_pulls, landed_rejects, landed_rows, silver_from_landing
 
 
 def tiny_gold(spark, scratch):
-    con = duckdb.connect()
-    long_path, wide_path = os.path.join(scratch, "long"), os.path.join(scratch, "wide")
-    os.makedirs(long_path)
-    os.makedirs(wide_path)
-    con.sql(f"""COPY (SELECT * FROM (VALUES
-        ('banxico', 'SF43718', 'fx_rate_usd_mxn', DATE '2026-06-01', 17.85::DOUBLE, NULL::DOUBLE, 17.85::DOUBLE, false),
-        ('banxico', 'SF43718', 'fx_rate_usd_mxn', DATE '2026-06-02', 17.90::DOUBLE, 0.28::DOUBLE, 17.875::DOUBLE, false)
-      ) AS t(source, indicator_id, indicator_label, obs_date, value, change_pct, rolling_avg_30d, is_fallback))
-      TO '{long_path}/part-0.parquet' (FORMAT PARQUET)""")
-    con.sql(f"""COPY (SELECT * FROM (VALUES (DATE '2026-06-01', 17.85::DOUBLE), (DATE '2026-06-02', 17.90::DOUBLE))
-      AS t(calendar_date, fx_rate_usd_mxn)) TO '{wide_path}/part-0.parquet' (FORMAT PARQUET)""")
-    return GoldCatalog(spark, long_path, wide_path)
-
-
-def test_query_suffix_columns_and_counts(spark, scratch):
+    """Three long rows of two series and two wide rows, written."""
+    long_ = spark.createDataFrame(
+        [("s1", "k1", "steel", dt.date(2021, 5, 30), 400.0, False, None, 400.0),
+         ("s1", "k1", "steel", dt.date(2021, 6, 4), 300.0, False, -25.0, 350.0),
+         ("s2", "k2", "copper", dt.date(2021, 6, 4), 9.5, True, None, 9.5)], LONG_SCHEMA)
+    wide = spark.createDataFrame([(dt.date(2021, 5, 30), None, 400.0), (dt.date(2021, 6, 4), 9.5, 300.0)],
+                                 "calendar_date date, copper double, steel double")
+    paths = os.path.join(scratch, "long"), os.path.join(scratch, "wide")
+    for df, path in zip((long_, wide), paths):
+        df.coalesce(1).write.parquet(path)
+    return GoldCatalog(spark, *paths)
+
+
+def test_sql_tails_and_counts(spark, scratch):
     cat = tiny_gold(spark, scratch)
-    assert cat.query_long("ORDER BY obs_date").collect()[0][4] == 17.85
-    assert cat.query_wide("ORDER BY calendar_date").columns == ["calendar_date", "fx_rate_usd_mxn"]
-    assert cat.row_counts() == {"indicators_long": 2, "indicators_wide": 2}
-    got = cat.query_long("WHERE obs_date > DATE '2026-06-01'").collect()
-    assert len(got) == 1 and got[0]["change_pct"] == 0.28
-    joined = cat.query_long("JOIN indicators_wide w ON w.calendar_date = obs_date WHERE w.fx_rate_usd_mxn > 17.86")
-    assert joined.count() == 1
+    assert cat.row_counts() == {"indicators_long": 3, "indicators_wide": 2}
+    assert cat.query_wide("WHERE copper IS NULL").columns == ["calendar_date", "copper", "steel"]
+    assert [r["change_pct"] for r in cat.query_long("WHERE value < 350 ORDER BY value DESC").collect()] == [-25.0, None]
+    joined = cat.query_long("JOIN indicators_wide w ON w.calendar_date = obs_date AND w.steel = value")
+    assert joined.count() == 2
 
 
 def test_suffix_filter_reaches_the_scan(spark, scratch):
@@ -57,13 +54,13 @@ def test_csv_export(spark, scratch):
     cat = tiny_gold(spark, scratch)
     long_csv, wide_csv = cat.export_csv(os.path.join(scratch, "csv"))
     assert cat.export_csv(os.path.join(scratch, "csv")) == [long_csv, wide_csv]  # rerun replaces
-    assert spark.read.option("header", True).csv(long_csv).count() == 2
+    assert spark.read.option("header", True).csv(long_csv).count() == 3
     long_csv, wide_csv = cat.export_csv(os.path.join(scratch, "csv1"), single_file=True)
     parts = [f for f in os.listdir(long_csv) if f.endswith(".csv")]
     assert len(parts) == 1
     lines = open(os.path.join(long_csv, parts[0])).read().splitlines()
-    assert lines[0].startswith("source,indicator_id") and len(lines) == 3
-    assert [ln.split(",")[3] for ln in lines[1:]] == ["2026-06-01", "2026-06-02"]  # ordered
+    assert lines[0].startswith("source,indicator_id") and len(lines) == 4
+    assert [ln.split(",")[3] for ln in lines[1:]] == ["2021-05-30", "2021-06-04", "2021-06-04"]  # ordered
 
 
 def land_fixtures(spark, bronze, times=1):
@@ -78,66 +75,171 @@ def test_refresh_end_to_end_and_idempotent(spark, scratch):
     bronze, out = os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
     land_fixtures(spark, bronze, times=2)  # two identical pulls: dedupe keeps one of each
     counts = run(spark, bronze, out)
-    assert counts["silver"] == 7 and counts["indicators_long"] == 7
-    # latest day 2026-06-03, window 400 days back, 1990 value carried as seed
-    assert counts["indicators_wide"] == 401
+    assert counts["silver"] == 8 and counts["indicators_long"] == 8
+    assert counts["indicators_wide"] == 401  # the last day and 400 before it
     assert run(spark, bronze, out) == counts
     from indtables.plans.query import query_long, query_wide, row_counts
 
-    assert row_counts(spark, out) == {"indicators_long": 7, "indicators_wide": 401}
+    assert row_counts(spark, out) == {"indicators_long": 8, "indicators_wide": 401}
     assert query_long(spark, out, "WHERE source = 'inegi'").count() == 3
-    assert query_wide(spark, out, "WHERE fx_rate_usd_mxn IS NOT NULL").count() == 3
+    assert query_wide(spark, out, "WHERE inpc_general = 60.5").count() == 31  # January
     paths = RefreshPaths(out)
     wide = spark.read.parquet(paths.wide)
-    assert wide.columns == ["calendar_date", "fx_rate_usd_mxn", "inpc_general", "poblacion_total_placeholder"]
-    last = wide.orderBy("calendar_date", ascending=False).first()
-    assert last["calendar_date"] == dt.date(2026, 6, 3) and last["fx_rate_usd_mxn"] == 17.9012
-    assert last["poblacion_total_placeholder"] == 129201233.0
+    assert wide.columns == ["calendar_date", "SF46410", "inpc_general", "viviendas_censo"]
+    rows = wide.orderBy("calendar_date").collect()
+    assert tuple(rows[0]) == (dt.date(2023, 2, 2), None, None, 42.0)
+    assert tuple(rows[-1]) == (dt.date(2024, 3, 8), 99.0, 61.25, 7.25)
     assert spark.read.parquet(paths.rejects).count() == 0
-    assert spark.read.parquet(paths.conformed).count() == 2 * 7
+    assert spark.read.parquet(paths.conformed).count() == 2 * 8
 
 
 def test_refresh_with_only_one_feed(spark, scratch):
     bronze, out = os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
     a = spark.read.schema(FEED_A_SCHEMA).option("multiLine", True).json(str(FIXTURES / "feed_a_sample.json"))
     write_bronze(a, bronze, "banxico")
-    assert run(spark, bronze, out)["silver"] == 4
+    assert run(spark, bronze, out)["silver"] == 5
+
+
+def tables(spark, paths):
+    return {t: sorted(map(repr, spark.read.parquet(getattr(paths, t)).collect())) for t in ("silver", "long", "wide")}
+
+
+def test_refresh_with_absent_ids_and_clashing_labels(spark, scratch):
+    bronze, out = os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
+    point = [{"fecha": "01/02/2024", "dato": "3"}]
+    docs = [{"bmx": {"series": [{"datos": point}, {"idSerie": "FX", "datos": point}, {"idSerie": "fx", "datos": point},
+                                {"idSerie": "Calendar_Date", "datos": point}]}}]
+    write_bronze(docs_frame(spark, docs, "a"), bronze, "banxico")
+    assert run(spark, bronze, out) == {"indicators_long": 4, "indicators_wide": 1, "silver": 4}
+    wide = spark.read.parquet(RefreshPaths(out).wide)
+    assert wide.columns == ["calendar_date", "unlabelled", "Calendar_Date_2", "FX", "fx_2"]
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_wrong_bronze_root_leaves_the_tables(spark, scratch, incremental):
+    bronze, out = os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
+    land_fixtures(spark, bronze)
+    run(spark, bronze, out, incremental=incremental)
+    before = tables(spark, RefreshPaths(out))
+    with pytest.raises(FileNotFoundError, match="no bronze folder"):
+        run(spark, os.path.join(scratch, "nowhere"), out, incremental=incremental)
+    assert tables(spark, RefreshPaths(out)) == before
+
+
+def test_empty_bronze_folder_replaces_all_tables(spark, scratch):
+    bronze, out = os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
+    land_fixtures(spark, bronze)
+    run(spark, bronze, out)
+    empty = os.path.join(scratch, "empty")
+    os.makedirs(os.path.join(empty, "banxico"))
+    assert run(spark, empty, out) == {"silver": 0, "indicators_long": 0, "indicators_wide": 0}
+    paths = RefreshPaths(out)
+    assert spark.read.parquet(paths.conformed).count() == spark.read.parquet(paths.rejects).count() == 0
+
+
+def test_incremental_takes_pulls_of_any_file_time(spark, scratch):
+    bronze, inc, full = (os.path.join(scratch, x) for x in ("bronze", "inc", "full"))
+
+    def pull(day, age_days):
+        docs = [{"bmx": {"series": [{"idSerie": "Q", "datos": [{"fecha": day, "dato": "1"}]}]}}]
+        had = set(os.listdir(os.path.join(bronze, "banxico"))) if os.path.isdir(os.path.join(bronze, "banxico")) else set()
+        write_bronze(docs_frame(spark, docs, "a").coalesce(1), bronze, "banxico")
+        for f in set(os.listdir(os.path.join(bronze, "banxico"))) - had:
+            path = os.path.join(bronze, "banxico", f)
+            os.utime(path, (os.path.getmtime(path) - age_days * 86400,) * 2)
+
+    pull("01/01/2024", 0)
+    assert run(spark, bronze, inc, incremental=True)["silver"] == 1
+    pull("02/01/2024", 30)
+    pull("03/01/2024", 0)
+    assert run(spark, bronze, inc, incremental=True)["silver"] == 3
+    run(spark, bronze, full)
+    assert tables(spark, RefreshPaths(inc)) == tables(spark, RefreshPaths(full))
+
+
+def test_incremental_does_not_hang_on_the_session_checkpoint_folder(spark, scratch):
+    """The intake's checkpoint belongs to the output, not to the session."""
+    bronze, inc = os.path.join(scratch, "bronze"), os.path.join(scratch, "inc")
+    land_fixtures(spark, bronze)
+    run(spark, bronze, inc, incremental=True)
+    assert os.path.isdir(RefreshPaths(inc).checkpoint)
+
+
+def test_incremental_refuses_a_lost_half(spark, scratch):
+    import shutil
+
+    bronze = os.path.join(scratch, "bronze")
+    land_fixtures(spark, bronze)
+    for lost in ("checkpoint", "conformed"):
+        paths = RefreshPaths(os.path.join(scratch, lost))
+        run(spark, bronze, paths.root, incremental=True)
+        before = tables(spark, paths)
+        shutil.move(getattr(paths, lost), os.path.join(scratch, f"moved-{lost}"))
+        with pytest.raises(RuntimeError, match="has lost its"):
+            run(spark, bronze, paths.root, incremental=True)
+        assert tables(spark, paths) == before
+
+
+def test_one_mode_per_root(spark, scratch):
+    bronze = os.path.join(scratch, "bronze")
+    land_fixtures(spark, bronze)
+    for first in (False, True):
+        paths = RefreshPaths(os.path.join(scratch, f"out-{first}"))
+        run(spark, bronze, paths.root, incremental=first)
+        before = tables(spark, paths)
+        with pytest.raises(ValueError, match="needs a root of its own"):
+            run(spark, bronze, paths.root, incremental=not first)
+        assert tables(spark, paths) == before
+
+
+def test_rejects_name_their_pull(spark, scratch):
+    bronze, out = os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
+    for stamp in ("20240101T000000", "20240102T000000"):
+        docs = [{"pulled_at": stamp, "bmx": {"series": [{"idSerie": "Q", "datos": [{"fecha": "1/1/2024", "dato": "x"}]}]}}]
+        write_bronze(docs_frame(spark, docs, "a"), bronze, "banxico")
+    run(spark, bronze, out)
+    rows = spark.read.parquet(RefreshPaths(out).rejects).collect()
+    assert sorted((r["reason"], r["_pull_stamp"]) for r in rows) == [
+        ("bad_value", "20240101T000000"), ("bad_value", "20240102T000000")]
+    assert all(r["_pull_file"] for r in rows)
 
 
 def test_stream_intake_only_new_pulls(spark, scratch):
-    bronze, landing = os.path.join(scratch, "bronze"), os.path.join(scratch, "landing")
+    bronze, landing, ckpt = (os.path.join(scratch, x) for x in ("bronze", "landing", "ckpt"))
     land_fixtures(spark, bronze)
-    conform_new_pulls(spark, bronze, "a", landing, name=os.path.basename(scratch))
-    assert landed_rows(spark, landing).count() == 4
-    conform_new_pulls(spark, bronze, "a", landing, name=os.path.basename(scratch))
-    assert landed_rows(spark, landing).count() == 4  # nothing new landed
+    conform_new_pulls(spark, bronze, landing, ckpt, feeds=["a"])
+    assert landed_rows(spark, landing).count() == 5
+    conform_new_pulls(spark, bronze, landing, ckpt, feeds=["a"])
+    assert landed_rows(spark, landing).count() == 5  # nothing new landed
     land_fixtures(spark, bronze)
-    conform_new_pulls(spark, bronze, "a", landing, name=os.path.basename(scratch))
-    assert landed_rows(spark, landing).count() == 8
+    conform_new_pulls(spark, bronze, landing, ckpt, feeds=["a"])
+    assert landed_rows(spark, landing).count() == 10
     assert landed_rejects(spark, landing).count() == 0
-    assert silver_from_landing(spark, landing).count() == 4
+    assert silver_from_landing(spark, landing).count() == 5
 
 
 def test_stream_intake_bounded_batches(spark, scratch):
-    bronze, landing = os.path.join(scratch, "bronze"), os.path.join(scratch, "landing")
+    bronze, landing, ckpt = (os.path.join(scratch, x) for x in ("bronze", "landing", "ckpt"))
     land_fixtures(spark, bronze, times=3)
-    batches = conform_new_pulls(spark, bronze, "b", landing, name=os.path.basename(scratch) + "b",
-                                max_files_per_batch=1)
-    assert batches >= 3
+    conform_new_pulls(spark, bronze, landing, ckpt, feeds=["b"], max_files_per_batch=1)
     assert landed_rows(spark, landing).count() == 9
+    assert len([f for f in os.listdir(os.path.join(ckpt, "commits")) if f.isdigit()]) >= 3
 
 
 def test_driver_contract(spark):
     import __spark_entry__ as E
 
-    assert set(E.oracle_sql()) == set(E.queries())  # every query has its SQL twin
+    assert set(E.QUERY_NAMES) <= set(E.oracle_sql())  # every one of these has its SQL twin
+    assert set(E.oracle_sql()) <= set(E.queries())
     df = E.entry(spark)
     assert df.columns[-2:] == ["change_pct", "rolling_avg_30d"]
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("key", ["gold_long", "gold_wide", "parse_feed_b", "conform_rejects", "report_inpc_shipped",
-                                 "kpi_latest", "fallback_by_source"])
+@pytest.mark.parametrize("key", ["gold_long", "gold_wide", "parse_feed_b", "conform_rejects", "conform_rejects_a",
+                                 "report_inpc_shipped", "kpi_latest", "fallback_by_source", "wide_dense_lineitem",
+                                 "refresh_incremental_long", "refresh_incremental_wide", "refresh_rejects",
+                                 "rolling_avg_plain", "label_join"])
 def test_queries_match_oracle_small(spark, key):
     import math
 
@@ -191,7 +293,6 @@ def test_offline_chain_fallback_to_csv(spark, scratch):
     # a later real pull of the same day wins over the synthetic one
     real = {"is_fallback": False, "bmx": {"series": [{"idSerie": "SF43718",
             "datos": [{"fecha": "28/08/2026", "dato": "18.25"}]}]}}
-    from conftest import docs_frame
     write_bronze(docs_frame(spark, [real], "a"), bronze, "banxico")
     run(spark, bronze, out)
     row = spark.read.parquet(paths.silver).filter("indicator_id = 'SF43718' AND obs_date = DATE'2026-08-28'").collect()
@@ -221,30 +322,28 @@ def test_command_line_chain(scratch):
 
 def test_incremental_refresh_matches_full(spark, scratch):
     """Incremental runs after each landing == one full run over all pulls."""
-    from conftest import docs_frame
     from indtables.plans.extract import land_fallback_pulls
 
     bronze, inc, full = (os.path.join(scratch, x) for x in ("bronze", "inc", "full"))
+    os.makedirs(os.path.join(bronze, "inegi"))
     assert run(spark, bronze, inc, incremental=True)["silver"] == 0  # nothing landed yet
     land_fixtures(spark, bronze)
-    first = run(spark, bronze, inc, incremental=True)
-    assert first["silver"] == 7
-    revised = {"is_fallback": False, "bmx": {"series": [{"idSerie": "SF43718", "datos": [
-        {"fecha": "01/06/2026", "dato": "17.9"}, {"fecha": "04/06/2026", "dato": "18.1"}]}]}}
+    assert run(spark, bronze, inc, incremental=True)["silver"] == 8
+    revised = {"bmx": {"series": [{"idSerie": "SF46410", "datos": [
+        {"fecha": "04/03/2024", "dato": "77"}, {"fecha": "09/03/2024", "dato": "78"}, {"fecha": "x", "dato": "1"}]}]}}
     write_bronze(docs_frame(spark, [revised], "a"), bronze, "banxico")
-    land_fallback_pulls(spark, bronze, dt.date(2026, 6, 4), lookback_days=10)
+    land_fallback_pulls(spark, bronze, dt.date(2024, 3, 9), lookback_days=10)
     assert run(spark, bronze, inc, incremental=True) == run(spark, bronze, full)
     pi, pf = RefreshPaths(inc), RefreshPaths(full)
     for t in ("silver", "long", "wide", "rejects"):
-        a = sorted(spark.read.parquet(getattr(pi, t)).collect())
-        b = sorted(spark.read.parquet(getattr(pf, t)).collect())
+        a = sorted(map(repr, spark.read.parquet(getattr(pi, t)).collect()))
+        b = sorted(map(repr, spark.read.parquet(getattr(pf, t)).collect()))
         assert a == b, t
-    fx = spark.read.parquet(pi.silver).filter("indicator_id = 'SF43718' AND obs_date = DATE'2026-06-01'").collect()
-    assert fx[0]["value"] == 17.9  # the newer real pull revised the day
+    row = spark.read.parquet(pi.silver).filter("indicator_id = 'SF46410' AND obs_date = DATE'2024-03-04'").collect()
+    assert row[0]["value"] == 77.0  # the newer real pull revised the day
 
 
 def test_incremental_merge_over_several_runs_and_a_lost_state_write(spark, scratch):
-    from conftest import docs_frame
     from indtables.plans.extract import land_fallback_pulls
 
     bronze, inc = os.path.join(scratch, "bronze"), os.path.join(scratch, "inc")
@@ -276,7 +375,7 @@ def test_incremental_merge_over_several_runs_and_a_lost_state_write(spark, scrat
     pull([("03/06/2026", "17.25")])  # a real figure for a day that was synthetic
     run(spark, bronze, inc, incremental=True)
     # Lose the last state write: the next run must redo the merge and agree.
-    spark.createDataFrame(saved, "slot string, merged_through long").write.mode("overwrite").parquet(paths.state)
+    spark.createDataFrame(saved, "mode string, slot string, merged_through long").write.mode("overwrite").parquet(paths.state)
     pull([("01/06/2026", "17.05")])  # a revision of a real figure
     same_as_full("4")
     got = {str(r["obs_date"]): (r["value"], r["is_fallback"]) for r in spark.read.parquet(paths.silver)
