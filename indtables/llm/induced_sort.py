@@ -28,8 +28,8 @@ QUEUE_TUPLES = 1 << 22
 class Queue:
     """Tuples (symbol, rank, place), taken off one symbol at a time."""
 
-    def __init__(self, folder: str, memory: int):
-        self.folder, self.memory, self.held = folder, memory, 0
+    def __init__(self, folder: str, memory: int, kind: type):
+        self.folder, self.memory, self.kind, self.held = folder, memory, kind, 0
         self.runs: dict[int, list[np.ndarray]] = defaultdict(list)
         self.files: set[int] = set()
 
@@ -37,7 +37,7 @@ class Queue:
         if not len(symbol):
             return
         order = np.argsort(symbol, kind="stable")
-        symbol, rows = symbol[order], np.stack((rank[order], place[order]), axis=1).astype(np.int64)
+        symbol, rows = symbol[order], np.stack((rank[order], place[order]), axis=1)
         cuts = np.flatnonzero(symbol[1:] != symbol[:-1]) + 1
         for s, part in zip(symbol[np.concatenate(([0], cuts))].tolist(), np.split(rows, cuts)):
             self.runs[s].append(part)
@@ -60,11 +60,11 @@ class Queue:
         self.held -= sum(map(len, parts))
         if symbol in self.files:
             path = os.path.join(self.folder, f"{id(self)}-{symbol}")
-            parts.append(np.fromfile(path, np.int64).reshape(-1, 2))
+            parts.append(np.fromfile(path, self.kind).reshape(-1, 2))
             os.remove(path)
             self.files.discard(symbol)
         if not parts:
-            return np.zeros(0, np.int64)
+            return np.zeros(0, self.kind)
         rows = np.concatenate(parts)
         return rows[np.argsort(rows[:, 0], kind="stable"), 1]
 
@@ -105,7 +105,7 @@ def _types(text: np.ndarray) -> np.ndarray:
 def _names(text: np.ndarray, kind: np.ndarray, star: np.ndarray) -> np.ndarray:
     """Ordered names of the S* substrings, each up to the next S*; symbols are
     compared with their types, so none is a prefix of another."""
-    symbols = (2 * text.astype(np.int64) + kind).astype(">u4")
+    symbols = (2 * text + kind).astype(">u4")
     ends = np.concatenate((star[1:] + 1, [len(text)]))
     hashed = np.zeros(len(star), np.uint64)
     left, step = ends - star, 0
@@ -127,7 +127,7 @@ def _names(text: np.ndarray, kind: np.ndarray, star: np.ndarray) -> np.ndarray:
 def _induce(text: np.ndarray, kind: np.ndarray, seeds: np.ndarray, upward: bool, folder: str, memory: int) -> list[np.ndarray]:
     """One pass. ``seeds``: places in suffix order that are given; returns the
     induced places by symbol, in the pass's direction."""
-    queue = Queue(folder, memory)
+    queue = Queue(folder, memory, seeds.dtype.type)
     out: list[np.ndarray] = []
     sign = 1 if upward else -1
     seeds = seeds if upward else seeds[::-1]
@@ -141,7 +141,7 @@ def _induce(text: np.ndarray, kind: np.ndarray, seeds: np.ndarray, upward: bool,
         def put(places: np.ndarray, rank: int) -> np.ndarray:
             """Predecessors of the other kind to the queue; those that start
             with this symbol too are returned: they come next."""
-            numbers = rank + np.arange(len(places))
+            numbers = np.arange(rank, rank + len(places), dtype=places.dtype)
             ok = places > 0
             before, numbers = places[ok] - 1, numbers[ok]
             ok = kind[before] != upward
@@ -174,20 +174,24 @@ def suffix_array(
             return suffix_array(text, in_memory, memory, folder)
     if len(text) <= max(in_memory, 2):
         return _doubling(np.asarray(text)) if len(text) else np.zeros(0, np.int64)
-    text = np.concatenate((np.asarray(text, np.int64) + 1, [0]))  # an end smaller than all
+    number = np.int32 if len(text) < (1 << 30) else np.int64  # places and symbols
+    text = np.append(np.asarray(text, number) + number(1), number(0))  # an end smaller than all
     kind = _types(text)
-    star = np.flatnonzero(kind[1:] & ~kind[:-1]) + 1
+    star = (np.flatnonzero(kind[1:] & ~kind[:-1]) + 1).astype(number)
     names = _names(text, kind, star)
     if len(star) and names.max() == len(star) - 1:
         order = np.argsort(names, kind="stable")
     else:
         order = suffix_array(names, in_memory, memory, folder)
-    large = _induce(text, kind, star[order], True, folder, memory)
-    large = np.concatenate(large) if large else np.zeros(0, np.int64)
+    star = star[order]
+    del names, order
+    none = np.zeros(0, number)
+    large = np.concatenate([none, *_induce(text, kind, star, True, folder, memory)])
     # the descending pass starts from type L and the end itself
-    seeds = np.concatenate(([len(text) - 1], large))
-    small = _induce(text, kind, seeds, False, folder, memory)
-    small = np.concatenate(small)[::-1] if small else np.zeros(0, np.int64)
+    seeds = np.append(number(len(text) - 1), large)
+    del star
+    small = np.concatenate([none, *_induce(text, kind, seeds, False, folder, memory)])[::-1]
+    del seeds
     small = small[small != len(text) - 1]
     # within a symbol type L precedes type S
     both = np.concatenate((large, small))

@@ -51,8 +51,8 @@ from indtables.llm.induced_sort import common_prefixes, suffix_array
 
 WIDTH = 50
 CHUNK_BYTES = 8 << 20
-BIN_BYTES = 8 << 20
-HOT_CHUNKS = 64
+BIN_BYTES = 3 << 20
+HOT_CHUNKS = 256
 PIECE = 1 << 17
 NO_ID = np.iinfo(np.int64).max
 KEY_BITS = 40
