@@ -10,8 +10,9 @@ finding.
 Where to align: findings miss at most ``1 - min_coverage`` of the template's
 words, so among any larger number of template words one is aligned. The
 longest (rarest) such words vote: an occurrence at place p of the template's
-word o proposes the window of the template's length around p - o, widened by
-``slack`` words on both sides. Every proposed window is aligned; of findings of
+word o proposes the window of the template's length at p - o, as it is (next
+to another copy, words are unique only there) and widened by ``slack`` words on
+both sides. Every proposed window is aligned; of findings of
 one template that overlap, the best stays (ties: the first).
 
 Templates are a bounded argument (checked) and travel with the tasks;
@@ -116,10 +117,11 @@ class Template:
         starts = sorted({p - o for p in places for o in self.votes.get(text[p], ())})
         found = set()
         for s in starts:
-            low, high = max(0, s - self.slack), min(len(text), s + n + self.slack)
-            pairs = align(text[low:high], self.words)
-            if pairs and len(pairs) >= self.min_coverage * n - 1e-9:
-                found.add((len(pairs) / n, low + pairs[0][0], low + pairs[-1][0] + 1))
+            for slack in (0, self.slack):
+                low, high = max(0, s - slack), min(len(text), s + n + slack)
+                pairs = align(text[low:high], self.words)
+                if pairs and len(pairs) >= self.min_coverage * n - 1e-9:
+                    found.add((len(pairs) / n, low + pairs[0][0], low + pairs[-1][0] + 1))
         kept: list[tuple[float, int, int]] = []
         for c, a, b in sorted(found, key=lambda f: (-f[0], f[1], f[2])):
             if all(b <= x or a >= y for _, x, y in kept):

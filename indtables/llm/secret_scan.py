@@ -228,16 +228,20 @@ def redact(
     Only documents with a candidate are shuffled."""
     found = _findings(docs, labels, id_col, text_col, source_col, max_labels)
     hits = cut(
-        found.filter("is_secret").groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
-        .agg(F.collect_set(F.col("place") - 1).alias("_places")),
+        found.filter("is_secret").groupBy("id", "text_hash").agg(F.collect_set(F.col("place") - 1).alias("places")),
         "secret-hits",
     )
     some = F.coalesce(F.col(text_col).rlike(CANDIDATE), F.lit(False))
-    joined = docs.filter(some).join(
-        hits, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")), "left"
+    rows = docs.filter(some).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_hash"), F.col(text_col).alias("text"),
     )
+    joined = rows.join(hits, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
     clean = F.array_join(
-        F.transform(marked(F.col(text_col)), lambda p, i: F.when(F.array_contains("_places", i), mask).otherwise(p)), ""
+        F.transform(marked(F.col("text")), lambda p, i: F.when(F.array_contains("places", i), mask).otherwise(p)), ""
     )
-    text = F.when(F.col("_places").isNull(), F.col(text_col)).otherwise(clean)
-    return docs.filter(~some).unionByName(joined.withColumn(text_col, text).select(*docs.columns))
+    text = F.when(F.col("places").isNull(), F.col("text")).otherwise(clean)
+    changed = joined.select(*[
+        text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns
+    ])
+    return docs.filter(~some).unionByName(changed)
