@@ -37,7 +37,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indtables.llm.common import connected_components, cut, id_text, map_batches
@@ -93,13 +93,13 @@ def _pivots(bits: tuple[int, ...], rng: np.random.Generator) -> list[int]:
             return [_signed(sum(1 << b for b, on in zip(bits, row) if on)) for row in chosen]
 
 
-def pivot_plan(spark: SparkSession, max_bits: int) -> tuple[DataFrame, int]:
-    """(free, mask, pivots, next_free): how cells are dealt. A few hundred
-    fixed rows. Also the number of levels."""
+def pivot_plan(max_bits: int) -> list[list[tuple[int, int, list[int], int]]]:
+    """How cells are dealt, level by level: rows (free bits, keyed bits,
+    pivots, bits free after). A few hundred fixed rows."""
     rng = np.random.default_rng(SEED)
-    rows, todo, levels = [], [tuple(range(64))], 0
+    levels, todo = [], [tuple(range(64))]
     while todo:
-        later = set()
+        rows, later = [], set()
         for free in todo:
             bands = [tuple(int(b) for b in x) for x in np.array_split(free, max_bits + 2)]
             for u, v in itertools.combinations(range(len(bands)), 2):
@@ -109,8 +109,9 @@ def pivot_plan(spark: SparkSession, max_bits: int) -> tuple[DataFrame, int]:
                 rows.append((as_mask[0], as_mask[1], _pivots(keyed, rng), as_mask[2]))
                 if len(rest) > 8:
                     later.add(rest)
-        todo, levels = sorted(later), levels + 1
-    return spark.createDataFrame(rows, "free long, mask long, pivots array<long>, next_free long"), levels
+        levels.append(rows)
+        todo = sorted(later)
+    return levels
 
 
 def full_distances(fp: Column) -> Column:
@@ -124,20 +125,25 @@ def links(classes: DataFrame, max_bits: int) -> DataFrame:
     """(a, b), a < b: the pairs of distinct fingerprints (column ``fp``) that
     differ in at most ``max_bits`` bits."""
     spark = classes.sparkSession
-    plan, levels = pivot_plan(spark, max_bits)
-    plan = F.broadcast(plan)
-    todo = classes.select("fp", F.lit(_signed((1 << 64) - 1)).alias("free"), F.lit(0).cast("long").alias("cell"))
-    leaves = None
-    for level in range(levels):
-        distances = F.transform(
-            "pivots", lambda p: F.bit_count(F.col("fp").bitwiseXOR(p).bitwiseAND(F.col("mask"))).cast("tinyint")
-        )
-        dealt = todo.join(plan, "free").select(
-            "fp", F.col("next_free").alias("free"), F.xxhash64("cell", "mask", distances).alias("cell")
-        )
+    levels = pivot_plan(max_bits)
+    distances = F.transform(
+        "pivots", lambda p: F.bit_count(F.col("fp").bitwiseXOR(p).bitwiseAND(F.col("mask"))).cast("tinyint")
+    )
+    todo, leaves = classes.select("fp", F.lit(0).cast("long").alias("cell")), None
+    for level, rows in enumerate(levels):
+        if level == 0:  # all bits are free: the same few rows for every class
+            bands = F.array(*[
+                F.struct(F.lit(mask).alias("mask"), F.array(*map(F.lit, pivots)).alias("pivots"), F.lit(rest).alias("rest"))
+                for _, mask, pivots, rest in rows
+            ])
+            keyed = todo.select("fp", "cell", F.inline(bands))
+        else:
+            plan = spark.createDataFrame(rows, "free long, mask long, pivots array<long>, rest long")
+            keyed = todo.join(F.broadcast(plan), "free")
+        dealt = keyed.select("fp", F.col("rest").alias("free"), F.xxhash64("cell", "mask", distances).alias("cell"))
         dealt = cut(dealt, f"simhash-cells-{level}")
         size = dealt.groupBy("cell").count().filter(F.col("count") > 1)
-        last = level + 1 == levels
+        last = level + 1 == len(levels)
         small = size if last else size.filter(F.col("count") <= CELL)
         leaf = dealt.join(small.select("cell"), "cell", "left_semi").select("cell", "fp")
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
