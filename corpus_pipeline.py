@@ -23,6 +23,7 @@ from indtables.llm import bpe, decontaminate, quality, secret_scan, simhash
 from indtables.llm.common import cut, table
 
 SHINGLE, MAX_BITS = 3, 2
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _recount(docs: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    ids = bpe.encode(docs, VOCABULARY)
     return ids.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
