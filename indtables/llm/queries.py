@@ -69,5 +69,49 @@ def queries() -> dict:
     }
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+_EMBEDDINGS = """
+    WITH RECURSIVE v AS (
+      SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    good AS (
+      SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0
+        AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+    links AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+    reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+    n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(low.b, vec_id)) AS component_id,
+           vec_id = least(vec_id, coalesce(low.b, vec_id)) AS kept
+    FROM v LEFT JOIN low ON low.a = vec_id LEFT JOIN n ON n.a = vec_id"""
+
+_BENCHMARK = f"""
+    WITH iw AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+    pats AS (
+      SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[k : k + least(len(w), 10) - 1], ' ') AS s
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM iw WHERE len(w) > 0) x),
+    d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    found AS (
+      SELECT DISTINCT doc_id, k, p.size, item
+      FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k
+            FROM d, (SELECT DISTINCT size FROM pats) sizes WHERE len(w) >= size) p
+      JOIN pats ON pats.size = p.size AND pats.s = array_to_string(w[k : k + p.size - 1], ' ')),
+    hits AS (
+      SELECT doc_id, count(DISTINCT pos) AS n_hit
+      FROM (SELECT doc_id, unnest(range(k, k + size)) AS pos FROM found) h GROUP BY doc_id),
+    items AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+      FROM (SELECT DISTINCT doc_id, item FROM found) i GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The two that DuckDB can state whole; the others are tested against
+    brute force, the tokenizers library or held-out labels."""
+    return {"op1_embedding_dedup": _EMBEDDINGS, "op10_decontaminate": _BENCHMARK}
