@@ -2,18 +2,20 @@
 
 Two generative models over hashed n-grams (unigrams and bigrams of words and
 punctuation, case kept): one of the target, the documents labelled good, one
-of all raw text. A document's importance is the sum over its n-grams of
-log p_target - log p_raw. Documents are resampled without replacement by the
-Gumbel top-k trick: importance plus Gumbel noise drawn from a hash of the id,
-the k largest stay.
+of all raw text. A document's log ratio is the sum over its n-grams of
+log p_target - log p_raw; its importance is that sum over the square root of
+the n-grams' number, the scale of the sum's chance variation, so that long
+documents are not judged by their length. Documents are resampled without
+replacement by the Gumbel top-k trick: importance plus ``temperature`` times
+Gumbel noise drawn from a hash of the id, the k largest stay.
 
 The raw counts and the scores cover every document. The target model and the
 calibration use at most ``max_labels`` labelled rows, those of the smallest
 hash of their id; four fifths fit, one fifth calibrates. k defaults to the
 number of documents whose importance reaches the calibrated threshold: the
 value that best separates good from bad labels (shares kept and rejected, a
-good one rejected weighing ``REJECT_COST`` times; the lowest such value). So k follows the corpus, and the noise decides
-only near the threshold.
+good one rejected weighing ``REJECT_COST`` times; the lowest such value). So k
+follows the corpus, and the noise decides only near the threshold.
 
 Only the model (``BUCKETS`` numbers, whatever the corpus), the bounded labels
 and a few histogram counts reach the driver; texts are never shuffled.
@@ -42,6 +44,8 @@ BUCKETS = 1 << 16
 MAX_LABELS = 50_000
 SEED = 42
 PIECE_BYTES = 1 << 20
+# Scale of the Gumbel noise, in units of importance.
+TEMPERATURE = 0.02
 # A model's number is a whole multiple of 1 / UNIT.
 UNIT = float(1 << 20)
 # Target occurrences of prior belief, per bucket, that the bucket is as common
@@ -179,8 +183,8 @@ def log_ratios(counts: DataFrame) -> np.ndarray:
 
 def threshold(scored: DataFrame, sample: DataFrame) -> float:
     """The importance that separates the calibration fold's labels best."""
-    held = scored.join(F.broadcast(sample.filter(F.col("fold") == 0)), "id").select("log_ratio", "good").collect()
-    score = np.array([r["log_ratio"] for r in held])
+    held = scored.join(F.broadcast(sample.filter(F.col("fold") == 0)), "id").select("importance", "good").collect()
+    score = np.array([r["importance"] for r in held])
     good = np.array([r["good"] for r in held], bool)
     if not good.any() or good.all():
         return -math.inf
@@ -224,8 +228,8 @@ def kth_largest(keys: DataFrame, k: int, bins: int = 4096) -> float:
     return low
 
 
-def _scored(rows: DataFrame, model, seed: int) -> DataFrame:
-    """Adds n_ngrams, log_ratio and key to rows with ``id`` and ``text``. The
+def _scored(rows: DataFrame, model, seed: int, temperature: float) -> DataFrame:
+    """Adds n_ngrams, log_ratio, importance and key to rows with ``id`` and ``text``. The
     model's numbers are whole (of ``UNIT``), so sums do not depend on order."""
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -240,10 +244,14 @@ def _scored(rows: DataFrame, model, seed: int) -> DataFrame:
     carried = rows if "row" in rows.columns else rows.drop("text")
     schema = StructType(list(carried.schema.fields)).add("n_ngrams", "long").add("log_ratio", "double")
     uniform = (F.pmod(F.xxhash64("id", F.lit(seed), F.lit("gumbel")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    return map_batches(rows, schema, score).withColumn("key", F.col("log_ratio") - F.log(-F.log(uniform)))
+    importance = F.col("log_ratio") / F.sqrt(F.greatest(F.col("n_ngrams"), F.lit(1)))
+    noise = -F.log(-F.log(uniform)) * temperature
+    return map_batches(rows, schema, score).withColumn("importance", importance).withColumn(
+        "key", F.col("importance") + noise
+    )
 
 
-def _fit(docs, labels, k, id_col, text_col, label_col, max_labels, seed):
+def _fit(docs, labels, k, id_col, text_col, label_col, max_labels, seed, temperature):
     """(model, scored, cutoff key)."""
     sc = docs.sparkSession.sparkContext
     rows = id_text(docs, id_col, text_col)
@@ -252,9 +260,9 @@ def _fit(docs, labels, k, id_col, text_col, label_col, max_labels, seed):
     good = {r["id"] for r in sample.filter(F.col("good") & (F.col("fold") != 0)).select("id").collect()}
     ratios = log_ratios(ngram_counts(rows, sc.broadcast(good)))
     model = sc.broadcast(np.rint(ratios * UNIT))
-    scored = cut(_scored(rows, model, seed), "quality-scores")
+    scored = cut(_scored(rows, model, seed, temperature), "quality-scores")
     if k is None:
-        k = scored.filter(F.col("log_ratio") >= threshold(scored, sample)).count()
+        k = scored.filter(F.col("importance") >= threshold(scored, sample)).count()
     return model, scored, kth_largest(scored, k)
 
 
@@ -267,11 +275,12 @@ def resample(
     label_col: str = "quality",
     max_labels: int = MAX_LABELS,
     seed: int = SEED,
+    temperature: float = TEMPERATURE,
 ) -> DataFrame:
-    """(id, n_ngrams, log_ratio, gumbel_key, kept) for every row."""
-    _, scored, cutoff = _fit(docs, labels, k, id_col, text_col, label_col, max_labels, seed)
+    """(id, n_ngrams, log_ratio, importance, gumbel_key, kept) for every row."""
+    _, scored, cutoff = _fit(docs, labels, k, id_col, text_col, label_col, max_labels, seed, temperature)
     return scored.select(
-        F.col("id").alias(id_col), "n_ngrams", "log_ratio", F.col("key").alias("gumbel_key"),
+        F.col("id").alias(id_col), "n_ngrams", "log_ratio", "importance", F.col("key").alias("gumbel_key"),
         (F.col("key") >= F.lit(cutoff)).alias("kept"),
     )
 
@@ -285,9 +294,10 @@ def kept(
     label_col: str = "quality",
     max_labels: int = MAX_LABELS,
     seed: int = SEED,
+    temperature: float = TEMPERATURE,
 ) -> DataFrame:
     """The documents that ``resample`` keeps, same columns. They are scored
     once more on the way, which is cheaper than a shuffle of all texts."""
-    model, _, cutoff = _fit(docs, labels, k, id_col, text_col, label_col, max_labels, seed)
-    rows = _scored(with_row(docs, id_col, text_col), model, seed)
+    model, _, cutoff = _fit(docs, labels, k, id_col, text_col, label_col, max_labels, seed, temperature)
+    rows = _scored(with_row(docs, id_col, text_col), model, seed, temperature)
     return without_row(rows.filter(F.col("key") >= F.lit(cutoff)), docs, text_col)
