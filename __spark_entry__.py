@@ -78,15 +78,13 @@ from indtables.sources.tables import (
 )
 from indtables.streaming.bronze_stream import conform_new_pulls, landed_rows
 
-# The training-data operators are optional: without their subpackage or the
-# pipeline module the other queries stay as they are.
-LLM_MODULES = ("indtables.llm", "indtables.llm.queries", "corpus_pipeline")
+# The training-data operators are optional: where their subpackage cannot be
+# imported, the other queries stay as they are.
 try:
+    import indtables.llm.queries as _llm
+
     import corpus_pipeline as _pipeline
-    from indtables.llm import queries as _llm
-except ModuleNotFoundError as e:
-    if e.name not in LLM_MODULES:
-        raise
+except ImportError:
     _llm = _pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
