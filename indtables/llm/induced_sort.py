@@ -21,10 +21,19 @@ import numpy as np
 
 # Strings of names up to this many symbols are sorted in memory.
 IN_MEMORY = 1 << 21
+# Shorter texts are not worth a pass.
+SHORT = 1 << 12
 # Tuples that a queue holds in memory.
 QUEUE_TUPLES = 1 << 22
 
 
+def _by_symbol(symbols: np.ndarray) -> np.ndarray:
+    """Stable order; a radix sort where symbols are small."""
+    if len(symbols) and symbols.max() < 1 << 16:
+        symbols = symbols.astype(np.uint16)
+    return np.argsort(symbols, kind="stable")
+
+
 class Queue:
     """Tuples (symbol, rank, place), taken off one symbol at a time."""
 
@@ -36,7 +45,7 @@ class Queue:
     def push(self, symbol: np.ndarray, rank: np.ndarray, place: np.ndarray) -> None:
         if not len(symbol):
             return
-        order = np.argsort(symbol, kind="stable")
+        order = _by_symbol(symbol)
         symbol, rows = symbol[order], np.stack((rank[order], place[order]), axis=1)
         cuts = np.flatnonzero(symbol[1:] != symbol[:-1]) + 1
         for s, part in zip(symbol[np.concatenate(([0], cuts))].tolist(), np.split(rows, cuts)):
@@ -66,10 +75,10 @@ class Queue:
         if not parts:
             return np.zeros(0, self.kind)
         rows = np.concatenate(parts)
-        return rows[np.argsort(rows[:, 0], kind="stable"), 1]
+        return rows[np.argsort(rows[:, 0]), 1]
 
 
-def _doubling(text: np.ndarray) -> np.ndarray:
+def _doubling(text: np.ndarray, depth: int | None) -> np.ndarray:
     """Suffix array in memory, by prefix doubling."""
     n = len(text)
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
@@ -78,14 +87,14 @@ def _doubling(text: np.ndarray) -> np.ndarray:
         after = np.zeros(n, np.int64)
         after[: max(0, n - width)] = rank[width:] + 1
         key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         new = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
         rank = np.empty(n, np.int64)
         rank[order] = new
-        if new[-1] == n - 1:
-            return order
         width *= 2
+        if new[-1] == n - 1 or depth is not None and width >= depth:
+            return order
 
 
 def _types(text: np.ndarray) -> np.ndarray:
@@ -166,23 +175,31 @@ def _induce(text: np.ndarray, kind: np.ndarray, seeds: np.ndarray, upward: bool,
 
 
 def suffix_array(
-    text: np.ndarray, in_memory: int = IN_MEMORY, memory: int = QUEUE_TUPLES, folder: str | None = None
+    text: np.ndarray,
+    depth: int | None = None,
+    in_memory: int = IN_MEMORY,
+    memory: int = QUEUE_TUPLES,
+    folder: str | None = None,
+    short: int = SHORT,
 ) -> np.ndarray:
-    """Places of all suffixes in order. ``text``: numbers >= 0."""
+    """Places of all suffixes in order. ``text``: numbers >= 0. With ``depth``
+    only that many first symbols decide; suffixes that agree so far come in
+    any order."""
     if folder is None:
         with tempfile.TemporaryDirectory(prefix="induced-") as folder:
-            return suffix_array(text, in_memory, memory, folder)
-    if len(text) <= max(in_memory, 2):
-        return _doubling(np.asarray(text)) if len(text) else np.zeros(0, np.int64)
+            return suffix_array(text, depth, in_memory, memory, folder, short)
+    if len(text) <= max(short, 2):
+        return _doubling(np.asarray(text), depth) if len(text) else np.zeros(0, np.int64)
     number = np.int32 if len(text) < (1 << 30) else np.int64  # places and symbols
     text = np.append(np.asarray(text, number) + number(1), number(0))  # an end smaller than all
     kind = _types(text)
     star = (np.flatnonzero(kind[1:] & ~kind[:-1]) + 1).astype(number)
     names = _names(text, kind, star)
     if len(star) and names.max() == len(star) - 1:
-        order = np.argsort(names, kind="stable")
-    else:
-        order = suffix_array(names, in_memory, memory, folder)
+        order = np.argsort(names)
+    else:  # a name stands for two symbols at least
+        depth = None if depth is None else depth // 2 + 1
+        order = suffix_array(names, depth, in_memory, memory, folder, in_memory)
     star = star[order]
     del names, order
     none = np.zeros(0, number)
@@ -195,7 +212,7 @@ def suffix_array(
     small = small[small != len(text) - 1]
     # within a symbol type L precedes type S
     both = np.concatenate((large, small))
-    return both[np.argsort(text[both], kind="stable")]
+    return both[_by_symbol(text[both])]
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:

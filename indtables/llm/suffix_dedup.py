@@ -198,7 +198,7 @@ def sort_shard(contents: list[bytes], low: np.ndarray, width: int) -> list[np.nd
     text = np.frombuffer(b"".join(c + b"\0" for c in contents), np.uint8).astype(np.int16) + 1
     ends = np.cumsum(sizes + 1) - 1
     text[ends] = 0  # closes a fragment
-    order = suffix_array(text)
+    order = suffix_array(text, depth=width)
     frag = np.repeat(np.arange(len(contents)), sizes + 1)
     begin = ends - sizes
     is_string = ends[frag] - np.arange(len(text)) >= width
