@@ -101,10 +101,9 @@ def pair_table(words: DataFrame) -> DataFrame:
     pairs = words.select(
         F.explode(F.expr("transform(sequence(1, length(run) - 1), i -> substr(run, i, 2))")).alias("pair"), "n_docs"
     ).filter(F.col("pair").rlike("^[a-z]{2}$"))
-    found = pairs.groupBy("pair").agg(F.sum("n_docs").alias("n"))
-    return found.crossJoin(F.broadcast(found.agg(F.sum("n").alias("total")))).select(
-        "pair", F.log(F.col("n") / F.col("total")).alias("log_p")
-    )
+    found = cut(pairs.groupBy("pair").agg(F.sum("n_docs").alias("n")), "secret-pairs")
+    total = found.agg(F.sum("n")).first()[0] or 1
+    return found.select("pair", F.log(F.col("n") / F.lit(total)).alias("log_p"))
 
 
 def features(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -134,7 +133,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         "pair", F.explode(F.transform(F.sequence(F.lit(1), F.length(lower) - 1), lambda i: F.substr(lower, i, F.lit(2))))
     ).filter(F.col("pair").rlike("^[a-z]{2}$"))
     likely = (
-        pairs.join(F.broadcast(cut(pair_table(words), "secret-pairs")), "pair", "left")
+        pairs.join(F.broadcast(pair_table(words)), "pair", "left")
         .groupBy("value").agg(F.avg(F.coalesce("log_p", F.lit(-12.0))).alias("pair_likelihood"))
     )
     out = out.join(covered.select("value", "coverage"), "value", "left").join(likely, "value", "left")
