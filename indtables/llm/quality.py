@@ -183,7 +183,11 @@ def log_ratios(counts: DataFrame) -> np.ndarray:
 
 def threshold(scored: DataFrame, sample: DataFrame) -> float:
     """The importance that separates the calibration fold's labels best."""
-    held = scored.join(F.broadcast(sample.filter(F.col("fold") == 0)), "id").select("importance", "good").collect()
+    held = (
+        scored.join(F.broadcast(sample.filter(F.col("fold") == 0)), "id")
+        .groupBy("id", "good").agg(F.min("importance").alias("importance"))
+        .collect()  # at most max_labels rows
+    )
     score = np.array([r["importance"] for r in held])
     good = np.array([r["good"] for r in held], bool)
     if not good.any() or good.all():
