@@ -1,0 +1,200 @@
+"""Embeddings, urls, secrets and the pipeline."""
+
+import math
+import os
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from indtables.llm import embedding_dedup, secret_scan, url_filter
+from indtables.llm.common import connected_components
+from indtables.llm.queries import URL_RULES
+
+ROOT = "/root/testdata/sf0.001"
+
+
+def brute_vectors(vectors):
+    unit = {}
+    for i, v in enumerate(vectors):
+        if v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            x = np.array(v, float)
+            unit[i] = x / math.sqrt(x @ x)
+    links, parent = [0] * len(vectors), list(range(len(vectors)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in unit:
+        for b in unit:
+            if b < a and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.9:
+                links[a] += 1
+                links[b] += 1
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return links, [find(i) for i in range(len(vectors))]
+
+
+@pytest.mark.parametrize("block", [1024, 8])
+def test_embedding_dedup(spark, monkeypatch, block):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((12, 16))
+    vectors = [[float(np.float32(x)) for x in centres[rng.integers(12)] + rng.standard_normal(16) * s]
+               for s in rng.choice([0.02, 0.1, 0.3], 150)]
+    vectors += [vectors[0], vectors[0], [2 * x for x in vectors[1]], [0.0] * 16, None, [], [1.0, None] + [0.0] * 14,
+                [float("nan")] + [1.0] * 15, [float("inf")] + [0.0] * 15, [1.0, 0.0], [1.0, 0.1], [0.0] * 16]
+    links, group = brute_vectors(vectors)
+    df = spark.createDataFrame([(i, v, "x") for i, v in enumerate(vectors)],
+                               "vec_id long, embedding array<float>, node string").withColumn("n_links", F.lit(1))
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(df, recall=0.9999).collect()}
+    for i in range(len(vectors)):
+        assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (links[i], group[i], group[i] == i), i
+    assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_collision_count_is_calibrated():
+    rng = np.random.default_rng(4)
+    window, count = embedding_dedup.count_threshold(0.9)
+    a = rng.standard_normal((2000, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = rng.standard_normal((2000, 64))
+    b -= (a * b).sum(1)[:, None] * a
+    b = 0.9 * a + math.sqrt(1 - 0.81) * b / np.linalg.norm(b, axis=1)[:, None]  # cosine 0.9
+    p = rng.standard_normal((64, embedding_dedup.PROJECTIONS))
+    assert (((np.abs((a - b) @ p) <= window).sum(axis=1)) >= count).mean() > 0.998
+
+
+def test_connected_components(spark):
+    rnd = random.Random(2)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(rnd.randint(100, 160), rnd.randint(100, 160)) for _ in range(45)]
+    edges += [(300, i) for i in range(301, 340)] + [(7, 7)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
+    low = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in range(80):
+        for a, b in edges:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    assert got == low
+
+
+URLS = [
+    (1, "HTTP://A.Net/x/y?q=1#f"), (2, "https://www.example.net/en/a"), (3, "https://example.net/eN/a"),
+    (4, "https://notexample.com/de/"), (5, "https://m.example.com/de/1"), (6, "https://x.org/fr/?a=b&c=d"),
+    (7, "https://x.org/fr"), (8, None), (9, "no scheme/net/"), (10, ""), (11, "://net/"), (12, "http://net"),
+    (13, "http://a.net?x"), (14, "http://b.org/" + "p/" * 3000), (None, "http://c.org/"), (2, "https://www.example.net/en/a"),
+    (15, "a://b://c.net/"), (16, "http://é.Net/"),
+]
+
+
+def brute_url(url):
+    if not url or "://" not in url:
+        return "", "", None
+    host, path = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1]).groups()
+    host = re.sub("[A-Z]", lambda m: m.group().lower(), host)
+    best = None
+    for _, rule in URL_RULES:
+        name, _, rest = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + rest):
+            best = rule if best is None or len(rule) > len(best) else best
+    return host, path, best
+
+
+def test_url_rules_and_trees(spark):
+    rnd = random.Random(5)
+    bad = ["spam-shop.example.org", "casino-x.example.com", "best-pills.example.org"]
+    ok = ["news.example.org", "garden.example.com", "books.example.org", "maps.example.com"]
+    urls = URLS + [(100 + i, f"https://{rnd.choice(['www.', 'm.', ''])}{rnd.choice(bad if i % 4 == 0 else ok)}/es/{i}.html")
+                   for i in range(400)]
+    pages = spark.createDataFrame(urls, "page_id long, url string").withColumns(
+        {c: F.lit(0) for c in ("host", "rule", "label", "features", "prediction")})
+    out = url_filter.judged(pages, URL_RULES).collect()
+    assert len(out) == len(urls)
+    said = dict((r, v) for v, r in URL_RULES)
+    text = dict(urls)
+    for r in out:
+        assert (r["host"], r["path"], r["rule"]) == brute_url(text[r["page_id"]]), text[r["page_id"]]
+        assert r["verdict"] in ("allow", "block")
+        if r["rule"]:
+            assert r["verdict"] == said[r["rule"]]
+        elif r["page_id"] is not None and r["page_id"] >= 100:
+            assert (r["verdict"] == "block") == (r["page_id"] % 4 == 0)
+    only = spark.createDataFrame(urls, "page_id long, url string").select("url")
+    assert url_filter.Filter(url_filter.seed_labels(only)).accuracy() > 0.95  # held-out labels
+    assert url_filter.judged(pages.limit(0), URL_RULES).count() == 0
+    no_labels = spark.createDataFrame([], "url string, label int")
+    assert {r["verdict"] for r in url_filter.judged(pages, [], no_labels).collect()} == {"allow"}
+
+
+def secret_docs(spark):
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("aeioutrns") for _ in range(rnd.randint(2, 9)))
+    hexa = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    rows, true = [], {}
+    for i in range(300):
+        parts = [word() for _ in range(30)]
+        if i % 3 == 0:
+            secret = rnd.choice(["AKIA" + "".join(rnd.choice("ABCDEFGH234567") for _ in range(16)), hexa(40)])
+            parts[10] = secret if secret.startswith("AKIA") else f'token = "{secret}"'
+            true[i] = secret
+        if i % 2 == 0:
+            parts[20] = rnd.choice(["4716028137450912", "555-201-7788", "ann.smith2001@mail1.example.com"])
+        rows.append((i, " ".join(parts), f"src{i % 3}"))
+    rows += [(900, None, None), (901, "", "src0"), (902, "a\u0001" + "x" * 30000 + " 12345678", None), (None, "id 12345678", "s"),
+             (0, rows[0][1], "src0")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns(
+        {c: F.lit(1) for c in ("value", "label", "path", "features", "_places", "id")})
+    return df, {r[0]: r[1] for r in rows}, true
+
+
+def test_secret_scan(spark):
+    df, text, true = secret_docs(spark)
+    found = secret_scan.findings(df).collect()
+    hits = {r["doc_id"]: text[r["doc_id"]][r["start"] : r["start"] + r["n_chars"]] for r in found if r["is_secret"]}
+    assert hits == true
+    assert sum(1 for r in found if r["doc_id"] == 0 and r["is_secret"]) == 2  # the repeated row too
+    clean = secret_scan.redact(df)
+    assert clean.columns == df.columns and clean.count() == df.count()
+    for r in clean.collect():
+        old = text[r["doc_id"]]
+        assert r["text"] == (old.replace(true[r["doc_id"]], "[SECRET]") if r["doc_id"] in true else old)
+    assert secret_scan.findings(df.limit(0)).count() == 0 and secret_scan.redact(df.limit(0)).count() == 0
+
+
+def test_secret_scan_with_given_labels(spark):
+    df, text, true = secret_docs(spark)
+    given = [(r["doc_id"], r["start"], int(r["doc_id"] in true and text[r["doc_id"]][r["start"] :].startswith(true[r["doc_id"]])))
+             for r in secret_scan.findings(df).collect() if r["doc_id"] is not None]
+    labels = spark.createDataFrame(given, "doc_id long, start long, label int")
+    got = {r["doc_id"] for r in secret_scan.findings(df, labels).filter("is_secret").collect()}
+    assert got == set(true)
+
+
+@pytest.mark.skipif(not os.path.isdir(ROOT), reason="no driver tables")
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+    from indtables.llm import bpe, decontaminate, quality, simhash
+    from indtables.llm.common import cut, table
+
+    first = table(spark, ROOT, "documents")
+    docs, columns = first, first.columns
+    text = {r["doc_id"]: r["text"] for r in first.collect()}
+    ids = [set(text)]
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = cut(stage(spark, docs, ROOT), "test-stage")
+        assert docs.columns == columns, name
+        ids.append({r["doc_id"] for r in docs.select("doc_id").collect()})
+    kept = quality.resample(first, table(spark, ROOT, "labels")).filter("kept")
+    assert ids[1] == {r["doc_id"] for r in kept.collect()}
+    groups = simhash.near_duplicates(first.join(kept.select("doc_id"), "doc_id", "left_semi"))
+    assert ids[2] == {r["component_id"] for r in groups.collect()}
+    bench = table(spark, ROOT, "benchmark")
+    leaks = {r["doc_id"] for r in decontaminate.contaminated(first, bench).filter("n_hit > 0").collect()}
+    assert ids[3] == ids[2] - leaks and ids[4] == ids[3]
+    out = corpus_pipeline.STAGES[4][1](spark, docs, ROOT)
+    decoded = {r["doc_id"]: r["text"] for r in bpe.decode(out, corpus_pipeline.VOCABULARY).collect()}
+    assert decoded == {r["doc_id"]: r["text"] for r in docs.collect()}
