@@ -79,7 +79,7 @@ def test_bronze_append_keeps_every_pull(spark, scratch):
     docs = read_bronze(spark, scratch, "banxico", FEED_A_SCHEMA)
     assert docs.count() == 2
     assert {"_pulled_at", "_pull_file"} <= set(docs.columns)
-    assert accepted(parse_feed_a(docs)).count() == 8
+    assert accepted(parse_feed_a(docs)).count() == 10
 
 
 def test_bronze_multiline_documents(spark):
@@ -138,15 +138,15 @@ def test_gold_scan_other_errors_pass_through(spark, scratch):
     assert not isinstance(info.value, FileNotFoundError)
 
 
-def test_single_file_csv_refuses_large_tables(spark, scratch, monkeypatch):
-    from indtables.sinks import writers
+def test_single_file_csv_of_a_spread_out_table(spark, scratch):
+    from indtables.sinks.writers import write_csv
+
+    df = spark.range(1000, numPartitions=7).withColumnRenamed("id", "n")
+    path = write_csv(df, os.path.join(scratch, "one"), order_by=["n"], single_file=True)
+    parts = [f for f in os.listdir(path) if f.endswith(".csv")]
+    assert len(parts) == 1
+    assert open(os.path.join(path, parts[0])).read().split() == ["n", *map(str, range(1000))]
 
-    monkeypatch.setattr(writers, "SINGLE_FILE_MAX_ROWS", 5)
-    df = spark.range(10).withColumnRenamed("id", "n")
-    with pytest.raises(ValueError, match="too many for one CSV file"):
-        writers.write_csv(df, os.path.join(scratch, "big"), single_file=True)
-    writers.write_csv(df.limit(5), os.path.join(scratch, "small"), single_file=True)
-    assert len([f for f in os.listdir(os.path.join(scratch, "small")) if f.endswith(".csv")]) == 1
 
 
 def test_csv_scan_missing_path_is_clear(spark, scratch):
