@@ -115,13 +115,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarr
             key[s:e] = smallest[: e - s] >> np.uint64(24)
     starts = np.zeros(len(data) + 1, np.int32)
     np.add.at(starts, offsets[1:-1], 1)
-    doc = np.cumsum(starts)[: len(data)]
+    doc = np.cumsum(starts, out=starts)[: len(data)]
     ok = doc[:n] == doc[width - 1 :]
     new = ok.copy()
     new[1:] &= ~ok[:-1] | (place[1:] != place[:-1]) | (doc[1:n] != doc[: n - 1])
     first = np.flatnonzero(new)
-    stop = new.copy()
-    stop[:] = False
     closes = np.flatnonzero(ok & np.concatenate((new[1:] | ~ok[1:], [True])))
     return first, closes, key[first], doc[first].astype(np.int64)
 
@@ -348,7 +346,7 @@ def duplicate_spans(
             starts = (np.repeat(first, m) + step)[gone]
             np.add.at(cover, starts, 1)
             np.add.at(cover, starts + width, -1)
-        gone = np.cumsum(cover)[: len(c.data)] > 0
+        gone = np.cumsum(cover, out=cover)[: len(c.data)] > 0
         nulls = np.frombuffer(row["nulls"], np.uint8)
         out: dict[str, list] = {x: [] for x in (id_col, "n_bytes", "n_removed", "spans", "kept_sha256", "kept")}
         for d, (a, b) in enumerate(zip(c.offsets[:-1].tolist(), c.offsets[1:].tolist())):
