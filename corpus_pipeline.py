@@ -23,6 +23,8 @@ from indtables.llm import bpe, decontaminate, quality, secret_scan, simhash
 from indtables.llm.common import cut, table
 
 SHINGLE, MAX_BITS = 3, 2
+# Stretches that a worker remembers; its memory is shared by all stages here.
+REMEMBERED = 100_000
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -50,7 +52,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(docs, VOCABULARY)
+    ids = bpe.encode(docs, VOCABULARY, remembered=REMEMBERED)
     return ids.withColumn("n_tokens", F.size("ids").cast("long"))
 
 

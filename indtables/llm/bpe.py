@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from indtables.llm.common import id_text, map_batches
 
 MAX_VOCAB_BYTES = 64 * 1024 * 1024
-# Pre-tokens remembered per worker; past that the memory starts anew.
-CACHE_WORDS = 500_000
+# Stretches remembered per worker in each of two generations; those in use
+# move on to the younger one.
+CACHE_WORDS = 250_000
 # Fixed value: the pre-token pattern of the byte-level family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -45,7 +46,8 @@ def byte_symbols() -> list[str]:
 
 
 class Codec:
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, remembered: int = CACHE_WORDS):
+        self.remembered = remembered
         j = json.loads(spec)
         kind = j["pre_tokenizer"] or {}
         if j["model"]["type"] != "BPE" or kind.get("type") != "ByteLevel" or j["normalizer"] is not None:
@@ -70,6 +72,7 @@ class Codec:
         self.specials = regex.compile(f"({longest_first})") if added else None
         self.split = regex.compile(PATTERN)
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merge(self, token: bytes) -> list[int]:
         """One pre-token by the merge queue."""
@@ -97,21 +100,17 @@ class Codec:
         """Ids of a stretch that starts and ends at pre-token boundaries."""
         ids = self.known.get(text)
         if ids is None:
-            parts = self.split.findall(text)
-            if len(parts) > 1:
-                ids = tuple(i for t in parts for i in self.known.get(t) or self.token(t))
-                if len(text) <= 64:
-                    self.known[text] = ids
-            else:
-                ids = self.token(text)
-        return ids
-
-    def token(self, text: str) -> tuple[int, ...]:
-        ids = tuple(self.merge(text.encode()))
-        if len(text) <= 64:
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            self.known[text] = ids
+            ids = self.older.get(text)
+            if ids is None:
+                parts = self.split.findall(text)
+                if len(parts) > 1:
+                    ids = tuple(i for t in parts for i in self.known.get(t) or self.piece(t))
+                else:
+                    ids = tuple(self.merge(text.encode()))
+            if len(text) <= 64:
+                if len(self.known) >= self.remembered:
+                    self.older, self.known = self.known, {}
+                self.known[text] = ids
         return ids
 
     def plain(self, text: str, out: list[int]) -> None:
@@ -153,10 +152,10 @@ class Codec:
 _codecs: dict[str, Codec] = {}
 
 
-def _codec(spec: str) -> Codec:
-    key = hashlib.sha1(spec.encode()).hexdigest()
+def _codec(spec: str, remembered: int) -> Codec:
+    key = f"{hashlib.sha1(spec.encode()).hexdigest()}-{remembered}"
     if key not in _codecs:
-        _codecs[key] = Codec(spec)
+        _codecs[key] = Codec(spec, remembered)
     return _codecs[key]
 
 
@@ -171,21 +170,24 @@ def broadcast_file(spark: SparkSession, path: str):
 class Worker:
     """The codec of one Python worker, built on its first batch."""
 
-    def __init__(self, spec):
-        self.spec, self.codec = spec, None
+    def __init__(self, spec, remembered: int = CACHE_WORDS):
+        self.spec, self.remembered, self.codec = spec, remembered, None
 
     def __getstate__(self):
-        return {"spec": self.spec, "codec": None}
+        return {"spec": self.spec, "remembered": self.remembered, "codec": None}
 
     def get(self) -> Codec:
         if self.codec is None:
-            self.codec = _codec(self.spec.value)
+            self.codec = _codec(self.spec.value, self.remembered)
         return self.codec
 
 
-def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>) for every row."""
-    worker = Worker(broadcast_file(docs.sparkSession, vocab_path))
+def encode(
+    docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", remembered: int = CACHE_WORDS
+) -> DataFrame:
+    """(id, ids array<int>) for every row. ``remembered`` trades a worker's
+    memory for time."""
+    worker = Worker(broadcast_file(docs.sparkSession, vocab_path), remembered)
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         codec = worker.get()

@@ -59,6 +59,7 @@ def map_batches(df: DataFrame, schema: str | StructType, fn: Callable[[pa.Record
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 yield fn(batch.slice(start, rows))
+        pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
     return df.mapInArrow(run, schema)
 
