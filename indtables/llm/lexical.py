@@ -3,7 +3,7 @@ classifiers; built-in functions only."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,11 +41,26 @@ def with_rates(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     return df
 
 
+def fold_in_turn(h: str, order: list[str], label: Column) -> Column:
+    """Folds 0-4 dealt in turn within each label, by hash: the first row of a
+    label goes to fold 2, the next ones to 0, 4, 3, 1, so that a label of three
+    rows is in the shares (0, 1), the fit (2, 3) and the held-out fold (4). For
+    bounded tables only: a label is one window."""
+    turn = F.row_number().over(Window.partitionBy(label).orderBy(h, *order))
+    return F.element_at(F.array(*[F.lit(f) for f in (1, 2, 0, 4, 3)]), (turn % 5 + 1).cast("int"))
+
+
 def sample(labelled: DataFrame, order: list[str], bound: int) -> DataFrame:
-    """At most ``bound`` rows, those of the smallest hash of ``order``; column
-    ``fold`` (0-4) comes from the same hash."""
-    h = F.xxhash64(*order, F.lit(42))
+    """At most ``bound`` rows: of each label, 1 and not 1, up to half of
+    ``bound``, those of the smallest hash of ``order``. So a rare label is not
+    crowded out, however many rows the other one has. Adds ``fold`` (0-4) and
+    ``weight``, by which both labels count the same."""
+    rows = labelled.withColumn("h", F.xxhash64(*order, F.lit(42)))
+    yes = F.col("label") == 1
+    some = [rows.filter(c).orderBy("h", *order).limit(max(bound // 2, 1)) for c in (yes, ~yes)]
+    own = F.count("*").over(Window.partitionBy(yes))
     return (
-        labelled.withColumn("h", h).orderBy("h", *order).limit(bound)
-        .withColumn("fold", F.pmod("h", F.lit(5)).cast("int")).drop("h")
+        some[0].unionByName(some[1])
+        .withColumn("fold", fold_in_turn("h", order, yes))
+        .withColumn("weight", F.lit(float(bound)) / own).drop("h")
     )

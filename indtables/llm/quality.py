@@ -10,8 +10,9 @@ replacement by the Gumbel top-k trick: importance plus ``temperature`` times
 Gumbel noise drawn from a hash of the id, the k largest stay.
 
 The raw counts and the scores cover every document. The target model and the
-calibration use at most ``max_labels`` labelled rows, those of the smallest
-hash of their id; four fifths fit, one fifth calibrates. k defaults to the
+calibration use at most ``max_labels`` labelled ids, up to half of them good
+and up to half bad, those of the smallest hash, so a rare kind is not crowded
+out; of each kind four fifths fit, one fifth calibrates. k defaults to the
 number of documents whose importance reaches the calibrated threshold: the
 value that best separates good from bad labels (shares kept and rejected, a
 good one rejected weighing ``REJECT_COST`` times; the lowest such value). So k
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -137,16 +138,18 @@ def features(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]
 
 
 def label_sample(labels: DataFrame, max_labels: int, id_col: str, label_col: str) -> DataFrame:
-    """(id, good, fold) of at most ``max_labels`` labelled ids."""
-    return (
+    """(id, good, fold) of at most ``max_labels`` labelled ids, up to half of
+    them of each kind; folds are dealt in turn within a kind, so that the
+    calibration fold 0 has its share of a rare one too."""
+    found = (
         labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("id"))
         .agg((F.min(label_col) >= 1).alias("good"))
         .withColumn("h", F.xxhash64("id", F.lit(SEED)))
-        .orderBy("h", "id")
-        .limit(max_labels)
-        .select("id", "good", F.pmod("h", F.lit(5)).cast("int").alias("fold"))
     )
+    some = [found.filter(c).orderBy("h", "id").limit(max(max_labels // 2, 1)) for c in (F.col("good"), ~F.col("good"))]
+    turn = F.row_number().over(Window.partitionBy("good").orderBy("h", "id"))
+    return some[0].unionByName(some[1]).select("id", "good", ((turn - 1) % 5).cast("int").alias("fold"))
 
 
 def ngram_counts(rows: DataFrame, good_ids) -> DataFrame:

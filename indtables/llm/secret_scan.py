@@ -14,17 +14,19 @@ Labelled findings are an argument (``doc_id``, ``start``, ``label`` 1 = true).
 Without them rules label the clear cases: a provider's key format or a value
 assigned to a credential's name is true; digits with separators, parts of
 addresses and ordinary words with a number are false; others have no label.
-Training uses at most ``max_labels`` labelled rows: two fifths give the shares,
-two fifths fit the forest, one fifth is held out for ``accuracy``. Every
-candidate is judged.
+Training uses at most ``max_labels`` labelled rows, up to half of them of each
+label (those of the smallest hash), so rare secrets are not crowded out by
+numbers; both labels weigh the same in the fit. Of each label two fifths give
+the shares, two fifths fit the forest, one fifth is held out for ``accuracy``.
+Every candidate is judged.
 
 Word counts combine before the shuffle, so a common word is one row per task.
 Only bounded tables (by ``max_labels``) are broadcast.
 
 Defined results: null and empty texts have no candidates; a null source is a
 path of its own; repeated rows each give their findings; an empty table gives
-none; without labels of both kinds nothing is judged a secret; texts are
-scanned whole; a U+0001 in a text counts as white space, and ``redact`` turns
+none; without labels of both kinds the labels alone decide, and what has none
+is no secret; texts are scanned whole; a U+0001 in a text counts as white space, and ``redact`` turns
 it into a space where it changes a text; other columns are ignored (``redact``
 keeps them)."""
 
@@ -158,13 +160,13 @@ class Forest:
         found = labelled.filter(F.col("label").isNotNull())
         found = cut(sample(found, ["id", "start", "value"], max_labels), "secret-labels")
         self.tables = {c: cut(rates(found.filter(F.col("fold") < 2), c), f"secret-{c}") for c in PATHS}
-        ready = self.vectors(found.filter(F.col("fold") >= 2)).select("features", "label", "fold")
+        ready = self.vectors(found.filter(F.col("fold") >= 2)).select("features", "label", "weight", "fold")
         ready = cut(ready.coalesce(4), "secret-training")  # at most max_labels rows
         fit = ready.filter(F.col("fold") < 4)
         self.held, self.model = ready.filter(F.col("fold") == 4), None
         if fit.select("label").distinct().count() == 2:
             self.model = RandomForestClassifier(
-                labelCol="label", numTrees=TREES, maxDepth=DEPTH, subsamplingRate=0.8, seed=42
+                labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, subsamplingRate=0.8, seed=42
             ).fit(fit)
 
     def vectors(self, df: DataFrame) -> DataFrame:
@@ -173,7 +175,8 @@ class Forest:
     def judge(self, df: DataFrame) -> DataFrame:
         """Adds ``score`` and ``is_secret``."""
         if self.model is None:
-            return df.withColumn("score", F.lit(0.0)).withColumn("is_secret", F.lit(False))
+            score = F.coalesce(F.col("label").cast("double"), F.lit(0.0))
+            return df.withColumn("score", score).withColumn("is_secret", F.col("score") >= 0.5)
         out = self.model.transform(self.vectors(df)).withColumn("score", vector_to_array("probability")[1])
         return out.withColumn("is_secret", F.col("score") >= 0.5)
 

@@ -11,8 +11,11 @@ Labelled urls are an argument (``url``, ``label`` 1 = bad). Without them the
 urls of the table whose registrable name holds a word of ``SEED_WORDS`` are
 labelled bad and the others good, in the labelled folds only (``folds`` of 10
 by a hash of the url), so the trees see no label of the rest. Training uses at
-most ``max_labels`` rows: two fifths give the suffix statistics, two fifths
-fit the trees, one fifth is held out for ``accuracy``. Every url is judged.
+most ``max_labels`` rows, up to half of them of each label (those of the
+smallest hash), so rare bad urls are not crowded out; both labels weigh the
+same in the fit. Of each label two fifths give the suffix statistics, two
+fifths fit the trees, one fifth is held out for ``accuracy``. Every url is
+judged.
 
 The rate tables are bounded by ``max_labels`` and broadcast; nothing else
 leaves the executors but the trees.
@@ -102,12 +105,12 @@ class Filter:
         found = features(found.withColumn("host", host).withColumn("path", path))
         known = found.filter(F.col("fold") < 2)
         self.tables = {s: cut(rates(known, s), f"url-{s}") for s in SUFFIXES}
-        ready = self.vectors(found.filter(F.col("fold") >= 2)).select("features", "label", "fold")
+        ready = self.vectors(found.filter(F.col("fold") >= 2)).select("features", "label", "weight", "fold")
         ready = cut(ready.coalesce(4), "url-training")  # at most max_labels rows
         fit = ready.filter(F.col("fold") < 4)
         self.model = None
         if fit.select("label").distinct().count() == 2:
-            self.model = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=42).fit(fit)
+            self.model = GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=42).fit(fit)
         self.held = ready.filter(F.col("fold") == 4)
 
     def vectors(self, df: DataFrame) -> DataFrame:

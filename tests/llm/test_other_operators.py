@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from indtables.llm import embedding_dedup, secret_scan, url_filter
 from indtables.llm.common import connected_components
+from indtables.llm.lexical import sample
 from indtables.llm.queries import URL_RULES
 
 ROOT = "/root/testdata/sf0.001"
@@ -174,6 +175,37 @@ def test_secret_scan_with_given_labels(spark):
     assert got == set(true)
 
 
+def test_rare_secrets_among_many_numbers(spark):
+    """Some true secrets per ten thousand labelled negatives, few labels used."""
+    numbers = spark.range(40_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("call 555-20"), F.lpad("id", 5, "0"), F.lit(" today")).alias("text"),
+        F.lit("hot").alias("source"))
+    rnd = random.Random(8)
+    keys = [(100_000 + i, "use AKIA" + "".join(rnd.choice("ABCDEFGH234567") for _ in range(15)) + "7 there", "s") for i in range(8)]
+    df = numbers.unionByName(spark.createDataFrame(keys, numbers.schema))
+    found = secret_scan.findings(df, max_labels=200)
+    assert {r["doc_id"] for r in found.filter("is_secret").collect()} == {k[0] for k in keys}
+    only = spark.createDataFrame(keys[:2], numbers.schema)  # no negative at all
+    assert {r["is_secret"] for r in secret_scan.findings(only).collect()} == {True}
+
+
+def test_rare_labels_are_sampled(spark):
+    from indtables.llm.quality import label_sample
+
+    labels = spark.range(20_000).select(F.concat(F.lit("https://h"), "id", F.lit(".org/")).alias("url"),
+                                        (F.col("id") % 4000 == 0).cast("int").alias("label"))
+    got = sample(labels, ["url", "label"], 100).collect()
+    assert sum(r["label"] for r in got) == 5 and len(got) == 55
+    assert {r["fold"] for r in got if r["label"]} == {0, 1, 2, 3, 4}
+    hosts = labels.withColumn("url", F.when(F.col("label") == 1, F.concat(F.lit("https://x.bad.net/"), "url")).otherwise(F.col("url")))
+    pages = hosts.select(F.xxhash64("url").alias("page_id"), "url")
+    bad = {r["host"] for r in url_filter.judged(pages, [], hosts, max_labels=100).filter("verdict = 'block'").collect()}
+    assert bad == {"x.bad.net"}
+    ids = spark.range(20_000).select(F.col("id").alias("doc_id"), (F.col("id") % 4000 != 0).cast("int").alias("quality"))
+    got = label_sample(ids, 100, "doc_id", "quality").collect()
+    assert len(got) == 55 and [r["fold"] for r in got if not r["good"]].count(0) == 1
+
+
 @pytest.mark.skipif(not os.path.isdir(ROOT), reason="no driver tables")
 def test_pipeline_stages(spark):
     import corpus_pipeline
