@@ -2,8 +2,10 @@
 positives.
 
 DataFrame functions and Spark's own RandomForestClassifier only. A candidate
-is a run of 8 or more letters, digits and ``+/_-`` with a digit in it. Its
-features: length, shares of character kinds, character transitions (changes of
+is the whole value after a credential's name (quoted: up to the closing quote
+of the line; else what is not blank, without closing punctuation), a run of 8
+or more letters, digits and ``+/_-`` with a digit in it, or a key of a
+provider's format without any digit. Its features: length, shares of character kinds, character transitions (changes of
 kind, and how likely its letter pairs are in the corpus' own words), entropy,
 dictionary coverage (share of its characters in runs of 3 or more letters that
 are words of at least ``MIN_DOCS`` documents, counted over all documents), its
@@ -11,9 +13,11 @@ path (the document's source) and the neighbouring words, the last two as the
 share of true findings among labelled ones with the same value, smoothed.
 
 Labelled findings are an argument (``doc_id``, ``start``, ``label`` 1 = true).
-Without them rules label the clear cases: a provider's key format or a value
-assigned to a credential's name is true; digits with separators, parts of
-addresses and ordinary words with a number are false; others have no label.
+Without them rules label the clear cases: a provider's key format is true, and
+so is a value assigned to a credential's name if it is quoted or such a run;
+digits with separators, parts of addresses, ordinary words with a number, and
+unquoted dictionary words or numbers after a name are false; others have no
+label.
 Training uses at most ``max_labels`` labelled rows, up to half of them of each
 label (those of the smallest hash), so rare secrets are not crowded out by
 numbers; both labels weigh the same in the fit. Of each label two fifths give
@@ -42,14 +46,27 @@ from indtables.llm.common import cut
 from indtables.llm.lexical import LOWER, UPPER, entropy, rates, sample, share, with_rates
 
 SEP = "\u0001"
-CANDIDATE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])([A-Za-z0-9+/_\-]{8,}={0,2})"
 CONTEXT = 48
 MIN_DOCS = 5
 MAX_LABELS = 20_000
 TREES, DEPTH = 16, 5
 # Public key formats, and names that credentials are given.
-KEY_FORMAT = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})$"
-NAMED = r"(?i)(password|passwd|pwd|token|secret|api[_-]?key|credential)s?[\"']?\s*[=:]+\s*[\"']?$"
+KEYS = r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})"
+KEY_FORMAT = f"^{KEYS}$"
+NAME = r"(?i:password|passwd|pwd|token|secret|api[_-]?key|credential)[sS]?"
+NAMED = NAME + r"[\"']?\s*[=:]+\s*[\"']?$"
+# The three kinds of candidates: what precedes a named value is group 1 (the
+# name itself is looked back at, it may end a run), the values are groups 2-4.
+# Looking back costs, so it is done at an assignment only.
+RUN = rf"(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{{8,}}(?:(?<!{NAME})={{1,2}})?"
+_QUOTED = r"""(?<=")[^"\n][^\n]*?(?=(?<!\\)")|(?<=')[^'\n][^\n]*?(?=(?<!\\)')"""
+_BARE = r"""[^\s"']\S*(?<![,;.)\]}"'])"""
+_START = r"(?<![A-Za-z0-9+/_\-])"
+CANDIDATE = (
+    rf"((?=[=:])(?<={NAME}[\"']?\s{{0,{CONTEXT}}})[=:]++\s*+[\"']?+)({_QUOTED}|{_BARE})"
+    rf"|{_START}({RUN})"
+    rf"|{_START}({KEYS})(?![A-Za-z0-9])"
+)
 PATHS = ["path", "word_before", "word_after"]
 FEATURES = [
     "n_chars", "digit_share", "upper_share", "lower_share", "transitions", "pair_likelihood", "char_entropy",
@@ -57,10 +74,14 @@ FEATURES = [
 ]
 
 
+def scanned(text: Column) -> Column:
+    return F.translate(text, SEP, " ")
+
+
 def marked(text: Column) -> Column:
     """The text as an array: odd places are candidates, even ones what stands
     between them; joined, they are the text."""
-    return F.split(F.regexp_replace(F.translate(text, SEP, " "), CANDIDATE, f"{SEP}$1{SEP}"), SEP)
+    return F.split(F.regexp_replace(scanned(text), CANDIDATE, f"$1{SEP}$2$3$4{SEP}"), SEP)
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -68,7 +89,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, source_col: str) ->
     parts = (
         docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("path"),
                     F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-        .filter(F.col("text").rlike(CANDIDATE))
+        .filter(scanned(F.col("text")).rlike(CANDIDATE))
         .withColumn("parts", marked(F.col("text")))
     )
     # place and start of every part in one pass over the array
@@ -144,13 +165,15 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 
 def rule_labels(found: DataFrame) -> DataFrame:
     """``label`` of the clear cases, null elsewhere."""
-    value = F.col("value")
-    true = value.rlike(KEY_FORMAT) | F.col("before").rlike(NAMED)
+    value, named, quoted = F.col("value"), F.col("before").rlike(NAMED), F.col("quoted") == 1
+    bare = named & ~quoted & ~value.rlike(f"^{RUN}$")
+    true = value.rlike(KEY_FORMAT) | (named & ~bare)
+    plain = (F.col("coverage") >= 1) | value.rlike("^[0-9.,:]+$")
     false = (
         value.rlike(r"^[0-9+/_\-=]+$") | F.col("before").rlike("[@.]$") | F.col("after").rlike("^[@.][A-Za-z0-9]")
         | value.rlike("^[A-Za-z][a-z]+[0-9]{1,4}$")
     )
-    return found.withColumn("label", F.when(true, 1).when(false, 0))
+    return found.withColumn("label", F.when(true, 1).when(bare, F.when(plain, 0)).when(false, 0))
 
 
 class Forest:
@@ -233,7 +256,7 @@ def redact(
         found.filter("is_secret").groupBy("id", "text_hash").agg(F.collect_set(F.col("place") - 1).alias("places")),
         "secret-hits",
     )
-    some = F.coalesce(F.col(text_col).rlike(CANDIDATE), F.lit(False))
+    some = F.coalesce(scanned(F.col(text_col)).rlike(CANDIDATE), F.lit(False))
     rows = docs.filter(some).select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_hash"), F.col(text_col).alias("text"),
