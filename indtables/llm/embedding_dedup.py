@@ -43,8 +43,8 @@ from indtables.llm.common import connected_components, cut, ship
 
 SEED = 42
 PROJECTIONS = 64
-COUNT_RECALL = 0.9999
-RECALL = 0.995
+COUNT_RECALL = 1 - 1e-6
+RECALL = 1 - 1e-6
 BLOCK = 1024
 MAX_TABLES = 512
 

@@ -58,6 +58,24 @@ def test_embedding_dedup(spark, monkeypatch, block):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_dedup_near_the_threshold(spark):
+    """Pairs at cosine 0.90 to 0.92, with the recall that is registered."""
+    rng = np.random.default_rng(9)
+    n, dims = 4000, 32
+    a = rng.standard_normal((n, dims))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = rng.standard_normal((n, dims))
+    b -= (a * b).sum(1)[:, None] * a
+    c = rng.uniform(0.9001, 0.92, n)[:, None]
+    b = c * a + np.sqrt(1 - c * c) * b / np.linalg.norm(b, axis=1)[:, None]
+    x = np.concatenate((a, b))
+    cosine = x @ x.T
+    want = (cosine >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(df).collect()}
+    assert [i for i in range(2 * n) if got[i] != want[i]] == []
+
+
 def test_collision_count_is_calibrated():
     rng = np.random.default_rng(4)
     window, count = embedding_dedup.count_threshold(0.9)
