@@ -4,8 +4,23 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from indtables.llm import bpe, decontaminate, embedding_dedup, license_scan, quality, secret_scan, simhash, suffix_dedup, token_counts, url_filter
+from pyspark.sql import functions as F
+
+from indtables.llm import (
+    bpe,
+    decontaminate,
+    embedding_dedup,
+    language_id,
+    license_scan,
+    quality,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    url_filter,
+    vector_codes,
+    whitening,
+)
 from indtables.llm.common import table
 
 
@@ -54,6 +69,20 @@ def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def q_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
+def q_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(vector_codes.product_codes(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4))
+
+
+def q_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where the exact number does not fit in a long."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict:
     return {
         "op1_embedding_dedup": q_embeddings,
@@ -66,6 +95,9 @@ def queries() -> dict:
         "op8_quality": q_quality,
         "op9_bpe": q_bpe,
         "op10_decontaminate": q_decontaminate,
+        "op11_language_id": q_languages,
+        "op12_vector_codes": q_codes,
+        "op13_whitening": q_whitening,
     }
 
 
@@ -111,7 +143,47 @@ _BENCHMARK = f"""
     FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+def _codes_sql(rounds: int = 4) -> str:
+    """Every part against every entry; products of whole numbers in doubles are
+    exact, and 256 * distance + entry is least at the nearest, lowest entry."""
+    def assigned(c: str) -> str:
+        near = "CAST(list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c) AS BIGINT) * 256 + entry"
+        return f"SELECT vec_id, part, min({near}) AS m FROM p JOIN {c} USING (part) GROUP BY vec_id, part"
+
+    sql = """
+    WITH v AS MATERIALIZED (
+      SELECT vec_id, label, list_transform(embedding, lambda c: floor(1024 * CAST(c AS DOUBLE))) AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+    p AS MATERIALIZED (
+      SELECT vec_id, part, e[part * (len(e) // 4) + 1 : (part + 1) * (len(e) // 4)] AS x
+      FROM v, (SELECT unnest(range(4)) AS part) parts),
+    c0 AS MATERIALIZED (
+      SELECT part, rank - 1 AS entry, x AS c
+      FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS rank FROM v) r USING (vec_id) WHERE rank <= 256)"""
+    for i in range(rounds):
+        sql += f""",
+    a{i} AS MATERIALIZED ({assigned(f"c{i}")}),
+    m{i} AS MATERIALIZED (
+      SELECT part, entry, list(mean ORDER BY pos) AS c
+      FROM (SELECT part, entry, pos, floor(sum(x) / count(*)) AS mean
+            FROM (SELECT part, m % 256 AS entry, unnest(x) AS x, generate_subscripts(x, 1) AS pos
+                  FROM p JOIN a{i} USING (vec_id, part)) u GROUP BY part, entry, pos) g
+      GROUP BY part, entry),
+    c{i + 1} AS MATERIALIZED (
+      SELECT c{i}.part, c{i}.entry, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (part, entry))"""
+    return sql + f""",
+    last AS MATERIALIZED ({assigned(f"c{rounds}")}),
+    coded AS MATERIALIZED (
+      SELECT vec_id, string_agg(lower(format('{{:02x}}', m % 256)), '' ORDER BY part) AS code,
+             CAST(sum(m // 256) AS BIGINT) AS error FROM last GROUP BY vec_id),
+    book AS (
+      SELECT sha256(string_agg(CAST(CAST(n AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+      FROM (SELECT part, entry, unnest(c) AS n, generate_subscripts(c, 1) AS pos FROM c{rounds}) b)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM coded JOIN v USING (vec_id), book"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """The two that DuckDB can state whole; the others are tested against
-    brute force, the tokenizers library or held-out labels."""
-    return {"op1_embedding_dedup": _EMBEDDINGS, "op10_decontaminate": _BENCHMARK}
+    """Those that DuckDB can state whole; the others are tested against brute
+    force, the tokenizers library or held-out labels."""
+    return {"op1_embedding_dedup": _EMBEDDINGS, "op10_decontaminate": _BENCHMARK, "op12_vector_codes": _codes_sql()}
