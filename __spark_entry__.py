@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from indtables.operators import reports as R
+from indtables.operators.asof import asof_lookup
+from indtables.operators.buckets import gold_long_bucketed
 from indtables.operators.conform import (
     accepted,
     label_for,
@@ -47,11 +49,18 @@ from indtables.operators.wide import (
     wide_labels,
 )
 from indtables.plans.query import GoldCatalog
-from indtables.plans.refresh import RefreshPaths
+from indtables.plans.refresh import Tables, published
 from indtables.plans.refresh import run as refresh_run
 from indtables.schemas import FEED_A_SCHEMA, LONG_SCHEMA, SILVER_COLUMNS, with_field
 from indtables.session import ensure_checkpoint_dir
-from indtables.sinks.writers import write_bronze, write_csv, write_parquet
+from indtables.sinks.writers import (
+    read_in_buckets,
+    write_bronze,
+    write_csv,
+    write_csv_file,
+    write_in_buckets,
+    write_parquet,
+)
 from indtables.sources.bronze import read_bronze
 from indtables.sources.gold import read_csv_typed, read_gold, read_wide_csv
 from indtables.sources.shaped import (
@@ -94,6 +103,8 @@ PCT_SCALE = 8
 ORDER_LABELS = {"1-URGENT": "urgent", "2-HIGH": "high"}
 LONG_SUFFIX = "WHERE indicator_label = '1-URGENT' AND obs_date >= DATE '1998-01-01' ORDER BY obs_date"
 WIDE_SUFFIX = "WHERE `2-HIGH` > 250000 ORDER BY calendar_date"
+BOUND_SUFFIX = "WHERE indicator_label = :label AND value > :low"
+BOUND_VALUES = {"label": "2-HIGH", "low": 150000.0}
 KPI_COLUMNS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
 KPI_DATE = "2001-08-01"
 
@@ -199,7 +210,12 @@ def q_wide_dense_lineitem(spark, root):
 
 
 def q_gold_wide_lineitem(spark, root):
-    return gold_wide(_written_lineitem(spark, root))
+    """The wide table of every supplier, one column each, turned back into (day,
+    label, value) rows: DuckDB's PIVOT of a column list it has to look up cannot
+    stand in a view, the rows can be compared."""
+    wide = gold_wide(_written_lineitem(spark, root))
+    labels = [c for c in wide.columns if c != "calendar_date"]
+    return wide.unpivot("calendar_date", labels, "indicator_label", "value")
 
 
 def q_rolling_avg_plain(spark, root):
@@ -352,18 +368,18 @@ def _land_lineitem(spark, root, bronze):
 REVISED = 7
 
 
-def _full_refresh(spark, root) -> RefreshPaths:
+def _full_refresh(spark, root) -> Tables:
     def build():
         bronze, out = _scratch(spark, "bronze"), _scratch(spark, "refresh")
         _land_orders(spark, root, bronze)
         _land_lineitem(spark, root, bronze)
         refresh_run(spark, bronze, out)
-        return RefreshPaths(out)
+        return published(spark, out)
 
     return _once(spark, root, "refresh", build)
 
 
-def _incremental_refresh(spark, root) -> RefreshPaths:
+def _incremental_refresh(spark, root) -> Tables:
     """The orders land and are refreshed; then the line items and a second pull
     of every order, open ones revised, land and are merged."""
     def build():
@@ -373,63 +389,117 @@ def _incremental_refresh(spark, root) -> RefreshPaths:
         _land_lineitem(spark, root, bronze)
         _land_orders(spark, root, bronze, F.when(F.col("o_orderstatus") == "O", REVISED).otherwise(0), prefix="1")
         refresh_run(spark, bronze, out, incremental=True)
-        return RefreshPaths(out)
+        return published(spark, out)
 
     return _once(spark, root, "refresh-inc", build)
 
 
-def _refresh_counts(spark, paths):
-    def n(name, path):
-        return read_gold(spark, path).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count")
-    return union_feeds(n("silver", paths.silver), n("rejects", paths.rejects),
-                       n("indicators_long", paths.long), n("indicators_wide", paths.wide))
+# Where the first and the second of the three pulls end and begin.
+FIRST_PULL_TO, SECOND_PULL_FROM = "1997-01-01", "1996-01-01"
+
+
+def _three_pulls(spark, root) -> Tables:
+    """Orders in three overlapping pulls, each refreshed incrementally: old ones, the
+    newer ones from a year before that, and the open ones of all days, revised."""
+    def build():
+        bronze, out = _scratch(spark, "bronze"), _scratch(spark, "refresh-three")
+        day = F.col("o_orderdate").cast("date")
+        pulls = [(day < F.lit(FIRST_PULL_TO).cast("date"), 0), (day >= F.lit(SECOND_PULL_FROM).cast("date"), 0),
+                 (F.col("o_orderstatus") == "O", REVISED)]
+        for i, (some, extra) in enumerate(pulls):
+            value = (F.floor("o_totalprice") + extra).cast("string")
+            docs = orders_feed_a_docs(_orders(spark, root).filter(some), value, str(i))
+            write_bronze(docs.drop("pull_id"), bronze, "banxico")
+            refresh_run(spark, bronze, out, incremental=True)
+        return published(spark, out)
+
+    return _once(spark, root, "refresh-three", build)
+
+
+def q_long_incremental(spark, root):
+    return _three_pulls(spark, root).long()
+
+
+def q_wide_incremental(spark, root):
+    return _three_pulls(spark, root).wide()
+
+
+def q_long_bucketed(spark, root):
+    """Window partitions of a year of a supplier."""
+    return gold_long_bucketed(_lineitem_silver(spark, root), bucket_days=365, mean_scale=MONEY_SCALE)
+
+
+def q_long_stored_order(spark, root):
+    """Long from silver that is stored in hash buckets of the series."""
+    by = ["source", "indicator_id"]
+    path = _once(spark, root, "buckets", lambda: write_in_buckets(
+        _lineitem_silver(spark, root), _scratch(spark, "buckets"), by, [*by, "obs_date"], 16))
+    return gold_long(read_in_buckets(spark, path), mean_scale=MONEY_SCALE)
 
 
-def _refresh_rejects(spark, paths):
+def q_asof_lookup(spark, root):
+    """The last order value of the line's priority known on its ship date, and how
+    many days old it is then (null before the first)."""
+    lines = read_table(spark, root, "lineitem").join(
+        _orders(spark, root), F.col("l_orderkey") == F.col("o_orderkey")
+    ).select("l_orderkey", "l_linenumber", F.col("o_orderpriority").alias("priority"),
+             F.col("l_shipdate").cast("date").alias("ship_date"))
+    found = asof_lookup(lines, _orders_silver(spark, root), ["priority"], "ship_date", series=["indicator_id"])
+    age = F.datediff("ship_date", "asof_date").cast("double").alias("age_days")
+    return found.select("l_orderkey", "l_linenumber", "priority", "ship_date", "asof_value", age)
+
+
+def _refresh_counts(tables: Tables) -> DataFrame:
+    def n(name, df):
+        return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+    return union_feeds(n("silver", tables.silver()), n("rejects", tables.rejects()),
+                       n("indicators_long", tables.long()), n("indicators_wide", tables.wide()))
+
+
+def _refresh_rejects(tables: Tables) -> DataFrame:
     """The rejects with the pull they came from."""
-    return read_gold(spark, paths.rejects).select("source", "indicator_id", "raw_date", "raw_value", "reason",
-                                                  F.col("_pull_stamp").alias("pull_stamp"))
+    return tables.rejects().select("source", "indicator_id", "raw_date", "raw_value", "reason",
+                                   F.col("_pull_stamp").alias("pull_stamp"))
 
 
 def q_refresh_counts(spark, root):
-    return _refresh_counts(spark, _full_refresh(spark, root))
+    return _refresh_counts(_full_refresh(spark, root))
 
 
 def q_refresh_silver(spark, root):
-    return read_gold(spark, _full_refresh(spark, root).silver)
+    return _full_refresh(spark, root).silver()
 
 
 def q_refresh_long(spark, root):
-    return read_gold(spark, _full_refresh(spark, root).long)
+    return _full_refresh(spark, root).long()
 
 
 def q_refresh_wide(spark, root):
-    return read_gold(spark, _full_refresh(spark, root).wide)
+    return _full_refresh(spark, root).wide()
 
 
 def q_refresh_rejects(spark, root):
-    return _refresh_rejects(spark, _full_refresh(spark, root))
+    return _refresh_rejects(_full_refresh(spark, root))
 
 
 def q_refresh_incremental_counts(spark, root):
-    return _refresh_counts(spark, _incremental_refresh(spark, root))
+    return _refresh_counts(_incremental_refresh(spark, root))
 
 
 def q_refresh_incremental_silver(spark, root):
-    return read_gold(spark, _incremental_refresh(spark, root).silver)
+    return _incremental_refresh(spark, root).silver()
 
 
 def q_refresh_incremental_long(spark, root):
-    return read_gold(spark, _incremental_refresh(spark, root).long)
+    return _incremental_refresh(spark, root).long()
 
 
 def q_refresh_incremental_wide(spark, root):
-    return read_gold(spark, _incremental_refresh(spark, root).wide)
+    return _incremental_refresh(spark, root).wide()
 
 
 def q_refresh_incremental_rejects(spark, root):
-    return _refresh_rejects(spark, _incremental_refresh(spark, root))
+    return _refresh_rejects(_incremental_refresh(spark, root))
 
 
 def _pulls(spark, root, lookback):
@@ -498,6 +568,10 @@ def q_sql_suffix_wide(spark, root):
     return _catalog(spark, root).query_wide(WIDE_SUFFIX)
 
 
+def q_sql_bound_values(spark, root):
+    return _catalog(spark, root).query_long(BOUND_SUFFIX, BOUND_VALUES)
+
+
 def q_row_counts(spark, root):
     return _catalog(spark, root).row_counts_frame()
 
@@ -517,6 +591,13 @@ def q_csv_scan_typed(spark, root):
     return read_csv_typed(spark, path, LONG_SCHEMA)
 
 
+def q_csv_exact_file(spark, root):
+    """The long table as one CSV file at a path of its own, read back typed."""
+    path = write_csv_file(_orders_long(spark, root), f"{_scratch(spark, 'csv')}/indicators_long.csv",
+                          ["source", "indicator_id", "obs_date"])
+    return read_csv_typed(spark, path, LONG_SCHEMA)
+
+
 def q_csv_scan_wide(spark, root):
     path = write_csv(_orders_wide(spark, root), _scratch(spark, "csv-wide"))
     return read_wide_csv(spark, path)
@@ -784,8 +865,22 @@ def _refresh_tables(revised: bool) -> dict[str, str]:
     return {"silver": silver, "long": long_, "wide": wide, "rejects": rejects, "counts": counts}
 
 
-def _dense_sql(silver: str) -> str:
-    """Every day and label, filled forward, without leading gaps."""
+def _three_pulls_sql() -> dict[str, str]:
+    """Long and wide after three pulls: an order's last pull counts, and the open
+    ones, all in the last, are revised."""
+    value = f"floor(o_totalprice) + CASE WHEN o_orderstatus = 'O' THEN {REVISED} ELSE 0 END"
+    pull = f"CASE WHEN o_orderstatus = 'O' THEN 2 WHEN o_orderdate >= DATE '{SECOND_PULL_FROM}' THEN 1 ELSE 0 END"
+    rows = f"""
+    SELECT a.*, {pull} AS pull FROM ({_feed_a_rows(f'CAST({value} AS DOUBLE)', labels=False)}) a
+    JOIN orders ON o_orderkey = pull_id"""
+    silver = _silver_sql(rows, "pull DESC, pull_id DESC")
+    long_ = _long_sql(silver).replace(_xsum("value", MONEY_SCALE, "r") + " / COUNT(value) OVER r", "avg(value) OVER r")
+    labels = ["", "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+    return {"long_incremental": long_, "wide_incremental": _wide_sql(silver, labels, RECENT_WINDOW_DAYS, {"": "unlabelled"})}
+
+
+def _dense_sql(silver: str, gaps: bool = False) -> str:
+    """Every day and label, filled forward; leading gaps only if asked for."""
     return f"""
     WITH s AS MATERIALIZED ({silver}),
     b AS (SELECT min(obs_date) AS min_d, max(obs_date) AS max_d FROM s),
@@ -793,7 +888,7 @@ def _dense_sql(silver: str) -> str:
                                                INTERVAL 1 DAY)) AS DATE) AS calendar_date FROM b),
     x AS (SELECT calendar_date, indicator_label FROM cal, (SELECT DISTINCT indicator_label FROM s) l)
     SELECT x.calendar_date, x.indicator_label, s.value
-    FROM x ASOF JOIN s ON x.indicator_label = s.indicator_label AND x.calendar_date >= s.obs_date"""
+    FROM x ASOF {"LEFT" if gaps else ""} JOIN s ON x.indicator_label = s.indicator_label AND x.calendar_date >= s.obs_date"""
 
 
 def _oracles() -> dict[str, str]:
@@ -843,9 +938,7 @@ def _oracles() -> dict[str, str]:
         "conform_rejects": _REJECTS,
         "conform_rejects_a": _feed_a_rejects(_PRICE_TEXT),
         "wide_dense_lineitem": _dense_sql(_lineitem_silver_sql()),
-        "gold_wide_lineitem": f"""
-            SELECT * FROM (PIVOT ({_dense_sql(_lineitem_silver_sql())}) ON indicator_label USING max(value)
-                           GROUP BY calendar_date)""",
+        "gold_wide_lineitem": _dense_sql(_lineitem_silver_sql(), gaps=True),
         "rolling_avg_plain": f"""
             SELECT {key}, value, avg(value) OVER (
                      PARTITION BY source, indicator_id ORDER BY obs_date
@@ -900,6 +993,15 @@ def _oracles() -> dict[str, str]:
             UNION ALL {_registry_rows("WHERE c_acctbal < 0")}""",
         "sql_suffix_long": f"SELECT * FROM ({long_}) l {LONG_SUFFIX.replace('`', chr(34))}",
         "sql_suffix_wide": f"SELECT * FROM ({wide}) w {WIDE_SUFFIX.replace('`', chr(34))}",
+        "sql_bound_values": f"SELECT * FROM ({long_}) l WHERE indicator_label = '2-HIGH' AND value > 150000.0",
+        "csv_exact_file": long_,
+        "long_bucketed": _long_sql(_lineitem_silver_sql()),
+        "long_stored_order": _long_sql(_lineitem_silver_sql()),
+        "asof_lookup": f"""
+            SELECT p.*, s.value AS asof_value, CAST(p.ship_date - s.obs_date AS DOUBLE) AS age_days
+            FROM (SELECT l_orderkey, l_linenumber, o_orderpriority AS priority, CAST(l_shipdate AS DATE) AS ship_date
+                  FROM lineitem JOIN orders ON l_orderkey = o_orderkey) p
+            ASOF LEFT JOIN ({silver}) s ON p.priority = s.indicator_id AND p.ship_date >= s.obs_date""",
         "row_counts": f"""
             SELECT 'indicators_long' AS table_name, count(*) AS row_count FROM ({long_}) l
             UNION ALL SELECT 'indicators_wide', count(*) FROM ({wide}) w""",
@@ -947,6 +1049,7 @@ def _oracles() -> dict[str, str]:
     }
     for prefix, revised in (("refresh", False), ("refresh_incremental", True)):
         out |= {f"{prefix}_{name}": sql for name, sql in _refresh_tables(revised).items()}
+    out |= _three_pulls_sql()
     return out
 
 
@@ -982,7 +1085,8 @@ QUERY_NAMES = [
     "conform_rejects", "conform_rejects_a", "silver", "union_feeds", "bronze_scan", "stream_intake", "refresh_counts",
     "refresh_silver", "refresh_long", "refresh_wide", "refresh_rejects", "refresh_incremental_counts",
     "refresh_incremental_silver", "refresh_incremental_long", "refresh_incremental_wide",
-    "refresh_incremental_rejects", "wide_dense_lineitem", "gold_wide_lineitem", "rolling_avg_plain",
+    "refresh_incremental_rejects", "long_incremental", "wide_incremental", "long_bucketed", "long_stored_order",
+    "asof_lookup", "sql_bound_values", "csv_exact_file", "wide_dense_lineitem", "gold_wide_lineitem", "rolling_avg_plain",
     "report_sum_plain", "fallback_daily", "fallback_monthly", "fallback_registry",
     "fallback_by_source", "fallback_by_indicator", "sql_suffix_long", "sql_suffix_wide", "row_counts",
     "gold_scan_long", "gold_scan_wide", "csv_scan_typed", "csv_scan_wide", "report_fx_spec",

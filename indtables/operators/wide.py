@@ -118,10 +118,15 @@ def calendar_join(cal: DataFrame, pivoted: DataFrame) -> DataFrame:
     return cal.join(pivoted, cal["calendar_date"] == pivoted["obs_date"], "left").drop("obs_date")
 
 
-def window_cutoff(inputs: WideBounds, recent_window_days: int | None) -> dt.date:
+def window_start(first: dt.date, last: dt.date, recent_window_days: int | None) -> dt.date:
+    """First day of the window over observations of ``first`` .. ``last``."""
     if recent_window_days is None:
-        return inputs.min_date
-    return max(inputs.min_date, inputs.max_date - dt.timedelta(days=recent_window_days))
+        return first
+    return max(first, last - dt.timedelta(days=recent_window_days))
+
+
+def window_cutoff(inputs: WideBounds, recent_window_days: int | None) -> dt.date:
+    return window_start(inputs.min_date, inputs.max_date, recent_window_days)
 
 
 def trim_recent(wide: DataFrame, max_date: dt.date, recent_window_days: int) -> DataFrame:
@@ -147,16 +152,18 @@ def dense_daily(
     cutoff = window_cutoff(inputs, recent_window_days)
     obs = _label_day_obs(silver, inputs)
 
-    recent = obs.filter(F.col("obs_date") >= F.lit(cutoff)).withColumn("_seed", F.lit(0))
-    seed = (
-        obs.filter(F.col("obs_date") < F.lit(cutoff))
-        .groupBy(LABEL)
-        .agg(F.max_by("value", "obs_date").alias("value"))
-        .select(LABEL, F.lit(cutoff).alias("obs_date"), "value", F.lit(-1).alias("_seed"))
-    )
-    spans = recent.unionByName(seed)
+    recent = obs.filter(F.col("obs_date") >= F.lit(cutoff))
+    seed = obs.filter(F.col("obs_date") < F.lit(cutoff)).groupBy(LABEL).agg(F.max_by("value", "obs_date").alias("value"))
+    return dense_from(recent, seed, cutoff, inputs.max_date)
+
+
+def dense_from(recent: DataFrame, seed: DataFrame, cutoff: dt.date, last: dt.date) -> DataFrame:
+    """The tall table of ``cutoff`` .. ``last`` from the window's rows (label, day,
+    value; one per label and day) and each label's last value before (label, value)."""
+    seed = seed.select(LABEL, F.lit(cutoff).alias("obs_date"), "value", F.lit(-1).alias("_seed"))
+    spans = recent.withColumn("_seed", F.lit(0)).unionByName(seed)
     w = Window.partitionBy(LABEL).orderBy("obs_date", "_seed")
-    valid_to = F.coalesce(F.date_sub(F.lead("obs_date").over(w), 1), F.lit(inputs.max_date))
+    valid_to = F.coalesce(F.date_sub(F.lead("obs_date").over(w), 1), F.lit(last))
     spans = spans.withColumn("_to", valid_to).filter(F.col("_to") >= F.col("obs_date"))
     return spans.select(F.explode(F.sequence("obs_date", "_to", F.expr("INTERVAL 1 DAY"))).alias(DAY), LABEL, "value")
 

@@ -3,17 +3,22 @@
 ``query_long("WHERE ... ORDER BY ...")`` appends the caller's SQL tail to
 ``SELECT * FROM indicators_long``. The result is a lazy DataFrame; filters
 and projections in the tail reach the Parquet scan (pushdown, pruning).
-The dialect is Spark SQL.
+The dialect is Spark SQL. Values are bound, never spliced: ``args`` holds what
+the tail's markers (``:name``, or ``?`` in order) stand for. The two tables are
+named for the one statement only, so catalogs of several releases can be queried
+side by side in one session.
 """
 
 from __future__ import annotations
 
 import argparse
 
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indtables.sinks.writers import write_csv
+from indtables.sinks.writers import write_csv, write_csv_file
 from indtables.sources.gold import read_gold
 
 LONG_VIEW = "indicators_long"
@@ -43,19 +48,24 @@ class GoldCatalog:
         return self._frame(self._wide)
 
     def register(self) -> None:
+        """Views of both tables, for a session that holds one catalog."""
         self.long().createOrReplaceTempView(LONG_VIEW)
         self.wide().createOrReplaceTempView(WIDE_VIEW)
 
-    def query_long(self, sql_suffix: str = "") -> DataFrame:
-        """Q1: ``SELECT * FROM indicators_long <sql_suffix>``. Both tables are
-        registered, so the tail may name either."""
-        self.register()
-        return self.spark.sql(f"SELECT * FROM {LONG_VIEW} {sql_suffix}")
+    def _query(self, view: str, sql_suffix: str, args: dict[str, Any] | list | None) -> DataFrame:
+        tail = sql_suffix.replace("{", "{{").replace("}", "}}")
+        text = (f"WITH {LONG_VIEW} AS (SELECT * FROM {{long_}}), {WIDE_VIEW} AS (SELECT * FROM {{wide_}}) "
+                f"SELECT * FROM {view} {tail}")
+        return self.spark.sql(text, args=args, long_=self.long(), wide_=self.wide())
+
+    def query_long(self, sql_suffix: str = "", args: dict[str, Any] | list | None = None) -> DataFrame:
+        """Q1: ``SELECT * FROM indicators_long <sql_suffix>``; the tail may name
+        either table."""
+        return self._query(LONG_VIEW, sql_suffix, args)
 
-    def query_wide(self, sql_suffix: str = "") -> DataFrame:
+    def query_wide(self, sql_suffix: str = "", args: dict[str, Any] | list | None = None) -> DataFrame:
         """Q2: ``SELECT * FROM indicators_wide <sql_suffix>``."""
-        self.register()
-        return self.spark.sql(f"SELECT * FROM {WIDE_VIEW} {sql_suffix}")
+        return self._query(WIDE_VIEW, sql_suffix, args)
 
     def row_counts_frame(self) -> DataFrame:
         """Q3 as a DataFrame: (table_name, row_count), one row per table."""
@@ -72,31 +82,36 @@ class GoldCatalog:
         return {r["table_name"]: r["row_count"] for r in self.row_counts_frame().collect()}
 
     def export_csv(self, out_dir: str, single_file: bool = False) -> list[str]:
-        """Both tables as CSV folders under ``out_dir``; returns paths.
-        ``single_file`` puts each table in one part file (small tables only,
-        see ``write_csv``)."""
+        """Both tables as CSV under ``out_dir``; returns the two paths.
+        Folders of parts, or with ``single_file`` the files
+        ``indicators_long.csv`` and ``indicators_wide.csv`` (one writing task each,
+        see ``write_csv_file``)."""
         out = out_dir.rstrip("/")
-        long_path = write_csv(self.long(), f"{out}/indicators_long_csv",
-                              order_by=["source", "indicator_id", "obs_date"], single_file=single_file)
-        wide_path = write_csv(self.wide(), f"{out}/indicators_wide_csv", order_by=["calendar_date"],
-                              single_file=single_file)
-        return [long_path, wide_path]
+        order = ["source", "indicator_id", "obs_date"]
+        if single_file:
+            return [write_csv_file(self.long(), f"{out}/{LONG_VIEW}.csv", order),
+                    write_csv_file(self.wide(), f"{out}/{WIDE_VIEW}.csv", ["calendar_date"])]
+        return [write_csv(self.long(), f"{out}/{LONG_VIEW}_csv", order_by=order),
+                write_csv(self.wide(), f"{out}/{WIDE_VIEW}_csv", order_by=["calendar_date"])]
 
 
 def catalog(spark: SparkSession, out_root: str) -> GoldCatalog:
-    """The gold tables a refresh wrote under ``out_root``."""
-    root = out_root.rstrip("/")
-    return GoldCatalog(spark, f"{root}/gold/indicators_long", f"{root}/gold/indicators_wide")
+    """The gold tables that the last refresh published under ``out_root``; they
+    stay those of that refresh while later ones publish theirs."""
+    from indtables.plans.refresh import published
+
+    tables = published(spark, out_root)
+    return GoldCatalog(spark, tables.long(), tables.wide())
 
 
-def query_long(spark: SparkSession, out_root: str, sql_suffix: str = "") -> DataFrame:
+def query_long(spark: SparkSession, out_root: str, sql_suffix: str = "", args=None) -> DataFrame:
     """``SELECT * FROM indicators_long <sql_suffix>`` over a refresh output."""
-    return catalog(spark, out_root).query_long(sql_suffix)
+    return catalog(spark, out_root).query_long(sql_suffix, args)
 
 
-def query_wide(spark: SparkSession, out_root: str, sql_suffix: str = "") -> DataFrame:
+def query_wide(spark: SparkSession, out_root: str, sql_suffix: str = "", args=None) -> DataFrame:
     """``SELECT * FROM indicators_wide <sql_suffix>`` over a refresh output."""
-    return catalog(spark, out_root).query_wide(sql_suffix)
+    return catalog(spark, out_root).query_wide(sql_suffix, args)
 
 
 def row_counts(spark: SparkSession, out_root: str) -> dict[str, int]:
@@ -107,9 +122,9 @@ def row_counts(spark: SparkSession, out_root: str) -> dict[str, int]:
 def main(argv: list[str] | None = None) -> None:
     """Export both gold tables of a refresh output root to CSV."""
     p = argparse.ArgumentParser(description="Export the gold tables to CSV.")
-    p.add_argument("out_root", help="the refresh output root (holds gold/indicators_long, gold/indicators_wide)")
+    p.add_argument("out_root", help="the refresh output root")
     p.add_argument("export_dir")
-    p.add_argument("--single-file", action="store_true", help="one CSV file per table (small tables only)")
+    p.add_argument("--single-file", action="store_true", help="exactly one CSV file per table")
     args = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     cat = catalog(spark, args.out_root)

@@ -6,66 +6,109 @@
    rows and rejects with their reason), written as a table;
 2. silver (deduped good rows) and the rejects table are read from it with
    the reason filter pushed into the scan;
-3. both gold tables are built from the written silver.
+3. both gold tables are built from the written silver;
+4. the finished tables are published together (``sinks.publish``): readers
+   (``published``) have the refresh before this one until then.
 
 Each step reads a written table, so a lost executor recomputes from
 Parquet, never from the raw JSON, and the JSON parse runs exactly once.
-Every table is replaced, never appended, so a rerun gives the same rows.
+Every table is replaced, never appended, so a rerun gives the same rows. Rows
+are counted while they are written, no table is read again for its count.
 """
 
 from __future__ import annotations
 
 import argparse
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indtables.operators.conform import accepted, parse_feed_a, parse_feed_b, rejected, union_feeds
 from indtables.operators.long import gold_long
 from indtables.operators.silver import PULL_FILE, PULL_STAMP, PULLED_AT, dedupe_observations, enforce_not_null
 from indtables.operators.wide import RECENT_WINDOW_DAYS, gold_wide
-from indtables.plans.query import GoldCatalog
-from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA, SILVER_COLUMNS
+from indtables.plans import incremental
+from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA
 from indtables.session import path_exists
-from indtables.sinks.writers import write_parquet
+from indtables.sinks.publish import Release, current, expire, new_release, publish, read_release
+from indtables.sinks.writers import write_counted, write_parquet
 from indtables.sources.bronze import read_bronze
-from indtables.sources.gold import read_gold
+from indtables.sources.gold import missing_table, read_gold
 
 FEED_A_FOLDER = "banxico"
 FEED_B_FOLDER = "inegi"
 LINEAGE = [PULL_STAMP, PULLED_AT, PULL_FILE]
 SERIES_ORDER = ["source", "indicator_id", "obs_date"]
-STATE = "mode string, slot string, merged_through long"
 
 
-@dataclass
-class RefreshPaths:
+@dataclass(frozen=True)
+class Tables:
+    """The tables of one release, as lazy DataFrames. Resolved once, they stay
+    those of that release while later refreshes publish theirs."""
+
+    spark: SparkSession
+    release: Release
+
+    @property
+    def incremental(self) -> bool:
+        return self.release.info["mode"] == "incremental"
+
+    @property
+    def counts(self) -> dict[str, int]:
+        return dict(self.release.info["counts"])
+
+    def silver(self) -> DataFrame:
+        if self.incremental:
+            return incremental.read_silver(self.spark, self.release)
+        return read_release(self.spark, self.release, "silver")
+
+    def long(self) -> DataFrame:
+        if self.incremental:
+            return incremental.read_long(self.spark, self.release)
+        return read_release(self.spark, self.release, "indicators_long")
+
+    def wide(self) -> DataFrame:
+        return read_release(self.spark, self.release, "indicators_wide")
+
+    def conformed(self) -> DataFrame:
+        """Every good row and reject, with its pull, that the release is built from."""
+        if not self.incremental:
+            return read_release(self.spark, self.release, "conformed")
+        from indtables.streaming.bronze_stream import INGEST_ID
+
+        landed = _landed(self.spark, Intake(self.release.root))
+        return landed.filter(F.col(INGEST_ID) <= self.release.info["merged_through"])
+
+    def rejects(self) -> DataFrame:
+        if self.incremental:  # not kept twice: the reason filter reaches the landed table's scan
+            return rejected(self.conformed(), carry=LINEAGE)
+        return read_release(self.spark, self.release, "rejects")
+
+
+def published(spark: SparkSession, out_root: str) -> Tables:
+    """The tables of the last refresh of ``out_root``."""
+    release = current(spark, out_root)
+    if release is None:
+        raise missing_table(out_root)
+    return Tables(spark, release)
+
+
+@dataclass(frozen=True)
+class Intake:
+    """Where an incremental refresh lands what it has parsed."""
+
     root: str
-    conformed: str = field(init=False)
-    checkpoint: str = field(init=False)
-    state: str = field(init=False)
-    silver: str = field(init=False)
-    rejects: str = field(init=False)
-    long: str = field(init=False)
-    wide: str = field(init=False)
-
-    def slot(self, name: str) -> str:
-        """Silver with pull lineage, kept for the incremental merge (two
-        slots used in turn: a run never overwrites what it reads)."""
-        return f"{self.root.rstrip('/')}/silver/_merged_{name}"
-
-    def __post_init__(self) -> None:
-        r = self.root.rstrip("/")
-        self.conformed = f"{r}/silver/conformed"
-        self.checkpoint = f"{r}/silver/_checkpoint"
-        self.state = f"{r}/silver/_state"
-        self.silver = f"{r}/silver/indicators"
-        self.rejects = f"{r}/silver/rejects"
-        self.long = f"{r}/gold/indicators_long"
-        self.wide = f"{r}/gold/indicators_wide"
+
+    @property
+    def conformed(self) -> str:
+        return f"{self.root.rstrip('/')}/intake/conformed"
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.root.rstrip('/')}/intake/checkpoint"
 
 
 def _docs(spark: SparkSession, root: str, folder: str, schema, multi_line: bool) -> DataFrame:
@@ -122,20 +165,17 @@ def run(
     shuffle so the files also follow one another in key order.
 
     ``incremental``: parse only the pulls landed since the last run (a file
-    stream), append them to the conformed table, and merge their good rows
-    into the previous silver (kept with its pull lineage). The dedupe picks a
-    maximum under a total order, so merging gives the full run's silver from
-    (previous silver + new pulls) alone. A one-row state table (mode, current
-    slot, last merged ingest id) is written only after the new silver is
-    complete, so a failure anywhere just redoes the merge.
+    stream), append them to the conformed table, merge their good rows into
+    silver and rebuild what they reach of long and wide (``plans.incremental``).
+    The pointer (mode, last merged ingest id) is replaced only after all tables
+    are complete, so a failure anywhere just redoes the merge.
     ``max_files_per_batch`` drains a large backlog of pulls in several
     committed micro-batches.
 
     Nothing is replaced unless the run can go on from what is there: the
     stream's checkpoint lives under ``out_root`` beside its table, a root
-    belongs to one mode (recorded in the state), and a missing bronze root, or
+    belongs to one mode (recorded in the pointer), and a missing bronze root, or
     a missing half of checkpoint and table, is an error."""
-    paths = RefreshPaths(out_root)
     if incremental and (strict or multi_line):
         raise ValueError("incremental refresh reads JSON-lines bronze and keeps rejects; "
                          "strict / multi_line need a full run")
@@ -143,93 +183,83 @@ def run(
     if not any(path_exists(spark, f"{root}/{f}") for f in (FEED_A_FOLDER, FEED_B_FOLDER)):
         raise FileNotFoundError(f"no bronze folder {FEED_A_FOLDER} or {FEED_B_FOLDER} under {bronze_root}")
     mode = "incremental" if incremental else "full"
-    state = _read_state(spark, paths)
-    if state is not None and state["mode"] != mode:
-        raise ValueError(f"{out_root} was written by a {state['mode']} refresh; a {mode} one needs a root of its own")
+    before = current(spark, out_root)
+    if before is not None and before.info["mode"] != mode:
+        raise ValueError(
+            f"{out_root} was written by a {before.info['mode']} refresh; a {mode} one needs a root of its own"
+        )
     if incremental:
-        _merge_new_pulls(spark, bronze_root, paths, state, labels, total_order, max_files_per_batch)
-        return _gold(spark, paths, recent_window_days, total_order)
-    write_parquet(conformed_candidates(spark, bronze_root, labels, strict, multi_line), paths.conformed)
-    conformed = read_gold(spark, paths.conformed)
-    write_parquet(enforce_not_null(build_silver(conformed)), paths.silver, SERIES_ORDER, total_order)
-    write_parquet(rejected(conformed, carry=LINEAGE), paths.rejects)
-    counts = _gold(spark, paths, recent_window_days, total_order)
-    _write_state(spark, paths, mode, None, -1)
-    return counts
-
-
-def _gold(spark: SparkSession, paths: RefreshPaths, recent_window_days, total_order: bool) -> dict[str, int]:
-    silver = read_gold(spark, paths.silver)
-    write_parquet(gold_long(silver), paths.long, SERIES_ORDER, total_order)
-    write_parquet(gold_wide(silver, recent_window_days), paths.wide, ["calendar_date"], total_order)
-    counts = GoldCatalog(spark, paths.long, paths.wide).row_counts()
-    counts["silver"] = read_gold(spark, paths.silver).count()
+        release = _merge_new_pulls(spark, bronze_root, out_root, before, recent_window_days, labels, total_order,
+                                   max_files_per_batch)
+        return dict(release.info["counts"])
+    release = new_release(out_root)
+    write_parquet(conformed_candidates(spark, bronze_root, labels, strict, multi_line), release.path("conformed"))
+    conformed = read_gold(spark, release.path("conformed"))
+    counts = {"silver": write_counted(enforce_not_null(build_silver(conformed)), release.path("silver"),
+                                      SERIES_ORDER, total_order)}
+    write_parquet(rejected(conformed, carry=LINEAGE), release.path("rejects"))
+    silver = read_gold(spark, release.path("silver"))
+    counts["indicators_long"] = write_counted(gold_long(silver), release.path("indicators_long"), SERIES_ORDER, total_order)
+    counts["indicators_wide"] = write_counted(gold_wide(silver, recent_window_days), release.path("indicators_wide"),
+                                              ["calendar_date"], total_order)
+    publish(spark, release, {"mode": mode, "counts": counts}, None if before is None else before.info)
+    expire(spark, release.root, [release.name] + ([] if before is None else [before.name]))
     return counts
 
 
 # ------------------------------------------------------------ incremental
 
-def _read_state(spark: SparkSession, paths: RefreshPaths) -> Row | None:
-    """(mode, slot, merged_through) of the last complete run."""
-    return spark.read.parquet(paths.state).first() if path_exists(spark, paths.state) else None
+def _landed(spark: SparkSession, intake: Intake) -> DataFrame:
+    """What has been landed; an empty table before the first pull has."""
+    from indtables.streaming.bronze_stream import INGEST_ID
 
+    if path_exists(spark, f"{intake.conformed}/_spark_metadata"):
+        return read_gold(spark, intake.conformed)
+    a, b = (spark.createDataFrame([], s).select(
+        "*", F.lit(None).cast("string").alias(PULL_STAMP), F.lit(None).cast("timestamp").alias(PULLED_AT),
+        F.lit(None).cast("string").alias(PULL_FILE)) for s in (FEED_A_SCHEMA, FEED_B_SCHEMA))
+    none = union_feeds(parse_feed_a(a, carry=LINEAGE), parse_feed_b(b, carry=LINEAGE))
+    return none.withColumn(INGEST_ID, F.lit(0).cast("long"))
 
-def _write_state(spark: SparkSession, paths: RefreshPaths, mode: str, slot: str | None, merged_through: int) -> None:
-    state = spark.createDataFrame([(mode, slot, merged_through)], STATE)
-    write_parquet(state.coalesce(1), paths.state)  # one row
 
-
-def _check_intake(spark: SparkSession, paths: RefreshPaths, state: Row | None) -> None:
+def _check_intake(spark: SparkSession, intake: Intake, before: Release | None) -> None:
     """The checkpoint says which pulls are in the conformed table: going on
     with only one of the two would lose or repeat pulls."""
-    table = path_exists(spark, f"{paths.conformed}/_spark_metadata")
-    checkpoint = path_exists(spark, f"{paths.checkpoint}/metadata")
-    committed = path_exists(spark, f"{paths.checkpoint}/commits/0")
+    table = path_exists(spark, f"{intake.conformed}/_spark_metadata")
+    checkpoint = path_exists(spark, f"{intake.checkpoint}/metadata")
+    committed = path_exists(spark, f"{intake.checkpoint}/commits/0")
     if table and not checkpoint:
-        raise RuntimeError(f"{paths.conformed} has lost its checkpoint {paths.checkpoint}: refresh into a new root")
-    if committed and not table or state is not None and state["slot"] and not (table and checkpoint):
-        raise RuntimeError(f"{paths.checkpoint} has lost its table {paths.conformed}: refresh into a new root")
-    if state is None and not checkpoint and any(
-        path_exists(spark, p) for p in (paths.conformed, paths.silver, paths.long, paths.wide)
-    ):
-        raise RuntimeError(f"{paths.root} holds tables of an unknown run: refresh into a new root")
+        raise RuntimeError(f"{intake.conformed} has lost its checkpoint {intake.checkpoint}: refresh into a new root")
+    if committed and not table or before is not None and before.info["counts"]["silver"] and not (table and checkpoint):
+        raise RuntimeError(f"{intake.checkpoint} has lost its table {intake.conformed}: refresh into a new root")
+    if before is None and not checkpoint and path_exists(spark, f"{intake.root.rstrip('/')}/releases"):
+        raise RuntimeError(f"{intake.root} holds tables of an unknown run: refresh into a new root")
 
 
 def _merge_new_pulls(
     spark: SparkSession,
     bronze_root: str,
-    paths: RefreshPaths,
-    state: Row | None,
+    out_root: str,
+    before: Release | None,
+    recent_window_days: int | None,
     labels,
     total_order: bool = False,
     max_files_per_batch: int | None = None,
-) -> None:
-    """Land the new pulls, merge their good rows into the previous silver."""
+) -> Release:
+    """Land the new pulls, publish the release that has their good rows merged in."""
     from indtables.streaming.bronze_stream import INGEST_ID, conform_new_pulls
 
-    _check_intake(spark, paths, state)
-    slot, merged_through = (state["slot"], state["merged_through"]) if state is not None else (None, -1)
+    intake = Intake(out_root)
+    _check_intake(spark, intake, before)
+    merged_through = -1 if before is None else before.info["merged_through"]
     ingest_id = max(int(time.time() * 1000), merged_through + 1)
-    conform_new_pulls(spark, bronze_root, paths.conformed, paths.checkpoint, labels=labels,
+    conform_new_pulls(spark, bronze_root, intake.conformed, intake.checkpoint, labels=labels,
                       max_files_per_batch=max_files_per_batch, ingest_id=ingest_id)
-    if path_exists(spark, f"{paths.conformed}/_spark_metadata"):
-        conformed = read_gold(spark, paths.conformed)
-    else:  # both folders are there, but no pull has landed yet
-        conformed = conformed_candidates(spark, bronze_root).limit(0).withColumn(INGEST_ID, F.lit(0).cast("long"))
     # Only rows landed after the last merge (older files skip by their
     # row-group statistics on the ingest id).
-    landed = conformed.filter(F.col(INGEST_ID) > merged_through)
-    new = accepted(landed, carry=LINEAGE)
-    rows = new if slot is None else new.unionByName(read_gold(spark, paths.slot(slot)))
-    target = "b" if slot == "a" else "a"
-    write_parquet(dedupe_observations(rows, carry=LINEAGE), paths.slot(target), SERIES_ORDER)
-    silver = read_gold(spark, paths.slot(target)).select(*SILVER_COLUMNS)
-    write_parquet(enforce_not_null(silver), paths.silver, SERIES_ORDER, total_order)
-    # All rejects again only when there are new ones; good files skip by their statistics.
-    if not path_exists(spark, paths.rejects) or not rejected(landed).isEmpty():
-        write_parquet(rejected(conformed, carry=LINEAGE), paths.rejects)
-    if path_exists(spark, f"{paths.conformed}/_spark_metadata"):
-        _write_state(spark, paths, "incremental", target, ingest_id)
+    landed = _landed(spark, intake).filter(F.col(INGEST_ID) > merged_through)
+    return incremental.merge_pulls(spark, out_root, before, accepted(landed, carry=LINEAGE), ingest_id,
+                                   recent_window_days, total_order)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -18,7 +18,7 @@ def _is_missing(e: AnalysisException) -> bool:
     return (e.getCondition() or "") in _MISSING or "Unable to infer schema" in str(e)
 
 
-def _missing(path: str) -> FileNotFoundError:
+def missing_table(path: str) -> FileNotFoundError:
     return FileNotFoundError(
         f"No gold table at {path}: run the refresh (indtables.plans.refresh.run) to build it first."
     )
@@ -32,7 +32,7 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
     except AnalysisException as e:
         if _is_missing(e):
-            raise _missing(path) from e
+            raise missing_table(path) from e
         raise
 
 
@@ -50,7 +50,7 @@ def read_csv_typed(spark: SparkSession, path: str, schema: StructType = LONG_SCH
         )
     except AnalysisException as e:
         if _is_missing(e):
-            raise _missing(path) from e
+            raise missing_table(path) from e
         raise
 
 

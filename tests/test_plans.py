@@ -8,8 +8,10 @@ import pytest
 
 from conftest import FIXTURES, docs_frame
 from indtables.plans.query import GoldCatalog
-from indtables.plans.refresh import RefreshPaths, run
-from indtables.sinks.writers import write_bronze
+from indtables.plans.refresh import Intake, published, run
+from indtables.sinks.publish import POINTER, read_small, write_small
+from indtables.sinks.writers import write_bronze, write_csv_file
+from indtables.sources.gold import read_csv_typed
 from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA, LONG_SCHEMA
 from indtables.streaming.bronze_stream import conform_new_pulls, landed_rejects, landed_rows, silver_from_landing
 
@@ -55,12 +57,33 @@ def test_csv_export(spark, scratch):
     long_csv, wide_csv = cat.export_csv(os.path.join(scratch, "csv"))
     assert cat.export_csv(os.path.join(scratch, "csv")) == [long_csv, wide_csv]  # rerun replaces
     assert spark.read.option("header", True).csv(long_csv).count() == 3
-    long_csv, wide_csv = cat.export_csv(os.path.join(scratch, "csv1"), single_file=True)
-    parts = [f for f in os.listdir(long_csv) if f.endswith(".csv")]
-    assert len(parts) == 1
-    lines = open(os.path.join(long_csv, parts[0])).read().splitlines()
-    assert lines[0].startswith("source,indicator_id") and len(lines) == 4
-    assert [ln.split(",")[3] for ln in lines[1:]] == ["2021-05-30", "2021-06-04", "2021-06-04"]  # ordered
+
+
+def test_exact_csv_files(spark, scratch):
+    out = os.path.join(scratch, "csv1")
+    for _ in range(2):  # a rerun replaces the files
+        paths = tiny_gold(spark, os.path.join(scratch, str(_))).export_csv(out, single_file=True)
+        assert paths == [os.path.join(out, "indicators_long.csv"), os.path.join(out, "indicators_wide.csv")]
+        lines = open(paths[0]).read().splitlines()
+        assert lines[0].startswith("source,indicator_id") and len(lines) == 4
+        assert [ln.split(",")[3] for ln in lines[1:]] == ["2021-05-30", "2021-06-04", "2021-06-04"]  # ordered
+        assert sorted(f for f in os.listdir(out) if not f.endswith(".crc")) == ["indicators_long.csv", "indicators_wide.csv"]
+    assert read_csv_typed(spark, paths[0], LONG_SCHEMA).count() == 3
+    empty = write_csv_file(spark.createDataFrame([], 'a int, "b,c" string'.replace('"', "`")), os.path.join(out, "none.csv"))
+    assert open(empty).read().splitlines() == ['a,"b,c"']
+
+
+def test_bound_values_and_two_catalogs(spark, scratch):
+    one, two = (tiny_gold(spark, os.path.join(scratch, x)) for x in "ab")
+    two = GoldCatalog(spark, two.long().filter("value < 100"), two.wide())
+    views = {t.name for t in spark.catalog.listTables()}
+    tail = "WHERE indicator_label = :label AND value >= :low ORDER BY obs_date"
+    a = one.query_long(tail, {"label": "steel", "low": 350.0})
+    b = two.query_long("WHERE indicator_label = ? AND value >= ?", ["steel", 0.0])
+    assert [r["value"] for r in a.collect()] == [400.0] and b.count() == 0  # two's frames do not replace one's
+    assert [r["value"] for r in one.query_long(tail, {"label": "x' OR '1' = '1", "low": 0.0}).collect()] == []
+    assert one.query_long("WHERE indicator_label <> '{steel}'").count() == 3
+    assert {t.name for t in spark.catalog.listTables()} == views  # nothing is left in the session
 
 
 def land_fixtures(spark, bronze, times=1):
@@ -83,14 +106,14 @@ def test_refresh_end_to_end_and_idempotent(spark, scratch):
     assert row_counts(spark, out) == {"indicators_long": 8, "indicators_wide": 401}
     assert query_long(spark, out, "WHERE source = 'inegi'").count() == 3
     assert query_wide(spark, out, "WHERE inpc_general = 60.5").count() == 31  # January
-    paths = RefreshPaths(out)
-    wide = spark.read.parquet(paths.wide)
+    now = published(spark, out)
+    wide = now.wide()
     assert wide.columns == ["calendar_date", "SF46410", "inpc_general", "viviendas_censo"]
     rows = wide.orderBy("calendar_date").collect()
     assert tuple(rows[0]) == (dt.date(2023, 2, 2), None, None, 42.0)
     assert tuple(rows[-1]) == (dt.date(2024, 3, 8), 99.0, 61.25, 7.25)
-    assert spark.read.parquet(paths.rejects).count() == 0
-    assert spark.read.parquet(paths.conformed).count() == 2 * 8
+    assert now.rejects().count() == 0
+    assert now.conformed().count() == 2 * 8
 
 
 def test_refresh_with_only_one_feed(spark, scratch):
@@ -100,8 +123,9 @@ def test_refresh_with_only_one_feed(spark, scratch):
     assert run(spark, bronze, out)["silver"] == 5
 
 
-def tables(spark, paths):
-    return {t: sorted(map(repr, spark.read.parquet(getattr(paths, t)).collect())) for t in ("silver", "long", "wide")}
+def tables(spark, root):
+    now = published(spark, root)
+    return {t: sorted(map(repr, getattr(now, t)().collect())) for t in ("silver", "long", "wide")}
 
 
 def test_refresh_with_absent_ids_and_clashing_labels(spark, scratch):
@@ -111,7 +135,7 @@ def test_refresh_with_absent_ids_and_clashing_labels(spark, scratch):
                                 {"idSerie": "Calendar_Date", "datos": point}]}}]
     write_bronze(docs_frame(spark, docs, "a"), bronze, "banxico")
     assert run(spark, bronze, out) == {"indicators_long": 4, "indicators_wide": 1, "silver": 4}
-    wide = spark.read.parquet(RefreshPaths(out).wide)
+    wide = published(spark, out).wide()
     assert wide.columns == ["calendar_date", "unlabelled", "Calendar_Date_2", "FX", "fx_2"]
 
 
@@ -120,10 +144,10 @@ def test_wrong_bronze_root_leaves_the_tables(spark, scratch, incremental):
     bronze, out = os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
     land_fixtures(spark, bronze)
     run(spark, bronze, out, incremental=incremental)
-    before = tables(spark, RefreshPaths(out))
+    before = tables(spark, out)
     with pytest.raises(FileNotFoundError, match="no bronze folder"):
         run(spark, os.path.join(scratch, "nowhere"), out, incremental=incremental)
-    assert tables(spark, RefreshPaths(out)) == before
+    assert tables(spark, out) == before
 
 
 def test_empty_bronze_folder_replaces_all_tables(spark, scratch):
@@ -133,8 +157,8 @@ def test_empty_bronze_folder_replaces_all_tables(spark, scratch):
     empty = os.path.join(scratch, "empty")
     os.makedirs(os.path.join(empty, "banxico"))
     assert run(spark, empty, out) == {"silver": 0, "indicators_long": 0, "indicators_wide": 0}
-    paths = RefreshPaths(out)
-    assert spark.read.parquet(paths.conformed).count() == spark.read.parquet(paths.rejects).count() == 0
+    now = published(spark, out)
+    assert now.conformed().count() == now.rejects().count() == 0
 
 
 def test_incremental_takes_pulls_of_any_file_time(spark, scratch):
@@ -154,7 +178,7 @@ def test_incremental_takes_pulls_of_any_file_time(spark, scratch):
     pull("03/01/2024", 0)
     assert run(spark, bronze, inc, incremental=True)["silver"] == 3
     run(spark, bronze, full)
-    assert tables(spark, RefreshPaths(inc)) == tables(spark, RefreshPaths(full))
+    assert tables(spark, inc) == tables(spark, full)
 
 
 def test_incremental_does_not_hang_on_the_session_checkpoint_folder(spark, scratch):
@@ -162,7 +186,7 @@ def test_incremental_does_not_hang_on_the_session_checkpoint_folder(spark, scrat
     bronze, inc = os.path.join(scratch, "bronze"), os.path.join(scratch, "inc")
     land_fixtures(spark, bronze)
     run(spark, bronze, inc, incremental=True)
-    assert os.path.isdir(RefreshPaths(inc).checkpoint)
+    assert os.path.isdir(Intake(inc).checkpoint)
 
 
 def test_incremental_refuses_a_lost_half(spark, scratch):
@@ -171,25 +195,25 @@ def test_incremental_refuses_a_lost_half(spark, scratch):
     bronze = os.path.join(scratch, "bronze")
     land_fixtures(spark, bronze)
     for lost in ("checkpoint", "conformed"):
-        paths = RefreshPaths(os.path.join(scratch, lost))
-        run(spark, bronze, paths.root, incremental=True)
-        before = tables(spark, paths)
-        shutil.move(getattr(paths, lost), os.path.join(scratch, f"moved-{lost}"))
+        root = os.path.join(scratch, lost)
+        run(spark, bronze, root, incremental=True)
+        before = tables(spark, root)
+        shutil.move(getattr(Intake(root), lost), os.path.join(scratch, f"moved-{lost}"))
         with pytest.raises(RuntimeError, match="has lost its"):
-            run(spark, bronze, paths.root, incremental=True)
-        assert tables(spark, paths) == before
+            run(spark, bronze, root, incremental=True)
+        assert tables(spark, root) == before
 
 
 def test_one_mode_per_root(spark, scratch):
     bronze = os.path.join(scratch, "bronze")
     land_fixtures(spark, bronze)
     for first in (False, True):
-        paths = RefreshPaths(os.path.join(scratch, f"out-{first}"))
-        run(spark, bronze, paths.root, incremental=first)
-        before = tables(spark, paths)
+        root = os.path.join(scratch, f"out-{first}")
+        run(spark, bronze, root, incremental=first)
+        before = tables(spark, root)
         with pytest.raises(ValueError, match="needs a root of its own"):
-            run(spark, bronze, paths.root, incremental=not first)
-        assert tables(spark, paths) == before
+            run(spark, bronze, root, incremental=not first)
+        assert tables(spark, root) == before
 
 
 def test_rejects_name_their_pull(spark, scratch):
@@ -198,7 +222,7 @@ def test_rejects_name_their_pull(spark, scratch):
         docs = [{"pulled_at": stamp, "bmx": {"series": [{"idSerie": "Q", "datos": [{"fecha": "1/1/2024", "dato": "x"}]}]}}]
         write_bronze(docs_frame(spark, docs, "a"), bronze, "banxico")
     run(spark, bronze, out)
-    rows = spark.read.parquet(RefreshPaths(out).rejects).collect()
+    rows = published(spark, out).rejects().collect()
     assert sorted((r["reason"], r["_pull_stamp"]) for r in rows) == [
         ("bad_value", "20240101T000000"), ("bad_value", "20240102T000000")]
     assert all(r["_pull_file"] for r in rows)
@@ -284,10 +308,10 @@ def test_offline_chain_fallback_to_csv(spark, scratch):
     # feed A: 401 daily FX rows + 13 month starts; feed B: 4 indicators x 6 months
     assert counts["silver"] == 401 + 13 + 24
     assert counts["indicators_wide"] == 401
-    paths = RefreshPaths(out)
-    long_ = spark.read.parquet(paths.long)
+    now = published(spark, out)
+    long_ = now.long()
     assert long_.filter("NOT is_fallback").count() == 0
-    wide = spark.read.parquet(paths.wide).orderBy("calendar_date").collect()
+    wide = now.wide().orderBy("calendar_date").collect()
     assert wide[-1]["fx_rate_usd_mxn"] == 17.5 and wide[-1]["igae_ivf"] == 100.0
     assert wide[-1]["inpc_general"] == 130.0
     # a later real pull of the same day wins over the synthetic one
@@ -295,9 +319,10 @@ def test_offline_chain_fallback_to_csv(spark, scratch):
             "datos": [{"fecha": "28/08/2026", "dato": "18.25"}]}]}}
     write_bronze(docs_frame(spark, [real], "a"), bronze, "banxico")
     run(spark, bronze, out)
-    row = spark.read.parquet(paths.silver).filter("indicator_id = 'SF43718' AND obs_date = DATE'2026-08-28'").collect()
+    now = published(spark, out)
+    row = now.silver().filter("indicator_id = 'SF43718' AND obs_date = DATE'2026-08-28'").collect()
     assert len(row) == 1 and row[0]["value"] == 18.25 and row[0]["is_fallback"] is False
-    cat = GoldCatalog(spark, paths.long, paths.wide)
+    cat = GoldCatalog(spark, now.long(), now.wide())
     long_csv, wide_csv = cat.export_csv(os.path.join(scratch, "csv"))
     assert spark.read.option("header", True).csv(wide_csv).count() == 401
 
@@ -334,12 +359,12 @@ def test_incremental_refresh_matches_full(spark, scratch):
     write_bronze(docs_frame(spark, [revised], "a"), bronze, "banxico")
     land_fallback_pulls(spark, bronze, dt.date(2024, 3, 9), lookback_days=10)
     assert run(spark, bronze, inc, incremental=True) == run(spark, bronze, full)
-    pi, pf = RefreshPaths(inc), RefreshPaths(full)
+    pi, pf = published(spark, inc), published(spark, full)
     for t in ("silver", "long", "wide", "rejects"):
-        a = sorted(map(repr, spark.read.parquet(getattr(pi, t)).collect()))
-        b = sorted(map(repr, spark.read.parquet(getattr(pf, t)).collect()))
+        a = sorted(map(repr, getattr(pi, t)().collect()))
+        b = sorted(map(repr, getattr(pf, t)().collect()))
         assert a == b, t
-    row = spark.read.parquet(pi.silver).filter("indicator_id = 'SF46410' AND obs_date = DATE'2024-03-04'").collect()
+    row = pi.silver().filter("indicator_id = 'SF46410' AND obs_date = DATE'2024-03-04'").collect()
     assert row[0]["value"] == 77.0  # the newer real pull revised the day
 
 
@@ -347,7 +372,6 @@ def test_incremental_merge_over_several_runs_and_a_lost_state_write(spark, scrat
     from indtables.plans.extract import land_fallback_pulls
 
     bronze, inc = os.path.join(scratch, "bronze"), os.path.join(scratch, "inc")
-    paths = RefreshPaths(inc)
 
     def pull(day_values, fallback=False):
         doc = {"is_fallback": fallback, "bmx": {"series": [{"idSerie": "SF43718", "datos": [
@@ -357,10 +381,7 @@ def test_incremental_merge_over_several_runs_and_a_lost_state_write(spark, scrat
     def same_as_full(tag):
         full = os.path.join(scratch, "full-" + tag)
         assert run(spark, bronze, inc, incremental=True) == run(spark, bronze, full)
-        for t in ("silver", "long", "wide"):
-            a = sorted(spark.read.parquet(getattr(paths, t)).collect())
-            b = sorted(spark.read.parquet(getattr(RefreshPaths(full), t)).collect())
-            assert a == b, (tag, t)
+        assert tables(spark, inc) == tables(spark, full), tag
 
     pull([("01/06/2026", "17.0"), ("02/06/2026", "17.1")])
     pull([("02/06/2026", "17.1")])
@@ -371,14 +392,14 @@ def test_incremental_merge_over_several_runs_and_a_lost_state_write(spark, scrat
     land_fallback_pulls(spark, bronze, dt.date(2026, 6, 5), lookback_days=6)
     same_as_full("2")
     same_as_full("3")  # nothing new
-    saved = spark.read.parquet(paths.state).collect()
+    saved = read_small(spark, os.path.join(inc, POINTER))
     pull([("03/06/2026", "17.25")])  # a real figure for a day that was synthetic
     run(spark, bronze, inc, incremental=True)
-    # Lose the last state write: the next run must redo the merge and agree.
-    spark.createDataFrame(saved, "mode string, slot string, merged_through long").write.mode("overwrite").parquet(paths.state)
+    # Lose the last pointer: the next run must redo the merge and agree.
+    write_small(spark, os.path.join(inc, POINTER), saved)
     pull([("01/06/2026", "17.05")])  # a revision of a real figure
     same_as_full("4")
-    got = {str(r["obs_date"]): (r["value"], r["is_fallback"]) for r in spark.read.parquet(paths.silver)
+    got = {str(r["obs_date"]): (r["value"], r["is_fallback"]) for r in published(spark, inc).silver()
            .filter("indicator_id = 'SF43718'").collect()}
     assert got["2026-06-01"] == (17.05, False) and got["2026-06-02"] == (17.1, False)
     assert got["2026-06-03"] == (17.25, False)
@@ -396,15 +417,12 @@ def test_refresh_total_order(spark, scratch):
     land_fixtures(spark, bronze)
     a, b = os.path.join(scratch, "a"), os.path.join(scratch, "b")
     assert run(spark, bronze, a) == run(spark, bronze, b, total_order=True)
-    pa, pb = RefreshPaths(a), RefreshPaths(b)
-    for t in ("silver", "long", "wide"):
-        got, want = (sorted(spark.read.parquet(getattr(x, t)).collect()) for x in (pb, pa))
-        assert got == want, t
-    rows = []
-    for f in sorted(glob.glob(os.path.join(pb.long, "part-*.parquet"))):
+    assert tables(spark, a) == tables(spark, b)
+    now, rows = published(spark, b), []
+    for f in sorted(glob.glob(os.path.join(now.release.path("indicators_long"), "part-*.parquet"))):
         tbl = pq.read_table(f, columns=["source", "indicator_id", "obs_date"])
         rows += list(zip(*(tbl.column(c).to_pylist() for c in ("source", "indicator_id", "obs_date"))))
-    assert rows == sorted(rows) and len(rows) == spark.read.parquet(pb.long).count()
+    assert rows == sorted(rows) and len(rows) == now.long().count()
 
 
 def test_incremental_intake_fails_loudly_on_malformed_json(spark, scratch):
