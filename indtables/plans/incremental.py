@@ -71,8 +71,8 @@ def stored(spark: SparkSession, release: Release, table: str, schema: StructType
 
 @dataclass
 class Slots:
-    """The published release (None at first), the one to write, and where that
-    one lags behind: months of silver and long, None for "everywhere"."""
+    """The published release (None at first), the one to write, and where that one
+    lags behind: months of silver and long, years of tails; None for "everywhere"."""
 
     old: Release | None
     new: Release
@@ -107,13 +107,14 @@ def _merge_silver(spark: SparkSession, slots: Slots, new: DataFrame, months: lis
                             whole=slots.behind is None, total=total_order)
 
 
-def _write_tails(spark: SparkSession, slots: Slots, years: list[int]) -> None:
+def _write_tails(spark: SparkSession, slots: Slots, years: list[int] | None) -> None:
+    """Tails of the new slot; ``years`` None: all."""
     silver = stored(spark, slots.new, "silver", STORED_SILVER)
-    if slots.behind is not None:
-        some = set(years) | {m // 100 for m in slots.behind["silver"]}
-        silver = silver.filter(F.col(MONTH).isin([y * 100 + m for y in sorted(some) for m in range(1, 13)]))
-    write_partitions(tails_of(silver), slots.new.path("tails"), ["obs_year"], ["obs_year", *SERIES_KEY],
-                     whole=slots.behind is None)
+    if years is not None:
+        silver = silver.filter(F.col(MONTH).isin([y * 100 + m for y in years for m in range(1, 13)]))
+    if years is None or years:
+        write_partitions(tails_of(silver), slots.new.path("tails"), ["obs_year"], ["obs_year", *SERIES_KEY],
+                         whole=years is None)
 
 
 def changes(spark: SparkSession, old: Release, new: Release, months: list[int]) -> DataFrame:
@@ -151,7 +152,10 @@ def _write_long(spark: SparkSession, slots: Slots, months: list[int] | None, tot
     if slots.behind is None:
         rest = rest.filter(~F.col(MONTH).isin(months))
     else:
-        rest = rest.filter(F.col(MONTH).isin([m for m in slots.behind["long"] if m not in months]))
+        late = [m for m in slots.behind["long"] if m not in months]
+        if not months and not late:
+            return
+        rest = rest.filter(F.col(MONTH).isin(late))
     write_partitions(rows.unionByName(rest), path, [MONTH], SORTED, whole=slots.behind is None, total=total_order)
 
 
@@ -205,6 +209,28 @@ def _write_wide(spark: SparkSession, slots: Slots, info: dict, months: list[int]
                          ["calendar_date"], total_order)
 
 
+def _copy_wide(spark: SparkSession, slots: Slots, info: dict) -> int:
+    write_parquet(stored(spark, slots.old, "wide_state", SEEDS), slots.new.path("wide_state"))
+    info["cutoff"] = slots.old.info.get("cutoff")
+    wide = spark.read.parquet(slots.old.path("indicators_wide"))
+    return write_counted(wide, slots.new.path("indicators_wide"), ["calendar_date"])
+
+
+class _Intent:
+    """Tells the pointer where the new slot will be half done, should the run die."""
+
+    def __init__(self, spark: SparkSession, slots: Slots, old: Release | None, pointer: dict | None):
+        self.spark, self.old, self.pointer = spark, old, pointer
+        self.behind = None if slots.behind is None else dict(slots.behind)
+
+    def add(self, **places: list[int]) -> None:
+        if self.behind is None:  # the whole slot is to be written, or there is none yet
+            return
+        self.behind = self.behind | {k: sorted({*self.behind[k], *v}) for k, v in places.items()}
+        info = {k: v for k, v in self.pointer.items() if k != "release"} | {"behind": self.behind}
+        self.pointer = publish(self.spark, self.old, info, self.pointer).info
+
+
 def merge_pulls(spark: SparkSession, root: str, old: Release | None, new: DataFrame, merged_through: int,
                 window: int | None, total_order: bool = False) -> Release:
     """Publish the release that holds ``old`` and the good rows of ``new`` pulls
@@ -217,19 +243,14 @@ def merge_pulls(spark: SparkSession, root: str, old: Release | None, new: DataFr
         kept = {k: v for k, v in old.info.items() if k != "release"}
         return publish(spark, Release(old.root, old.name), kept | said, start)  # nothing but, at most, rejects
     slots = Slots.of(root, old)
-    if slots.behind is not None:  # should this run die, its months are known to be half done
-        lag = {"silver": sorted({*slots.behind["silver"], *months}), "long": slots.behind["long"]}
-        old = publish(spark, old, {k: v for k, v in old.info.items() if k != "release"} | {"behind": lag}, start)
-        start = old.info
+    intent = _Intent(spark, slots, old, start)
+    intent.add(silver=months)
     written = _merge_silver(spark, slots, new, months, total_order)
-    _write_tails(spark, slots, sorted({m // 100 for m in months}))
     silver = stored(spark, slots.new, "silver", STORED_SILVER)
-    relabelled, reached = False, None
-    bounds = {"min_date": None, "max_date": None}
     if slots.old is None:
-        n = written
         low, high = silver.agg(F.min("obs_date"), F.max("obs_date")).first()
-        behind = None
+        n, relabelled, reached, touched = written, False, None, None
+        bounds = {"min_date": None, "max_date": None}
     else:
         write_parquet(changes(spark, slots.old, slots.new, months), slots.new.path("changes"))
         changed = spark.read.parquet(slots.new.path("changes"))
@@ -238,20 +259,22 @@ def merge_pulls(spark: SparkSession, root: str, old: Release | None, new: DataFr
             F.coalesce(F.bool_or(F.col("_was") != F.col(LABEL)), F.lit(False)),
         ).first()
         n = slots.old.info["counts"]["silver"] + added
-        reached = _reached(spark, slots, changed, months[0]) if months else []
-        if slots.behind is not None:
-            lag = {"silver": lag["silver"], "long": sorted({*slots.behind["long"], *reached})}
-            old = publish(spark, old, {k: v for k, v in old.info.items() if k != "release"} | {"behind": lag}, start)
-            start = old.info
-        behind = {"silver": months, "long": reached}
-        bounds = {k: slots.old.info[k] for k in bounds}
-    found = [str(d) for d in (low, high) if d is not None]
-    dates = sorted([*found, *[v for v in bounds.values() if v is not None]])
-    said |= {"min_date": dates[0] if dates else None, "max_date": dates[-1] if dates else None, "behind": behind}
+        touched = [] if low is None else _months(changed)
+        reached = _reached(spark, slots, changed, touched[0]) if touched else []
+        intent.add(long=reached, tails=sorted({m // 100 for m in touched}))
+        bounds = {k: slots.old.info[k] for k in ("min_date", "max_date")}
+    dates = sorted(str(d) for d in (low, high, *bounds.values()) if d is not None)
+    said |= {"min_date": dates[0] if dates else None, "max_date": dates[-1] if dates else None, "behind": None}
+    if slots.old is not None:
+        said["behind"] = {"silver": months, "long": reached, "tails": sorted({m // 100 for m in touched})}
+    _write_tails(spark, slots, None if slots.behind is None else sorted({*slots.behind["tails"], *said["behind"]["tails"]}))
     _write_long(spark, slots, reached, total_order)
-    days = _write_wide(spark, slots, said, months, relabelled, window, total_order)
+    if touched == [] and slots.old.info["window"] == window:  # nothing differs: the same wide table
+        days = _copy_wide(spark, slots, said)
+    else:
+        days = _write_wide(spark, slots, said, months, relabelled, window, total_order)
     said["counts"] = {"indicators_long": n, "indicators_wide": days, "silver": n}
-    return publish(spark, slots.new, said, start)
+    return publish(spark, slots.new, said, intent.pointer)
 
 
 def read_long(spark: SparkSession, release: Release) -> DataFrame:
