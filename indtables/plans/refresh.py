@@ -37,6 +37,7 @@ from indtables.sinks.publish import Release, current, expire, new_release, publi
 from indtables.sinks.writers import write_counted, write_parquet
 from indtables.sources.bronze import read_bronze
 from indtables.sources.gold import missing_table, read_gold
+from indtables.sources.packing import packs
 
 FEED_A_FOLDER = "banxico"
 FEED_B_FOLDER = "inegi"
@@ -251,6 +252,9 @@ def _merge_new_pulls(
 
     intake = Intake(out_root)
     _check_intake(spark, intake, before)
+    if before is None and any(packs(spark, bronze_root, f) for f in (FEED_A_FOLDER, FEED_B_FOLDER)):
+        raise ValueError(f"{bronze_root} has packed pulls, which an incremental refresh does not list: "
+                         "a new root needs a full one")
     merged_through = -1 if before is None else before.info["merged_through"]
     ingest_id = max(int(time.time() * 1000), merged_through + 1)
     conform_new_pulls(spark, bronze_root, intake.conformed, intake.checkpoint, labels=labels,
