@@ -261,6 +261,81 @@ def test_license_alignment(spark):
     assert license_scan.licenses(docs(spark), {}).count() == 0
 
 
+def test_licenses_are_told_apart():
+    scan = license_scan.Scanner(license_scan.TEMPLATES, license_scan.MIN_COVERAGE).scan
+    gpl = "This work is licensed under the GNU {}General Public License, version {}."
+    cases = {
+        "Released under the MIT License.": ["MIT"], "Licensed under the MIT license": ["MIT"],
+        "Released under the BSD License.": ["BSD"], "Released under the GPL License.": ["GPL"],
+        "Released under the X11 License.": [],
+        gpl.format("", "2"): ["GPL-2.0"], gpl.format("", "3"): ["GPL-3.0"],
+        gpl.format("Lesser ", "3"): ["LGPL-3.0"], gpl.format("Affero ", "3"): ["AGPL-3.0"],
+        gpl.format("Lesser ", "2.1"): ["LGPL-2.1"], gpl.format("", "4"): [],
+        gpl.format("", "3").replace("is", "is not"): [], "It was never " + gpl.format("", "3")[13:]: [],
+        "This is no longer licensed under the Apache License, Version 2.0.": [],
+        "Licensed under the Apache License, Version 2.1.": [],
+        "Licensed under the Apache License, Version 2.0.": ["Apache-2.0"],
+        "Licensed under CC BY-NC 4.0.": ["CC-BY-NC-4.0"], "Licensed under CC BY 4.0.": ["CC-BY-4.0"],
+        "Licensed under CC BY-SA 4.0.": ["CC-BY-SA-4.0"], "Some rights reserved.": [],
+        "All rights reserved. Released under the MIT License.": ["proprietary", "MIT"],
+    }
+    for text, want in cases.items():
+        assert [f[0] for f in scan(text)] == want, text
+        assert [f[0] for f in scan(f"some words, {text} and a few others")] == want, text
+    for name, notice in license_scan.TEMPLATES.items():
+        assert [(f[0], f[1]) for f in scan(notice.text)] == [(name, 1.0)], name  # the longest explanation, alone
+
+
+def test_notices_with_words_in_between():
+    """Markup or line numbers between all lines, up to as many words as the notice has."""
+    scan = license_scan.Scanner(license_scan.TEMPLATES, license_scan.MIN_COVERAGE).scan
+    rnd = random.Random(3)
+    for name, notice in license_scan.TEMPLATES.items():
+        w = notice.text.split()
+        if len(w) < 20:
+            continue
+        for every in (3, 5, 9):
+            lines = [" ".join(w[i : i + every]) for i in range(0, len(w), every)]
+            text = " ".join(f"<br> {100 + i} {line}" for i, line in enumerate(lines))
+            text = " ".join(rnd.choices(["lorem", "ipsum", "dolor"], k=40)) + " " + text + " amet" * 40
+            found = [f for f in scan(text) if f[0] == name]
+            plain = " ".join(x.decode() for x in license_scan.words(text))
+            if all(f" {phrase} " in plain for phrase in notice.required):
+                assert len(found) == 1 and found[0][1] >= 0.95, (name, every, scan(text))
+            else:  # a line ends within "version 3": left out rather than mistaken
+                assert found == []
+
+
+def test_licenses_against_every_window():
+    """Every template aligned at every place of the text: what one of them covers
+    whole, or with one word changed, is found."""
+    rnd = random.Random(8)
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.MIN_COVERAGE)
+    short = [t for t in scanner.templates if len(t) <= 14]
+    for _ in range(150):
+        parts = []
+        for t in rnd.choices(short, k=3):
+            w = [x.decode() for x in t.words]
+            if rnd.random() < 0.5:
+                w[rnd.randrange(len(w))] = rnd.choice(["x", "not", "the", "3", "lesser"])
+            parts += w + ["filler"] * rnd.randint(0, 4)
+        text = [x.encode() for x in parts]
+        every = []
+        for t in short:
+            for s in range(len(text)):
+                pairs = [(s + i, j) for i, j in license_scan.align(text[s : s + len(t)], t.words)]
+                if t.fits(text, pairs):
+                    every.append((len(pairs), pairs[0][0], pairs[-1][0] + 1, t.name, len(t)))
+        got = scanner.scan(" ".join(parts))
+        for k, a, b, name, n in license_scan.apart(every):
+            assert any(x <= a and b <= y and c * dict((t.name, len(t)) for t in scanner.templates)[m] >= k
+                       or a < y and x < b for m, c, x, y in got), (parts, name, got)
+        for m, c, x, y in got:  # and nothing else is
+            t = next(t for t in scanner.templates if t.name == m)
+            assert c >= license_scan.MIN_COVERAGE and all(
+                any(text[x:y][i : i + len(p[0])] == t.words[p[0][0] : p[0][-1] + 1] for i in range(y - x)) for p in t.required)
+
+
 def test_patience_alignment_is_common_and_increasing():
     rnd = random.Random(11)
     for _ in range(300):
