@@ -21,6 +21,7 @@ ignored; texts of any length are counted whole."""
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 
 import pyarrow as pa
@@ -35,12 +36,37 @@ REMEMBERED = 600_000
 STRETCH = re.compile(r"[^ \t-\r]+")
 
 
+# The steps before the merges for which white space parts a text into
+# stretches that are counted alone, as the vocabulary file spells them.
+NORMALIZER = [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
+SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+
+
+def check_vocabulary(spec: str) -> None:
+    """An error unless stretches between ASCII white space can be counted alone:
+    white space is removed before the merges, and no step looks across it."""
+    j = json.loads(spec)
+    steps = (j["normalizer"] or {}).get("normalizers") or []
+    before = (j["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    split = before[0]
+    known = (
+        [(n["type"], n.get("pattern"), n.get("content")) for n in steps] == NORMALIZER
+        and split.get("type") == "Split" and split.get("pattern") == SPLIT
+        and split.get("behavior") == "Removed" and split.get("invert") is True
+        and [p["type"] for p in before[1:]] == ["ByteLevel"] and not before[1]["add_prefix_space"]
+        and not any(set(t["content"]) & set(" \t\n\v\f\r") or t["lstrip"] or t["rstrip"] for t in j["added_tokens"])
+    )
+    if not known:
+        raise ValueError("this vocabulary keeps or joins white space: its stretches cannot be counted alone")
+
+
 class Counter:
     """Counts of stretches, and of texts by chunks."""
 
     def __init__(self, spec: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS):
         from tokenizers import Tokenizer
 
+        check_vocabulary(spec)
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -122,6 +148,7 @@ def token_counts(
 ) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) for every row."""
     spec = broadcast_file(docs.sparkSession, vocab_path)
+    check_vocabulary(spec.value)
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         key = (hashlib.sha1(spec.value.encode()).hexdigest(), chunk, overlap)

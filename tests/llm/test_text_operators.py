@@ -76,6 +76,8 @@ def test_token_counts(spark):
     assert rows(token_counts.token_counts(docs(spark), WORD)) == sorted(want, key=key)
     assert rows(token_counts.token_counts(docs(spark), WORD, chunk=64, overlap=8)) == sorted(want, key=key)
     assert token_counts.token_counts(empty(spark), WORD).count() == 0
+    with pytest.raises(ValueError, match="counted alone"):
+        token_counts.token_counts(docs(spark), BYTE)
 
 
 def test_token_chunks_widen():
