@@ -45,6 +45,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from indtables.llm.common import cut, ship
 from indtables.llm.induced_sort import common_prefixes, suffix_array
@@ -254,6 +255,19 @@ def _each(df: DataFrame, schema: str, fn) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def _of_any_ids(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
+    """``duplicate_spans`` by the place of each id in the order of all ids, a whole
+    number: partitions of a range sort come in order, and so do their rows."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    ids = rows.select("id").filter("id IS NOT NULL").distinct()
+    place = F.monotonically_increasing_id().alias("_place")
+    ids = cut(ids.repartitionByRange("id").sortWithinPartitions("id").select("id", place), "suffix-ids")
+    placed = rows.join(ids, "id", "left").select("_place", "text")
+    found = duplicate_spans(placed, id_col="_place", text_col="text", **options)
+    out = found.join(ids, "_place", "left")
+    return out.select(F.col("id").alias(id_col), *[c for c in found.columns if c != "_place"])
+
+
 def duplicate_spans(
     docs: DataFrame,
     width: int = WIDTH,
@@ -266,6 +280,9 @@ def duplicate_spans(
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, spans (byte offsets of
     the maximal removed runs), kept_sha256, and the kept bytes if asked for."""
+    if not isinstance(docs.schema[id_col].dataType, (ByteType, ShortType, IntegerType, LongType)):
+        return _of_any_ids(docs, id_col, text_col, width=width, chunk_bytes=chunk_bytes, bin_bytes=bin_bytes,
+                           hot_chunks=hot_chunks, with_kept=with_kept)
     chunks = chunked(docs, chunk_bytes, id_col, text_col)
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     bins = max(8, math.ceil(total / bin_bytes))

@@ -220,6 +220,15 @@ def test_suffix_dedup(spark, width, hot):
     assert rows(suffix_dedup.digest(found)) == brute_spans(texts, width)
     assert all(sha(r["kept"]) == r["kept_sha256"] for r in found.collect())
     assert suffix_dedup.duplicate_spans(empty(spark)).count() == 0
+    if hot == suffix_dedup.HOT_CHUNKS:
+        return
+    # ids that are no numbers: in their own order
+    named = docs(spark, [(None if i is None else i + 10**6, t) for i, t in texts]).withColumn(
+        "doc_id", F.concat(F.lit("d-"), F.col("doc_id")))
+    got = suffix_dedup.digest(suffix_dedup.duplicate_spans(named, width=width, chunk_bytes=3000, bin_bytes=2000))
+    want = [(None if r[0] is None else f"d-{r[0] + 10**6}", *r[1:]) for r in brute_spans(texts, width)]
+    assert got.schema["doc_id"].dataType.simpleString() == "string"
+    assert rows(got) == sorted(want, key=lambda r: tuple(str(x) for x in r))
 
 
 def test_induced_sort_spills_and_recurses(tmp_path):
