@@ -88,7 +88,9 @@ def sizes(n_classes: int, min_cosine: float, recall: float) -> tuple[int, int]:
 
 
 def vectors(embeddings: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, vec binary, norm); norm null where the vector links with nothing."""
+    """(id, vec binary, norm); norm is the largest magnitude, by which a vector is
+    divided before its length is taken, so that no finite component overflows or
+    vanishes; null where the vector links with nothing."""
     ship(embeddings.sparkSession)
     rows = embeddings.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
     wide = rows.schema["vec"].dataType.elementType.simpleString() != "float"
@@ -100,7 +102,7 @@ def vectors(embeddings: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                 v = v.values
                 ok = v is not None and len(v) and not v.null_count
                 x = np.asarray(v.to_numpy(zero_copy_only=False), np.float64 if wide else np.float32) if ok else None
-                norm = math.sqrt(float(np.dot(x.astype(np.float64), x.astype(np.float64)))) if ok else 0.0
+                norm = float(np.abs(x).max()) if ok else 0.0
                 ok = ok and math.isfinite(norm) and norm > 0
                 raw.append((x + 0).tobytes() if ok else None)  # + 0: no negative zeros
                 norms.append(norm if ok else None)
@@ -113,7 +115,8 @@ def vectors(embeddings: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 def _unit(batch: pa.RecordBatch, wide: bool) -> np.ndarray:
     raw = b"".join(batch.column("vec").to_pylist())
     x = np.frombuffer(raw, np.float64 if wide else np.float32).astype(np.float64).reshape(batch.num_rows, -1)
-    return x / batch.column("norm").to_numpy()[:, None]
+    x /= batch.column("norm").to_numpy()[:, None]
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:

@@ -58,6 +58,23 @@ def test_embedding_dedup(spark, monkeypatch, block):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_dedup_of_any_magnitude(spark):
+    """Directions count, from the smallest doubles to the largest."""
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((5, 8))
+    base /= np.abs(base).max(axis=1)[:, None]
+    rows = [(10 * i + k, [float(v) for v in b * scale]) for i, b in enumerate(base)
+            for k, scale in enumerate((1.0, 1.7e308, 1e200, 1e-200, 3e-300))]
+    rows += [(90, [5e-324] * 8), (91, [1.0] * 8), (92, [0.0] * 8), (93, [float("inf")] + [0.0] * 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df).collect()}
+    cos = lambda a, b: a @ b / math.sqrt((a @ a) * (b @ b))
+    assert all(abs(cos(a, b)) < 0.9 for i, a in enumerate(base) for b in [*base[:i], np.ones(8)])
+    for i in range(5):
+        assert all(got[10 * i + k] == (4, 10 * i) for k in range(5)), i
+    assert got[90] == got[91] == (1, 90) and got[92] == (0, 92) and got[93] == (0, 93)
+
+
 def test_embedding_dedup_near_the_threshold(spark):
     """Pairs at cosine 0.90 to 0.92, with the recall that is registered."""
     rng = np.random.default_rng(9)
