@@ -6,9 +6,10 @@ documents. All but the last return the columns of documents.
 
 1. Quality classifier: documents outside the Gumbel top-k go; k follows from
    the calibrated threshold, so clean documents stay.
-2. SimHash near-dedup: of each group one document stays, the smallest id
-   (3-word shingles, at most 2 differing bits; rows that repeat an id are one
-   document). Documents without an id stay, nothing else names them.
+2. SimHash near-dedup: of each group one row stays (3-word shingles, at most 2
+   differing bits), that of the smallest id; null ids come last, rows of one id
+   are told apart by a hash of their text. Rows are grouped one by one: a
+   repeated id neither keeps a copy nor takes another text with it.
 3. Benchmark decontamination: documents with a hit go.
 4. Secret scan: each secret is replaced by a mask.
 5. BPE: token ids of what is left, and their count."""
@@ -38,9 +39,15 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.near_duplicates(docs, shingle=SHINGLE, max_bits=MAX_BITS)
-    rest = cut(groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "pipeline-copies")
-    return docs.join(rest, "doc_id", "left_anti").select(*docs.columns)
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    groups = simhash.near_duplicates(rows, shingle=SHINGLE, max_bits=MAX_BITS, id_col=row).select(row, "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("h"), F.col(row).alias("row"))
+    first = rows.select(row, order.alias("first")).join(groups, row).groupBy("component_id").agg(F.min("first").alias("first"))
+    kept = cut(first.select(F.col("first.row").alias(row)), "pipeline-kept")
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
