@@ -8,7 +8,7 @@ import pytest
 
 from indtables.operators import reports as R
 from indtables.plans.extract import land_fallback_pulls
-from indtables.plans.refresh import RefreshPaths, run
+from indtables.plans.refresh import published, run
 
 END = dt.date(2026, 8, 28)  # the published tiles' frozen date
 
@@ -21,8 +21,8 @@ def gold(spark):
     bronze, out = os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
     land_fallback_pulls(spark, bronze, END)
     run(spark, bronze, out)
-    p = RefreshPaths(out)
-    return spark.read.parquet(p.long), spark.read.parquet(p.wide)
+    now = published(spark, out)
+    return now.long(), now.wide()
 
 
 def test_fx_spec_and_shipped(gold):
