@@ -56,21 +56,23 @@ def history(first=day(2024, 1, 10), until=day(2024, 6, 10)):
 
 def test_runs_with_revisions_equal_a_full_run(spark, scratch):
     bronze, inc = os.path.join(scratch, "bronze"), os.path.join(scratch, "inc")
-    all_ = history(day(2022, 11, 20))
-    # two halves, then revisions of old days, of the last day before a gap, of a
-    # month's first row, a series that starts later, a synthetic pull that changes nothing
+    all_ = history(day(2023, 5, 20))
+    # two halves, then revisions: of old days, of the last day before a gap, of a
+    # month's first row; a series that starts later, a text that is no number
     pulls = [
         {k: [p for p in v if p[0] < day(2024, 1, 1)] for k, v in all_.items()},
         {k: [p for p in v if p[0] >= day(2023, 12, 1)] for k, v in all_.items()},
-        {"D": [(day(2023, 1, 31), 99.5), (day(2022, 12, 30), 98.5)], "Y": [(day(2001, 1, 1), 7.5)]},
-        {"Y": [(day(1993, 5, 5), 3.5)], "X": [(day(2024, 6, 12), 5.5)], "M": [(day(2023, 5, 1), 0)]},
-        {"D": [(day(2024, 6, 11), 42.5), (day(2022, 11, 25), "N/E"), (day(2024, 2, 29), 77.5)], "Q": [(day(2023, 3, 3), "x")]},
+        {"D": [(day(2023, 7, 31), 99.5), (day(2023, 6, 30), 98.5)], "Y": [(day(2001, 1, 1), 7.5), (day(1993, 5, 5), 3.5)],
+         "X": [(day(2024, 6, 12), 5.5)], "M": [(day(2023, 9, 1), 0)]},
+        {"D": [(day(2024, 6, 11), 42.5), (day(2023, 5, 25), "N/E"), (day(2024, 2, 29), 77.5)], "Q": [(day(2023, 3, 3), "x")]},
     ]
     for i, pull in enumerate(pulls):
         land(spark, bronze, pull, f"2024070{i}T000000")
-        full = os.path.join(scratch, f"full{i}")
-        assert run(spark, bronze, inc, incremental=True, labels=LABELS) == run(spark, bronze, full, labels=LABELS)
-        assert tables(spark, inc) == tables(spark, full), i
+        counts = run(spark, bronze, inc, incremental=True, labels=LABELS)
+        if i:
+            full = os.path.join(scratch, f"full{i}")
+            assert counts == run(spark, bronze, full, labels=LABELS)
+            assert tables(spark, inc) == tables(spark, full), i
     land(spark, bronze, {"D": [(day(2024, 6, 11), 1)]}, "20240601T000000")  # an older pull comes late: changes nothing
     before = published(spark, inc).release
     run(spark, bronze, inc, incremental=True, labels=LABELS)
