@@ -46,8 +46,9 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(rows, shingle=SHINGLE, max_bits=MAX_BITS, id_col=row).select(row, "component_id")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("h"), F.col(row).alias("row"))
     first = rows.select(row, order.alias("first")).join(groups, row).groupBy("component_id").agg(F.min("first").alias("first"))
-    kept = cut(first.select(F.col("first.row").alias(row)), "pipeline-kept")
-    return rows.join(kept, row, "left_semi").select(*docs.columns)
+    kept = first.select(F.col("first.row").alias(row))
+    copies = cut(rows.select(row).join(kept, row, "left_anti"), "pipeline-copies")  # fewer than the rows that stay
+    return rows.join(copies, row, "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
