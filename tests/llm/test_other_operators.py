@@ -287,3 +287,18 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.STAGES[4][1](spark, docs, ROOT)
     decoded = {r["doc_id"]: r["text"] for r in bpe.decode(out, corpus_pipeline.VOCABULARY).collect()}
     assert decoded == {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    """Repeated ids, null ids and identical rows: one row a group, no other text lost."""
+    import corpus_pipeline
+
+    text = {k: " ".join(random.Random(k).choices(["one", "two", "three", "four", "five", "six", "seven"], k=40)) for k in range(6)}
+    rows = [(3, text[0], "a"), (7, text[0], "b"), (7, text[1], "c"), (3, text[0], "d"), (None, text[0], "e"), (None, text[2], "f"),
+            (9, text[3], "g"), (8, text[3], "h"), (5, text[4], "i"), (5, text[5], "j"), (11, None, "k"), (12, "", "l")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    out = corpus_pipeline.keep_one(spark, docs, ROOT)
+    assert out.columns == docs.columns
+    got = sorted((str(r["doc_id"]), r["text"] or "") for r in out.collect())
+    assert got == sorted([("3", text[0]), ("7", text[1]), ("None", text[2]), ("8", text[3]), ("5", text[4]), ("5", text[5]), ("11", "")])
+    assert corpus_pipeline.keep_one(spark, docs.limit(0), ROOT).count() == 0
