@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType, TimestampType
 
+from indtables.operators import silver as dedupe
 from indtables.operators.buckets import MONTH, gold_long_of_months, month_of, reached_months, tails_of
 from indtables.operators.long import SERIES_KEY, gold_long, series_window
 from indtables.operators.silver import PULL_FILE, PULL_STAMP, PULLED_AT, SILVER_KEY, dedupe_observations, enforce_not_null
@@ -48,6 +49,7 @@ from indtables.operators.wide import (
     wide_labels,
 )
 from indtables.schemas import LONG_COLUMNS, LONG_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA, with_field
+from indtables.session import scan_splits
 from indtables.sinks.publish import Release, publish
 from indtables.sinks.writers import write_counted, write_parquet, write_partitions
 
@@ -103,8 +105,9 @@ def _merge_silver(spark: SparkSession, slots: Slots, new: DataFrame, months: lis
     merged = dedupe_observations(rows, carry=LINEAGE).withColumn(MONTH, month_of(F.col("obs_date")))
     if copied is not None:
         merged = merged.unionByName(copied)
-    return write_partitions(enforce_not_null(merged), slots.new.path("silver"), [MONTH], SORTED,
-                            whole=slots.behind is None, total=total_order)
+    with scan_splits(spark, dedupe.DEDUPE_SPLIT):
+        return write_partitions(enforce_not_null(merged), slots.new.path("silver"), [MONTH], SORTED,
+                                whole=slots.behind is None, total=total_order)
 
 
 def _write_tails(spark: SparkSession, slots: Slots, years: list[int] | None) -> None:

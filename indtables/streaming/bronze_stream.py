@@ -27,6 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indtables.operators import silver as dedupe
 from indtables.operators.conform import accepted, parse_feed_a, parse_feed_b, rejected, union_feeds
 from indtables.operators.silver import PULL_FILE, PULL_STAMP, PULLED_AT, dedupe_observations
 from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA
@@ -88,6 +89,7 @@ def conform_new_pulls(
         cand.writeStream.format("parquet")
         .option("path", landing_path)
         .option("checkpointLocation", checkpoint)
+        .option("maxRecordsPerFile", dedupe.ROWS_A_FILE)
         .outputMode("append")
         .trigger(availableNow=True)
         .start()

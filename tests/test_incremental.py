@@ -9,12 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import docs_frame
+from indtables.operators import silver as dedupe
 from indtables.operators.buckets import MONTH, gold_long_bucketed
 from indtables.operators.long import gold_long
 from indtables.plans import incremental, refresh
 from indtables.plans.incremental import STORED_SILVER, stored
 from indtables.plans.refresh import published, run
 from indtables.schemas import SILVER_SCHEMA
+from indtables.session import scan_splits
 from indtables.sinks.publish import POINTER, current, expire, read_small, write_small
 from indtables.sinks.writers import write_bronze, write_counted, write_parquet
 
@@ -281,3 +283,50 @@ def test_one_long_series_is_many_tasks(spark):
     assert got.agg(*cols).first() == want.agg(*cols).first()
     with pytest.raises(ValueError, match="at least 30"):
         gold_long_bucketed(silver, 10)
+
+
+@pytest.mark.parametrize("mode", ["incremental"])
+def test_the_dedupe_sorts_a_bounded_share_of_the_pulls(spark, scratch, monkeypatch, mode):
+    """However coarse the session's splits are: files of few rows, a few files a task."""
+    bronze, plain, bounded = (os.path.join(scratch, x) for x in ("bronze", "plain", "bounded"))
+    for stamp in "123":
+        land(spark, bronze, history() if stamp != "2" else {"D": [(day(2024, 2, 1), -5)]}, stamp)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    sc = spark.sparkContext
+
+    def most_tasks(root):
+        sc.setJobGroup(root, root)
+        run(spark, bronze, root, incremental=mode == "incremental")
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        seen = sc.statusTracker()
+        infos = [seen.getStageInfo(s) for j in seen.getJobIdsForGroup(root) for s in seen.getJobInfo(j).stageIds]
+        return max(i.numTasks for i in infos if i is not None)
+
+    run(spark, bronze, plain, incremental=mode == "incremental")
+    monkeypatch.setattr(dedupe, "ROWS_A_FILE", 10)
+    monkeypatch.setattr(dedupe, "DEDUPE_SPLIT", 1 << 12)
+    assert most_tasks(bounded) >= 20  # 230 rows, 10 a file, a file a task
+    assert tables(spark, bounded) == tables(spark, plain)
+    assert spark.conf.get(key) == before
+
+
+def test_scan_splits_never_widens_and_gives_the_setting_back(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for said, within in (("1g", str(16 << 20)), ("8m", str(8 << 20))):
+            spark.conf.set(key, said)
+            with pytest.raises(ZeroDivisionError):
+                with scan_splits(spark, 16 << 20):
+                    assert spark.conf.get(key) == within
+                    1 / 0
+            assert spark.conf.get(key) == said
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_the_dedupe_compares_the_series_before_the_source(spark):
+    p = dedupe.dedupe_observations(spark.createDataFrame([], SILVER_SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in p.splitlines() if "Sort [" in line]
+    assert sorts and all("Sort [indicator_id" in line for line in sorts)
