@@ -26,13 +26,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indtables.operators import silver as dedupe
 from indtables.operators.conform import accepted, parse_feed_a, parse_feed_b, rejected, union_feeds
 from indtables.operators.long import gold_long
 from indtables.operators.silver import PULL_FILE, PULL_STAMP, PULLED_AT, dedupe_observations, enforce_not_null
 from indtables.operators.wide import RECENT_WINDOW_DAYS, gold_wide
 from indtables.plans import incremental
 from indtables.schemas import FEED_A_SCHEMA, FEED_B_SCHEMA
-from indtables.session import path_exists
+from indtables.session import path_exists, scan_splits
 from indtables.sinks.publish import Release, current, expire, new_release, publish, read_release
 from indtables.sinks.writers import write_counted, write_parquet
 from indtables.sources.bronze import read_bronze
@@ -194,10 +195,12 @@ def run(
                                    max_files_per_batch)
         return dict(release.info["counts"])
     release = new_release(out_root)
-    write_parquet(conformed_candidates(spark, bronze_root, labels, strict, multi_line), release.path("conformed"))
+    write_parquet(conformed_candidates(spark, bronze_root, labels, strict, multi_line), release.path("conformed"),
+                  rows_a_file=dedupe.ROWS_A_FILE)
     conformed = read_gold(spark, release.path("conformed"))
-    counts = {"silver": write_counted(enforce_not_null(build_silver(conformed)), release.path("silver"),
-                                      SERIES_ORDER, total_order)}
+    with scan_splits(spark, dedupe.DEDUPE_SPLIT):
+        counts = {"silver": write_counted(enforce_not_null(build_silver(conformed)), release.path("silver"),
+                                          SERIES_ORDER, total_order)}
     write_parquet(rejected(conformed, carry=LINEAGE), release.path("rejects"))
     silver = read_gold(spark, release.path("silver"))
     counts["indicators_long"] = write_counted(gold_long(silver), release.path("indicators_long"), SERIES_ORDER, total_order)

@@ -285,7 +285,7 @@ def test_one_long_series_is_many_tasks(spark):
         gold_long_bucketed(silver, 10)
 
 
-@pytest.mark.parametrize("mode", ["incremental"])
+@pytest.mark.parametrize("mode", ["full", "incremental"])
 def test_the_dedupe_sorts_a_bounded_share_of_the_pulls(spark, scratch, monkeypatch, mode):
     """However coarse the session's splits are: files of few rows, a few files a task."""
     bronze, plain, bounded = (os.path.join(scratch, x) for x in ("bronze", "plain", "bounded"))
