@@ -104,10 +104,8 @@ def _types(text: np.ndarray) -> np.ndarray:
     kind[-1] = True
     differs = np.flatnonzero(text[:-1] != text[1:])
     # a place takes the type of the next place that differs from its successor
-    at = np.searchsorted(differs, np.arange(n - 1))
-    ok = at < len(differs)
-    d = differs[at[ok]]
-    kind[:-1][ok] = text[d] < text[d + 1]
+    if len(differs):
+        kind[: differs[-1] + 1] = np.repeat(text[differs] < text[differs + 1], np.diff(differs, prepend=-1))
     return kind
 
 
@@ -220,6 +218,20 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     ``order``, counted up to ``depth``; 0 for the first."""
     out = np.zeros(len(order), np.int64)
     alive = np.arange(1, len(order))
+    if len(text) and text.min() >= 0 and text.max() < 255:  # eight symbols at once; what follows the end is smaller than all
+        data = np.zeros(len(text) + depth + 8, np.uint8)
+        data[: len(text)] = text + 1
+        words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+        for step in range(0, depth, 8):
+            differ = words[order[alive] + step] ^ words[order[alive - 1] + step]
+            ends = differ != 0
+            lowest = differ[ends] & (~differ[ends] + np.uint64(1))  # the lowest bit that differs
+            out[alive[ends]] += (np.frexp(lowest.astype(np.float64))[1] - 1) // 8
+            alive = alive[~ends]
+            out[alive] += 8
+            if not len(alive):
+                break
+        return np.minimum(out, depth, out=out)
     for step in range(depth):
         a, b = order[alive] + step, order[alive - 1] + step
         ok = np.maximum(a, b) < len(text)

@@ -2,6 +2,7 @@
 and long texts, ties, repeated rows, empty tables and clashing extra columns."""
 
 import hashlib
+import pathlib
 import random
 import re
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from indtables.llm import bpe, decontaminate, license_scan, quality, simhash, suffix_dedup, token_counts
+from indtables.session import ensure_checkpoint_dir
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -231,6 +233,46 @@ def test_suffix_dedup(spark, width, hot):
     assert rows(got) == sorted(want, key=lambda r: tuple(str(x) for x in r))
 
 
+@pytest.mark.parametrize("hot_bytes", [suffix_dedup.HOT_BYTES, 300])
+def test_suffix_dedup_bounds_what_a_chunk_sends(spark, hot_bytes):
+    """A chunk sends a bounded number of rows, however many bins there are, and a
+    passage that many chunks hold is not sent string by string while it is small."""
+    rnd = random.Random(12)
+    boilerplate = "all rights reserved by the authors"
+    texts = [(i, "".join(rnd.choice("abcdefghijklmnop") for _ in range(1500)) + boilerplate[i % 3 :]
+              + "".join(rnd.choice("abcdefghijklmnop") for _ in range(1500))) for i in range(270)]
+    folder = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "llm"
+    old = set(folder.glob("suffix-answers-*"))
+    found = suffix_dedup.duplicate_spans(docs(spark, texts).repartition(4), width=12, chunk_bytes=3000, bin_bytes=400,
+                                         hot_bytes=hot_bytes)
+    (path,) = set(folder.glob("suffix-answers-*")) - old
+    answers = [r["answers"] for r in spark.read.parquet(str(path)).collect()]
+    assert len(answers) == len(texts)
+    assert max(map(len, answers)) <= suffix_dedup.GROUPS
+    hot = sum(f & 2 > 0 for a in answers for x in a for f in suffix_dedup.unpack(x["flags"]))
+    assert (hot > 0) == (hot_bytes == 300)
+    assert rows(suffix_dedup.digest(found)) == brute_spans(texts, 12)
+
+
+def test_suffix_dedup_smallest_ids():
+    """Only fragments of one anchor are compared; the others' strings have their id."""
+    import numpy as np
+
+    rnd, width = random.Random(13), 12
+    for _ in range(20):
+        text = "".join(rnd.choice("ab") for _ in range(60)).encode()
+        data = np.frombuffer(text, np.uint8)
+        first, last, _, _, spot = suffix_dedup.anchors(data, np.array([0, len(data)]), width)
+        known = {text[a : b + width]: s for a, b, s in zip(first.tolist(), last.tolist(), spot.tolist())}
+        low = np.array([rnd.randrange(9) for _ in known])
+        least = {}
+        strings = [(c[i : i + width], x) for c, x in zip(known, low.tolist()) for i in range(len(c) - width + 1)]
+        for s, x in strings:
+            least[s] = min(x, least.get(s, x))
+        got = suffix_dedup.smallest_ids(list(known), low, np.array(list(known.values())), width)
+        assert got.tolist() == [least[s] for s, _ in strings]
+
+
 def test_induced_sort_spills_and_recurses(tmp_path):
     import numpy as np
     from indtables.llm.induced_sort import common_prefixes, suffix_array
