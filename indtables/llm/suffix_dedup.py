@@ -201,7 +201,7 @@ class Chunk:
         np.minimum.at(low, frag, ids)
         n, spot, key, is_hot = (np.empty(len(known), t) for t in (np.int64, np.int64, np.uint64, bool))
         n[frag], spot[frag], key[frag], is_hot[frag] = last - first + 1, self.spot[use], self.key[use], hot[self.of[use]]
-        units = list(known)
+        units, sizes = list(known), n + w - 1
         shard = (key % np.uint64(bins)).astype(np.int64)
         strings = np.zeros(0, np.int64)
         if is_hot.any():
@@ -215,17 +215,18 @@ class Chunk:
             strings += np.count_nonzero(~is_hot)
             units = [units[i] for i in np.flatnonzero(~is_hot).tolist()] + list(alone)
             at = np.fromiter((xxhash.xxh64_intdigest(x) % bins for x in alone), np.int64, len(alone))
-            low, shard, spot = (np.concatenate((x[~is_hot], y)) for x, y in ((low, least), (shard, at), (spot, where)))
+            low, shard, spot, sizes = (np.concatenate((x[~is_hot], y)) for x, y in (
+                (low, least), (shard, at), (spot, where), (sizes, np.full(len(alone), w))))
         order = np.lexsort((shard // groups, shard % groups))
-        return Fragments(first, ids, frag, n, is_hot, strings, units, spot, shard, low, order)
+        return Fragments(first, ids, frag, n, is_hot, strings, units, sizes, spot, shard, low, order)
 
 
 class Fragments(NamedTuple):
     """Occurrences of shared anchors' strings (first, document id, fragment);
     per fragment the number of its strings and whether it is hot; and the units
     that are sent: the other fragments, then the hot ones' strings
-    (``strings``: the unit of each), with the anchor's place, shard and smallest
-    id. ``order``: the units as they are sent, by group and bin."""
+    (``strings``: the unit of each), with size, the anchor's place, shard and
+    smallest id. ``order``: the units as they are sent, by group and bin."""
 
     first: np.ndarray
     ids: np.ndarray
@@ -234,6 +235,7 @@ class Fragments(NamedTuple):
     hot: np.ndarray
     strings: np.ndarray
     units: list[bytes]
+    sizes: np.ndarray
     spot: np.ndarray
     shard: np.ndarray
     low: np.ndarray
@@ -243,7 +245,7 @@ class Fragments(NamedTuple):
         """From the values of the units' strings as sent, in runs that end with
         their unit: (runs, value, start, length), the number of runs of each
         fragment, and all of those."""
-        n = np.array([len(x) for x in self.units], np.int64) - width + 1
+        n = self.sizes - width + 1
         begin = np.cumsum(n[self.order]) - n[self.order]
         at = np.cumsum(lengths) - lengths
         head, count = np.empty((2, len(n)), np.int64)
@@ -288,9 +290,8 @@ def rivals(contents: list[bytes], spot: np.ndarray, width: int) -> np.ndarray:
     return np.bincount(of)[of] > 1
 
 
-def smallest_ids(contents: list[bytes], low: np.ndarray, spot: np.ndarray, width: int) -> np.ndarray:
-    """For every string of the distinct fragments, the smallest id."""
-    n = np.array([len(c) for c in contents], np.int64) - width + 1
+def smallest_ids(contents: list[bytes], n: np.ndarray, low: np.ndarray, spot: np.ndarray, width: int) -> np.ndarray:
+    """For each of the ``n`` strings of every distinct fragment, the smallest id."""
     out = np.repeat(low, n)
     several = rivals(contents, spot, width)
     if several.any():
@@ -432,7 +433,7 @@ def duplicate_spans(
         for part in np.split(f.order, np.flatnonzero(np.diff(at)) + 1):
             if len(part):
                 own = [f.units[i] for i in part.tolist()]
-                sizes = np.array([len(x) for x in own], np.int32)
+                sizes = f.sizes[part].astype(np.int32)
                 counts = np.bincount(f.shard[part] // groups, minlength=subs).astype(np.int32)
                 yield pa.record_batch(
                     [pa.array([int(f.shard[part[0]] % groups)], pa.int32()), pa.array([row["chunk"]], pa.int64()),
@@ -463,12 +464,11 @@ def duplicate_spans(
             places = _numbered((text[a:b] for a, b in zip([0, *ends], ends)), known, len(ends))
             smallest = np.full(len(known), NO_ID)
             np.minimum.at(smallest, places, low[which])
-            spot = np.empty(len(known), np.int32)
-            spot[places] = spots[which]
+            spot, n = np.empty((2, len(known)), np.int64)
+            spot[places], n[places] = spots[which], sizes[which] - width + 1
             contents = list(known)
             del text, known
-            found = smallest_ids(contents, smallest, spot, width)
-            n = np.array([len(c) for c in contents], np.int64) - width + 1
+            found = smallest_ids(contents, n, smallest, spot, width)
             begin, m = np.cumsum(n) - n, n[places]
             found = found[np.repeat(begin[places], m) + _steps(m)]
             # runs of equal ids, each inside a fragment

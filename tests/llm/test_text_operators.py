@@ -269,7 +269,8 @@ def test_suffix_dedup_smallest_ids():
         strings = [(c[i : i + width], x) for c, x in zip(known, low.tolist()) for i in range(len(c) - width + 1)]
         for s, x in strings:
             least[s] = min(x, least.get(s, x))
-        got = suffix_dedup.smallest_ids(list(known), low, np.array(list(known.values())), width)
+        n = np.array([len(c) - width + 1 for c in known])
+        got = suffix_dedup.smallest_ids(list(known), n, low, np.array(list(known.values())), width)
         assert got.tolist() == [least[s] for s, _ in strings]
 
 
